@@ -126,9 +126,10 @@ def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig)
     # A doc_id with several labels takes the larger; labels other than 0 and 1 and null ids take no part.
     usable = labels.selectExpr("cast(doc_id as long) doc_id", "cast(quality as int) quality").where("doc_id is not null and quality in (0, 1)")
     usable = usable.where(~held_out(F.col("doc_id"), config.folds)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.max_rows)
-    # At most max_rows pairs of two numbers: a bound that does not depend on the data.
-    picked = {r.doc_id: r.quality for r in chosen.collect()}
+    # A hash sample of about max_rows pairs of two numbers, then cut to max_rows: a bound that does not depend on the data.
+    below = int(min(1.0, 1.1 * config.max_rows / max(1, usable.count())) * (1 << 31))
+    near = usable.select("doc_id", "quality", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)).alias("draw")).where(F.col("draw") < below).collect()
+    picked = {r.doc_id: r.quality for r in sorted(near, key=lambda r: (r.draw, r.doc_id))[: config.max_rows]}
     if not picked:
         return []
     sample = docs.sparkSession.createDataFrame(list(picked.items()), "doc_id long, quality int")

@@ -37,7 +37,7 @@ HALVES = (np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF))
 class SimHashConfig:
     words: int = 3
     radius: int = 3
-    #: Fingerprints that the routing levels are grown on, at most.
+    #: Fingerprints that the routing levels are grown on: a hash sample of about this size.
     sample: int = 60_000
     #: Shards are cut until their share of the sample stands for about so many fingerprints.
     shard: int = 6_000
@@ -226,8 +226,10 @@ def fingerprint_links(prints: DataFrame, config: SimHashConfig | None = None) ->
     spark = prints.sparkSession
     ship_package(spark)
     total = prints.count()
-    # The sample's size is a parameter; it only shapes the shards, and every fingerprint is routed through them.
-    sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(config.sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    # The sample's expected size is a parameter; it only shapes the shards, and every fingerprint is routed through them.
+    below = int(min(1.0, config.sample / max(1, total)) * (1 << 31))
+    sample = prints.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(1 << 31)) < below).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    sample = np.random.default_rng(3).permutation(np.sort(sample))
     leaf = max(8, int(config.shard * len(sample) / max(1, total)))
     trees = [RoutingTree(sample, half, leaf, config.radius) for half in (0, 1)]
     sent = spark.sparkContext.broadcast(trees)  # under two nodes per sampled fingerprint
