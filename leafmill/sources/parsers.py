@@ -1,0 +1,691 @@
+"""Container and tree formats read with the standard library: bytes in, plain block tuples out.
+
+Each parser returns (units, meta); a unit is (unit_type, title, image_count, blocks) and
+a block (type, text, rows, level, source). Parsers raise ``Refused`` with a category;
+nothing is ever cut short silently.
+"""
+
+from __future__ import annotations
+
+import csv
+import io
+import json
+import re
+import struct
+import zipfile
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
+from html.parser import HTMLParser
+from xml.etree import ElementTree
+
+MAX_DEPTH, MAX_CONTAINERS, MAX_NODES, MAX_ROWS, MAX_CELLS, MAX_PIXELS, SNIFFED = 100, 1_000_000, 1_000_000, 500_000, 5_000_000, 25_000_000, 4096
+
+
+class Refused(Exception):
+    def __init__(self, category: str, message: str):
+        super().__init__(message)
+        self.category = category
+
+
+@dataclass
+class Parsed:
+    units: list[tuple] = field(default_factory=list)
+    author: str = ""
+    title: str = ""
+    warnings: list[tuple[str, str]] = field(default_factory=list)
+
+
+def block(kind: str, text: str = "", rows: list[list[str]] | None = None, level: int | None = None, source: str | None = None) -> tuple:
+    return (kind, text, rows, level, source)
+
+
+def load_text(data: bytes) -> tuple[str, str, float, list[tuple[str, str]]]:
+    """(text, encoding, confidence, warnings); plain UTF-8 needs no guessing."""
+    if not data:
+        return "", "utf_8", 1.0, []
+    if data.isascii():
+        return data.decode(), "ascii", 1.0, []
+    try:
+        if data[:3] != b"\xef\xbb\xbf":
+            return data.decode(), "utf_8", 1.0, []
+        return data[3:].decode(), "utf_8", 1.0, []
+    except UnicodeDecodeError:
+        pass
+    try:
+        from charset_normalizer import from_bytes
+
+        best = from_bytes(data).best()
+    except ImportError:
+        best = None
+    if best is None:
+        return data.decode("utf-8", "replace"), "utf_8", 0.0, [("ENCODING_FALLBACK", "no encoding fitted; undecodable bytes were replaced")]
+    return str(best), best.encoding, 1 - best.chaos, [("ENCODING_FALLBACK", f"read as {best.encoding}")]
+
+
+def section(blocks: list[tuple]) -> list[tuple]:
+    return [("section", None, 0, blocks)]
+
+
+def parse_plain(data: bytes) -> Parsed:
+    text, _, _, warnings = load_text(data)
+    return Parsed(section([block("text", text)] if text.strip() else []), warnings=warnings)
+
+
+def delimiter(sample: str) -> str:
+    try:
+        return csv.Sniffer().sniff(sample).delimiter if sample.strip() else ","
+    except csv.Error:
+        return ","
+
+
+def parse_csv(data: bytes) -> Parsed:
+    text, _, _, warnings = load_text(data)
+    rows = list(csv.reader(io.StringIO(text.replace("\r\n", "\n"), newline=""), delimiter=delimiter(text[:SNIFFED])))
+    if sum(map(len, rows)) > MAX_CELLS:
+        raise Refused("resource_limit", "too many cells")
+    return Parsed(section([block("table", rows=rows)] if rows else []), warnings=warnings)
+
+
+# --- JSON -----------------------------------------------------------------------------------------------------------
+
+
+def json_cell(value: object) -> str:
+    if value is None:
+        return ""
+    if isinstance(value, (dict, list)):
+        return json.dumps(value, ensure_ascii=False)
+    return str(value)
+
+
+def count_containers(data: object, max_depth: int = MAX_DEPTH, most: int = MAX_CONTAINERS) -> int:
+    """Containers in a tree; refuses one that is too deep or has too many, without recursion."""
+    n, todo = 0, [(data, 0)]
+    while todo:
+        value, depth = todo.pop()
+        if isinstance(value, (dict, list)):
+            if depth >= max_depth:
+                raise Refused("resource_limit", f"nested deeper than {max_depth}")
+            n += 1
+            if n > most:
+                raise Refused("resource_limit", f"more than {most} containers")
+            todo += [(x, depth + 1) for x in (value.values() if isinstance(value, dict) else value)]
+    return n
+
+
+def flat_records(data: object) -> bool:
+    return isinstance(data, list) and bool(data) and all(isinstance(r, dict) for r in data) and len({frozenset(r) for r in data}) == 1
+
+
+def json_lines(data: object) -> list[str]:
+    """key: value lines of a nested value; list items are named by position."""
+    if not isinstance(data, (dict, list)):
+        return [str(data)]
+    out: list[str] = []
+
+    def walk(value: dict | list, indent: int) -> None:
+        pairs = value.items() if isinstance(value, dict) else ((f"[{i}]", x) for i, x in enumerate(value))
+        for key, x in pairs:
+            if isinstance(x, (dict, list)):
+                out.append(f"{'  ' * indent}{key}:")
+                walk(x, indent + 1)
+            else:
+                out.append(f"{'  ' * indent}{key}: {x}")
+
+    walk(data, 0)
+    return out
+
+
+def parse_json(data: bytes, max_depth: int = MAX_DEPTH, most: int = MAX_CONTAINERS) -> Parsed:
+    text, _, _, warnings = load_text(data)
+    try:
+        value = json.loads(text)
+    except RecursionError:
+        raise Refused("resource_limit", "nested too deep") from None
+    except ValueError as why:
+        raise Refused("malformed", str(why)) from None
+    count_containers(value, max_depth, most)
+    if flat_records(value):
+        head = list(value[0])
+        return Parsed(section([block("table", rows=[head, *([json_cell(r[k]) for k in head] for r in value)])]), warnings=warnings)
+    shown = "\n".join(json_lines(value))
+    return Parsed(section([block("text", shown)] if shown.strip() else []), warnings=warnings)
+
+
+# --- XML ------------------------------------------------------------------------------------------------------------
+
+
+def local(tag: str) -> str:
+    return tag.rpartition("}")[2]
+
+
+def safe_tree(data: bytes) -> ElementTree.Element:
+    head = data.lower()
+    if b"<!doctype" in head or b"<!entity" in head:
+        raise Refused("malformed", "document type declarations are refused")
+    try:
+        return ElementTree.fromstring(data)
+    except ElementTree.ParseError as why:
+        raise Refused("malformed", str(why)) from None
+
+
+def xml_lines(root: ElementTree.Element, max_depth: int = MAX_DEPTH, most: int = MAX_NODES) -> list[str]:
+    out, n = [], 0
+
+    def walk(node: ElementTree.Element, depth: int) -> None:
+        nonlocal n
+        n += 1
+        if n > most or depth >= max_depth:
+            raise Refused("resource_limit", "too many or too deeply nested elements")
+        if not isinstance(node.tag, str):
+            return
+        pad = "  " * depth
+        attributes = "".join(f' {local(k)}="{v}"' for k, v in node.attrib.items())
+        text = (node.text or "").strip()
+        out.append(f"{pad}{local(node.tag)}{attributes}:" + (f" {text}" if text else ""))
+        for child in node:
+            walk(child, depth + 1)
+            if (child.tail or "").strip():
+                out.append(f"{pad}  {child.tail.strip()}")
+
+    walk(root, 0)
+    return out
+
+
+def parse_xml(data: bytes, max_depth: int = MAX_DEPTH, most: int = MAX_NODES) -> Parsed:
+    shown = "\n".join(xml_lines(safe_tree(data), max_depth, most))
+    return Parsed(section([block("text", shown)]))
+
+
+# --- HTML -----------------------------------------------------------------------------------------------------------
+
+# The tags that carry text of their own, those that are dropped, those without a closing tag.
+TEXT_TAGS = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "dd", "dt"))
+DROPPED = frozenset(("script", "style", "nav"))
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
+CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
+BREAKS_P = TEXT_TAGS - {"dd", "dt", "li"} | {"div", "ul", "ol", "dl", "table", "section", "article", "footer", "header", "main", "nav", "form", "hr", "aside"}
+SCOPES = frozenset(("ul", "ol", "dl", "table", "body", "html"))
+
+
+class Node:
+    __slots__ = ("tag", "children")
+
+    def __init__(self, tag: str):
+        self.tag, self.children = tag, []
+
+
+class _Builder(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = Node("")
+        self.open = [self.root]
+        self.title = ""
+
+    def _close(self, tags: set[str] | frozenset[str], scopes: frozenset[str] = SCOPES) -> None:
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in tags:
+                del self.open[i:]
+                return
+            if self.open[i].tag in scopes:
+                return
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in CLOSES:
+            self._close(CLOSES[tag])
+        if tag in BREAKS_P:
+            self._close({"p"}, SCOPES | {"td", "th", "li", "div", "article", "section", "blockquote"})
+        node = Node(tag)
+        self.open[-1].children.append(node)
+        if tag not in VOID:
+            self.open.append(node)
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self.open[-1].children.append(Node(tag))
+
+    def handle_endtag(self, tag: str) -> None:
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                del self.open[i:]
+                return
+
+    def handle_data(self, data: str) -> None:
+        self.open[-1].children.append(data)
+
+
+def _strings(node: Node, skip: frozenset[str] = DROPPED) -> list[str]:
+    out = []
+    for child in node.children:
+        if isinstance(child, str):
+            if child.strip():
+                out.append(child.strip())
+        elif child.tag not in skip:
+            out += _strings(child, skip)
+    return out
+
+
+def _holds_text_tag(node: Node) -> bool:
+    return any(not isinstance(c, str) and (c.tag in TEXT_TAGS or _holds_text_tag(c)) for c in node.children)
+
+
+def _own_text(node: Node) -> str:
+    """All text of a tag without text tags inside; else what its direct, other children say."""
+    if not _holds_text_tag(node):
+        return " ".join(_strings(node))
+    parts = []
+    for child in node.children:
+        if isinstance(child, str):
+            parts += [child.strip()] if child.strip() else []
+        elif child.tag not in TEXT_TAGS and child.tag not in DROPPED and not _holds_text_tag(child):
+            parts += _strings(child)
+    return " ".join(parts)
+
+
+def _table_rows(node: Node) -> list[list[str]]:
+    rows: list[list[str]] = []
+
+    def walk(at: Node) -> None:
+        for child in at.children:
+            if isinstance(child, str):
+                continue
+            if child.tag == "tr":
+                cells = [" ".join(_strings(c)) for c in child.children if not isinstance(c, str) and c.tag in ("td", "th")]
+                if cells:
+                    rows.append(cells)
+            walk(child)
+
+    walk(node)
+    width = max(map(len, rows), default=0)
+    return [r + [""] * (width - len(r)) for r in rows]
+
+
+def html_blocks(text: str) -> list[tuple[str, str, list[list[str]] | None]]:
+    """(tag, text, rows) of the body in document order; the whole text where no block is found."""
+    builder = _Builder()
+    builder.feed(text)
+    builder.close()
+    found: list[tuple[str, str, list[list[str]] | None]] = []
+
+    def body_of(node: Node) -> Node | None:
+        for child in node.children:
+            if not isinstance(child, str):
+                inner = child if child.tag == "body" else body_of(child)
+                if inner is not None:
+                    return inner
+        return None
+
+    def walk(node: Node) -> None:
+        for child in node.children:
+            if isinstance(child, str) or child.tag in DROPPED or child.tag == "head":
+                continue
+            if child.tag == "table":
+                rows = _table_rows(child)
+                if rows:
+                    found.append(("table", "", rows))
+                continue
+            if child.tag in TEXT_TAGS:
+                own = _own_text(child)
+                if own:
+                    found.append((child.tag, own, None))
+            walk(child)
+
+    body = body_of(builder.root) or builder.root
+    walk(body)
+    if not found:
+        whole = "\n".join(_strings(body, DROPPED | {"head"}))
+        if whole:
+            found.append(("body", whole, None))
+    return found
+
+
+def parse_html(data: bytes) -> Parsed:
+    text, _, _, warnings = load_text(data)
+    return Parsed(section([block("table", rows=r) if r is not None else block("text", t) for _, t, r in html_blocks(text)]), warnings=warnings)
+
+
+# --- Office packages ------------------------------------------------------------------------------------------------
+
+# Main content types of each package kind.
+MAIN_TYPES = {
+    ".docx": ("application/vnd.openxmlformats-officedocument.wordprocessingml.document.main+xml",),
+    ".xlsx": ("application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml",),
+    ".xlsm": ("application/vnd.ms-excel.sheet.macroEnabled.main+xml", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"),
+    ".pptx": ("application/vnd.openxmlformats-officedocument.presentationml.presentation.main+xml",),
+}
+DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
+
+
+def open_package(data: bytes, suffix: str) -> zipfile.ZipFile:
+    try:
+        package = zipfile.ZipFile(io.BytesIO(data))
+    except zipfile.BadZipFile as why:
+        raise Refused("malformed", str(why)) from None
+    if "[Content_Types].xml" not in package.namelist():
+        raise Refused("missing_part", "[Content_Types].xml is missing")
+    types = {x.get("ContentType") for x in part(package, "[Content_Types].xml")}
+    if suffix in MAIN_TYPES and not types & set(MAIN_TYPES[suffix]):
+        raise Refused("malformed", f"not a {suffix} package")
+    return package
+
+
+def part(package: zipfile.ZipFile, name: str) -> ElementTree.Element:
+    try:
+        return safe_tree(package.read(name))
+    except KeyError:
+        raise Refused("missing_part", f"{name} is missing") from None
+    except RuntimeError as why:
+        raise Refused("encrypted", str(why)) from None
+    except (zipfile.BadZipFile, EOFError) as why:
+        raise Refused("malformed", str(why)) from None
+
+
+def related(package: zipfile.ZipFile, name: str) -> dict[str, str]:
+    """Relationship id to part name."""
+    folder, _, leaf = name.rpartition("/")
+    try:
+        root = safe_tree(package.read(f"{folder}/_rels/{leaf}.rels"))
+    except KeyError:
+        return {}
+    out = {}
+    for x in root:
+        target, steps = x.get("Target", ""), folder.split("/")
+        if target.startswith("/"):
+            out[x.get("Id")] = target[1:]
+            continue
+        for step in target.split("/"):
+            steps = steps[:-1] if step == ".." else [*steps, step]
+        out[x.get("Id")] = "/".join(steps)
+    return out
+
+
+def attribute(node: ElementTree.Element | None, name: str) -> str | None:
+    return None if node is None else next((v for k, v in node.attrib.items() if local(k) == name), None)
+
+
+def kids(node: ElementTree.Element, name: str) -> list[ElementTree.Element]:
+    return [c for c in node if local(c.tag) == name]
+
+
+def kid(node: ElementTree.Element | None, *path: str) -> ElementTree.Element | None:
+    for name in path:
+        node = next(iter(kids(node, name)), None) if node is not None else None
+    return node
+
+
+def core_properties(package: zipfile.ZipFile) -> tuple[str, str]:
+    try:
+        root = safe_tree(package.read("docProps/core.xml"))
+    except KeyError:
+        return "", ""
+    said = {local(x.tag): x.text or "" for x in root}
+    return said.get("creator", ""), said.get("title", "")
+
+
+def _paragraph_text(node: ElementTree.Element) -> str:
+    out = []
+    for x in node.iter():
+        name = local(x.tag)
+        if name == "t":
+            out.append(x.text or "")
+        elif name == "tab":
+            out.append("\t")
+        elif name in ("br", "cr"):
+            out.append("\n")
+    return "".join(out)
+
+
+def _word_table(node: ElementTree.Element) -> list[list[str]]:
+    """Cells by grid column; the columns that a merged cell spans after its first read empty."""
+    rows = []
+    for tr in kids(node, "tr"):
+        row: list[str] = []
+        for tc in kids(tr, "tc"):
+            span = int(attribute(kid(tc, "tcPr", "gridSpan"), "val") or 1)
+            merge = kid(tc, "tcPr", "vMerge")
+            goes_on = merge is not None and attribute(merge, "val") != "restart"
+            row += ["" if goes_on else "\n".join(_paragraph_text(p) for p in kids(tc, "p")), *[""] * (span - 1)]
+        rows.append(row)
+    return rows
+
+
+def join_paragraphs(items: list[tuple[str, bool]]) -> str:
+    """Paragraphs with a blank line between them; items of one list follow line by line."""
+    out = ""
+    for i, (text, listed) in enumerate(items):
+        out += ("" if not i else "\n" if listed and items[i - 1][1] else "\n\n") + text
+    return out
+
+
+def parse_docx(data: bytes) -> Parsed:
+    package = open_package(data, ".docx")
+    document = part(package, "word/document.xml")
+    names = {}
+    if "word/styles.xml" in package.namelist():
+        names = {attribute(s, "styleId"): attribute(kid(s, "name"), "val") or "" for s in kids(part(package, "word/styles.xml"), "style")}
+    blocks: list[tuple] = []
+    waiting: list[tuple[str, bool]] = []
+
+    def flush() -> None:
+        if waiting:
+            blocks.append(block("text", join_paragraphs(waiting)))
+            waiting.clear()
+
+    for node in kid(document, "body") or ():
+        if local(node.tag) == "tbl":
+            flush()
+            blocks.append(block("table", rows=_word_table(node)))
+        elif local(node.tag) == "p":
+            text = _paragraph_text(node)
+            style_id = attribute(kid(node, "pPr", "pStyle"), "val")
+            style = names.get(style_id, style_id or "").lower()
+            if not text.strip():
+                continue
+            heading = re.fullmatch(r"heading (\d)", style)
+            if style == "title" or heading:
+                flush()
+                blocks.append(block("heading", text.strip(), level=1 if style == "title" else int(heading[1])))
+            else:
+                mark = "1. " if style.startswith("list number") else "- " if style.startswith("list") else ""
+                waiting.append((mark + text, bool(mark)))
+    flush()
+    author, title = core_properties(package)
+    return Parsed(section(blocks), author, title)
+
+
+def _excel_date(value: float, since_1904: bool) -> str:
+    base = datetime(1904, 1, 1) if since_1904 else datetime(1899, 12, 30)
+    moment = base + timedelta(seconds=round(value * 86_400))
+    return moment.strftime("%H:%M:%S") if not since_1904 and 0 <= value < 1 else moment.strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _column(reference: str) -> int:
+    n = 0
+    for c in reference:
+        if c.isalpha():
+            n = 26 * n + ord(c.upper()) - 64
+    return n - 1
+
+
+def parse_xlsx(data: bytes, suffix: str = ".xlsx") -> Parsed:
+    package = open_package(data, suffix)
+    names = package.namelist()
+    book = part(package, "xl/workbook.xml")
+    targets = related(package, "xl/workbook.xml")
+    shared = ["".join(t.text or "" for t in s.iter() if local(t.tag) == "t") for s in kids(part(package, "xl/sharedStrings.xml"), "si")] if "xl/sharedStrings.xml" in names else []
+    dates: list[bool] = []
+    if "xl/styles.xml" in names:
+        styles = part(package, "xl/styles.xml")
+        own = {int(attribute(f, "numFmtId")): attribute(f, "formatCode") or "" for f in kid(styles, "numFmts") or ()}
+        for xf in kid(styles, "cellXfs") or ():
+            number = int(attribute(xf, "numFmtId") or 0)
+            code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", own.get(number, ""))
+            dates.append(number in DATE_FORMATS or bool(re.search(r"[ymdhs]", code, re.I)) and number in own)
+    since_1904 = attribute(kid(book, "workbookPr"), "date1904") in ("1", "true")
+    units, total = [], 0
+
+    def value_of(c: ElementTree.Element) -> str:
+        kind, raw = attribute(c, "t"), kid(c, "v")
+        if kind == "inlineStr":
+            return "".join(t.text or "" for t in c.iter() if local(t.tag) == "t")
+        if raw is None or raw.text is None:
+            return ""
+        if kind == "s":
+            return shared[int(raw.text)]
+        if kind == "b":
+            return "True" if raw.text == "1" else "False"
+        if kind in ("str", "e", "d"):
+            return raw.text
+        number, style = float(raw.text), int(attribute(c, "s") or 0)
+        if style < len(dates) and dates[style]:
+            return _excel_date(number, since_1904)
+        return str(int(number)) if re.fullmatch(r"-?\d+", raw.text) else repr(number).removesuffix(".0") if number.is_integer() and abs(number) < 1e15 else repr(number)
+
+    for sheet in kid(book, "sheets") or ():
+        root = part(package, targets[attribute(sheet, "id")])
+        rows: list[list[str]] = []
+        for r in kid(root, "sheetData") or ():
+            at = int(attribute(r, "r") or len(rows) + 1)
+            if at > MAX_ROWS:
+                raise Refused("resource_limit", "too many rows")
+            rows += [[] for _ in range(at - 1 - len(rows))]
+            row: list[str] = []
+            for c in kids(r, "c"):
+                place = _column(attribute(c, "r") or "") if attribute(c, "r") else len(row)
+                row += [""] * (place - len(row))
+                row.append(value_of(c))
+            total += len(row)
+            if total > MAX_CELLS:
+                raise Refused("resource_limit", "too many cells")
+            rows.append(row)
+        width = max(map(len, rows), default=0)
+        rows = [r + [""] * (width - len(r)) for r in rows]
+        if any(v.strip() for r in rows for v in r):
+            units.append(("sheet", attribute(sheet, "name"), 0, [block("table", rows=rows)]))
+    return Parsed(units)
+
+
+def _chart(package: zipfile.ZipFile, name: str) -> list[list[str]] | None:
+    """The first plot of a native chart as a table."""
+    root = part(package, name)
+    plot = next((x for x in root.iter() if local(x.tag) == "plotArea"), None)
+    first = next((x for x in plot if kids(x, "ser")), None) if plot is not None else None
+    if first is None:
+        return None
+
+    def points(node: ElementTree.Element | None) -> list[str]:
+        cache = next((x for x in node.iter() if local(x.tag) in ("strCache", "numCache", "strLit", "numLit")), None) if node is not None else None
+        if cache is None:
+            return []
+        known = {int(attribute(p, "idx")): kid(p, "v").text or "" for p in kids(cache, "pt")}
+        size = int(attribute(kid(cache, "ptCount"), "val") or 0)
+        return [known.get(i, "") for i in range(max(size, max(known, default=-1) + 1))]
+
+    def shown(value: str) -> str:
+        try:
+            number = float(value)
+        except ValueError:
+            return value
+        return str(int(number)) if number.is_integer() else str(number)
+
+    series = [(next(iter(points(kid(s, "tx"))), ""), points(kid(s, "cat")), [shown(v) for v in points(kid(s, "val"))]) for s in kids(first, "ser")]
+    categories = max((c for _, c, _ in series), key=len, default=[])
+    n = max([len(categories), *(len(v) for _, _, v in series)])
+    pick = lambda values, i: values[i] if i < len(values) else ""
+    return [["", *(s for s, _, _ in series)], *([pick(categories, i), *(pick(v, i) for _, _, v in series)] for i in range(n))]
+
+
+def parse_pptx(data: bytes) -> Parsed:
+    package = open_package(data, ".pptx")
+    deck, targets = part(package, "ppt/presentation.xml"), related(package, "ppt/presentation.xml")
+    units = []
+    for entry in kid(deck, "sldIdLst") or ():
+        name = targets[attribute(entry, "id") if not (entry.attrib.get("id") or "").isdigit() else next(v for k, v in entry.attrib.items() if k.endswith("}id"))]
+        links = related(package, name)
+        blocks: list[tuple] = []
+        pictures = 0
+
+        def said(node: ElementTree.Element) -> str:
+            return "\n".join("".join("\n" if local(x.tag) == "br" else x.text or "" for x in p.iter() if local(x.tag) in ("t", "br")) for p in kids(node, "p"))
+
+        def walk(tree: ElementTree.Element) -> None:
+            nonlocal pictures
+            for shape in tree:
+                kind = local(shape.tag)
+                if kind == "grpSp":
+                    walk(shape)
+                elif kind == "pic":
+                    pictures += 1
+                elif kind == "graphicFrame":
+                    table = next((x for x in shape.iter() if local(x.tag) == "tbl"), None)
+                    chart = next((x for x in shape.iter() if local(x.tag) == "chart"), None)
+                    if table is not None:
+                        blocks.append(block("table", rows=[[said(kid(tc, "txBody")) if kid(tc, "txBody") is not None else "" for tc in kids(tr, "tc")] for tr in kids(table, "tr")]))
+                    elif chart is not None and attribute(chart, "id") in links:
+                        rows = _chart(package, links[attribute(chart, "id")])
+                        if rows:
+                            blocks.append(block("table", rows=rows, source="chart"))
+                elif kind == "sp" and kid(shape, "txBody") is not None:
+                    text = said(kid(shape, "txBody"))
+                    if text.strip():
+                        blocks.append(block("text", text))
+
+        walk(kid(part(package, name), "cSld", "spTree") or ())
+        notes = next((t for t in links.values() if "notesSlide" in t), None)
+        if notes:
+            for shape in kid(part(package, notes), "cSld", "spTree") or ():
+                place = next((x for x in shape.iter() if local(x.tag) == "ph"), None)
+                if attribute(place, "type") == "body" and kid(shape, "txBody") is not None and said(kid(shape, "txBody")).strip():
+                    blocks.append(block("text", said(kid(shape, "txBody"))))
+        units.append(("slide", None, pictures, blocks))
+    return Parsed(units)
+
+
+# --- images ---------------------------------------------------------------------------------------------------------
+
+
+def image_size(data: bytes) -> tuple[int, int] | None:
+    """Width and height from the header of a PNG, BMP, JPEG or TIFF."""
+    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
+        return struct.unpack(">II", data[16:24])
+    if data[:2] == b"BM" and len(data) >= 26:
+        w, h = struct.unpack("<ii", data[18:26])
+        return w, abs(h)
+    if data[:2] == b"\xff\xd8":
+        at = 2
+        while at + 9 < len(data) and data[at] == 0xFF:
+            if data[at + 1] in (*range(0xC0, 0xC4), *range(0xC5, 0xC8), *range(0xC9, 0xCC), *range(0xCD, 0xD0)):
+                h, w = struct.unpack(">HH", data[at + 5 : at + 9])
+                return w, h
+            at += 2 + struct.unpack(">H", data[at + 2 : at + 4])[0]
+        return None
+    if data[:4] in (b"II*\0", b"MM\0*") and len(data) >= 10:
+        end = "<" if data[:2] == b"II" else ">"
+        at = struct.unpack(f"{end}I", data[4:8])[0]
+        found: dict[int, int] = {}
+        for i in range(struct.unpack(f"{end}H", data[at : at + 2])[0] if at + 2 <= len(data) else 0):
+            entry = data[at + 2 + 12 * i : at + 14 + 12 * i]
+            if len(entry) == 12:
+                tag, kind = struct.unpack(f"{end}HH", entry[:4])
+                found[tag] = struct.unpack(f"{end}H", entry[8:10])[0] if kind == 3 else struct.unpack(f"{end}I", entry[8:12])[0]
+        return (found[256], found[257]) if {256, 257} <= set(found) else None
+    return None
+
+
+def parse_image(data: bytes) -> Parsed:
+    """One scanned section; recognition needs model weights that are not part of this engine, so its absence is a warning."""
+    size = image_size(data)
+    if size is None:
+        return Parsed([("section", None, 1, [])], warnings=[("OCR_FAILED", "the image could not be decoded")])
+    if size[0] * size[1] > MAX_PIXELS:
+        raise Refused("resource_limit", f"{size[0]}x{size[1]} pixels")
+    return Parsed([("section", None, 1, [])], warnings=[("OCR_UNAVAILABLE", "no recognition engine is installed")])
+
+
+PARSERS = {"txt": parse_plain, "md": parse_plain, "csv": parse_csv, "json": parse_json, "xml": parse_xml, "html": parse_html, "docx": parse_docx, "pptx": parse_pptx, "image": parse_image}
+
+
+def parse(reader: str, suffix: str, data: bytes) -> Parsed:
+    if reader == "pdf":
+        if not data[:512].startswith(b"%PDF-"):
+            raise Refused("malformed", "not a PDF")
+        raise Refused("unsupported", "PDF pages come as words, drawings and images tables")
+    return parse_xlsx(data, suffix) if reader == "xlsx" else PARSERS[reader](data)
