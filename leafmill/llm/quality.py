@@ -120,8 +120,11 @@ def held_out(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == 0
 
 
-def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Sparse rows of the bounded training sample. The ids are fixed first, so only their texts leave the scan."""
+def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig) -> DataFrame | None:
+    """Sparse rows (doc_id, quality, slots, shares) of the bounded training sample, or None without usable labels.
+
+    The ids are fixed first, so only their texts leave the scan.
+    """
     bits, scale = config.bits, config.scale
     # A doc_id with several labels takes the larger; labels other than 0 and 1 and null ids take no part.
     usable = labels.selectExpr("cast(doc_id as long) doc_id", "cast(quality as int) quality").where("doc_id is not null and quality in (0, 1)")
@@ -131,7 +134,7 @@ def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig)
     near = usable.select("doc_id", "quality", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)).alias("draw")).where(F.col("draw") < below).collect()
     picked = {r.doc_id: r.quality for r in sorted(near, key=lambda r: (r.draw, r.doc_id))[: config.max_rows]}
     if not picked:
-        return []
+        return None
     sample = docs.sparkSession.createDataFrame(list(picked.items()), "doc_id long, quality int")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,15 +152,33 @@ def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig)
             )
 
     texts = docs.selectExpr("cast(doc_id as long) doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
-    rows = texts.mapInArrow(features, "doc_id long, quality int, slots array<int>, shares array<float>").dropDuplicates(["doc_id"]).toPandas()
-    rows = rows.sort_values("doc_id")
-    return [(np.asarray(s, np.int64), np.asarray(v, np.float64), int(q)) for s, v, q in zip(rows["slots"], rows["shares"], rows["quality"])]
+    return texts.mapInArrow(features, "doc_id long, quality int, slots array<int>, shares array<float>")
 
 
 def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = None) -> np.ndarray:
+    """Fit in one task: the updates follow one another and the sample is bounded. The driver gets the weights alone."""
     config = config or QualityConfig()
     ship_package(docs.sparkSession)
-    return fit(training_examples(docs, labels, config), config)
+    sample = training_examples(docs, labels, config)
+    if sample is None:
+        return np.zeros((1 << config.bits) + 1, np.float32)
+
+    def fit_group(group: pa.Table) -> pa.Table:
+        ids, seen = group.column("doc_id").to_numpy(), set()
+        slots, shares = group.column("slots").combine_chunks(), group.column("shares").combine_chunks()
+        at, ends = slots.values.to_numpy(), slots.offsets.to_numpy()
+        values = shares.values.to_numpy()
+        labels_of = group.column("quality").to_numpy()
+        examples = []
+        for i in np.argsort(ids, kind="stable").tolist():
+            if ids[i] not in seen:  # of rows that repeat a doc_id one is fitted
+                seen.add(ids[i])
+                part = slice(ends[i], ends[i + 1])
+                examples.append((at[part].astype(np.int64), values[part].astype(np.float64), int(labels_of[i])))
+        return pa.table({"weights": pa.array([fit(examples, config).tobytes()], pa.binary())})
+
+    fitted = sample.groupBy(F.lit(0)).applyInArrow(fit_group, "weights binary").collect()
+    return np.frombuffer(fitted[0].weights, np.float32) if fitted else np.zeros((1 << config.bits) + 1, np.float32)
 
 
 def score_texts(texts: list[str], weights: np.ndarray, config: QualityConfig) -> np.ndarray:
