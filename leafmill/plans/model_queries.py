@@ -322,7 +322,7 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", F.posexplode("b").alias("ord", "b")).select("page_id", "ord", "b.tag", "b.text")
 
 
-@query("SELECT page_id, trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) AS text FROM pages")
+@query("SELECT page_id, trim(replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')) AS text FROM pages")
 def html_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _html(spark, sf_dir).where("tag = 'h1'").select("page_id", "text")
 
