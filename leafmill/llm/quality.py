@@ -163,7 +163,11 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = Non
     if sample is None:
         return np.zeros((1 << config.bits) + 1, np.float32)
 
-    def fit_group(group: pa.Table) -> pa.Table:
+    def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not parts:
+            return
+        group = pa.Table.from_batches(parts)
         ids, seen = group.column("doc_id").to_numpy(), set()
         slots, shares = group.column("slots").combine_chunks(), group.column("shares").combine_chunks()
         at, ends = slots.values.to_numpy(), slots.offsets.to_numpy()
@@ -175,9 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = Non
                 seen.add(ids[i])
                 part = slice(ends[i], ends[i + 1])
                 examples.append((at[part].astype(np.int64), values[part].astype(np.float64), int(labels_of[i])))
-        return pa.table({"weights": pa.array([fit(examples, config).tobytes()], pa.binary())})
+        yield pa.RecordBatch.from_arrays([pa.array([fit(examples, config).tobytes()], pa.binary())], ["weights"])
 
-    fitted = sample.groupBy(F.lit(0)).applyInArrow(fit_group, "weights binary").collect()
+    fitted = sample.repartition(1).mapInArrow(fit_all, "weights binary").collect()
     return np.frombuffer(fitted[0].weights, np.float32) if fitted else np.zeros((1 << config.bits) + 1, np.float32)
 
 
