@@ -188,7 +188,7 @@ def unexpected_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- rectangles -----------------------------------------------------------------------------------------------------
 
-SQL_BOXES = """b AS (SELECT l_orderkey AS doc_id, 1 AS page, l_linenumber AS box_no, l_partkey % 400 * 1.0 AS x0, l_suppkey % 300 * 1.0 AS y0,
+SQL_BOXES = """b AS (SELECT l_orderkey AS doc_id, 1 AS page, l_linenumber AS box_no, CAST(l_partkey % 400 AS DOUBLE) AS x0, CAST(l_suppkey % 300 AS DOUBLE) AS y0,
     l_partkey % 400 + l_quantity * (CASE WHEN l_linenumber % 4 = 0 THEN 9 ELSE 2 END) AS x1, l_suppkey % 300 + 5 + l_tax * 200 AS y1,
     row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS dup FROM lineitem QUALIFY dup = 1)"""
 
@@ -214,7 +214,7 @@ def rect_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {SQL_BOXES}, s AS (SELECT doc_id, page, box_no, x0 + CASE WHEN box_no % 2 = 0 THEN 1.3 ELSE 40 END AS x0, y0, x1 + 1.7 AS x1, y1 FROM b WHERE box_no % 3 > 0)
+    f"""WITH {SQL_BOXES}, s AS (SELECT doc_id, page, box_no, x0 + CASE WHEN box_no % 2 = 0 THEN 1.3 ELSE 40 END AS x0, y0, x1 + CASE WHEN box_no % 2 = 0 THEN 1.7 ELSE 41.7 END AS x1, y1 FROM b WHERE box_no % 3 > 0)
     SELECT doc_id, box_no FROM b a WHERE NOT EXISTS (SELECT 1 FROM s r WHERE r.doc_id = a.doc_id AND {OVERLAP} AND
       (least(a.x1, r.x1) - greatest(a.x0, r.x0)) * (least(a.y1, r.y1) - greatest(a.y0, r.y0)) / ((a.x1 - a.x0) * (a.y1 - a.y0) + (r.x1 - r.x0) * (r.y1 - r.y0)
       - (least(a.x1, r.x1) - greatest(a.x0, r.x0)) * (least(a.y1, r.y1) - greatest(a.y0, r.y0))) >= 0.8)"""
@@ -222,7 +222,7 @@ def rect_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stamp_iou_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = _boxes(spark, sf_dir)
     shift = F.when(F.col("box_no") % 2 == 0, 1.3).otherwise(40.0)
-    stamps = boxes.where("box_no % 3 > 0").withColumns({"x0": F.col("x0") + shift, "x1": F.col("x1") + 1.7})
+    stamps = boxes.where("box_no % 3 > 0").withColumns({"x0": F.col("x0") + shift, "x1": F.col("x1") + shift + 0.4})
     return geometry.drop_stamped(boxes, stamps).select("doc_id", "box_no")
 
 
