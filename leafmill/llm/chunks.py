@@ -16,16 +16,23 @@ import pyarrow as pa
 
 
 class ChunkMemo:
-    """chunk -> integers, plus one flag byte per chunk; bounded by entries and by stored characters."""
+    """chunk -> integers, plus one flag byte per chunk; bounded by entries and by stored characters.
+
+    A worker serves one operator after another, so only the memo in use is kept: using
+    another one empties it, together with whatever its ``release`` lets go.
+    """
+
+    in_use: ChunkMemo | None = None
 
     def __init__(
         self,
         encode: Callable[[list[str]], list[list[int]]],
         flags: Callable[[str], int] | None = None,
-        max_entries: int = 1_500_000,
-        max_chars: int = 24_000_000,
+        max_entries: int = 1_000_000,
+        max_chars: int = 16_000_000,
+        release: Callable[[], None] | None = None,
     ):
-        self.encode, self.flags, self.max_entries, self.max_chars = encode, flags, max_entries, max_chars
+        self.encode, self.flags, self.max_entries, self.max_chars, self.release = encode, flags, max_entries, max_chars, release
         self._reset()
 
     def _reset(self) -> None:
@@ -47,6 +54,13 @@ class ChunkMemo:
 
     def rows(self, chunks: list[str]) -> np.ndarray:
         """The memo row of every chunk, encoding those not seen yet. Valid until the next call."""
+        other = ChunkMemo.in_use
+        if other is not self:
+            if other is not None:
+                other._reset()
+                if other.release:
+                    other.release()
+            ChunkMemo.in_use = self
         if len(self.index) > self.max_entries or self.chars > self.max_chars:
             self._reset()
         found = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))

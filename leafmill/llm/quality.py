@@ -52,7 +52,7 @@ def _token_hashes(chunks: list[str]) -> list[list[int]]:
 class Hasher:
     def __init__(self, bits: int):
         self.shift = np.uint64(64 - bits)
-        self.memo = ChunkMemo(_token_hashes, max_entries=1_000_000)
+        self.memo = ChunkMemo(_token_hashes, max_entries=700_000)
 
     def slots(self, texts: list[str]) -> list[np.ndarray]:
         """The weight slots of every text's words and word pairs, in order."""

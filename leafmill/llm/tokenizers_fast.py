@@ -50,7 +50,7 @@ class JsonTokenizer:
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.letters = {b: c for b, c in _byte_alphabet().items()}
         self.words: dict[str, list[int]] = {}
-        self.memo = ChunkMemo(self._encode_chunks, self._flags)
+        self.memo = ChunkMemo(self._encode_chunks, self._flags, release=self.words.clear)
 
     def _bytes(self, text: str) -> str:
         if self.lowers and text.isascii():
@@ -60,7 +60,7 @@ class JsonTokenizer:
     def _word(self, word: str) -> list[int]:
         ids = self.words.get(word)
         if ids is None:
-            if len(self.words) > 600_000:
+            if len(self.words) > 400_000:
                 self.words.clear()
             ids = [x.id for x in self.model.tokenize(word)]
             if len(word) < 64:
