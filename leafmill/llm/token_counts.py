@@ -24,7 +24,7 @@ from leafmill.llm.chunks import ChunkMemo, grouped
 from leafmill.runtime import ship_package
 
 WORD_MARK = "▁"
-_SPACED = re.compile(r" *[^ ]+| +\Z")
+_SPACED = re.compile(r" *[^ ]+(?: +\Z)?| +\Z")  # spaces at the end stay with the last part
 
 
 class PieceCounter:
