@@ -214,7 +214,7 @@ def rect_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {SQL_BOXES}, s AS (SELECT doc_id, page, box_no, x0 + CASE WHEN box_no % 2 = 0 THEN 1.3 ELSE 40 END AS x0, y0, x1 + CASE WHEN box_no % 2 = 0 THEN 1.7 ELSE 41.7 END AS x1, y1 FROM b WHERE box_no % 3 > 0)
+    f"""WITH {SQL_BOXES}, s AS (SELECT doc_id, page, box_no, x0 + CASE WHEN box_no % 2 = 0 THEN 1.3 ELSE 40 END AS x0, y0, x1 + CASE WHEN box_no % 2 = 0 THEN 1.7 ELSE 40.4 END AS x1, y1 FROM b WHERE box_no % 3 > 0)
     SELECT doc_id, box_no FROM b a WHERE NOT EXISTS (SELECT 1 FROM s r WHERE r.doc_id = a.doc_id AND {OVERLAP} AND
       (least(a.x1, r.x1) - greatest(a.x0, r.x0)) * (least(a.y1, r.y1) - greatest(a.y0, r.y0)) / ((a.x1 - a.x0) * (a.y1 - a.y0) + (r.x1 - r.x0) * (r.y1 - r.y0)
       - (least(a.x1, r.x1) - greatest(a.x0, r.x0)) * (least(a.y1, r.y1) - greatest(a.y0, r.y0))) >= 0.8)"""
