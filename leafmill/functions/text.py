@@ -115,3 +115,10 @@ def novelty(candidate: Column, known: Column) -> Column:
 def icon_noise(text: Column) -> Column:
     """A lone CJK glyph is a misread icon."""
     return F.when(strip(text).rlike(r"^[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]$"), F.lit(ICON)).otherwise(text)
+
+
+def intruded_words(text: Column) -> Column:
+    """struct(words, corrupted): word-like tokens, and those with a digit, capital or mark inside a lower-case run."""
+    tokens = F.regexp_extract_all(text, F.lit(r"(?U)\S*[a-z]{3}\S*"), F.lit(0))
+    bad = F.filter(tokens, lambda w: ~F.contains(w, F.lit("@")) & ~w.rlike(r"^\p{Lu}") & w.rlike("[a-z][0-9A-Z:.,;][a-z]"))
+    return F.struct(F.size(tokens).alias("words"), F.size(bad).alias("corrupted"))

@@ -125,3 +125,30 @@ def same_figure(a: Box, b: Box) -> Column:
         return (least > 0) & (F.least(a[hi], b[hi]) - F.greatest(a[lo], b[lo]) >= SPAN_OVERLAP * least)
 
     return near & (shared(0, 2) | shared(1, 3))
+
+
+# What tells a drawn figure from a text box.
+LEAST_SIDE, MOST_OF_PAGE, LEAST_PATHS, MOST_CHARS = 60, 0.85, 15, 2.0
+
+
+def vector_figures(clusters: DataFrame, drawings: DataFrame, words: DataFrame, pages: DataFrame, taken: DataFrame) -> DataFrame:
+    """The clusters of paths (doc_id, page, cluster_no, corners) that are figures: adds paths and chars.
+
+    Large enough but not the page itself, clear of the raster figures in ``taken``, drawn with
+    many paths, and with at most two characters per 1000 square points. ``pages`` has width and
+    height; characters are those of overlapping words with one separator between two.
+    """
+    key = ["doc_id", "page", "cluster_no"]
+    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+    sized = clusters.where((F.col("x1") - F.col("x0") >= LEAST_SIDE) & (F.col("y1") - F.col("y0") >= LEAST_SIDE)).join(pages.select("doc_id", "page", (F.col("width") * F.col("height")).alias("page_area")), ["doc_id", "page"])
+    sized = sized.where((F.col("page_area") <= 0) | (area < MOST_OF_PAGE * F.col("page_area"))).drop("page_area")
+    free = _without(sized, taken, overlaps)
+    inner = free.select(*key, *[F.col(c).alias(f"c_{c}") for c in CORNERS])
+
+    def within(rows: DataFrame) -> DataFrame:
+        return inner.join(rows, ["doc_id", "page"]).where(overlaps(tuple(F.col(c) for c in CORNERS), tuple(F.col(f"c_{c}") for c in CORNERS)))
+
+    paths = within(drawings.select("doc_id", "page", *CORNERS)).groupBy(*key).agg(F.count("*").alias("paths")).where(F.col("paths") >= LEAST_PATHS)
+    chars = within(words.select("doc_id", "page", "text", *CORNERS)).groupBy(*key).agg((F.sum(F.length("text")) + F.count("*") - 1).alias("chars"))
+    found = free.join(paths, key).join(chars, key, "left").na.fill(0, ["chars"])
+    return found.where(F.col("chars") / (area / 1000.0) <= MOST_CHARS)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions import render
-from leafmill.operators import guards, merge, ocr, report, tables, visual
+from leafmill.operators import geometry, guards, merge, ocr, report, tables, visual
 from leafmill.plans.catalog import query
 from leafmill.plans.layout_queries import SQL_BOXES, _boxes  # noqa: F401
 from leafmill.runtime import ship_package, table
@@ -384,3 +384,52 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def notes_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
     notes = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), F.concat(F.lit("note "), F.col("o_orderkey") % 5).alias("note"), F.col("o_orderkey").alias("ord"))
     return report.notes_text(notes)
+
+
+# --- sideways cells, drawn figures -----------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {SQL_BOXES}, c AS (SELECT doc_id, box_no, substr('ABCDEFGHIJ', CAST(box_no AS INTEGER), 1) AS ch, box_no % 2 * 10 + CASE WHEN box_no % 3 = 0 THEN 0.5 ELSE 0 END AS x, y0 AS top, y0 + 3 AS bottom,
+      CASE WHEN (doc_id + box_no) % 4 = 0 THEN 0 ELSE doc_id % 2 * 2 - 1 END AS b FROM b WHERE y0 + 1.5 <= 250),
+    k AS (SELECT doc_id, 2 * count_if(b > 0) >= count(*) AS up FROM c GROUP BY doc_id HAVING 2 * count_if(b <> 0) > count(*)),
+    o AS (SELECT c.*, up, (CASE WHEN up THEN 1 ELSE -1 END) * round_even(x, 0) AS line, (CASE WHEN up THEN -1 ELSE 1 END) * top AS along FROM c JOIN k USING (doc_id)),
+    g AS (SELECT *, CASE WHEN up THEN lag(top) OVER w - bottom ELSE top - lag(bottom) OVER w END AS gap FROM o WINDOW w AS (PARTITION BY doc_id, line ORDER BY along, box_no)),
+    l AS (SELECT doc_id, line, trim(string_agg(CASE WHEN gap > 1.5 THEN concat(' ', ch) ELSE ch END, '' ORDER BY along, box_no)) AS t FROM g GROUP BY doc_id, line),
+    r AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY line) AS t FROM l GROUP BY doc_id)
+    SELECT doc_id, coalesce(t, 'plain') AS text FROM (SELECT DISTINCT doc_id FROM b) LEFT JOIN r USING (doc_id)"""
+)
+def vertical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One cell an order, one character a line of it; most of them sideways."""
+    boxes = _boxes(spark, sf_dir)
+    x0 = F.col("box_no") % 2 * 10 + F.when(F.col("box_no") % 3 == 0, 0.5).otherwise(0.0)
+    level = (F.col("doc_id") + F.col("box_no")) % 4 == 0
+    chars = boxes.select(
+        "doc_id", "page", F.col("box_no").alias("char_no"), F.substring(F.lit("ABCDEFGHIJ"), F.col("box_no"), 1).alias("text"), x0.alias("x0"), F.col("y0").alias("top"), (x0 + 2).alias("x1"), (F.col("y0") + 3).alias("bottom"),
+        F.when(level, 1.0).otherwise(0.0).alias("a"), F.when(level, 0.0).otherwise((F.col("doc_id") % 2 * 2 - 1).cast("double")).alias("b"),
+    )
+    corners = [F.lit(v).alias(n) for n, v in (("x0", 0.0), ("top", 0.0), ("x1", 100.0), ("bottom", 250.0))]
+    cells = boxes.select("doc_id", "page").distinct().select("doc_id", "page", F.lit(0).alias("table_no"), F.lit(0).alias("row"), F.lit(0).alias("col"), *corners, F.lit("plain").alias("text"))
+    return tables.vertical_cells(cells, chars).select("doc_id", "text")
+
+
+SQL_HIT = "a.doc = r.doc AND a.x0 < r.x1 AND r.x0 < a.x1 AND a.y0 < r.y1 AND r.y0 < a.y1"
+
+
+@query(
+    f"""WITH {SQL_BOXES}, s AS (SELECT doc_id // 40 AS doc, doc_id * 10 + box_no AS no, box_no, x0, y0, x1, CASE WHEN box_no % 4 = 0 THEN y0 + 40 + 3 * (doc_id % 20) ELSE y1 END AS y1 FROM b),
+    c AS (SELECT * FROM s a WHERE box_no % 4 = 0 AND x1 - x0 >= 60 AND y1 - y0 >= 60 AND (x1 - x0) * (y1 - y0) < 0.85 * 300 * 160 AND NOT EXISTS (SELECT 1 FROM s r WHERE r.box_no = 7 AND r.no % 11 = 0 AND {SQL_HIT})),
+    p AS (SELECT a.doc, a.no, count(*) AS paths FROM c a JOIN s r ON {SQL_HIT} WHERE r.box_no IN (1, 2, 3, 5) GROUP BY a.doc, a.no),
+    t AS (SELECT a.doc, a.no, sum(length(concat('w', r.box_no))) + count(*) - 1 AS chars FROM c a JOIN s r ON {SQL_HIT} WHERE r.box_no = 6 GROUP BY a.doc, a.no)
+    SELECT c.doc AS doc_id, c.no AS cluster_no, CAST(paths AS BIGINT) AS paths, CAST(coalesce(chars, 0) AS BIGINT) AS chars FROM c JOIN p USING (doc, no) LEFT JOIN t USING (doc, no)
+    WHERE paths >= 15 AND coalesce(chars, 0) / ((x1 - x0) * (y1 - y0) / 1000.0) <= 2.0"""
+)
+def vector_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty orders a page: every fourth box a cluster, the others paths, words and raster figures."""
+    boxes = _boxes(spark, sf_dir)
+    tall = F.when(F.col("box_no") % 4 == 0, F.col("y0") + 40 + 3 * (F.col("doc_id") % 20)).otherwise(F.col("y1"))
+    shapes = boxes.select(F.floor(F.col("doc_id") / 40).alias("doc_id"), "page", (F.col("doc_id") * 10 + F.col("box_no")).alias("cluster_no"), "box_no", F.concat(F.lit("w"), "box_no").alias("text"), "x0", "y0", "x1", tall.alias("y1"))
+    sizes = shapes.select("doc_id", "page").distinct().select("doc_id", "page", F.lit(300.0).alias("width"), F.lit(160.0).alias("height"))
+    clusters = shapes.where("box_no % 4 = 0").drop("box_no", "text")
+    found = geometry.vector_figures(clusters, shapes.where("box_no in (1, 2, 3, 5)"), shapes.where("box_no = 6"), sizes, shapes.where("box_no = 7 and cluster_no % 11 = 0"))
+    return found.select("doc_id", "cluster_no", "paths", "chars")

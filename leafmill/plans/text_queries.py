@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions import markup, text
-from leafmill.operators import metrics
+from leafmill.operators import diacritics, metrics, tables
 from leafmill.plans.catalog import query
 from leafmill.runtime import table
 
@@ -323,3 +323,47 @@ def formula_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     sign = F.when(F.col("p_partkey") % 2 == 0, F.lit("<")).otherwise(F.lit("["))
     candidates = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("candidate_id"), F.concat(F.lit("a \\, {F} _p ="), sign, "p_partkey", F.lit("> b")).alias("latex"))
     return metrics.formula_score(expected, candidates)
+
+
+# --- letters set apart, damage rates ---------------------------------------------------------------------------------
+
+SQL_CANONICAL = "translate(lower({0}), 'şţŞŢ', 'șțȘȚ')"
+SQL_BETWEEN = "'([\\p{L}\\p{N}_]+) ([ăâîșțşţĂÂÎȘȚŞŢ]) ([\\p{L}\\p{N}_]+)'"
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, replace(text, 'a ', ' ă ') AS text, CASE doc_id % 4 WHEN 0 THEN replace(text, 'a ', 'ă ') WHEN 1 THEN replace(text, 'a ', 'ă') WHEN 2 THEN replace(text, 'a ', ' ă') ELSE text END AS native FROM documents),
+    v AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all({SQL_CANONICAL.format('native')}, '[\\p{{L}}\\p{{N}}_]+')) AS word FROM t),
+    p AS (SELECT doc_id, text, regexp_split_to_array(text, {SQL_BETWEEN}) AS gaps, regexp_extract_all(text, {SQL_BETWEEN}, 1) AS l, regexp_extract_all(text, {SQL_BETWEEN}, 2) AS m, regexp_extract_all(text, {SQL_BETWEEN}, 3) AS r FROM t),
+    e AS (SELECT doc_id, generate_subscripts(gaps, 1) AS i, unnest(gaps) AS gap, l, m, r FROM p),
+    x AS (SELECT doc_id, i, gap, l[i] AS l, m[i] AS m, r[i] AS r FROM e),
+    d AS (SELECT x.doc_id, i, concat(gap, CASE WHEN m IS NULL THEN '' WHEN a.word IS NOT NULL THEN concat(l, m, r) WHEN b.word IS NULL AND c.word IS NOT NULL THEN concat(l, ' ', m, r) ELSE concat(l, m, ' ', r) END) AS part
+      FROM x LEFT JOIN v a ON a.doc_id = x.doc_id AND a.word = {SQL_CANONICAL.format('concat(l, m, r)')} LEFT JOIN v b ON b.doc_id = x.doc_id AND b.word = {SQL_CANONICAL.format('concat(l, m)')}
+      LEFT JOIN v c ON c.doc_id = x.doc_id AND c.word = {SQL_CANONICAL.format('concat(m, r)')})
+    SELECT doc_id, 1 AS text_no, regexp_replace(string_agg(part, '' ORDER BY i), '([\\p{{L}}\\p{{N}}_]+) ([ăâîșțşţĂÂÎȘȚŞŢ])([^\\p{{L}}\\p{{N}}_]|$)', '\\1\\2\\3', 'g') AS text FROM d GROUP BY doc_id"""
+)
+def split_diacritics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with every final a set apart, against native texts that tell where it belongs."""
+    docs, t, kind = table(spark, sf_dir, "documents"), F.col("text"), F.col("doc_id") % 4
+    put = lambda new: F.replace(t, F.lit("a "), F.lit(new))
+    native = F.when(kind == 0, put("ă ")).when(kind == 1, put("ă")).when(kind == 2, put(" ă")).otherwise(t)
+    return diacritics.rejoin(docs.select("doc_id", F.lit(1).alias("text_no"), put(" ă ").alias("text")), docs.select("doc_id", native.alias("text")))
+
+
+@query(
+    """WITH w AS (SELECT source, regexp_extract_all(replace(text, 'as', 'a6s'), '\\S*[a-z]{3}\\S*') AS w FROM documents)
+    SELECT source AS doc_id, CAST(sum(len(w)) AS BIGINT) AS words, CAST(sum(len(list_filter(w, lambda x: NOT contains(x, '@') AND NOT regexp_matches(x, '^\\p{Lu}') AND regexp_matches(x, '[a-z][0-9A-Z:.,;][a-z]')))) AS BIGINT) AS corrupted
+    FROM w GROUP BY source"""
+)
+def corrupted_word_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rate = text.intruded_words(F.replace("text", F.lit("as"), F.lit("a6s")))
+    return table(spark, sf_dir, "documents").select(F.col("source").alias("doc_id"), rate.alias("r")).groupBy("doc_id").agg(F.sum("r.words").alias("words"), F.sum("r.corrupted").alias("corrupted"))
+
+
+@query(
+    """WITH c AS (SELECT doc_id, unnest(string_split(concat(text, chr(10), doc_id % 120, chr(10), ' x ', chr(10), chr(10)), chr(10))) AS line FROM documents)
+    SELECT doc_id, CAST(count(*) AS INTEGER) AS lines, CAST(count(*) FILTER (WHERE length(trim(line)) <= 2) AS INTEGER) AS fragments FROM c WHERE trim(line) <> '' GROUP BY doc_id"""
+)
+def table_debris(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = F.array(F.array("text", F.lit(None).cast("string")), F.array(F.concat((F.col("doc_id") % 120).cast("string"), F.lit("\n x \n\n"))))
+    return table(spark, sf_dir, "documents").select("doc_id", tables.debris(rows).alias("d")).select("doc_id", "d.*")

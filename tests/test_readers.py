@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.functions import markup, render, text
-from leafmill.operators import reading_order
+from leafmill.operators import diacritics, reading_order
 from leafmill.sources import documents, parsers, sinks
 from leafmill.streaming import ingest
 
@@ -99,6 +99,19 @@ def test_normalize(spark, raw, clean):
     assert one(spark, text.normalize, raw) == clean
 
 
+def test_split_diacritics(spark):
+    cases = [("p ă mânt", "pământ"), ("rezisten ţ a", "rezistenţa"), ("fizic ă a fost", "fizică a fost"), ("Terzaghi ș i", "Terzaghi și"), ("cauz ă cu", "cauză cu"), ("de ap ă .", "de apă ."), ("", ""), (None, None), ("fizic ă", "fizică")]
+    texts = spark.createDataFrame([(1, n, broken) for n, (broken, _) in enumerate(cases)], "doc_id int, text_no int, text string")
+    native = spark.createDataFrame([(1, "pământ rezistența fizică"), (1, "și apă"), (2, "cauzăcu"), (None, None)], "doc_id int, text string")
+    assert {r.text_no: r.text for r in diacritics.rejoin(texts, native).collect()} == {n: whole for n, (_, whole) in enumerate(cases)}
+    assert diacritics.rejoin(texts.limit(0), native).count() == 0 and diacritics.rejoin(texts, native.limit(0)).where("text_no = 3").first().text == "Terzaghiș i"
+
+
+def test_damage_rates(spark):
+    got = one(spark, text.intruded_words, "pas6sengers cKonditions Passage a.b@c.de exception(s): or")
+    assert (got.words, got.corrupted) == (4, 2)
+
+
 def test_markup(spark):
     assert one(spark, markup.formula_balanced, r"\left( x \right)") and not one(spark, markup.formula_balanced, r"\left( x") and one(spark, markup.formula_balanced, r"a \leftarrow b \{")
     assert not one(spark, markup.formula_balanced, "a } b {")
