@@ -34,7 +34,8 @@ def run_summary(files: DataFrame) -> DataFrame:
 
 def summary_lines(files: DataFrame) -> DataFrame:
     """(ord, line): one line per succeeded file, then one per failed file."""
-    good = F.format_string("[OK]   %s (%s): %d text, %d table", "filename", "source_type", "text_blocks", "table_blocks")
+    units, images = (F.col(c) if c in files.columns else F.lit(0) for c in ("units", "image_count"))
+    good = F.format_string("[OK]   %s (%s): %d unit(s), %d text, %d table, %d image(s)", "filename", "source_type", units, "text_blocks", "table_blocks", images)
     bad = F.format_string("[FAILED] %s: %s", F.col("filename"), F.coalesce("error", F.lit("unknown error")))
     return files.select((~F.col("ok")).cast("int").alias("part"), "filename", F.when(F.col("ok"), good).otherwise(bad).alias("line"))
 

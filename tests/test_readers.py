@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from leafmill import cli
 from leafmill.functions import markup, render, text
 from leafmill.operators import diacritics, reading_order
 from leafmill.sources import documents, parsers, sinks
@@ -138,3 +139,28 @@ def test_sinks_and_stream(spark, folder, tmp_path_factory):
     stream = ingest.extract_to(spark, str(folder), str(out / "blocks"), str(out / "state"))
     stream.awaitTermination(120)
     assert spark.read.parquet(str(out / "blocks")).where("path like '%a.txt'").first().content == "procedura noua"
+
+
+def test_command_line(spark, folder, tmp_path_factory):
+    out = tmp_path_factory.mktemp("run")
+    (out / "markdown").mkdir()
+    (out / "markdown" / "a.notes.md").write_text("stale")
+    options = ["--input", str(folder), "--output", str(out), "--log-file", str(out / "log")]
+    assert cli.main(options, spark) == 1
+    written = {p.name for p in (out / "json").iterdir() if p.suffix == ".json"}
+    assert written == {"a.json", "b.json", "c.json", "d.json", "e.json", "f.json", "g.json", "h.json", "i.json", "j.json"}
+    model = json.loads((out / "json" / "i.json").read_text())
+    assert model["document"] == {"filename": "i.xlsx", "source_type": "xlsx", "pages": 1, "author": "", "title": "", "has_images": False, "image_count": 0, "schema_version": "2.0"}
+    assert model["pages"] == [{"unit": 1, "unit_type": "sheet", "has_images": False, "image_count": 0, "title": "Date", "content": [{"type": "table", "content": [["cap", "", "1500.5"], ["2026-01-15 00:00:00", "890", ""]]}]}]
+    assert (out / "markdown" / "h.md").read_text() == "# h.docx\n\n## Section 1\n\n#### Titlu\n\n- unu\n- doi\n\ntext\n\n### Table\n\n| a |  |\n| --- | --- |\n\ndup\u0103\n"
+    assert not (out / "markdown" / "a.notes.md").exists() and (out / "markdown" / "j.notes.md").read_text().startswith("# Extraction Notes\n\n- ")
+    assert "14 file(s): 10 succeeded, 4 failed" in (out / "log").read_text()
+    empty = tmp_path_factory.mktemp("none")
+    assert cli.main(["--input", str(empty), *options[2:]], spark) == 0 and cli.main(["--input", str(empty / "no"), *options[2:]], spark) == 2
+
+
+def test_block_markdown(spark):
+    rows = [("text", "x", "ocr", 0.815, None), ("text", "x", "vlm", None, None), ("header", "h", None, None, None), ("image", None, None, None, "i.png"), ("text", "", None, None, None)]
+    frame = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n int, type string, content string, source string, confidence double, image_path string")
+    drawn = sinks.block_markdown(frame.withColumns({"rows": F.lit(None).cast("array<array<string>>"), "level": F.lit(None).cast("int")})).orderBy("n")
+    assert [r.md for r in drawn.collect()] == ["> Text recovered by OCR (confidence 82%)\n\nx", "> Read from the page image by the visual model\n\nx", None, "![](i.png)", None]
