@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions.markup import formula_balanced, unsupported_numbers
 from leafmill.functions.text import lines, strip
 
 
@@ -84,3 +85,19 @@ def formula_score(expected: DataFrame, candidates: DataFrame) -> DataFrame:
     wrong = have.join(used, ["page", "candidate_id"], "left_anti").groupBy("page").agg(F.count("*").alias("wrong"))
     total = want.groupBy("page").agg(F.count("*").alias("expected"))
     return total.join(hit, "page", "left").join(wrong, "page", "left").na.fill(0, ["recovered", "wrong"])
+
+
+def numeric_gate(expected: DataFrame, candidates: DataFrame, pages: DataFrame) -> DataFrame:
+    """What dropping formulas with unsupported numbers would catch and cost, per reason of ``pages`` (page, reason, text).
+
+    wrong: balanced candidates that hold no expected formula, caught: those the gate drops;
+    recovered: expected formulas that a candidate holds, cost: those whose holders it drops all.
+    """
+    want = expected.select("page", "formula_id", normalize_formula(F.col("latex")).alias("e"))
+    read = candidates.join(pages, "page")
+    have = read.select("page", "reason", "candidate_id", normalize_formula(F.col("latex")).alias("c"), formula_balanced(F.col("latex")).alias("balanced"), (F.size(unsupported_numbers(F.col("latex"), F.col("text"))) > 0).alias("flagged"))
+    pairs = want.join(have, "page").where(F.contains("c", "e"))
+    stray = have.where("balanced").join(pairs.select("page", "candidate_id").distinct(), ["page", "candidate_id"], "left_anti")
+    missed = stray.groupBy("reason").agg(F.count("*").alias("wrong"), F.count_if("flagged").alias("caught"))
+    held = pairs.groupBy("reason", "page", "formula_id").agg(F.every("flagged").alias("lost")).groupBy("reason").agg(F.count("*").alias("recovered"), F.count_if("lost").alias("cost"))
+    return pages.select("reason").distinct().join(missed, "reason", "left").join(held, "reason", "left").na.fill(0)

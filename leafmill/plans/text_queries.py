@@ -325,6 +325,21 @@ def formula_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.formula_score(expected, candidates)
 
 
+@query(
+    """WITH p AS (SELECT p_size, concat(min(p_partkey), max(p_partkey)) AS known FROM part GROUP BY p_size),
+    f AS (SELECT p_size % 2 AS reason, p_partkey % 2 = 0 AS held, length(CAST(p_partkey AS VARCHAR)) >= 2 AND NOT contains(known, CAST(p_partkey AS VARCHAR)) AS flagged FROM part JOIN p USING (p_size))
+    SELECT CAST(reason AS INTEGER) AS reason, CAST(count(*) FILTER (NOT held) AS BIGINT) AS wrong, CAST(count(*) FILTER (NOT held AND flagged) AS BIGINT) AS caught,
+      CAST(count(*) FILTER (held) AS BIGINT) AS recovered, CAST(count(*) FILTER (held AND flagged) AS BIGINT) AS cost FROM f GROUP BY reason"""
+)
+def numeric_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    pages = part.groupBy(F.col("p_size").alias("page")).agg((F.first("p_size") % 2).cast("int").alias("reason"), F.concat(F.min("p_partkey").cast("string"), F.lit(" "), F.max("p_partkey").cast("string")).alias("text"))
+    expected = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("formula_id"), F.concat(F.lit("E = <"), "p_partkey", F.lit(">")).alias("latex"))
+    sign = F.when(F.col("p_partkey") % 2 == 0, F.lit("<")).otherwise(F.lit("["))
+    candidates = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("candidate_id"), F.concat(F.lit("{a} E ="), sign, "p_partkey", F.lit("> b")).alias("latex"))
+    return metrics.numeric_gate(expected, candidates, pages)
+
+
 # --- letters set apart, damage rates ---------------------------------------------------------------------------------
 
 SQL_CANONICAL = "translate(lower({0}), 'şţŞŢ', 'șțȘȚ')"
