@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import packing, quality, secrets, simhash
+from leafmill.llm import packing, quality, secrets, shingle_dedup
 from leafmill.llm.queries import vocabulary
 from leafmill.runtime import table
 
@@ -17,8 +17,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies: 0.8 or more of five-word shingles alike."""
+    return shingle_dedup.keep_one(docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -293,9 +293,12 @@ def keep_one(docs: DataFrame, config: SimHashConfig | None = None) -> DataFrame:
     Of rows that repeat this doc_id one stays. Rows without a doc_id stay, once per
     text, only where no row of their component has one.
     """
-    config = config or SimHashConfig()
+    return stand_ins(docs, near_duplicates(docs, config))
+
+
+def stand_ins(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents that ``keep_one`` keeps, for rows (doc_id, component_id)."""
     columns = docs.columns
-    rows = near_duplicates(docs, config)
     chosen = rows.where("doc_id is null and component_id is null or doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     kept = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(chosen["kept_id"]), "left_semi")
     named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])

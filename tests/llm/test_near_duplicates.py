@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
-from leafmill.llm import components, embedding_dedup, simhash, topk
+import corpus_pipeline
+from leafmill.llm import components, embedding_dedup, shingle_dedup, simhash, topk
 from tests.llm.common import awkward, docs, prose
 
 
@@ -68,6 +69,37 @@ def test_keep_one(spark):
     assert [r.text for r in kept.where("doc_id is null").collect()] == ["no id at all"]
 
 
+def edited(seed, words, every):
+    """Prose of which every so many-th word is exchanged."""
+    return " ".join(f"new{k}" if k % every == every - 1 else w for k, w in enumerate(prose(seed, words).split()))
+
+
+def plain_shingles(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_pipeline_keeps_one_of_near_copies(spark):
+    rows = awkward() + near_copies()
+    for k, every in enumerate((30, 50, 70, 100, 200)):
+        rows += [(400 + 10 * k, prose(90 + k, 600)), (401 + 10 * k, edited(90 + k, 600, every))]
+    own = [(d, plain_shingles(t or "")) for d, t, *_ in rows]
+    alike = [(i, j) for i in range(len(own)) for j in range(i) if len(own[i][1] & own[j][1]) >= 0.8 * len(own[i][1] | own[j][1])]
+    root = union(range(len(own)), alike)
+    least = {}
+    for i, (d, _) in enumerate(own):
+        if d is not None:
+            least[root[i]] = min(d, least.get(root[i], d))
+    frame = docs(spark, rows)
+    got = sorted(map(tuple, shingle_dedup.near_duplicates(frame).collect()), key=str)
+    assert got == sorted(((d, least.get(root[i])) for i, (d, _) in enumerate(own)), key=str)
+    kept = corpus_pipeline.near_duplicate_stage(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(least.values()))
+    assert {440, 430, 420} <= set(least.values()) and not {441, 431, 421} & set(least.values())
+    assert shingle_dedup.keep_one(docs(spark, [])).count() == 0
+
+
 @pytest.mark.parametrize("leaf,shard", [(8, 60), (48, 400)])
 def test_vantage_trees_lose_no_link(spark, leaf, shard):
     rng = np.random.default_rng(leaf)
