@@ -4,7 +4,8 @@ Both JSON tokenizers cut a text before white space: no token spans the place
 between a visible character and the white space after it. Encoding such chunks
 once per worker and remembering them gives the library's ids for whole texts at a
 fraction of its cost. A text in which the cut could matter (special strings, white
-space outside ASCII) goes to the library whole.
+space outside ASCII) goes to the library whole, and its breaks come from the library's
+offsets.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from leafmill.llm.chunks import ChunkMemo
 
 _ODD_SPACE = re.compile(r"[^\S \n\t\r\x0b\x0c]")
 _CHUNK = re.compile(r"[ \n\t\r\x0b\x0c]*[^ \n\t\r\x0b\x0c]+|[ \n\t\r\x0b\x0c]+\Z")
+#: A place after a sentence, or after the last visible character of a line.
+_BREAK = re.compile(r"(?<=[.!?])(?=\s|\Z)|(?<=\S)(?=[^\S\n]*\n)")
 _TAIL = ".,!?;:$%&*#|-"
 #: Marks a chunk that is encoded as it stands, without the space that other chunks stand for.
 BARE = "\r"
@@ -114,6 +117,20 @@ class JsonTokenizer:
         keys = _CHUNK.findall(text)
         return [c[1:] if c[0] == " " and len(c) > 1 and not c[1].isspace() else BARE + c for c in keys]
 
+    def _whole(self, text: str, breaks: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """The library's ids of a text and the breaks at which none of its tokens is cut."""
+        found = self.library.encode(text, add_special_tokens=False)
+        ids = np.asarray(found.ids, np.uint32)
+        if not breaks:
+            return ids, None
+        if not len(ids):
+            return ids, np.zeros(0, np.int64)
+        offsets = np.asarray(found.offsets, np.int64)
+        places = np.fromiter((m.start() for m in _BREAK.finditer(text)), np.int64)
+        before = np.searchsorted(np.maximum.accumulate(offsets[:, 0]), places)  # tokens that begin before the place
+        reach = np.concatenate([[0], np.maximum.accumulate(offsets[:, 1])])
+        return ids, np.unique(before[(before > 0) & (reach[before] <= places)])
+
     def encode(self, texts: list[str], breaks: bool = False) -> list[tuple[np.ndarray, np.ndarray | None]]:
         """For each text its ids and, with ``breaks``, the id positions after which a sentence or line ends."""
         keys, whole = [], {}
@@ -121,7 +138,7 @@ class JsonTokenizer:
         for i, text in enumerate(texts):
             own = self.chunks(text)
             if own is None:
-                whole[i] = np.asarray(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+                whole[i] = self._whole(text, breaks)
             else:
                 keys += own
                 lengths[i] = len(own)
@@ -133,7 +150,7 @@ class JsonTokenizer:
         out = []
         for i in range(len(texts)):
             if i in whole:
-                out.append((whole[i], np.zeros(0, np.int64) if breaks else None))
+                out.append(whole[i])
                 continue
             a, b = chunk_at[i], chunk_at[i + 1]
             cuts = None

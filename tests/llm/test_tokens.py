@@ -10,7 +10,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from leafmill.llm import packing, pieces, token_counts, token_files
-from leafmill.llm.tokenizers_fast import JsonTokenizer
+from leafmill.llm.tokenizers_fast import JsonTokenizer, json_tokenizer
 from tests.llm.common import awkward, docs, prose
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -175,3 +175,19 @@ def test_packing(spark, at_once):
     padded = sum(s[0].padded_tokens for s in sequences.values())
     assert padded < 1.05 * sum(map(len, whole)) + 2 * 2048
     assert packing.pack(docs(spark, []), BYTES).count() == 0
+
+
+def test_texts_for_the_library_keep_their_breaks():
+    coder, library = json_tokenizer(BYTES), Tokenizer.from_file(BYTES)
+    plain = "First one. Second é 漢字 one!\nA line\n\n  another?  The last  "
+    (_, want), *_ = coder.encode([plain], breaks=True)
+    for text in (f"{plain}<|x", f"{plain}a\u00a0b", plain.replace("one. ", "one.\u00a0"), f"<|endoftext|>{plain}"):
+        assert coder.chunks(text) is None
+        ((ids, cuts),) = coder.encode([text], breaks=True)
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        ended = [library.decode(ids[:c].tolist(), skip_special_tokens=False) for c in cuts.tolist()]
+        assert [e.split()[-1] for e in ended][: len(want)] == ["one.", "one!", "line", "another?"] and all(text.startswith(e) for e in ended)
+    ((_, cuts),) = coder.encode(["\u00a0" + "Some words here. " * 900 + "\u00a0."], breaks=True)
+    places, _ = packing.atoms_of(int(cuts[-1]) + 1, cuts, packing.PackingCosts())
+    assert len(places) >= 900 and max(np.diff(places)) < 20
+    assert [c.tolist() for _, c in coder.encode(["\u00a0\u00a0", "<|", "", "no end <|"], breaks=True)] == [[], [], [], []]
