@@ -2,9 +2,9 @@
 
 Base spans are the leftmost matches of three patterns in each whole text. Their values
 are hashed and counted over the corpus by distinct owners and repositories: a value
-that one owner alone holds and that looks random is a live-looking credential, one
-that several owners hold is a copied example. Either verdict adds a span over the
-value; base spans stay.
+that many owners hold in documents of their own is a copied example; one that looks
+random is a live-looking credential until then. Near copies of one document count as
+one document. Either verdict adds a span over the value; base spans stay.
 
 Positions come from splitting a text by its pattern: the gaps and the matches,
 measured in code points one after another, say where each match starts. Texts are
@@ -32,12 +32,13 @@ SPAN = "array<struct<start:int,ord:int,end:int,from:int,value:string>>"
 
 @dataclass(frozen=True)
 class OwnershipConfig:
-    #: A live-looking value belongs to so many owners at most, an example to so many at least.
-    live_owners: int = 1
+    #: An example belongs to so many owners, repositories and documents at least.
     example_owners: int = 3
     #: Live-looking values have so many characters, a digit and so many distinct characters.
     live_length: int = 16
     live_distinct: int = 8
+    #: Documents that agree on over half of so many least hashes of five-word shingles count as one.
+    hashes: int = 9
 
 
 def _spans(text: str, pattern: str, kind: int, value_group: int, least_value: int) -> str:
@@ -72,14 +73,29 @@ def _said(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["ord"]], s["start"], s["end"])), ",")
 
 
+def _with_sketch(rows: DataFrame, text: str, config: OwnershipConfig) -> DataFrame:
+    """``rows`` with the least shingle hashes of the column ``text`` where the row has base spans; the text goes."""
+    words = F.when(F.size("base") > 0, F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""))
+    shingle = lambda i: F.xxhash64(F.concat_ws(" ", F.slice("words", i + 1, 5)))
+    hashed = F.when(F.size("words") <= 5, F.array(F.xxhash64(F.concat_ws(" ", "words")))).otherwise(F.transform(F.sequence(F.lit(0), F.size("words") - 5), shingle))
+    least = [F.array_min(F.transform("hashed", lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(config.hashes)]
+    # Columns that are used more than once keep their own step, so nothing is computed twice.
+    kept = [c for c in rows.columns if c != text]
+    return rows.select(*kept, words.alias("words")).select(*kept, hashed.alias("hashed")).select(*kept, F.array(*least).alias("sketch"))
+
+
 def verdicts(candidates: DataFrame, config: OwnershipConfig) -> DataFrame:
-    """(digest, verdict) of the values in ``candidates`` (digest, owner, repository, random)."""
-    # Distinct triples first: a value that a third of all rows copy is combined before the shuffle.
+    """(digest, verdict) of the values in ``candidates`` (digest, owner, repository, sketch, random)."""
+    # Distinct rows first: a value that a third of all rows copy is combined before the shuffle.
     holders = candidates.select("digest", "random", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository")).distinct()
     owners = holders.groupBy("digest", "random", "owner").agg(F.count("*").alias("repositories"))
     counted = owners.groupBy("digest").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.max("random").alias("random"))
-    live = (F.col("owners") <= config.live_owners) & F.col("random")
-    return counted.select("digest", "owners", "repositories", F.when(live, 3).when(F.col("owners") >= config.example_owners, 4).alias("verdict")).where("verdict is not null")
+    # Each hash tells documents apart, near copies mostly not; the median over the hashes is the number of documents.
+    apart = candidates.select("digest", F.posexplode("sketch").alias("k", "least")).distinct().groupBy("digest", "k").agg(F.count("*").alias("n"))
+    documents = apart.groupBy("digest").agg(F.sort_array(F.collect_list("n"))[config.hashes // 2].alias("documents"))
+    counted = counted.join(documents, "digest")
+    example = F.least("owners", "repositories", "documents") >= config.example_owners
+    return counted.select("digest", "owners", "repositories", F.when(example, 4).when(F.col("random"), 3).alias("verdict")).where("verdict is not null")
 
 
 def _looks_random(value: Column, config: OwnershipConfig) -> Column:
@@ -87,9 +103,9 @@ def _looks_random(value: Column, config: OwnershipConfig) -> Column:
 
 
 def added_spans(scanned: DataFrame, config: OwnershipConfig) -> DataFrame:
-    """(row, added) for rows (row, owner, repository, base) that hold at least one value with a verdict."""
-    each = scanned.select("row", "owner", "repository", F.explode("base").alias("s"))
-    each = each.select("row", "owner", "repository", F.sha2("s.value", 256).alias("digest"), _looks_random(F.col("s.value"), config).alias("random"), F.col("s.from").alias("start"), F.col("s.end").alias("end"))
+    """(row, added) for rows (row, owner, repository, sketch, base) that hold at least one value with a verdict."""
+    each = scanned.select("row", "owner", "repository", "sketch", F.explode("base").alias("s"))
+    each = each.select("row", "owner", "repository", "sketch", F.sha2("s.value", 256).alias("digest"), _looks_random(F.col("s.value"), config).alias("random"), F.col("s.from").alias("start"), F.col("s.end").alias("end"))
     judged = each.join(verdicts(each, config).select("digest", "verdict"), "digest")
     span = F.struct(F.col("start"), F.col("verdict").alias("ord"), F.col("end"))
     return judged.groupBy("row").agg(F.array_sort(F.collect_set(span)).alias("added"))
@@ -107,7 +123,7 @@ def scan(docs: DataFrame, owner: Column | None = None, repository: Column | None
     owner = F.col("source").cast("string") if owner is None else owner
     repository = F.concat_ws("/", F.col("source").cast("string"), F.col("lang").cast("string")) if repository is None else repository
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), owner.alias("owner"), repository.alias("repository"), F.coalesce("text", F.lit("")).alias("text"))
-    scanned = cut(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", base_spans().alias("base")))
+    scanned = cut(_with_sketch(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", "text", base_spans().alias("base")), "text", config))
     none = scanned.where("size(base) = 0").select("doc_id", "base", F.expr("cast(array() as array<struct<start:int,ord:int,end:int>>)").alias("added"))
     held = scanned.where("size(base) > 0")
     some = held.join(added_spans(held, config), "row", "left").select("doc_id", "base", "added")
@@ -141,8 +157,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: Column | None = None,
     quoted = [p.replace("\\", "\\\\").replace("'", "\\'") for p in (ASSIGN, ACCESS, HEX)]
     suspect = F.expr("coalesce(" + " or ".join(f"text rlike '{q}'" for q in quoted) + ", false)")
     whole = F.struct(*[docs[c] for c in columns])
-    held = docs.where(suspect).select(F.monotonically_increasing_id().alias("row"), owner.alias("owner"), repository.alias("repository"), whole.alias("doc"), spans.alias("base"))
-    held = cut(held)
+    held = docs.where(suspect).select(F.monotonically_increasing_id().alias("row"), owner.alias("owner"), repository.alias("repository"), whole.alias("doc"), F.col("text").alias("scanned"), spans.alias("base"))
+    held = cut(_with_sketch(held, "scanned", config))
     found = held.join(added_spans(held, config), "row", "left")
     live = F.filter(F.coalesce("added", F.expr("cast(array() as array<struct<start:int,ord:int,end:int>>)")), lambda s: s["ord"] == 3)
     found = found.select("doc", live.alias("live"))

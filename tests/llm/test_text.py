@@ -81,6 +81,18 @@ def test_redaction(spark):
     assert all(n == len(t) for d, (t, n) in texts.items() if d >= 20)
 
 
+def test_values_in_two_sources_or_copies_of_one_document_are_live(spark):
+    two, copied, example = "q7Wm2ZxT9bLk4RvN", "Hs83kfLq02PzXc7v", "Vb61nMq94TyUe0aK"
+    rows = [(40 + i, f"{prose(40 + i, 60)} token={two}", "en", f"src{i}") for i in range(2)]
+    rows += [(50 + i, f"{prose(50, 200)} token={copied} copy {i}", "en", f"src{i}") for i in range(4)]
+    rows += [(60 + i, f"{prose(60 + i, 60)} token={example}", "en", f"src{i}") for i in range(4)]
+    frame = docs(spark, rows)
+    got = {r.doc_id: (r.n_live, r.n_example) for r in secrets.scan(frame).collect()}
+    assert got == {d: (0, 1) if d >= 60 else (1, 0) for d, *_ in rows}
+    texts = "\n".join(r.text for r in secrets.redact(frame).collect())
+    assert two not in texts and copied not in texts and texts.count(example) == 4
+
+
 def labelled(spark):
     rng = random.Random(1)
     rows, labels = [], []
