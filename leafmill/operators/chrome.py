@@ -102,9 +102,9 @@ def repeated_images(images: DataFrame, page_counts: DataFrame) -> DataFrame:
 
 
 def rotated_text_report(rotated: DataFrame) -> DataFrame:
-    """Per document with rotated text: pages, characters, and a sample from its first page."""
+    """Per document with rotated text: its pages, characters, and a sample from its first page, the least text where that page has several."""
     some = rotated.where("text <> ''")
-    return some.groupBy("doc_id").agg(F.count("*").alias("pages"), F.sum(F.length("text")).alias("characters"), F.min_by(F.substring("text", 1, 120), "page").alias("sample"))
+    return some.groupBy("doc_id").agg(F.countDistinct("page").alias("pages"), F.sum(F.length("text")).alias("characters"), F.min_by(F.substring("text", 1, 120), F.struct("page", "text")).alias("sample"))
 
 
 def watermark_signatures(skewed: DataFrame, page_counts: DataFrame) -> DataFrame:
