@@ -3,21 +3,23 @@
 A *chunk* is a stretch of text whose encoding does not depend on its neighbours.
 Each worker keeps a memo from chunk to a short array of integers (token ids or
 feature hashes) and answers whole batches with numpy gathers. The memo only saves
-time: it is emptied when it grows past its limit and then fills again.
+time: when it grows past its limit it keeps the chunks that were met again since the
+last time, or nothing if those alone fill half of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
 
 class ChunkMemo:
-    """chunk -> integers, plus one flag byte per chunk; bounded by entries and by stored characters.
+    """chunk -> integers; bounded by entries and by stored characters.
 
+    ``encode`` gives one list per chunk, or all integers in a row and their number per chunk.
     A worker serves one operator after another, so only the memo in use is kept: using
     another one empties it, together with whatever its ``release`` lets go.
     """
@@ -26,13 +28,12 @@ class ChunkMemo:
 
     def __init__(
         self,
-        encode: Callable[[list[str]], list[list[int]]],
-        flags: Callable[[str], int] | None = None,
+        encode: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]],
         max_entries: int = 1_000_000,
         max_chars: int = 16_000_000,
         release: Callable[[], None] | None = None,
     ):
-        self.encode, self.flags, self.max_entries, self.max_chars, self.release = encode, flags, max_entries, max_chars, release
+        self.encode, self.max_entries, self.max_chars, self.release = encode, max_entries, max_chars, release
         self._reset()
 
     def _reset(self) -> None:
@@ -41,9 +42,34 @@ class ChunkMemo:
         self.values = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.sizes = np.zeros(1 << 14, np.int64)
-        self.marks = np.zeros(1 << 14, np.uint8)
+        self.again = np.zeros(1 << 14, bool)
         self.used = 0
 
+    def _shrink(self) -> None:
+        """Keep what was met more than once since the last time, if that is under half the limits."""
+        hot = np.flatnonzero(self.again[: len(self.index)])
+        old = list(self.index)
+        kept = [old[i] for i in hot.tolist()] if len(hot) <= self.max_entries // 2 else []
+        chars = sum(map(len, kept))
+        if not kept or chars > self.max_chars // 2:
+            self._reset()
+            return
+        values, sizes = self.gather(hot), self.sizes[hot]
+        self._reset()
+        self.index = dict(zip(kept, range(len(kept))))
+        self.chars = chars
+        self._append(values, sizes, 0)
+
+    def _append(self, values: np.ndarray, sizes: np.ndarray, at: int) -> None:
+        n, total = len(sizes), len(values)
+        self.values = self._room(self.values, self.used + total)
+        self.values[self.used : self.used + total] = values
+        for name in ("starts", "sizes", "again"):
+            setattr(self, name, self._room(getattr(self, name), at + n))
+        self.sizes[at : at + n] = sizes
+        self.starts[at : at + n] = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+
     @staticmethod
     def _room(array: np.ndarray, need: int) -> np.ndarray:
         if need <= len(array):
@@ -62,28 +88,24 @@ class ChunkMemo:
                     other.release()
             ChunkMemo.in_use = self
         if len(self.index) > self.max_entries or self.chars > self.max_chars:
-            self._reset()
+            self._shrink()
         found = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
         absent = np.flatnonzero(found < 0)
+        self.again[found[found >= 0] if len(absent) else found] = True
         if len(absent):
-            fresh = list(dict.fromkeys(chunks[i] for i in absent.tolist()))
+            lacking = [chunks[i] for i in absent.tolist()]
+            fresh = list(dict.fromkeys(lacking))
             encoded = self.encode(fresh)
             at, n = len(self.index), len(fresh)
-            sizes = np.fromiter(map(len, encoded), np.int64, n)
-            total = int(sizes.sum())
-            self.values = self._room(self.values, self.used + total)
-            self.values[self.used : self.used + total] = np.fromiter((x for row in encoded for x in row), np.uint32, total)
-            for name in ("starts", "sizes", "marks"):
-                setattr(self, name, self._room(getattr(self, name), at + n))
-            self.sizes[at : at + n] = sizes
-            self.starts[at : at + n] = self.used + np.cumsum(sizes) - sizes
-            if self.flags:
-                self.marks[at : at + n] = np.fromiter(map(self.flags, fresh), np.uint8, n)
-            self.used += total
+            if isinstance(encoded, tuple):
+                values, sizes = encoded
+            else:
+                sizes = np.fromiter(map(len, encoded), np.int64, n)
+                values = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
+            self._append(values, sizes, at)
             self.chars += sum(map(len, fresh))
             self.index.update(zip(fresh, range(at, at + n)))
-            index = self.index
-            found[absent] = np.fromiter((index[chunks[i]] for i in absent.tolist()), np.int64, len(absent))
+            found[absent] = np.fromiter(map(self.index.__getitem__, lacking), np.int64, len(lacking))
         return found
 
     def gather(self, rows: np.ndarray) -> np.ndarray:

@@ -156,7 +156,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         coder = json_tokenizer(tokenizer)
         uri = f"{folder}/shard-{task.partitionId():06d}-{uuid.uuid4().hex}.lmt"
         writer = None
-        for batch, texts in grouped(batches, "text"):
+        for batch, texts in grouped(batches, "text", 6_000_000):
             names = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
             for doc_id, (ids, _) in zip(names, coder.encode(texts)):
                 writer = writer or ShardWriter(uri, bits_for(max(coder.vocabulary, end_id + 1)), block)

@@ -1,31 +1,34 @@
-"""Exact token ids of the public tokenizers, chunk by chunk.
-
-Both JSON tokenizers cut a text before white space: no token spans the place
-between a visible character and the white space after it. Encoding such chunks
-once per worker and remembering them gives the library's ids for whole texts at a
-fraction of its cost. A text in which the cut could matter (special strings, white
-space outside ASCII) goes to the library whole, and its breaks come from the library's
-offsets.
+"""Exact token ids of the public tokenizer files, without the library's offsets and token objects.
+
+The byte-level file has one merge per token, in id order, so byte-pair merging by
+rank over the same vocabulary gives the same ids; whole texts go through it at once.
+The file with word ends lower-cases and drops white space, so no token spans white
+space and a batch of texts needs each of its words once. The end of a word is written
+as one control character, which turns a token with a word end into a plain byte
+string, so that the same merging applies.
+
+Nothing is kept from batch to batch. Strings of special tokens are cut out first, as
+the library does.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from leafmill.llm.chunks import ChunkMemo
-
-_ODD_SPACE = re.compile(r"[^\S \n\t\r\x0b\x0c]")
-_CHUNK = re.compile(r"[ \n\t\r\x0b\x0c]*[^ \n\t\r\x0b\x0c]+|[ \n\t\r\x0b\x0c]+\Z")
 #: A place after a sentence, or after the last visible character of a line.
 _BREAK = re.compile(r"(?<=[.!?])(?=\s|\Z)|(?<=\S)(?=[^\S\n]*\n)")
-_TAIL = ".,!?;:$%&*#|-"
-#: Marks a chunk that is encoded as it stands, without the space that other chunks stand for.
-BARE = "\r"
-ENDS, STARTS_LINE = 1, 2
+#: Some take these for white space, the library does not; the last one marks word ends here.
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+WORD_END = "\x1f"
+#: What texts are joined by while their breaks are sought: white space and a visible byte.
+_JOINT = b" a"
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -41,88 +44,138 @@ def _byte_alphabet() -> dict[int, str]:
     return table
 
 
+def _white(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to white space."""
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    for lead, followers in ((0xC2, (b"\x85", b"\xa0")), (0xE1, (b"\x9a\x80",)), (0xE2, (*(bytes([0x80, x]) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f")), (0xE3, (b"\x80\x80",))):
+        at = np.flatnonzero(raw == lead)
+        if len(at):
+            size = len(followers[0])
+            at = at[at + size < len(raw)]
+            for rest in followers:
+                own = at[np.logical_and.reduce([raw[at + 1 + k] == rest[k] for k in range(size)])]
+                for k in range(size + 1):
+                    space[own + k] = True
+    return space
+
+
+def break_places(raw: np.ndarray) -> np.ndarray:
+    """Byte places after a visible character that ends a sentence or is the last one of its line, before white space."""
+    space = _white(raw)
+    ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    starts = np.append(np.flatnonzero(space[:-1] & ~space[1:]) + 1, len(raw))
+    until = starts[np.searchsorted(starts, ends)]
+    last = raw[ends - 1]
+    stop = (last == 46) | (last == 33) | (last == 63)
+    lines = np.append(np.flatnonzero(raw == 10), len(raw))
+    stop |= lines[np.searchsorted(lines, ends)] < until
+    return ends[stop]
+
+
 class JsonTokenizer:
     """Ids of one tokenizer file; ``lowers`` is set for the one that lower-cases and drops white space."""
 
     def __init__(self, path: str):
+        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
         self.lowers = self.library.normalizer is not None
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
-        self.letters = {b: c for b, c in _byte_alphabet().items()}
-        self.words: dict[str, list[int]] = {}
-        self.memo = ChunkMemo(self._encode_chunks, self._flags, release=self.words.clear)
-
-    def _bytes(self, text: str) -> str:
-        if self.lowers and text.isascii():
-            return text
-        return "".join(map(self.letters.__getitem__, text.encode()))
-
-    def _word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) > 400_000:
-                self.words.clear()
-            ids = [x.id for x in self.model.tokenize(word)]
-            if len(word) < 64:
-                self.words[word] = ids
-        return ids
-
-    def _one(self, text: str, spaced: bool) -> list[int]:
-        body = text.rstrip(_TAIL)
-        if body.isalpha():
-            tail = text[len(body) :]
-            if self.lowers:
-                low = body.lower()
-                if low.isalpha() and "Σ" not in body and unicodedata.is_normalized("NFC", body):
-                    ids = self._word(self._bytes(low))
-                    return ids + self._word(tail) if tail else ids
-            else:
-                head = f"Ġ{body}" if body.isascii() else "Ġ" + self._bytes(body)
-                ids = self._word(head if spaced else head[1:])
-                return ids + self._word(tail) if tail else ids
-        if spaced and not self.lowers:
-            text = " " + text
+        with open(path, encoding="utf-8") as source:
+            spec = json.load(source)
+        self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
+        byte_of, suffix = {c: b for b, c in _byte_alphabet().items()}, spec["model"]["end_of_word_suffix"] or ""
+        ranks = {}
+        for token, rank in spec["model"]["vocab"].items():
+            if token not in self.specials:
+                ends = bool(suffix) and token.endswith(suffix)
+                body = token[: -len(suffix)] if ends else token
+                ranks[bytes(map(byte_of.__getitem__, body)) + (WORD_END.encode() if ends else b"")] = rank
         if self.lowers:
-            text = self.library.normalizer.normalize_str(text)
-        out: list[int] = []
-        for word, _ in self.library.pre_tokenizer.pre_tokenize_str(text):
-            out += self._word(word)
-        return out
-
-    def _encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        return [self._one(c[1:], False) if c[0] == BARE else self._one(c, c[0] != "\n") for c in chunks]
-
-    @staticmethod
-    def _flags(chunk: str) -> int:
-        lead = chunk.lstrip(BARE)
-        return (ENDS if chunk[-1] in ".!?" else 0) | (STARTS_LINE if "\n" in lead[: len(lead) - len(lead.lstrip())] else 0)
+            pattern = rf"\n|[^\n{WORD_END}]+{WORD_END}"
+            self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+            self.newline = ranks[b"\n"]
+        else:
+            # The pattern of byte-level pre-tokenization, a fixed value.
+            pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        self.merger = tiktoken.Encoding("words" if self.lowers else "bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(self.vocabulary, np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+        for token, rank in self.specials.items():
+            self.sizes[rank] = len(token.encode())
+
+    def _merge(self, text: str) -> np.ndarray:
+        return self.merger.encode_to_numpy(text, disallowed_special=())
+
+    def _library_ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _cut(self, text: str) -> list[tuple[str, int | None]]:
+        """The text before each special token with that token's id, then the rest."""
+        out, at = [], 0
+        for found in self.special.finditer(text) if self.special and "<" in text else ():
+            out.append((text[at : found.start()], self.specials[found.group()]))
+            at = found.end()
+        return [*out, (text[at:], None)]
+
+    def _plain(self, text: str) -> np.ndarray:
+        parts = self._cut(text)
+        if len(parts) == 1:
+            return self._merge(text)
+        out = []
+        for part, special in parts:
+            out.append(self._merge(part))
+            if special is not None:
+                out.append(np.array([special], np.uint32))
+        return np.concatenate(out)
+
+    def _encode_words(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, which line ends set apart, and the number of ids of each."""
+        odd = {}
+        # What the libraries' tables of different age may class differently has no class in the oldest one.
+        strange = "" if joined.isascii() else "".join(c for c in set(joined) if unicodedata.category(c) == "Cn")
+        if strange:
+            unlike = re.compile(f"[{re.escape(strange)}]")
+            words = joined.split("\n")
+            odd = {i: self._library_ids(w) for i, w in enumerate(words) if unlike.search(w)}
+            joined = "\n".join("" if i in odd else w for i, w in enumerate(words))
+        if not joined.isascii():
+            joined = unicodedata.normalize("NFC", joined).replace("Σ", "σ")  # letter by letter, as the library does
+        ids = self._merge(self.words.sub(rf"\g<0>{WORD_END}", joined.lower()))
+        ends = np.append(np.flatnonzero(ids == self.newline), len(ids))
+        sizes = np.diff(ends, prepend=-1) - 1
+        ids = ids[ids != self.newline]
+        if odd:
+            rows = np.split(ids, np.cumsum(sizes)[:-1])
+            for i, own in odd.items():
+                rows[i] = own
+            ids, sizes = np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
+        return ids, sizes
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        whole = {i: self._library_ids(t) for i, t in enumerate(texts) if _SEPARATORS.search(t) or "<" in t and self.special and self.special.search(t)}
+        split = pc.utf8_split_whitespace(pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string()))
+        words = split.values.dictionary_encode()
+        ids, sizes = self._encode_words(pc.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary), pa.scalar("\n", pa.large_string()))[0].as_py())
+        rows = words.indices.to_numpy()
+        firsts, counts = (np.cumsum(sizes) - sizes)[rows], sizes[rows]
+        ends = np.cumsum(counts)
+        flat = ids[np.repeat(firsts - (ends - counts), counts) + np.arange(int(counts.sum()))]
+        edges = np.append(0, ends)[split.offsets.to_numpy()].tolist()
+        return [whole[i] if i in whole else flat[a:b] for i, (a, b) in enumerate(zip(edges[:-1], edges[1:]))]
 
     def chunks(self, text: str) -> list[str] | None:
-        """The memo keys of a text, or None if only the library may encode it."""
-        if "<|" in text:
-            return None
-        if self.lowers:
-            if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                return None
-            return text.split()
-        if text and len(text.split()) == text.count(" ") + text.count("\n") + 1:
-            keys = text.replace("\n", " \n").split(" ")
-            keys[0] = BARE + keys[0]
-            return keys
-        if _ODD_SPACE.search(text):
-            return None
-        keys = _CHUNK.findall(text)
-        return [c[1:] if c[0] == " " and len(c) > 1 and not c[1].isspace() else BARE + c for c in keys]
-
-    def _whole(self, text: str, breaks: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """The library's ids of a text and the breaks at which none of its tokens is cut."""
+        """The words of a text that are encoded apart from each other, or None if it is encoded whole."""
+        return text.split() if self.lowers and not _SEPARATORS.search(text) and len(self._cut(text)) == 1 else None
+
+    def _offset_breaks(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of a text and, by its offsets, the breaks at which none of its tokens is cut."""
         found = self.library.encode(text, add_special_tokens=False)
         ids = np.asarray(found.ids, np.uint32)
-        if not breaks:
-            return ids, None
         if not len(ids):
             return ids, np.zeros(0, np.int64)
         offsets = np.asarray(found.offsets, np.int64)
@@ -131,36 +184,29 @@ class JsonTokenizer:
         reach = np.concatenate([[0], np.maximum.accumulate(offsets[:, 1])])
         return ids, np.unique(before[(before > 0) & (reach[before] <= places)])
 
+    def _plain_breaks(self, texts: list[str], rows: list[np.ndarray]) -> list[np.ndarray]:
+        """The breaks of byte-level rows: their tokens' bytes are the text's, so running sizes are byte places."""
+        data = [t.encode("utf-8", "replace") for t in texts]
+        raw = np.frombuffer(_JOINT.join([*data, b""]), np.uint8)
+        mark = np.zeros(len(raw) + 1, bool)
+        mark[break_places(raw)] = True
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        at = np.repeat(np.arange(len(rows)) * len(_JOINT), counts) + np.cumsum(self.sizes[np.concatenate(rows)])
+        hits = np.flatnonzero(mark[at]) + 1
+        until = np.cumsum(counts)
+        edges = np.searchsorted(hits, [0, *until.tolist()], "right")
+        return [hits[a:b] - first for a, b, first in zip(edges[:-1].tolist(), edges[1:].tolist(), (until - counts).tolist())]
+
     def encode(self, texts: list[str], breaks: bool = False) -> list[tuple[np.ndarray, np.ndarray | None]]:
         """For each text its ids and, with ``breaks``, the id positions after which a sentence or line ends."""
-        keys, whole = [], {}
-        lengths = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = self.chunks(text)
-            if own is None:
-                whole[i] = self._whole(text, breaks)
-            else:
-                keys += own
-                lengths[i] = len(own)
-        rows = self.memo.rows(keys)
-        ids = self.memo.gather(rows)
-        ends = np.concatenate([[0], np.cumsum(self.memo.sizes[rows])])
-        chunk_at = np.concatenate([[0], np.cumsum(lengths)])
-        marks = self.memo.marks[rows] if breaks else None
-        out = []
-        for i in range(len(texts)):
-            if i in whole:
-                out.append(whole[i])
-                continue
-            a, b = chunk_at[i], chunk_at[i + 1]
-            cuts = None
-            if breaks:
-                own = marks[a:b]
-                stop = (own & ENDS).astype(bool)
-                stop[:-1] |= (own[1:] & STARTS_LINE).astype(bool)
-                cuts = ends[a + 1 : b + 1][stop] - ends[a]
-            out.append((ids[ends[a] : ends[b]], cuts))
-        return out
+        if not texts:
+            return []
+        if not self.lowers:
+            rows = [self._plain(t) for t in texts]
+            return list(zip(rows, self._plain_breaks(texts, rows) if breaks else [None] * len(rows)))
+        if breaks:
+            return [self._offset_breaks(t) for t in texts]
+        return [(ids, None) for ids in self._by_words(texts)]
 
 
 @lru_cache(maxsize=4)
