@@ -12,6 +12,12 @@ with the piece before it gives exactly these two pieces again. Every prefix of a
 text then has exactly one admissible path, and it is the library's segmentation.
 Models whose scores are log probabilities (unigram) take the arc of the best score
 sum instead.
+
+No piece holds a word mark after another character, so every path passes the place
+before a run of spaces: there the paths converge and all ids are committed. The
+distinct parts of a batch between such places therefore advance in step, one
+character a turn, over a window of the last ``max_piece`` positions. Parts too long
+for that (``IN_STEP``) go through the same pass alone and commit as they go.
 """
 
 from __future__ import annotations
@@ -23,17 +29,25 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from leafmill.llm.chunks import ChunkMemo, grouped
+from leafmill.llm.chunks import grouped
+from leafmill.llm.int_table import IntTable
 from leafmill.runtime import ship_package
 
 WORD_MARK = "▁"
-_SPACED = re.compile(r" *[^ ]+| +\Z")
+_MARKED = re.compile(f"{WORD_MARK}*[^{WORD_MARK}]+|{WORD_MARK}+\\Z")
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM = 1
 #: What an unknown character costs a unigram path beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
+#: Parts of more characters are not held whole.
+IN_STEP = 256
+#: Texts of so many characters are solved together.
+BATCH_CHARS = 6_000_000
+#: Code points and piece ids take so many bits.
+BITS = 21
 SCHEMA = "doc_id long, n_chars long, n_tokens long, ids_crc32 long, decoded boolean"
 
 
@@ -201,72 +215,182 @@ class StreamingViterbi:
         return [i for p in self._path(len(self.text)) for i in self.model.piece_ids(p)]
 
 
+class StepLattice:
+    """The lattice of many parts of text at once, for BPE models.
+
+    Pieces are found from their last character backwards along a trie. A character
+    that is no piece is an arc of its own, with an id after the vocabulary's.
+    """
+
+    def __init__(self, model: PieceModel):
+        self.model, self.n_names = model, len(model.names)
+        self.start = (1 << BITS) - 1  # stands left of a part's first piece
+        children: dict[tuple[int, int], int] = {}
+        piece_at = [-1]
+        for piece, i in model.ids.items():
+            node = 0
+            for c in reversed(piece):
+                edge = (node, ord(c))
+                node = children.get(edge, 0)
+                if not node:
+                    node = children[edge] = len(piece_at)
+                    piece_at.append(-1)
+            piece_at[node] = i
+        self.piece_at = np.array(piece_at, np.int32)
+        self.trie = IntTable(max(4, (4 * len(children)).bit_length()))
+        self.trie.put(np.array([n << BITS | c for n, c in children], np.int64), np.fromiter(children.values(), np.int32, len(children)))
+        self.single = {ord(p): i for p, i in model.ids.items() if len(p) == 1}
+        self.pairs = IntTable(21)
+
+    def _name(self, i: int) -> str:
+        return self.model.names[i] if i < self.n_names else chr(i - self.n_names)
+
+    def _follows(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the BPE encoding can hold each right piece after the left one; pairs met before are remembered."""
+        keys = left.astype(np.int64) << BITS | right
+        known = self.pairs.get(keys)
+        lacking = np.flatnonzero(known < 0)
+        if len(lacking):
+            fresh = np.unique(keys[lacking])
+            if self.pairs.used + len(fresh) > 1 << (self.pairs.bits - 1):
+                self.pairs = IntTable(max(21, (2 * len(fresh)).bit_length()))
+            model, low = self.model, (1 << BITS) - 1
+            verdicts = [model.follows(None if k >> BITS == self.start else self._name(k >> BITS), self._name(k & low)) for k in fresh.tolist()]
+            self.pairs.put(fresh, np.array(verdicts, np.int32))
+            known[lacking] = np.array(verdicts, np.int32)[np.searchsorted(fresh, keys[lacking])]
+        return known > 0
+
+    def segment(self, text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts and their number for each; ``text`` holds the code points of the parts in a row."""
+        order = np.argsort(-lengths, kind="stable")
+        sizes = lengths[order]
+        starts = np.cumsum(sizes) - sizes
+        source = (np.cumsum(lengths) - lengths)[order]
+        found, width = np.zeros(len(text), np.int32), np.zeros(len(text), np.int16)
+        window: list[tuple[np.ndarray, np.ndarray]] = []  # the last positions' characters and pieces, the latest first
+        for j in range(int(sizes.max(initial=0))):
+            n = int(np.searchsorted(-sizes, -j))  # parts with a character here
+            here = text[source[:n] + j].astype(np.int64)
+            piece, wide = np.full(n, -1, np.int32), np.zeros(n, np.int16)
+            open_, node = np.arange(n), np.zeros(n, np.int64)
+            for back in range(min(j + 1, self.model.max_piece)):
+                chars = here[open_] if not back else window[back - 1][0][open_]
+                node = self.trie.get(node << BITS | chars).astype(np.int64)
+                ends = np.where(node >= 0, self.piece_at[node], -1)
+                if not back:
+                    ends = np.where(ends >= 0, ends, (chars + self.n_names).astype(np.int32))
+                some = np.flatnonzero(ends >= 0)
+                mine = open_[some]
+                left = window[back][1][mine] if back < j else np.full(len(mine), self.start)
+                good = self._follows(left, ends[some])
+                piece[mine[good]], wide[mine[good]] = ends[some[good]], back + 1
+                alive = node >= 0
+                alive[some[good]] = False
+                open_, node = open_[alive], node[alive]
+                if not len(open_):
+                    break
+            assert (piece >= 0).all()  # every prefix has one admissible path
+            found[starts[:n] + j], width[starts[:n] + j] = piece, wide
+            window = [(here, piece), *window[: self.model.max_piece - 1]]
+        # Follow the back pointers of all parts from their ends.
+        used = np.zeros(len(text), bool)
+        at, first = (starts + sizes - 1)[sizes > 0], starts[sizes > 0]
+        while len(at):
+            used[at] = True
+            at = at - width[at]
+            more = at >= first
+            at, first = at[more], first[more]
+        running = np.append(0, np.cumsum(used))
+        counts = running[starts + sizes] - running[starts]
+        back_to = np.empty_like(order)
+        back_to[order] = np.arange(len(order))
+        return ranges(found[used], (np.cumsum(counts) - counts)[back_to], counts[back_to]), counts[back_to]
+
+    def expand(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters without a piece become the ids of their bytes, or the unknown one."""
+        lost = np.flatnonzero(ids >= self.n_names)
+        if not len(lost):
+            return ids.astype(np.uint32), counts
+        spelled = {c: self.model.piece_ids(chr(c - self.n_names)) for c in np.unique(ids[lost]).tolist()}
+        wide = np.ones(len(ids), np.int64)
+        wide[lost] = [len(spelled[c]) for c in ids[lost].tolist()]
+        out = np.repeat(ids, wide).astype(np.uint32)
+        ends = np.cumsum(wide)
+        for k, c in zip(lost.tolist(), ids[lost].tolist()):
+            out[ends[k] - wide[k] : ends[k]] = spelled[c]
+        owner = np.repeat(np.arange(len(counts)), counts)
+        return out, np.bincount(owner, weights=wide, minlength=len(counts)).astype(np.int64)
+
+
+def ranges(values: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """values[first : first + count] of every range, in a row."""
+    ends = np.cumsum(counts)
+    return values[np.repeat(firsts - (ends - counts), counts) + np.arange(int(counts.sum()))]
+
+
 class PieceCoder:
-    """Encodes whole texts; parts between word boundaries, where every path converges, are remembered."""
+    """Encodes whole texts; the distinct parts of a batch are solved once."""
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.memo = ChunkMemo(self._encode_parts)
-
-    def _stream(self, text: str) -> list[int]:
-        """The same pass; a part within two windows has nothing to commit early and needs no bookkeeping for it."""
-        model = self.model
-        if model.unigram or len(text) > 2 * model.max_piece:
-            viterbi = StreamingViterbi(model)
-            return viterbi.feed(text) + viterbi.finish()
-        n, window, ids, pairs, follows = len(text), model.max_piece, model.ids, model.pairs, model.follows
-        last: list[str | None] = [None] * (n + 1)
-        for j in range(1, n + 1):
-            for i in range(j - window if j > window else 0, j):
-                piece = text[i:j]
-                if piece in ids or i == j - 1:
-                    left = last[i]
-                    ok = pairs.get((left, piece)) if left is not None else None
-                    if follows(left, piece) if ok is None else ok:
-                        last[j] = piece
-                        break
-        out: list[int] = []
-        j = n
-        while j:
-            piece = last[j]
-            known = ids.get(piece)
-            if known is not None:
-                out.append(known)
-            else:
-                out += reversed(model.piece_ids(piece))
-            j -= len(piece)
-        return out[::-1]
-
-    def _encode_parts(self, parts: list[str]) -> list[list[int]]:
-        # The first character of a key says whether its text begins with a word mark.
-        return [self._stream((WORD_MARK if p[0] == " " else "") + p[1:].replace(" ", WORD_MARK)) for p in parts]
+        self.lattice = None if self.model.unigram else StepLattice(self.model)
+
+    def _alone(self, part: str) -> np.ndarray:
+        viterbi = StreamingViterbi(self.model)
+        return np.array(viterbi.feed(part) + viterbi.finish(), np.uint32)
 
     def parts(self, text: str) -> list[str]:
-        text = text.replace(WORD_MARK, " ")  # one and the same to the model
+        """What the text, with its word marks, is cut into, before each run of spaces."""
         if not text:
             return []
-        if not self.model.splits:
-            return [(" " if self.model.prefix else "|") + text]
-        if text[0] != " " and text[-1] != " " and "  " not in text:
-            keys = [" " + w for w in text.split(" ")]
+        marked = self.model.prefix + text.replace(" ", WORD_MARK)
+        return _MARKED.findall(marked) if self.model.splits else [marked]
+
+    def _solve(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts and their number for each."""
+        lengths = pc.utf8_length(parts).to_numpy().astype(np.int64)
+        long = np.flatnonzero(lengths > IN_STEP) if self.lattice else np.arange(len(parts))
+        alone = {i: self._alone(parts[i].as_py()) for i in long.tolist()}
+        if alone:
+            kept = np.ones(len(parts), bool)
+            kept[long] = False
+            parts, lengths = parts.filter(pa.array(kept)), lengths[kept]
+        if not self.lattice:
+            ids, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         else:
-            head, *rest = _SPACED.findall(text)
-            keys = [" " + head, *rest]
-        if not self.model.prefix:
-            keys[0] = "|" + keys[0][1:]
-        return keys
+            joined = pc.binary_join(pa.ListArray.from_arrays([0, len(parts)], parts), pa.scalar("", parts.type))[0].as_py()
+            ids, counts = self.lattice.expand(*self.lattice.segment(np.frombuffer(joined.encode("utf-32-le"), np.uint32), lengths))
+        if alone:
+            all_counts = np.zeros(len(kept), np.int64)
+            all_counts[kept] = counts
+            all_counts[long] = [len(alone[i]) for i in long.tolist()]
+            out, ends = np.zeros(int(all_counts.sum()), np.uint32), np.cumsum(all_counts)
+            mask = np.repeat(kept, all_counts)
+            out[mask] = ids
+            out[~mask] = np.concatenate([alone[i] for i in long.tolist()])
+            return out, all_counts
+        return ids, counts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        keys: list[str] = []
+        texts = [t.replace(WORD_MARK, " ") for t in texts]  # one and the same to the model
+        plain = self.model.splits and self.model.prefix
+        regular = np.array([bool(plain and t and t[0] != " " and t[-1] != " " and "  " not in t) for t in texts], bool)
+        split = pc.split_pattern(pa.array([t for t, r in zip(texts, regular) if r], pa.large_string()), " ")
+        words = pc.binary_join_element_wise(pa.scalar(WORD_MARK, pa.large_string()), split.values, pa.scalar("", pa.large_string()))
+        others = [self.parts(t) for t, r in zip(texts, regular) if not r]
         lengths = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = self.parts(text)
-            keys += own
-            lengths[i] = len(own)
-        rows = self.memo.rows(keys)
-        ids = self.memo.gather(rows)
-        ends = np.concatenate([[0], np.cumsum(self.memo.sizes[rows])])[np.concatenate([[0], np.cumsum(lengths)])]
-        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        lengths[regular] = np.diff(split.offsets.to_numpy())
+        lengths[~regular] = [len(o) for o in others]
+        keys = pa.concat_arrays([words, pa.array([p for o in others for p in o], pa.large_string())]).dictionary_encode()
+        firsts = np.zeros(len(texts), np.int64)
+        firsts[regular] = split.offsets.to_numpy()[:-1] - (split.offsets[0].as_py() if len(split) else 0)
+        firsts[~regular] = len(words) + np.cumsum(lengths[~regular]) - lengths[~regular]
+        ids, counts = self._solve(keys.dictionary)
+        starts = np.cumsum(counts) - counts
+        rows = ranges(keys.indices.to_numpy(), firsts, lengths)
+        flat = ranges(ids, starts[rows], counts[rows])
+        ends = np.append(0, np.cumsum(counts[rows]))[np.append(0, np.cumsum(lengths))].tolist()
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -280,14 +404,13 @@ def _apply(docs: DataFrame, model: str, with_ids: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = piece_coder(model)
         names = coder.model.names
-        plain = [n if k == NORMAL else None for n, k in zip(names, coder.model.kinds)]
-        for batch, texts in grouped(batches, "text"):
+        unlike = np.array([k != NORMAL for k in coder.model.kinds])
+        for batch, texts in grouped(batches, "text", BATCH_CHARS):
             rows = coder.encode(texts)
             restored = []
             for text, ids in zip(texts, rows):
                 listed = ids.tolist()
-                parts = [plain[i] for i in listed]
-                whole = coder.model.decode(listed) if None in parts else "".join(parts).replace(WORD_MARK, " ")[1 if coder.model.prefix else 0 :]
+                whole = coder.model.decode(listed) if unlike[ids].any() else "".join(map(names.__getitem__, listed)).replace(WORD_MARK, " ")[1 if coder.model.prefix else 0 :]
                 restored.append(whole == text.replace(WORD_MARK, " "))
             arrays = [
                 batch.column(batch.schema.get_field_index("doc_id")),
