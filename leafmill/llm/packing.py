@@ -10,6 +10,13 @@ exactly, with a monotone queue over the reachable window starts. A sequence is
 padded to the window unless its length is a power of two, so those lengths are
 extra, padding-free transitions.
 
+The program runs over a stream. Sequences are given out as soon as the best cuttings
+of all places from which a later sequence may start agree on them, so what is given
+out is what one run over the whole shard would give; the rest is carried on. Texts
+may be such that they never agree (all documents of half a window, say). Memory stays
+bounded by giving out the cheapest cutting once ``atoms_at_most`` are waiting, which
+costs at most one more cut, ``window + forced_cut + per_sequence``, each time.
+
 Defined cases: a null or empty text is one end token; repeated rows are packed one
 by one; a null doc_id stays null; ties go to the latest window start, then to the
 plain transition; an empty table gives no rows; other columns are ignored.
@@ -18,7 +25,6 @@ plain transition; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,8 +52,9 @@ class PackingCosts:
     per_sequence: float = 24.0
     #: Power-of-two lengths below this one are not sought.
     least_bucket: int = 64
-    #: Documents are solved together until they hold so many atoms; the last sequence is then carried on.
-    atoms_at_once: int = 60_000
+    #: The program is run whenever so many atoms are new.
+    atoms_at_once: int = 30_000
+    atoms_at_most: int = 480_000
 
     @property
     def buckets(self) -> tuple[int, ...]:
@@ -62,49 +69,82 @@ def padding(length: int, window: int) -> int:
     return 0 if length & (length - 1) == 0 else window - length
 
 
-def best_cuts(ends: list[int], penalties: list[float], costs: PackingCosts) -> list[int]:
-    """Indices into ``ends`` (running token totals after each atom) at which the cheapest sequences end."""
+def back_pointers(ends: list[int], penalties: list[float], costs: PackingCosts) -> list[int]:
+    """For every number of atoms, how many of them come before the last sequence of their cheapest cutting."""
     window, n = costs.window, len(ends)
     totals = [0, *ends]
-    best = [0.0] * (n + 1)
-    back = [0] * (n + 1)
-    place = {0: 0}
-    queue: deque[int] = deque([0])
+    # Where a sequence of a power-of-two length can end, and its start: (end, start), in order.
+    places = np.array(totals, np.int64)
+    hits = []
+    for size in costs.buckets:
+        at = np.searchsorted(places, places - size)
+        j = np.flatnonzero((places[at] == places - size) & (places >= size))
+        hits.append(np.stack([j, at[j]], 1))
+    exact = np.concatenate([*hits, [[n + 1, 0]]])
+    exact = exact[np.argsort(exact[:, 0], kind="stable")].tolist()
+    best, back = [0.0] * (n + 1), [0] * (n + 1)
     keys = [0.0] * (n + 1)  # best + total, what a window start costs whoever pads up to the window
-    buckets = costs.buckets
+    queue, head, e = [0], 0, 0
+    fixed, (exact_end, exact_start) = costs.per_sequence + window, exact[0]
     for j in range(1, n + 1):
         total = totals[j]
-        while total - totals[queue[0]] > window:
-            queue.popleft()
-        i = queue[0]
-        value = keys[i] + window - total
-        for size in buckets:
-            k = place.get(total - size)
-            if k is not None and best[k] <= value:
-                value, i = best[k], k
-        value += penalties[j - 1] + costs.per_sequence
-        best[j], back[j], place[total] = value, i, j
+        least = total - window
+        while totals[queue[head]] < least:
+            head += 1
+        i = queue[head]
+        value = keys[i] - total + fixed
+        while exact_end == j:
+            price = best[exact_start] + costs.per_sequence
+            if price <= value:
+                value, i = price, exact_start
+            e += 1
+            exact_end, exact_start = exact[e]
+        value += penalties[j - 1]
+        best[j], back[j] = value, i
         key = keys[j] = value + total
-        while queue and keys[queue[-1]] >= key:
+        while len(queue) > head and keys[queue[-1]] >= key:
             queue.pop()
         queue.append(j)
-    cuts, j = [], n
+    return back
+
+
+def best_cuts(ends: list[int], penalties: list[float], costs: PackingCosts) -> list[int]:
+    """Indices into ``ends`` (running token totals after each atom) at which the cheapest sequences end."""
+    return _path(back_pointers(ends, penalties, costs), len(ends))
+
+
+def _path(back: list[int], j: int) -> list[int]:
+    cuts = []
     while j:
         cuts.append(j - 1)
         j = back[j]
     return cuts[::-1]
 
 
+def settled(back: list[int], ends: list[int], window: int) -> int:
+    """The largest number of atoms that is a cut in the best cutting of every place a later sequence may start from."""
+    n = len(ends)
+    if ends[-1] < window:
+        return 0
+    first = int(np.searchsorted(ends, ends[-1] - window, "right")) + 1  # later sequences start here or after
+    heads, far = set(range(first, n + 1)), n
+    while len(heads) > 1:
+        while far not in heads:
+            far -= 1
+        heads.discard(far)
+        heads.add(back[far])
+    return heads.pop()
+
+
 def atoms_of(n_tokens: int, breaks: np.ndarray, costs: PackingCosts) -> tuple[list[int], list[float]]:
-    """Token offsets at which a document may be cut and what each cut costs; the last one is its end."""
-    places = np.unique(np.append(breaks[(breaks > 0) & (breaks < n_tokens)], n_tokens))
-    lengths = np.diff(places, prepend=0)
-    if lengths.max() <= costs.window:
-        price = np.full(len(places), costs.sentence_cut)
-        price[-1] = 0.0
-        return places.tolist(), price.tolist()
+    """Token offsets at which a document may be cut and what each cut costs; the last one is its end.
+
+    ``breaks`` ascend.
+    """
+    places = [x for x in breaks.tolist() if 0 < x < n_tokens]
+    places.append(n_tokens)
     out, price, at = [], [], 0
-    for end in places.tolist():
+    for end in places:
         while end - at > costs.window:
             at += costs.window
             out.append(at)
@@ -123,7 +163,7 @@ class _Shard:
         self.costs, self.base, self.made = costs, shard << SEQUENCE_BITS, 0
         self.ends: list[int] = []
         self.prices: list[float] = []
-        self.total = 0
+        self.total, self.due = 0, costs.atoms_at_once
         self.docs: list[tuple] = []  # (doc_id, ids, tokens already packed, stream position of the first one left)
 
     def add(self, doc_id, ids: np.ndarray, breaks: np.ndarray) -> list[tuple]:
@@ -133,16 +173,20 @@ class _Shard:
         self.ends += [total + x for x in places]
         self.prices += price
         self.total += len(ids)
-        return self.solve(False) if len(self.ends) >= self.costs.atoms_at_once else []
+        return self.solve(False) if len(self.ends) >= self.due else []
 
     def solve(self, last: bool) -> list[tuple]:
         if not self.ends:
             return []
-        cuts = best_cuts(self.ends, self.prices, self.costs)
-        if not last:
-            if len(cuts) == 1:
-                return []
-            cuts = cuts[:-1]
+        back = back_pointers(self.ends, self.prices, self.costs)
+        n = len(self.ends)
+        cuts = _path(back, n if last else settled(back, self.ends, self.costs.window))
+        if not last and n - (cuts[-1] + 1 if cuts else 0) >= self.costs.atoms_at_most:
+            cuts = _path(back, n)[:-1]
+        kept = cuts[-1] + 1 if cuts else 0
+        self.due = max(self.costs.atoms_at_once, min(2 * (n - kept), self.costs.atoms_at_most))
+        if not cuts:
+            return []
         rows, at, which = [], 0, 0
         docs = self.docs
         for cut in cuts:
@@ -160,7 +204,6 @@ class _Shard:
                 if done + take == len(ids):
                     which += 1
             self.made += 1
-        kept = cuts[-1] + 1
         self.docs = [(d, ids, done, first - at) for d, ids, done, first in docs[which:]]
         self.ends = [x - at for x in self.ends[kept:]]
         self.prices = self.prices[kept:]

@@ -191,3 +191,38 @@ def test_texts_for_the_library_keep_their_breaks():
     places, _ = packing.atoms_of(int(cuts[-1]) + 1, cuts, packing.PackingCosts())
     assert len(places) >= 900 and max(np.diff(places)) < 20
     assert [c.tolist() for _, c in coder.encode(["\u00a0\u00a0", "<|", "", "no end <|"], breaks=True)] == [[], [], [], []]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 300), st.lists(st.integers(1, 299), max_size=12)), min_size=1, max_size=60), st.integers(1, 40))
+def test_settled_sequences_are_those_of_one_run(documents, at_once):
+    def packed(n):
+        costs = packing.PackingCosts(window=64, least_bucket=8, per_sequence=2.0, atoms_at_once=n)
+        shard, rows = packing._Shard(0, costs), []
+        for k, (size, breaks) in enumerate(documents):
+            rows += shard.add(k, np.arange(size, dtype=np.uint32), np.unique(np.array(breaks, np.int64)))
+        early = len(rows)
+        return [r[:9] for r in rows + shard.solve(True)], early
+
+    whole, _ = packed(10**9)
+    assert packed(at_once)[0] == whole
+
+
+@pytest.mark.parametrize("sizes", [(1, 2000), (1023, 1024)])
+def test_waiting_documents_stay_bounded(sizes):
+    rng, costs = np.random.default_rng(5), packing.PackingCosts(atoms_at_once=500, atoms_at_most=4000)
+    shard, given_out, total = packing._Shard(0, costs), 0, 0
+    for k in range(9000 if sizes[0] > 1 else 900):
+        n = int(rng.integers(*sizes))
+        given_out += sum(r[2] for r in shard.add(k, np.zeros(n, np.uint32), np.unique(rng.integers(1, n + 1, n // 20)) if sizes[0] == 1 else np.zeros(0, np.int64)))
+        total += n
+        assert len(shard.ends) < costs.atoms_at_most + 200
+    assert given_out > 0.5 * total
+
+
+def test_newer_letters_and_long_white_space():
+    texts = [":\U0003d000 a", "xᲉy ՘. 1ვ0", "a   b\n\n\n c  \n", "tail   ", " 　 x   ", "ΑΣ Σ'S don't", "<|endoftext|><|startoftext|> <|endoftext|>"]
+    for path in (BYTES, WORDS):
+        coder, library = JsonTokenizer(path), Tokenizer.from_file(path)
+        for text, (ids, _) in zip(texts, coder.encode(texts)):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, (path, text)
