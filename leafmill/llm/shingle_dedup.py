@@ -1,15 +1,18 @@
-"""Near-duplicates by exact similarity of word shingles, for the corpus pipeline.
+"""Near-duplicates by exact similarity of word shingles: what the corpus pipeline asks of operator 10.
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word
-shingles is 0.8 or more. MinHash bands propose: texts that agree on all rows of a
-band share a bucket, and each bucket ties its members to its least one. A pair at
-0.8 shares none of the 20 bands of 5 rows once in 2,800 times, a closer pair less
-often. The components of these ties are then gathered, each shingle set once, and
-every pair inside is settled on the sets themselves, so
-proposals only decide which texts are compared, never which are linked.
-
-A component of proposals is one group of one task, which grows with the largest
-family of alike texts.
+shingles is 0.8 or more. A pair at 0.8 differs in about ten of 64 SimHash bits, far
+more than vantage-point trees can search, so two searches propose: the trees of
+``simhash`` tie texts whose fingerprints over these shingles lie within three bits, and
+MinHash bands tie texts that agree on all rows of a band. A pair at 0.8 shares none of
+the 20 bands of 5 rows once in 2,800 times, a closer pair less often.
+
+Each proposal is a bucket of shingle sets, and every two sets of a bucket are settled
+on the sets themselves. First all are compared with the bucket's least one; what is
+linked by that is one class. Buckets that still hold several classes are dealt into
+blocks: the sets outside the bucket's largest class meet each other and the blocks of
+that class, two blocks a task. No task holds more, whatever one family of texts holds,
+and sets of one class are never paired.
 
 Defined cases: words and short, null or empty texts as in ``simhash``: a text of
 fewer words than a shingle is one shingle, a text without words equals any other such.
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm.chunks import grouped
 from leafmill.llm.components import connected
-from leafmill.llm.simhash import SEED, stand_ins
+from leafmill.llm.simhash import SEED, SimHashConfig, fingerprint_links, majority, stand_ins
 from leafmill.runtime import cut, ship_package
 
 
@@ -37,21 +41,28 @@ class ShingleConfig:
     similarity: float = 0.8
     bands: int = 20
     rows: int = 5
+    #: Sets to a block of a crowded bucket.
+    block: int = 128
 
 
-def shingles(text: str, words: int = 5) -> np.ndarray:
-    """The sorted distinct hashes of a text's word shingles."""
+def shingle_hashes(text: str, words: int = 5) -> np.ndarray:
+    """The hashes of a text's word shingles, repeats included; one of no bytes where there are no words."""
     from xxhash import xxh64_intdigest
 
     parts = text.encode("utf-8", "surrogatepass").lower().split()
     n = len(parts)
-    if n <= words:
-        return np.array([xxh64_intdigest(b" ".join(parts), SEED)], np.uint64)
     joined = b" ".join(parts)
+    if n <= words:
+        return np.array([xxh64_intdigest(joined, SEED)], np.uint64)
     lengths = np.fromiter(map(len, parts), np.int64, n)
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: n - words + 1].tolist()
-    return np.unique(np.array([xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, ends[words - 1 :].tolist())], np.uint64))
+    return np.array([xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, ends[words - 1 :].tolist())], np.uint64)
+
+
+def shingles(text: str, words: int = 5) -> np.ndarray:
+    """The sorted distinct hashes of a text's word shingles."""
+    return np.unique(shingle_hashes(text, words))
 
 
 def _key(own: np.ndarray) -> int:
@@ -82,18 +93,20 @@ def _buckets(own: np.ndarray, factors: tuple[np.ndarray, np.ndarray], config: Sh
 
 
 def _sketches(docs: DataFrame, config: ShingleConfig) -> DataFrame:
-    """(doc_id, key, buckets): the key stands for the shingle set."""
+    """(doc_id, key, buckets, fp): the key stands for the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(config.bands * config.rows)
         for batch, texts in grouped(batches, "text"):
-            sets = [shingles(t, config.words) for t in texts]
+            hashes = [shingle_hashes(t, config.words) for t in texts]
+            prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
+            sets = [np.unique(h) for h in hashes]
             keys = np.array([_key(s) for s in sets], np.uint64).view(np.int64)
             flat = np.array([_buckets(s, factors, config) for s in sets], np.uint64).view(np.int64)
             places = pa.array(np.arange(0, flat.size + 1, config.bands, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(keys), pa.ListArray.from_arrays(places, pa.array(flat.ravel()))], ["doc_id", "key", "buckets"])
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(keys), pa.ListArray.from_arrays(places, pa.array(flat.ravel())), pa.array(prints)], ["doc_id", "key", "buckets", "fp"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, key long, buckets array<long>")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, key long, buckets array<long>, fp long")
 
 
 def _sets(docs: DataFrame, config: ShingleConfig) -> DataFrame:
@@ -108,10 +121,15 @@ def _sets(docs: DataFrame, config: ShingleConfig) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, own binary")
 
 
-def settle(sets: list[np.ndarray], config: ShingleConfig) -> list[int]:
-    """For each set the least index of its component under the exact similarity.
+def alike(left: int, right: int, common: np.ndarray | int, config: ShingleConfig) -> np.ndarray | bool:
+    return common >= config.similarity * (left + right - common) - 1e-9
+
+
+def settle(sets: list[np.ndarray], classes: np.ndarray, config: ShingleConfig) -> list[tuple[int, int]]:
+    """Index pairs that link all classes which hold two sets of the wanted similarity.
 
-    The sets' common shingles are counted through lists of the sets that hold each shingle.
+    The sets' common shingles are counted through lists of the sets that hold each
+    shingle; sets of one class, as far as it is known by then, are not compared.
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -119,8 +137,10 @@ def settle(sets: list[np.ndarray], config: ShingleConfig) -> list[int]:
     lists = np.repeat(np.arange(n), sizes)[np.argsort(tokens, kind="stable")]
     firsts = np.cumsum(holders) - holders
     at = np.cumsum(sizes) - sizes
-    label = np.arange(n)
-    for i in range(n):
+    _, label = np.unique(classes, return_inverse=True)
+    rare = np.bincount(label)[label] * 2 <= n  # sets of a class that holds most of them are met from the other side
+    out = []
+    for i in np.flatnonzero(rare).tolist():
         own = tokens[at[i] : at[i] + sizes[i]]
         own = own[holders[own] > 1]
         common = np.zeros(n, np.int64)
@@ -130,35 +150,73 @@ def settle(sets: list[np.ndarray], config: ShingleConfig) -> list[int]:
             ends = np.cumsum(holders[part])
             places = np.repeat(firsts[part] - (ends - holders[part]), holders[part]) + np.arange(ends[-1])
             common += np.bincount(lists[places], minlength=n)
-        alike = common >= config.similarity * (sizes + sizes[i] - common) - 1e-9
-        alike[i] = True
-        joined = np.unique(label[alike])
-        if len(joined) > 1:
-            label[np.isin(label, joined)] = joined[0]
-    return label.tolist()
+        for j in np.flatnonzero(alike(sizes, sizes[i], common, config) & (label != label[i])).tolist():
+            if label[j] != label[i]:
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
 
 
-def components_of(docs: DataFrame, rows: DataFrame, config: ShingleConfig) -> DataFrame:
-    """(key, component_id) for the sketched ``rows`` of ``docs``."""
-    prints = cut(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.any_value("buckets").alias("buckets")))
-    held = prints.select("key", F.explode("buckets").alias("bucket"))
-    hubs = held.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub < last").select("bucket", "hub")
-    proposed = connected(held.join(hubs, "bucket").where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")))
-    wanted = cut(proposed.join(prints, proposed.node == prints.key).select("key", "root", "least"))
-    # One row stands for each set: the one of its least doc_id, or any where none has one.
-    named = docs.join(wanted.where("least is not null").select(F.col("least").alias("wanted_id")).distinct(), F.col("doc_id").cast("long") == F.col("wanted_id"), "left_semi")
-    own = _sets(named.select("text").unionByName(docs.where("doc_id is null").select("text")), config).dropDuplicates(["key"])
+def _verified(pairs: DataFrame, sets: DataFrame, config: ShingleConfig) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose sets have the wanted similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (map(np.frombuffer, batch.column(k).to_pylist(), repeat(np.uint64)) for k in (2, 3))
+            good = [bool(alike(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)), config)) for x, y in zip(left, right)]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    joined = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("own").alias("y")), "b")
+    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _between_classes(members: DataFrame, sets: DataFrame, config: ShingleConfig) -> DataFrame:
+    """Links (a, b) between the classes of every bucket, for rows (bucket, key, class)."""
+    held = members.groupBy("bucket", "class").agg(F.count("*").alias("n"))
+    split = held.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("classes")).where("classes > 1")
+    blocks = lambda n: F.ceil(n / config.block).cast("int")
+    split = split.select("bucket", F.col("top.class").alias("main"), blocks(F.col("top.n")).alias("mains"), blocks(F.col("n") - F.col("top.n")).alias("others"))
+    salt = lambda n: F.pmod(F.xxhash64("key", "bucket"), F.col(n)).cast("int")
+    rest = members.join(split, "bucket")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    other = rest.where("class <> main").withColumn("s", salt("others"))
+    other_other = other.withColumn("t", F.explode(upto("others"))).select("bucket", F.lit(False).alias("main"), F.least("s", "t").alias("s"), F.greatest("s", "t").alias("t"), "key", "class")
+    other_main = other.withColumn("t", F.explode(upto("mains"))).select("bucket", F.lit(True).alias("main"), "s", "t", "key", "class")
+    main_other = rest.where("class = main").withColumn("t", salt("mains")).withColumn("s", F.explode(upto("others"))).select("bucket", F.lit(True).alias("main"), "s", "t", "key", "class")
+    tasks = other_other.unionByName(other_main).unionByName(main_other).join(sets, "key")
 
     def search(group: pa.Table) -> pa.Table:
         keys = group.column("key").to_numpy()
         order = np.argsort(keys, kind="stable")
-        sets = [np.frombuffer(b, np.uint64) for b in group.column("own").to_pylist()]
-        labels = settle([sets[k] for k in order.tolist()], config)
-        keys = keys[order]
-        return pa.table({"key": pa.array(keys), "root": pa.array(keys[labels])})
+        own = group.column("own").to_pylist()
+        links = settle([np.frombuffer(own[k], np.uint64) for k in order.tolist()], group.column("class").to_numpy()[order], config)
+        pairs = keys[order][np.array(links, np.int64).reshape(-1, 2)]
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    settled = own.join(wanted.select("key", "root"), "key").groupBy("root").applyInArrow(search, "key long, root long")
-    labelled = cut(prints.select("key", "least").join(settled, "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")))
+    return tasks.groupBy("bucket", "main", "s", "t").applyInArrow(search, "a long, b long")
+
+
+def components_of(docs: DataFrame, rows: DataFrame, config: ShingleConfig) -> DataFrame:
+    """(key, component_id) for the sketched ``rows`` of ``docs``."""
+    prints = cut(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.any_value("buckets").alias("buckets"), F.any_value("fp").alias("fp")))
+    trees = connected(fingerprint_links(prints.select("fp").distinct(), SimHashConfig(words=config.words)))
+    near = prints.select("key", "fp").join(trees.withColumnRenamed("node", "fp"), "fp", "left").select("key", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("bucket"))
+    held = prints.select("key", F.explode("buckets").alias("bucket")).unionByName(near)
+    sizes = held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("hub"), F.bit_xor(F.xxhash64("key")).alias("mark")).where("n > 1")
+    # Of buckets with the same members one is enough.
+    sizes = sizes.groupBy("hub", "n", "mark").agg(F.min("bucket").alias("bucket"))
+    members = cut(held.join(sizes.select("bucket", "hub"), "bucket").select("bucket", "hub", "key"))
+    wanted = prints.join(members.select("key").distinct(), "key").select("key", "least")
+    # One row stands for each set: the one of its least doc_id, or any where none has one.
+    named = docs.join(wanted.where("least is not null").select(F.col("least").alias("wanted_id")).distinct(), F.col("doc_id").cast("long") == F.col("wanted_id"), "left_semi")
+    own = _sets(named.select("text").unionByName(docs.where("doc_id is null").select("text")), config).join(wanted.select("key"), "key", "left_semi")
+    own = cut(own.dropDuplicates(["key"]))
+    stars = members.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    classes = connected(_verified(stars, own, config))
+    labelled = members.join(classes.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("class"))
+    more = _between_classes(labelled, own, config)
+    roots = connected(classes.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more))
+    labelled = cut(prints.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")))
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     return labelled.join(ids, "root").select("key", "component_id")
 

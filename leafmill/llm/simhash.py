@@ -62,12 +62,15 @@ def fingerprint(text: str, words: int = 3) -> int:
     lengths = np.fromiter(map(len, parts), np.int64, n)
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: n - words + 1].tolist()
-    total, count = np.zeros(64, np.int64), n - words + 1
-    stops = ends[words - 1 :].tolist()
-    for a in range(0, count, 1 << 15):  # bounds the bit matrix of very long texts
-        hashes = np.array([xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts[a : a + (1 << 15)], stops[a : a + (1 << 15)])], "<u8")
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > count, bitorder="little").tobytes(), "little")
+    return majority(np.array([xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, ends[words - 1 :].tolist())], "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have set."""
+    total = np.zeros(64, np.int64)
+    for a in range(0, len(hashes), 1 << 15):  # bounds the bit matrix of very long texts
+        total += np.unpackbits(hashes[a : a + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * total > len(hashes), bitorder="little").tobytes(), "little")
 
 
 def with_fingerprints(docs: DataFrame, config: SimHashConfig | None = None) -> DataFrame:
