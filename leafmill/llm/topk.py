@@ -1,8 +1,8 @@
 """Exact top-k inner products by the threshold algorithm over sorted per-dimension lists.
 
-Candidates are dealt into blocks and so are the queries; a task holds one block of
-each, sorts the candidate block once per dimension and answers its queries one by
-one. A query reads all lists in step, each from the end that its own sign prefers;
+Candidates are dealt into blocks, each of which stays in one task while the queries
+stream past it: the block is sorted once per dimension and each query is answered on
+its own. A query reads all lists in step, each from the end that its own sign prefers;
 rows met for the first time are scored in full. Once no unseen row can reach the
 kth best score - the sum of the lists' current contributions lies below it - the
 query stops. Ties are kept by going on while the bound equals the kth score. Block
@@ -11,6 +11,8 @@ results, at most k a query, are merged by a ranked window.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -19,13 +21,14 @@ from pyspark.sql import functions as F
 from leafmill.runtime import cut, ship_package
 
 FOUND = "query_id long, vec_id long, score long"
+LEAST, MOST = -(2**63), 2**63 - 1
 
 
 def quantized(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, v): floor(scale * component) of the usable vectors."""
+    """(vec_id, v): floor(scale * component) of the usable vectors, held at the ends of a long."""
     x = F.transform("embedding", lambda c: c.cast("double"))
     usable = "vec_id is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, c -> c is null or isnan(c) or abs(c) = double('infinity'))"
-    return vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("int")).alias("v"))
+    return vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v"))
 
 
 class SortedLists:
@@ -34,14 +37,18 @@ class SortedLists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest_query: int):
         keep = np.argsort(ids, kind="stable")
         self.ids, vectors = ids[keep], vectors[keep]
-        largest = float(np.abs(vectors).max(initial=1)) * max(1, largest_query) * max(1, vectors.shape[1])
-        # The narrowest type in which every inner product of such numbers is exact.
-        self.kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else np.int64
+        largest = float(np.abs(vectors.astype(np.float64)).max(initial=1)) * max(1.0, float(largest_query)) * max(1, vectors.shape[1])
+        # The narrowest type in which every inner product of such numbers is exact; object stands for Python's integers.
+        self.kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
         self.vectors = np.ascontiguousarray(vectors.astype(self.kind))
         self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32).copy()
         self.sorted = np.sort(vectors, axis=0).T.copy()
         self.reads = 0
 
+    def _products(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        found = self.vectors[rows] @ query
+        return np.clip(found, LEAST, MOST).astype(np.int64) if self.kind is object else found.astype(np.int64)
+
     def search(self, query_id: int, query: np.ndarray, k: int, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and scores of the k best, by score and then by smaller id; rows of the query's own id are left out."""
         n = len(self.ids)
@@ -68,75 +75,106 @@ class SortedLists:
                 seen |= hit
                 left -= len(fresh)
                 rows = np.concatenate([best_rows, fresh])
-                scores = np.concatenate([best, (self.vectors[fresh] @ typed).astype(np.int64)])
+                scores = np.concatenate([best, self._products(fresh, typed)])
                 if len(rows) > k:
                     # Rows are in ascending id order in both parts; ties at the kth score go to the smaller ids.
-                    order = np.lexsort((rows, -scores))[:k]
+                    order = np.lexsort((rows, ~scores))[:k]
                     rows, scores = rows[order], scores[order]
                 best_rows, best = rows, scores
             if until >= n:
                 break
             if len(best) >= k:
-                bound = int(self.sorted[up, n - until] @ query[up]) + int(self.sorted[down, until - 1] @ query[down])
-                if bound < best.min():
+                wide = object if self.kind is object else np.int64
+                bound = int(self.sorted[up, n - until].astype(wide) @ query[up].astype(wide)) + int(self.sorted[down, until - 1].astype(wide) @ query[down].astype(wide))
+                if min(bound, MOST) < best.min():
                     break
             depth, until = until, min(n, 2 * until)
-        order = np.lexsort((best_rows, -best))[:k]
+        order = np.lexsort((best_rows, ~best))[:k]
         return best_rows[order], best[order]
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: int = 1024, candidate_block: int = 16384) -> DataFrame:
+def _widths(lists: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(row numbers, matrix) for every length of the lists."""
+    sizes = lists.value_lengths().to_numpy()
+    out = []
+    for width in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == width)
+        out.append((rows, lists.take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), width)))
+    return out
+
+
+class _Block:
+    """One candidate block while it grows, then its sorted lists by vector length."""
+
+    def __init__(self, largest_query: float):
+        self.largest_query, self.parts, self.lists = largest_query, {}, None
+
+    def add(self, ids: np.ndarray, vectors: pa.ListArray) -> None:
+        for rows, matrix in _widths(vectors):
+            self.parts.setdefault(matrix.shape[1], []).append((ids[rows], matrix))
+
+    def answer(self, ids: np.ndarray, queries: pa.ListArray, k: int) -> pa.RecordBatch:
+        if self.lists is None:
+            self.lists = {w: SortedLists(np.concatenate([i for i, _ in own]), np.concatenate([m for _, m in own]), self.largest_query) for w, own in self.parts.items()}
+            self.parts = {}
+        found = [[np.zeros(0, np.int64)] * 3]
+        for rows, matrix in _widths(queries):  # vectors of different lengths have no inner product
+            lists = self.lists.get(matrix.shape[1])
+            for query_id, query in zip(ids[rows].tolist(), matrix) if lists else ():
+                best, scores = lists.search(query_id, query, k)
+                found.append([np.full(len(best), query_id), lists.ids[best], scores])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found)], ["query_id", "vec_id", "score"])
+
+
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: int = 1024, candidate_block: int = 65536) -> DataFrame:
     """query_id, rank, vec_id, score of every query's k best candidates.
 
-    Both frames are (vec_id, v) as ``quantized`` gives them. Block counts follow the
-    row counts; blocks are dealt by hash of vec_id and a serial salt, so that neither
-    repeated ids nor repeated vectors can fill one block.
+    Both frames are (vec_id, v) as ``quantized`` gives them. Rows are dealt by hash of
+    vec_id and a serial salt, so that neither repeated ids nor repeated vectors can fill
+    one block. A candidate is shuffled once; only while there are fewer candidate blocks
+    than cores is it copied for several groups of queries, of ``query_block`` or more.
     """
     spark = candidates.sparkSession
     ship_package(spark)
     queries, candidates = cut(queries), cut(candidates)
-    n_queries, n_rows = queries.count(), candidates.count()
-    q_blocks, c_blocks = max(1, -(-n_queries // query_block)), max(1, -(-n_rows // candidate_block))
+    n_rows, cores = candidates.count(), spark.sparkContext.defaultParallelism
+    n_queries, largest = queries.agg(F.count("*"), F.max(F.array_max(F.transform("v", lambda c: F.abs(c.cast("double")))))).first()
+    c_blocks = max(1, -(-n_rows // candidate_block))
+    groups = max(1, min(-(-n_queries // query_block), -(-cores // c_blocks)))
     deal = F.monotonically_increasing_id()  # ids of the checkpointed rows: the same on every attempt
-    q = queries.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", deal), F.lit(q_blocks)).cast("int").alias("qb"))
-    q = q.select(F.lit(True).alias("asks"), "vec_id", "v", "qb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("cb"))
-    c = candidates.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", deal), F.lit(c_blocks)).cast("int").alias("cb"))
-    c = c.select(F.lit(False).alias("asks"), "vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"), "cb")
-
-    def search(group: pa.Table) -> pa.Table:
-        asks = group.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        ids = group.column("vec_id").to_numpy()
-        lists = group.column("v").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        out_q, out_r, out_s = [], [], []
-        for width in np.unique(sizes):  # vectors of different lengths have no inner product
-            of = np.flatnonzero(sizes == width)
-            flat = np.concatenate([lists[int(i)].values.to_numpy(zero_copy_only=False) for i in of]) if len(np.unique(sizes)) > 1 else lists.values.to_numpy(zero_copy_only=False)
-            vectors = flat.reshape(-1, width).astype(np.int64)
-            own_asks, own_ids = asks[of], ids[of]
-            if own_asks.all() or not own_asks.any():
-                continue
-            block = SortedLists(own_ids[~own_asks], vectors[~own_asks], int(np.abs(vectors[own_asks]).max()))
-            for query_id, query in zip(own_ids[own_asks].tolist(), vectors[own_asks]):
-                rows, scores = block.search(query_id, query, k)
-                out_q.append(np.full(len(rows), query_id))
-                out_r.append(block.ids[rows])
-                out_s.append(scores)
-        join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-        return pa.table({"query_id": join(out_q), "vec_id": join(out_r), "score": join(out_s)})
-
-    found = q.unionByName(c).groupBy("qb", "cb").applyInArrow(search, FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    spread = lambda n: F.pmod(F.xxhash64("vec_id", deal), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select("vec_id", "v", F.lit(True).alias("asks"), spread(groups).alias("qg")).withColumn("cb", every(c_blocks))
+    c = candidates.select("vec_id", "v", F.lit(False).alias("asks"), spread(c_blocks).alias("cb")).withColumn("qg", every(groups))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, at = None, None
+        for batch in batches:
+            place = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1, 2)], 1)
+            turns = np.append(np.flatnonzero((np.diff(place, axis=0, prepend=place[:1] - 1) != 0).any(1)), len(place)).tolist()
+            for a, b in zip(turns[:-1], turns[1:]):
+                if tuple(place[a, :2].tolist()) != at:
+                    block, at = _Block(largest), tuple(place[a, :2].tolist())
+                ids, vectors = batch.column(3).to_numpy()[a:b], batch.column(4).slice(a, b - a)
+                if not place[a, 2]:
+                    block.add(ids, vectors)
+                    continue
+                for first in range(0, b - a, 1024):
+                    yield block.answer(ids[first : first + 1024], vectors.slice(first, 1024), k)
+
+    order = ["cb", "qg", "asks"]
+    tasks = q.select(*order, "vec_id", "v").unionByName(c.select(*order, "vec_id", "v")).repartition(c_blocks * groups, "cb", "qg").sortWithinPartitions(*order)
+    found = tasks.mapInArrow(search, FOUND)
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def top_k_of_table(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """Top k of the rows whose vec_id is divisible by ``every``, against all rows but those of their own vec_id.
 
     Defined cases: vectors that are null, empty or hold null, NaN or infinite
-    components and rows without a vec_id take no part; repeated (vec_id, vector) rows
-    count once; fewer than k candidates give as many rows; vectors of another length
+    components and rows without a vec_id take no part; components and scores beyond a
+    long are held at its ends; repeated (vec_id, vector) rows count once; fewer than k candidates give as many rows; vectors of another length
     than the query's are no candidates; an empty table gives no rows; other columns
     are ignored.
     """
