@@ -8,17 +8,23 @@ must reach is calibrated from that: the largest one that pairs at the threshold
 still reach with probability ``recall``. Pairs that reach it are verified by cosine in
 double precision.
 
-Work is dealt by label and by cells on the first two projections, as wide as their
-windows, so partners lie in the same or in neighbouring cells. A crowded cell is cut
-into salted blocks and tasks are pairs of blocks: no task holds more than two blocks,
-whatever one label or one group of copies holds. A task reports each vector's number
-of partners and a spanning forest of the links, never the pairs.
+Vectors with equal labels and equal directions are collapsed first and count by their
+number. The rest is dealt by label, length and the signs of ``bits`` more projections;
+``bits`` grows with the logarithm of a label's size, so that a cell holds about one
+block, and as many tables of such cells are made as it takes to bring a pair at the
+threshold into one cell with probability ``1 - loss``. Work and shuffled rows thus grow
+with the rows times the number of tables, not with the square of a label. A pair counts in
+the first table that brings it together. A crowded cell is cut into salted blocks and
+tasks are pairs of blocks: no task holds more than two blocks, whatever one label or
+one group of near copies holds. A task reports each vector's number of partners and a
+spanning forest of the links, never the pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from math import comb, erf, sqrt
+from math import acos, ceil, comb, erf, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +41,12 @@ class CollisionConfig:
     projections: int = 24
     #: Half-width of the counted windows, in deviations of a pair at the threshold.
     window: float = 2.0
-    #: Half-width of the routing windows; each misses such a pair with probability 0.0005.
+    #: Half-width of the window within which pairs are counted at all; it misses such a pair with probability 0.0005.
     routing: float = 3.5
     recall: float = 0.999
+    #: Probability that no table of cells brings such a pair together.
+    loss: float = 0.0005
+    most_bits: int = 20
     block: int = 2048
     seed: int = 11
 
@@ -54,130 +63,151 @@ class CollisionConfig:
             tail += comb(m, count) * p**count * (1 - p) ** (m - count)
         return count
 
+    def tables(self, bits: int) -> int:
+        """How many tables of ``bits`` signs a pair at the threshold needs."""
+        together = (1 - acos(self.cosine) / pi) ** bits
+        return 1 if together >= 1 else ceil(log(self.loss) / log(1 - together))
+
 
 def directions(width: int, config: CollisionConfig) -> np.ndarray:
-    """Two routing directions, then the counted ones; fixed by the seed."""
+    """Two leading directions, of which the first one orders a block, then the counted ones; fixed by the seed."""
     return np.random.default_rng(config.seed).standard_normal((2 + config.projections, width))
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-
-
-def collide(left: np.ndarray, right: np.ndarray, config: CollisionConfig) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i of left, j of right) whose windows collide often enough and whose cosine verifies."""
-    axes = directions(left.shape[1], config)[2:].T
-    p_left, p_right = (left @ axes).astype(np.float32), (right @ axes).astype(np.float32)
-    half, least = np.float32(config.window * config.deviation), config.least_count
-    n = len(right)
-    orders = np.argsort(p_right, axis=0, kind="stable")
-    ranked = np.take_along_axis(p_right, orders, axis=0)
-    found_i, found_j = [], []
-    step = max(1, (1 << 21) // max(1, n))
-    for a in range(0, len(left), step):
-        own = p_left[a : a + step]
+def sign_codes(units: np.ndarray, config: CollisionConfig, tables: int) -> np.ndarray:
+    """One integer of ``most_bits`` signs for each row and table."""
+    planes = np.random.default_rng(config.seed + 1).standard_normal((units.shape[1], config.tables(config.most_bits), config.most_bits))[:, :tables]
+    signs = (units @ planes.reshape(units.shape[1], -1)).reshape(len(units), tables, config.most_bits) > 0
+    return signs @ (1 << np.arange(config.most_bits, dtype=np.int64))
+
+
+def collide(left: np.ndarray, right: np.ndarray, config: CollisionConfig) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i of left, j of right), in parts, whose windows collide often enough and whose cosine verifies."""
+    axes = directions(left.shape[1], config)
+    half, least, reach = np.float32(config.window * config.deviation), config.least_count, config.routing * config.deviation
+    # Both sides in the order of the leading projection: a run of left rows meets a run of right ones.
+    lead_left, lead_right = left @ axes[0], right @ axes[0]
+    by_left, by_right = np.argsort(lead_left, kind="stable"), np.argsort(lead_right, kind="stable")
+    lead_left, lead_right = lead_left[by_left], lead_right[by_right]
+    p_left, p_right = (left[by_left] @ axes[2:].T).astype(np.float32), (right[by_right] @ axes[2:].T).astype(np.float32)
+    for a in range(0, len(left), 256):
+        own = p_left[a : a + 256]
         m = len(own)
+        first, until = np.searchsorted(lead_right, [lead_left[a] - reach, lead_left[a + m - 1] + reach])
+        part = p_right[first:until]
+        n = len(part)
+        if not n:
+            continue
+        orders = np.argsort(part, axis=0, kind="stable")
         count = np.zeros(m * n, np.uint8)
         for k in range(own.shape[1]):
-            low = np.searchsorted(ranked[:, k], own[:, k] - half, "left")
-            sizes = np.searchsorted(ranked[:, k], own[:, k] + half, "right") - low
+            ranked = part[orders[:, k], k]
+            low = np.searchsorted(ranked, own[:, k] - half, "left")
+            sizes = np.searchsorted(ranked, own[:, k] + half, "right") - low
             ends = np.cumsum(sizes)
             at = np.repeat(low - (ends - sizes), sizes) + np.arange(int(ends[-1]))
             # Within one projection a pair collides once at most, so plain indexed addition is enough.
             count[orders[at, k] + np.repeat(np.arange(m) * n, sizes)] += 1
         hit = np.flatnonzero(count >= least)
-        i, j = hit // n + a, hit % n
+        i, j = by_left[hit // n + a], by_right[hit % n + first]
         for b in range(0, len(i), 1 << 16):
             ib, jb = i[b : b + (1 << 16)], j[b : b + (1 << 16)]
             good = np.einsum("ij,ij->i", left[ib], right[jb]) >= config.cosine
-            found_i.append(ib[good])
-            found_j.append(jb[good])
-    empty = np.zeros(0, np.int64)
-    return (np.concatenate(found_i), np.concatenate(found_j)) if found_i else (empty, empty)
+            yield ib[good], jb[good]
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least row of every component after the links (i, j)."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        new = np.arange(len(root))
+        np.minimum.at(new, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            jump = new[new]
+            if (jump == new).all():
+                break
+            new = jump
+        root = new[root]
 
 
 def links(vectors: DataFrame, config: CollisionConfig | None = None) -> DataFrame:
     """Rows (vec_id, partners, other): a part of a vector's number of partners, and a vector it is tied to.
 
-    ``vectors`` is (label, vec_id, unit), unit of one length throughout, vec_id unique.
+    ``vectors`` is (label, vec_id, unit, weight), vec_id unique; a partner counts ``weight`` times.
     """
     config = config or CollisionConfig()
-    spark = vectors.sparkSession
-    ship_package(spark)
-    first = vectors.select(F.size("unit").alias("n")).first()
-    if first is None:
-        return spark.createDataFrame([], "vec_id long, partners long, other long")
-    width = first.n
-    axes = directions(width, config)
-    cell = config.routing * config.deviation
-
-    def along(k: int):
-        axis = F.array(*[F.lit(float(x)) for x in axes[k]])
-        return F.floor(F.aggregate(F.zip_with("unit", axis, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) / cell).cast("int")
-
-    placed = cut(vectors.select("label", "vec_id", "unit", along(0).alias("c0"), along(1).alias("c1")))
-    sizes = placed.groupBy("label", "c0", "c1").agg(F.ceil(F.count("*") / config.block).cast("int").alias("blocks"))
-    # A cell and the half of its neighbours that comes after it; the other half looks here itself.
-    forward = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
-    pairs = sizes.select("label", "c0", "c1", "blocks", F.explode(forward).alias("f"))
-    pairs = pairs.select("label", "c0", "c1", "blocks", (F.col("c0") + F.col("f.x")).alias("d0"), (F.col("c1") + F.col("f.y")).alias("d1"))
-    other = sizes.select("label", F.col("c0").alias("d0"), F.col("c1").alias("d1"), F.col("blocks").alias("others"))
-    pairs = pairs.join(other, ["label", "d0", "d1"])
-    same = (F.col("c0") == F.col("d0")) & (F.col("c1") == F.col("d1"))
-    mine = pairs.select("label", "c0", "c1", "d0", "d1", same.alias("same"), "blocks", "others")
-    salt = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
-    # As the first of a pair: one task for every block of the other cell (for the cell itself, of blocks not before mine).
-    as_first = placed.join(mine, ["label", "c0", "c1"]).withColumn("s", salt(F.col("blocks")))
-    as_first = as_first.select(
-        "label", "c0", "c1", "d0", "d1", "same", "s", F.explode(F.sequence(F.when(F.col("same"), F.col("s")).otherwise(0), F.col("others") - 1)).alias("t"), "vec_id", "unit", F.lit(True).alias("first")
-    )
-    theirs = mine.select("label", F.col("c0").alias("e0"), F.col("c1").alias("e1"), F.col("d0").alias("c0"), F.col("d1").alias("c1"), "same", "blocks", "others")
-    as_second = placed.join(theirs, ["label", "c0", "c1"]).withColumn("t", salt(F.col("others"))).where("not same or t > 0")
-    as_second = as_second.select(
-        "label", F.col("e0").alias("c0"), F.col("e1").alias("c1"), F.col("c0").alias("d0"), F.col("c1").alias("d1"), "same",
-        F.explode(F.sequence(F.lit(0), F.when(F.col("same"), F.col("t") - 1).otherwise(F.col("blocks") - 1))).alias("s"), "t", "vec_id", "unit", F.lit(False).alias("first"),
-    )
+    ship_package(vectors.sparkSession)
+    vectors = vectors.withColumn("width", F.size("unit"))
+    counts = vectors.groupBy("label", "width").agg(F.count("*").alias("n"))
+    bits = F.least(F.lit(config.most_bits), F.ceil(F.log2(F.col("n") / config.block)))
+    counts = counts.select("label", "width", F.greatest(F.lit(0), bits).cast("int").alias("bits"))
+    tables_of = [config.tables(b) for b in range(config.most_bits + 1)]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            kinds = np.stack([whole.column(k).to_numpy(zero_copy_only=False) for k in (4, 5)], 1).astype(np.int64)
+            for width, bits in np.unique(kinds, axis=0).tolist():
+                batch = whole.filter(pa.array((kinds == (width, bits)).all(1)))
+                tables = tables_of[bits]
+                codes = sign_codes(_matrix(batch.column(2)), config, tables) & ((1 << bits) - 1)
+                lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, tables, dtype=np.int32), pa.array(codes.ravel().astype(np.int32)))
+                for t in range(tables):
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns[:5], pa.array(np.full(len(codes), t, np.int32)), pa.array(codes[:, t].astype(np.int32)), lists],
+                        ["label", "vec_id", "unit", "weight", "width", "table", "code", "codes"],
+                    )
+
+    rows = vectors.join(counts, ["label", "width"]).select("label", "vec_id", "unit", "weight", "width", "bits")
+    placed = cut(rows.mapInArrow(deal, "label string, vec_id long, unit array<double>, weight long, width int, table int, code int, codes array<int>"))
+    cell = ["label", "width", "table", "code"]
+    # Under one crowded cell to a block of rows, so this side stays small beside the other.
+    crowded = placed.groupBy(cell).agg(F.ceil(F.count("*") / config.block).cast("int").alias("blocks")).where("blocks > 1")
+    tasks = placed.join(crowded, cell, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    tasks = tasks.withColumn("own", F.pmod(F.xxhash64("vec_id", "table"), F.col("blocks")).cast("int"))
+    tasks = tasks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = tasks.select(*cell, F.least("own", "to").alias("s"), F.greatest("own", "to").alias("t"), "vec_id", "unit", "weight", "codes", (F.col("own") <= F.col("to")).alias("first"))
 
     def search(group: pa.Table) -> pa.Table:
-        ids = group.column("vec_id").to_numpy()
-        units = _matrix(group.column("unit"), width)
+        ids, weights = group.column("vec_id").to_numpy(), group.column("weight").to_numpy().astype(np.float64)
+        units, table = _matrix(group.column("unit")), group.column("table")[0].as_py()
         is_first = group.column("first").to_numpy(zero_copy_only=False).astype(bool)
-        alone = group.column("same")[0].as_py() and group.column("s")[0].as_py() == group.column("t")[0].as_py()
+        alone = group.column("s")[0].as_py() == group.column("t")[0].as_py()
         left = np.flatnonzero(is_first)
         right = left if alone else np.flatnonzero(~is_first)
-        if not len(left) or not len(right):
-            return pa.table({"vec_id": pa.array([], pa.int64()), "partners": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
-        i, j = collide(units[left], units[right], config)
-        i, j = left[i], right[j]
-        if alone:
-            own = i != j
-            i, j = i[own], j[own]
-            partners = np.bincount(i, minlength=len(ids))
-        else:
-            partners = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-        root = np.arange(len(ids))
-        while True:  # least label over links, with jumps, until nothing moves
-            low = np.minimum(root[i], root[j])
-            new = root.copy()
-            np.minimum.at(new, root[i], low)
-            np.minimum.at(new, root[j], low)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
+        before = _matrix(group.column("codes"))[:, :table]
+        partners, root = np.zeros(len(ids)), np.arange(len(ids))
+        for i, j in collide(units[left], units[right], config) if len(left) and len(right) else ():
+            i, j = left[i], right[j]
+            fresh = (i != j) & ~(before[i] == before[j]).any(1)  # not met in an earlier table
+            i, j = i[fresh], j[fresh]
+            partners += np.bincount(i, weights[j], len(ids))
+            if not alone:
+                partners += np.bincount(j, weights[i], len(ids))
+            root = _merge(root, i, j)
         met = np.flatnonzero(partners)
         return pa.table({"vec_id": pa.array(ids[met]), "partners": pa.array(partners[met].astype(np.int64)), "other": pa.array(ids[root[met]])})
 
-    tasks = as_first.unionByName(as_second)
-    return tasks.groupBy("label", "c0", "c1", "d0", "d1", "s", "t").applyInArrow(search, "vec_id long, partners long, other long")
+    return tasks.groupBy(*cell, "s", "t").applyInArrow(search, "vec_id long, partners long, other long")
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(label, vec_id, unit) of the vectors that can link, one row per vec_id."""
     fine = "label is not null and vec_id is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, c -> c is null or isnan(c) or abs(c) = double('infinity'))"
     rows = vectors.where(fine).select(F.col("label").cast("string").alias("label"), F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: c.cast("double")).alias("x"))
-    rows = rows.withColumn("norm", F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))).where("norm > 0")
-    rows = rows.select("label", "vec_id", F.transform("x", lambda c: c / F.col("norm")).alias("unit"))
+    # Divided by the largest component first, so that no square overflows or vanishes; 0.0 is added as -0.0 is no other number.
+    rows = rows.withColumn("most", F.array_max(F.transform("x", lambda c: F.abs(c)))).where("most > 0")
+    rows = rows.select("label", "vec_id", F.transform("x", lambda c: c / F.col("most")).alias("x"))
+    rows = rows.withColumn("norm", F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c)))
+    rows = rows.select("label", "vec_id", F.transform("x", lambda c: c / F.col("norm") + 0.0).alias("unit"))
     return rows.groupBy("vec_id").agg(F.min(F.struct("label", "unit")).alias("r")).select("r.label", "vec_id", "r.unit")
 
 
@@ -187,14 +217,20 @@ def near_duplicates(vectors: DataFrame, config: CollisionConfig | None = None) -
     Defined cases: vectors that are null, empty, zero or hold null, NaN or infinite
     components, and rows without label or vec_id, link with nothing (a null vec_id has
     a null component and is not kept); rows that repeat a vec_id are one vector - the
-    least (label, vector) - and get equal answers; vectors must have one length; an
-    empty table gives no rows; other columns are ignored.
+    least (label, vector) - and get equal answers; vectors of different lengths do not
+    link; an empty table gives no rows; other columns are ignored.
     """
     config = config or CollisionConfig()
-    found = cut(links(usable(vectors), config))
-    degree = found.groupBy("vec_id").agg(F.sum("partners").alias("n_links"))
-    roots = connected(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    out = rows.join(degree, "vec_id", "left").join(roots.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-    component = F.coalesce("root", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
+    own = cut(usable(vectors))
+    # Equal vectors of a label are one, with a weight, so no group of copies is paired.
+    distinct = cut(own.groupBy("label", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight")))
+    copies = own.join(distinct.where("weight > 1").withColumnRenamed("vec_id", "first"), ["label", "unit"]).select("vec_id", "first", (F.col("weight") - 1).alias("same"))
+    found = cut(links(distinct, config))
+    degree = found.groupBy("vec_id").agg(F.sum("partners").alias("partners")).withColumnRenamed("vec_id", "first")
+    roots = connected(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "first")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(copies, "vec_id", "left")
+    rows = rows.select("vec_id", F.coalesce("first", "vec_id").alias("first"), F.coalesce("same", F.lit(0)).alias("same"))
+    out = rows.join(degree, "first", "left").join(roots, "first", "left")
+    component = F.coalesce("root", "first")
+    n_links = (F.col("same") + F.coalesce("partners", F.lit(0))).cast("long")
+    return out.select("vec_id", n_links.alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept"))
