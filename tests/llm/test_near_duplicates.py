@@ -193,3 +193,57 @@ def test_threshold_algorithm_stops_early():
     rows, scores = lists.search(-1, np.array([90, 1, 0]), 5)
     want = np.lexsort((np.arange(20_000), -(vectors @ [90, 1, 0])))[:5]
     assert rows.tolist() == want.tolist() and lists.reads < 2 * 20_000
+
+
+def test_embedding_dedup_of_lengths_copies_and_extremes(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((30, 8)).astype(np.float32)
+    rows = [(i, base[i].tolist(), 1) for i in range(30)] + [(100 + i, base[3].tolist(), 1) for i in range(50)] + [(200 + i, (base[3] * np.float32(4)).tolist(), 1) for i in range(5)]
+    rows += [(300, [1.0, 2.0], 1), (301, [1.0, 2.0], 1), (302, [2.0, 4.0], 2), (303, [1e30, 1e30], 3), (304, [1e-30, 1e-30], 3), (305, [1e38, 1e38], 3), (306, [-0.0, 1.0], 4), (307, [0.0, 1.0], 4)]
+    frame = spark.createDataFrame([(*r, "a", "b", 3) for r in rows], VECTORS)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(frame).collect()}
+    assert all(got[i] == (55, 3, i == 3) for i in (3, *range(100, 150), *range(200, 205)))
+    assert got[300] == (1, 300, True) and got[301] == (1, 300, False) and got[302] == (0, 302, True)
+    assert [got[i] for i in (303, 304, 305)] == [(2, 303, True), (2, 303, False), (2, 303, False)]
+    assert got[306] == (1, 306, True) and got[307] == (1, 306, False)
+
+
+def test_embedding_cells_count_each_pair_once(spark):
+    """Many small cells in many tables against one block: the same links, but for the stated loss."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((400, 32))
+    base = np.repeat(base, 4, axis=0) + 0.02 * rng.standard_normal((1600, 32))
+    frame = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(base.astype(np.float32))], "vec_id long, embedding array<float>, label int")
+    want = {tuple(r) for r in embedding_dedup.near_duplicates(frame, embedding_dedup.CollisionConfig(block=4096)).collect()}
+    got = {tuple(r) for r in embedding_dedup.near_duplicates(frame, embedding_dedup.CollisionConfig(block=50)).collect()}
+    assert embedding_dedup.CollisionConfig().tables(5) > 5 and len(want & got) >= 0.995 * len(want)
+    assert sum(r[1] for r in got) <= sum(r[1] for r in want)
+
+
+def test_crowded_buckets_are_settled_in_blocks(spark):
+    """Families of which no member is like all others, cut into blocks far smaller than a bucket."""
+    rng = random.Random(9)
+    rows = []
+    for family in range(3):
+        words = prose(700 + family, 300).split()
+        for k in range(40):
+            own = [f"x{rng.random()}" if rng.random() < 0.004 * (k % 7) else w for w in words]
+            rows.append((1000 * family + k, " ".join(own)))
+    own = {d: plain_shingles(t) for d, t in rows}
+    root = union(own, [(a, b) for a in own for b in own if a < b and len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b])])
+    for block in (3, 128):
+        got = shingle_dedup.near_duplicates(docs(spark, rows), shingle_dedup.ShingleConfig(block=block)).collect()
+        assert {r.doc_id: r.component_id for r in got} == root
+
+
+def test_top_k_of_extremes_and_lengths(spark):
+    rows = [(20, [1e9, 1.0]), (21, [1e9, -1e9]), (22, [3e38, 3e38]), (23, [-3e38, 1.0]), (24, [1e9, 5.0]), (40, [1.0, 2.0, 3.0]), (41, [1.0, 0.0, 0.0]), (60, [0.0, 0.0]), (61, [2.0, 2.0]), (80, [2e8, 2e8])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k_of_table(frame).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    clamp = lambda x: max(-(2**63), min(2**63 - 1, x))
+    own = {i: [clamp(int(np.floor(64 * x))) for x in e] for i, e in rows}
+    for q in (20, 40, 60, 80):
+        best = sorted((-clamp(sum(a * b for a, b in zip(own[q], v))), i) for i, v in own.items() if i != q and len(v) == len(own[q]))
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
