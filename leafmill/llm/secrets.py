@@ -2,9 +2,10 @@
 
 Base spans are the leftmost matches of three patterns in each whole text. Their values
 are hashed and counted over the corpus by distinct owners and repositories: a value
-that many owners hold in documents of their own is a copied example; one that looks
-random is a live-looking credential until then. Near copies of one document count as
-one document. Either verdict adds a span over the value; base spans stay.
+that many owners hold in documents of their own, none of them in more than half of
+the value's repositories, is a copied example; one that looks random is a live-looking
+credential until then; any other is plain. Near copies of one document count as one
+document. A live or an example verdict adds a span over the value; base spans stay.
 
 Positions come from splitting a text by its pattern: the gaps and the matches,
 measured in code points one after another, say where each match starts. Texts are
@@ -27,12 +28,15 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 LEAST_ASSIGN = 8
 KINDS = ("assign", "access", "hex", "live", "example")
+PLAIN, LIVE, EXAMPLE = -1, 3, 4
+#: Matches of one text that are placed together.
+STEP = 512
 SPAN = "array<struct<start:int,ord:int,end:int,from:int,value:string>>"
 
 
 @dataclass(frozen=True)
 class OwnershipConfig:
-    #: An example belongs to so many owners, repositories and documents at least.
+    #: An example belongs to so many owners and documents at least.
     example_owners: int = 3
     #: Live-looking values have so many characters, a digit and so many distinct characters.
     live_length: int = 16
@@ -41,30 +45,36 @@ class OwnershipConfig:
     hashes: int = 9
 
 
+def _quoted(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _spans(text: str, pattern: str, kind: int, value_group: int, least_value: int) -> str:
-    """SQL: the pattern's matches in ``text`` as spans whose value (a group at the match's end) is long enough."""
-    quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    return f"""
-      filter(aggregate(
-        arrays_zip(
-          slice(split({text}, '{quoted}', -1), 1, size(regexp_extract_all({text}, '{quoted}', 0))),
-          regexp_extract_all({text}, '{quoted}', 0),
-          regexp_extract_all({text}, '{quoted}', {value_group})),
-        named_struct('at', 0, 'out', cast(array() as {SPAN})),
-        (acc, x) -> named_struct(
-          'at', acc.at + length(x.`0`) + length(x.`1`),
-          'out', array_append(acc.out, named_struct(
-            'start', acc.at + length(x.`0`), 'ord', {kind}, 'end', acc.at + length(x.`0`) + length(x.`1`),
-            'from', acc.at + length(x.`0`) + length(x.`1`) - length(x.`2`), 'value', x.`2`))),
-        acc -> acc.out), s -> length(s.value) >= {least_value})"""
+    """SQL: the pattern's matches in ``text`` as spans whose value (a group at the match's end) is long enough.
+
+    Matches are taken ``STEP`` at a time: the sums of the steps say where each one begins,
+    so a text of many matches costs no more than in proportion.
+    """
+    quoted = _quoted(pattern)
+    all_ = f"regexp_extract_all({text}, '{quoted}', 0)"
+    zipped = f"arrays_zip(slice(split({text}, '{quoted}', -1), 1, size({all_})), {all_}, regexp_extract_all({text}, '{quoted}', {value_group}))"
+    found = f"transform({zipped}, x -> named_struct('gap', length(x.`0`), 'size', length(x.`1`), 'value', x.`2`))"
+    # transform(array(x), y -> ...)[0] gives x a name, so that it is computed once.
+    steps = f"transform(array({found}), f -> transform(filter(sequence(0, size(f)), i -> i % {STEP} = 0 and i < size(f)), i -> slice(f, i + 1, {STEP})))[0]"
+    sums = "transform(steps, step -> aggregate(step, 0, (n, x) -> n + x.gap + x.size))"
+    firsts = f"aggregate({sums}, named_struct('at', 0, 'out', cast(array() as array<int>)), (acc, n) -> named_struct('at', acc.at + n, 'out', array_append(acc.out, acc.at)), acc -> acc.out)"
+    end = "acc.at + x.gap + x.size"
+    span = f"named_struct('start', acc.at + x.gap, 'ord', {kind}, 'end', {end}, 'from', {end} - length(x.value), 'value', x.value)"
+    each = f"aggregate(part, named_struct('at', base, 'out', cast(array() as {SPAN})), (acc, x) -> named_struct('at', {end}, 'out', array_append(acc.out, {span})), acc -> acc.out)"
+    spans = f"transform(array({steps}), steps -> flatten(zip_with(steps, {firsts}, (part, base) -> {each})))[0]"
+    return f"filter({spans}, s -> length(s.value) >= {least_value})"
 
 
 def base_spans(text: str = "text") -> Column:
     """All base spans of a text, by start and then kind; an empty array where there are none."""
     some = []
     for pattern, kind, group, least in ((ASSIGN, 0, 2, LEAST_ASSIGN), (ACCESS, 1, 0, 1), (HEX, 2, 0, 1)):
-        quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-        some.append(f"if({text} rlike '{quoted}', {_spans(text, pattern, kind, group, least)}, cast(array() as {SPAN}))")
+        some.append(f"if({text} rlike '{_quoted(pattern)}', {_spans(text, pattern, kind, group, least)}, cast(array() as {SPAN}))")
     return F.expr(f"array_sort(concat({', '.join(some)}))")
 
 
@@ -85,17 +95,17 @@ def _with_sketch(rows: DataFrame, text: str, config: OwnershipConfig) -> DataFra
 
 
 def verdicts(candidates: DataFrame, config: OwnershipConfig) -> DataFrame:
-    """(digest, verdict) of the values in ``candidates`` (digest, owner, repository, sketch, random)."""
+    """(digest, owners, repositories, verdict) of every value in ``candidates`` (digest, owner, repository, sketch, random)."""
     # Distinct rows first: a value that a third of all rows copy is combined before the shuffle.
     holders = candidates.select("digest", "random", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository")).distinct()
     owners = holders.groupBy("digest", "random", "owner").agg(F.count("*").alias("repositories"))
-    counted = owners.groupBy("digest").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.max("random").alias("random"))
+    counted = owners.groupBy("digest").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.max("repositories").alias("most"), F.max("random").alias("random"))
     # Each hash tells documents apart, near copies mostly not; the median over the hashes is the number of documents.
     apart = candidates.select("digest", F.posexplode("sketch").alias("k", "least")).distinct().groupBy("digest", "k").agg(F.count("*").alias("n"))
     documents = apart.groupBy("digest").agg(F.sort_array(F.collect_list("n"))[config.hashes // 2].alias("documents"))
     counted = counted.join(documents, "digest")
-    example = F.least("owners", "repositories", "documents") >= config.example_owners
-    return counted.select("digest", "owners", "repositories", F.when(example, 4).when(F.col("random"), 3).alias("verdict")).where("verdict is not null")
+    example = (F.least("owners", "documents") >= config.example_owners) & (2 * F.col("most") <= F.col("repositories"))
+    return counted.select("digest", "owners", "repositories", F.when(example, EXAMPLE).when(F.col("random"), LIVE).otherwise(PLAIN).alias("verdict"))
 
 
 def _looks_random(value: Column, config: OwnershipConfig) -> Column:
@@ -106,7 +116,7 @@ def added_spans(scanned: DataFrame, config: OwnershipConfig) -> DataFrame:
     """(row, added) for rows (row, owner, repository, sketch, base) that hold at least one value with a verdict."""
     each = scanned.select("row", "owner", "repository", "sketch", F.explode("base").alias("s"))
     each = each.select("row", "owner", "repository", "sketch", F.sha2("s.value", 256).alias("digest"), _looks_random(F.col("s.value"), config).alias("random"), F.col("s.from").alias("start"), F.col("s.end").alias("end"))
-    judged = each.join(verdicts(each, config).select("digest", "verdict"), "digest")
+    judged = each.join(verdicts(each, config).where(F.col("verdict") != PLAIN).select("digest", "verdict"), "digest")
     span = F.struct(F.col("start"), F.col("verdict").alias("ord"), F.col("end"))
     return judged.groupBy("row").agg(F.array_sort(F.collect_set(span)).alias("added"))
 
@@ -146,16 +156,16 @@ def scan(docs: DataFrame, owner: Column | None = None, repository: Column | None
 def redact(docs: DataFrame, mark: str = "[SECRET]", owner: Column | None = None, repository: Column | None = None, config: OwnershipConfig | None = None) -> DataFrame:
     """The documents with live-looking credentials replaced by ``mark`` and n_chars brought up to date.
 
-    Copied examples stay. All columns and rows are kept; a row that holds no base span
-    passes through untouched.
+    Copied examples and plain values stay. Defined cases: all columns and rows are kept,
+    whatever their names; a row that holds no base span, and so a null or empty text,
+    passes through untouched; repeated rows are treated alike; an empty table gives no rows.
     """
     config = config or OwnershipConfig()
     owner = F.col("source").cast("string") if owner is None else owner
     repository = F.concat_ws("/", F.col("source").cast("string"), F.col("lang").cast("string")) if repository is None else repository
     columns = docs.columns
     spans = base_spans("text")
-    quoted = [p.replace("\\", "\\\\").replace("'", "\\'") for p in (ASSIGN, ACCESS, HEX)]
-    suspect = F.expr("coalesce(" + " or ".join(f"text rlike '{q}'" for q in quoted) + ", false)")
+    suspect = F.expr("coalesce(" + " or ".join(f"text rlike '{_quoted(p)}'" for p in (ASSIGN, ACCESS, HEX)) + ", false)")
     whole = F.struct(*[docs[c] for c in columns])
     held = docs.where(suspect).select(F.monotonically_increasing_id().alias("row"), owner.alias("owner"), repository.alias("repository"), whole.alias("doc"), F.col("text").alias("scanned"), spans.alias("base"))
     held = cut(_with_sketch(held, "scanned", config))

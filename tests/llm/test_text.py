@@ -201,3 +201,22 @@ def test_blocks_agree_with_the_whole(spark, block):
         assert sum(r.cost for r in own) == pytest.approx(whole[conv].cost)
         assert legal("".join(x[0] for x in re.findall(r"<\|(\w+)\|>", text)))
         assert sum(r.n_turns for r in own) == whole[conv].n_turns
+
+
+def test_a_text_of_very_many_matches(spark):
+    rng = random.Random(6)
+    text = " ".join(f"{rng.getrandbits(128):032x}" + "é" * (k % 3) for k in range(64_000))
+    (got,) = secrets.scan(docs(spark, [(1, text)])).collect()
+    spans = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{32,}", text)]
+    assert got.n_hex == len(spans) == 64_000
+    assert got.base_sha256 == hashlib.sha256(",".join(f"hex:{a}:{b}" for a, b in spans).encode()).hexdigest()
+
+
+def test_a_value_that_one_owner_spreads_is_no_example(spark):
+    spread, shared = "Lk3Wq8ZtN5xVb2Rm", "Pp4Jd9YsC7uGh1Ee"
+    rows = [(70 + i, f"{prose(170 + i, 60)} token={spread}", f"l{i}", "src0" if i < 6 else f"src{i}") for i in range(8)]
+    rows += [(80 + i, f"{prose(180 + i, 60)} token={shared}", f"l{i % 2}", f"src{i // 2}") for i in range(8)]
+    got = {r.doc_id: (r.n_live, r.n_example) for r in secrets.scan(docs(spark, rows)).collect()}
+    assert got == {d: (1, 0) if d < 80 else (0, 1) for d, *_ in rows}
+    each = spark.createDataFrame([("d1", "a", "a/x", [1, 2, 3, 4, 5, 6, 7, 8, 9], False), ("d2", "a", "a/x", list(range(9)), True)], "digest string, owner string, repository string, sketch array<long>, random boolean")
+    assert {r.digest: r.verdict for r in secrets.verdicts(each, secrets.OwnershipConfig()).collect()} == {"d1": secrets.PLAIN, "d2": secrets.LIVE}
