@@ -1,4 +1,9 @@
-"""Corpus pipeline: quality filter, near-duplicate removal, secret redaction, packing."""
+"""Corpus pipeline: quality filter, near-duplicate removal, secret redaction, packing.
+
+Defined cases, for every stage: null and empty texts, very long ones, rows that repeat
+and rows without a doc_id are treated as the stage's operator says; an empty table gives
+no rows; the columns that operators do not know pass through, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leafmill.llm import packing, quality, secrets, shingle_dedup
 from leafmill.llm.queries import vocabulary
-from leafmill.runtime import table
+from leafmill.runtime import cut, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +48,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages one after another; each one's rows are written before the next reads them, which it does more than once."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = cut(docs)
     return docs
