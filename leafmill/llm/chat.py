@@ -6,11 +6,12 @@ automaton's states chooses, at least total cost, whether to keep or change its r
 to merge it into the turn before or to put one empty turn before it; an empty turn may
 also follow the last one.
 
-Conversations are split into blocks of ``block`` turn numbers, so none is ever held
-whole: for conversations of several blocks a first pass gives each block's cheapest
-cost between any two states (the program is a product of min-plus matrices), the few
-matrices of a conversation fix the states at the block bounds, and the second pass
-solves every block between its bounds.
+Conversations are split into blocks of ``block`` rows, so none is ever held whole,
+whatever its turn numbers: those of more rows are sorted over many tasks, which gives
+each row its rank. A first pass then gives each block's cheapest cost between any two
+states (the program is a product of min-plus matrices), the few matrices of a
+conversation fix the states at the block bounds, and the second pass solves every
+block between its bounds.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.runtime import ship_package
+from leafmill.runtime import cut, ship_package
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = 0, 1, 2, 3
@@ -167,35 +168,28 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tup
         yield key, rows
 
 
-def repair_conversations(turns: DataFrame, costs: RepairCosts | None = None, block: int = 4096) -> DataFrame:
-    """One row per conversation and block: cost, actions (k keep or relabel, m merge, i insert before), roles, rendered text.
+def _ranked(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` with the block of each row by its rank in its conversation; equal rows are told apart by their place."""
+    keys = ["conv_id", "turn", "role", "text", "place"]
+    ordered = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = cut(ordered.select("conv_id", "turn", "role", "text", F.spark_partition_id().alias("slice"), F.monotonically_increasing_id().alias("at")))
+    # One row per conversation and partition that it reaches into.
+    firsts = ordered.groupBy(F.col("conv_id").alias("long_id"), F.col("slice").alias("long_slice")).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("long_id").orderBy("long_slice").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    joined = ordered.join(firsts, F.col("conv_id").eqNullSafe(F.col("long_id")) & (F.col("slice") == F.col("long_slice")))
+    return joined.select("conv_id", "turn", "role", "text", F.floor((F.col("before") + F.col("at") - F.col("first")) / block).cast("long").alias("block"))
 
-    Conversations of up to ``block`` turn numbers are one row; the rendered texts of a
-    longer one's rows, by ``block``, follow one another. Defined cases: turns are taken
-    by turn number, then role, then text, null first; a null or unknown role is given
-    the cheapest one; null texts are empty; repeated rows are turns of their own; rows
-    whose conv_id is null form one conversation; a null turn number belongs to block 0;
-    an empty table gives no rows; other columns are ignored.
-    """
-    costs = costs or RepairCosts()
-    ship_package(turns.sparkSession)
-    rows = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.coalesce(F.floor(F.col("turn") / block).cast("long"), F.lit(0).cast("long")).alias("block"),
-        F.col("turn").cast("long").alias("turn"),
-        F.col("role").cast("string").alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    spans = rows.groupBy("conv_id").agg(F.min("block").alias("first"), F.max("block").alias("last")).where("first < last")
-    # Conversations of several blocks only; usually there are none.
-    long_rows = rows.join(spans.withColumnRenamed("conv_id", "long_id"), F.col("conv_id").eqNullSafe(F.col("long_id")), "left_semi")
+
+def _bounds(long_rows: DataFrame, costs: RepairCosts) -> DataFrame:
+    """The states in which every block of the long conversations is entered and left."""
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (conv, part), own in _blocks(batches):
             flat = [x for row in transfer([role_state(r[3]) for r in own], costs) for x in row]
             yield pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), pa.array([part], pa.int64()), pa.array([flat], pa.list_(pa.float64()))], ["conv_id", "block", "m"])
 
-    ordered = long_rows.drop("text").withColumn("text", F.lit("")).repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role")
+    ordered = long_rows.select("conv_id", "block", "turn", "role").repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role")
     transfers = ordered.mapInArrow(matrices, "conv_id long, block long, m array<double>")
 
     def bounds(group: pa.Table) -> pa.Table:
@@ -216,8 +210,36 @@ def repair_conversations(turns: DataFrame, costs: RepairCosts | None = None, blo
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("long_id", "part", "entry", "leave", "final"), columns, kinds)})
 
     # A conversation's matrices: sixteen numbers per block of turns.
-    plan = transfers.groupBy("conv_id").applyInArrow(bounds, "long_id long, part long, entry int, leave int, final boolean")
-    joined = rows.join(plan, F.col("conv_id").eqNullSafe(F.col("long_id")) & (F.col("block") == F.col("part")), "left")
+    return transfers.groupBy("conv_id").applyInArrow(bounds, "long_id long, part long, entry int, leave int, final boolean")
+
+
+def repair_conversations(turns: DataFrame, costs: RepairCosts | None = None, block: int = 4096) -> DataFrame:
+    """One row per conversation and block: cost, actions (k keep or relabel, m merge, i insert before), roles, rendered text.
+
+    Conversations of up to ``block`` rows are one row; the rendered texts of a longer
+    one's rows, by ``block``, follow one another. Defined cases: turns are taken
+    by turn number, then role, then text, null first; a null or unknown role is given
+    the cheapest one; null texts are empty; repeated rows are turns of their own; rows
+    whose conv_id is null form one conversation; an empty table gives no rows; other columns are ignored.
+    """
+    costs = costs or RepairCosts()
+    ship_package(turns.sparkSession)
+    rows = turns.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.col("role").cast("string").alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    of = F.col("conv_id").eqNullSafe(F.col("long_id"))
+    long_ones = cut(rows.groupBy(F.col("conv_id").alias("long_id")).agg(F.count("*").alias("n")).where(F.col("n") > block).select("long_id"))
+    if long_ones.isEmpty():
+        bounds_of = turns.sparkSession.createDataFrame([], "long_id long, part long, entry int, leave int, final boolean")
+        placed = rows.withColumn("block", F.lit(0).cast("long"))
+    else:
+        long_rows = _ranked(rows.join(long_ones, of, "left_semi"), block)
+        placed = rows.join(long_ones, of, "left_anti").withColumn("block", F.lit(0).cast("long")).unionByName(long_rows)
+        bounds_of = _bounds(long_rows, costs)
+    joined = placed.join(bounds_of, of & (F.col("block") == F.col("part")), "left")
     joined = joined.select("conv_id", "block", "turn", "role", "text", "entry", "leave", "final")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

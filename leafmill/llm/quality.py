@@ -121,7 +121,7 @@ def held_out(doc_id: Column, folds: int) -> Column:
 
 
 def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig) -> DataFrame | None:
-    """Sparse rows (doc_id, quality, slots, shares) of the bounded training sample, or None without usable labels.
+    """Sparse rows (doc_id, quality, slots, shares, mark) of the bounded training sample, or None without usable labels.
 
     The ids are fixed first, so only their texts leave the scan.
     """
@@ -147,12 +147,12 @@ def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig)
                 slots.append(at.astype(np.int32))
                 values.append((n * (scale / max(1, len(row)))).astype(np.float32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(slots, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-                ["doc_id", "quality", "slots", "shares"],
+                [batch.column(0), batch.column(1), pa.array(slots, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), batch.column(3)],
+                ["doc_id", "quality", "slots", "shares", "mark"],
             )
 
-    texts = docs.selectExpr("cast(doc_id as long) doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
-    return texts.mapInArrow(features, "doc_id long, quality int, slots array<int>, shares array<float>")
+    texts = docs.selectExpr("cast(doc_id as long) doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text", F.xxhash64("text").alias("mark"))
+    return texts.mapInArrow(features, "doc_id long, quality int, slots array<int>, shares array<float>, mark long")
 
 
 def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = None) -> np.ndarray:
@@ -174,8 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = Non
         values = shares.values.to_numpy()
         labels_of = group.column("quality").to_numpy()
         examples = []
-        for i in np.argsort(ids, kind="stable").tolist():
-            if ids[i] not in seen:  # of rows that repeat a doc_id one is fitted
+        marks = group.column("mark").to_numpy()
+        for i in np.lexsort((marks, ids)).tolist():
+            if ids[i] not in seen:  # of rows that repeat a doc_id the one with the least hash of its text is fitted
                 seen.add(ids[i])
                 part = slice(ends[i], ends[i + 1])
                 examples.append((at[part].astype(np.int64), values[part].astype(np.float64), int(labels_of[i])))
@@ -216,7 +217,12 @@ def scorer(spark: SparkSession, weights: np.ndarray, config: QualityConfig) -> C
 
 
 def accepted(docs: DataFrame, weights: np.ndarray, config: QualityConfig | None = None) -> DataFrame:
-    """The rows, with all their columns, whose score reaches the threshold."""
+    """The rows, with all their columns, whose score reaches the threshold.
+
+    Defined cases: null and empty texts have the score of the bias alone; repeated rows
+    stay or go together; rows without a doc_id are scored like any other; an empty table
+    gives no rows.
+    """
     config = config or QualityConfig()
     return docs.where(scorer(docs.sparkSession, weights, config)("text") >= config.threshold)
 

@@ -37,7 +37,8 @@ HALVES = (np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF))
 class SimHashConfig:
     words: int = 3
     radius: int = 3
-    #: Fingerprints that the routing levels are grown on: a hash sample of about this size.
+    #: Fingerprints that the routing levels are grown on: a hash sample of about this size. It bounds the shards
+    #: to some ten thousand a half; beyond, shards grow with the data, at nine bytes a fingerprint.
     sample: int = 60_000
     #: Shards are cut until their share of the sample stands for about so many fingerprints.
     shard: int = 6_000
@@ -165,22 +166,36 @@ class _Forest:
     """Links found so far among local rows, as labels; keeps one spanning link per merge."""
 
     def __init__(self, n: int):
-        self.parent = list(range(n))
+        self.label = np.arange(n)
         self.links: list[tuple[int, int]] = []
 
-    def root(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
     def join(self, left: np.ndarray, right: np.ndarray) -> None:
-        for i, j in zip(left.tolist(), right.tolist()):
-            a, b = self.root(i), self.root(j)
-            if a != b:
-                self.parent[max(a, b)] = min(a, b)
-                self.links.append((i, j))
+        """Take the links (left, right); only those between rows of different labels are looked at one by one."""
+        a, b = self.label[left], self.label[right]
+        apart = np.flatnonzero(a != b)
+        while len(apart):
+            # One link of every pair of labels; what it merges falls out of the rest at once.
+            _, firsts = np.unique(np.minimum(a[apart], b[apart]) * len(self.label) + np.maximum(a[apart], b[apart]), return_index=True)
+            merged: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while merged.get(x, x) != x:
+                    merged[x] = merged.get(merged[x], merged[x])
+                    x = merged[x]
+                return x
+
+            for k in apart[firsts].tolist():
+                x, y = root(int(a[k])), root(int(b[k]))
+                if x != y:
+                    merged[max(x, y)] = min(x, y)
+                    self.links.append((int(left[k]), int(right[k])))
+            if merged:
+                to = np.arange(len(self.label))
+                for x in merged:
+                    to[x] = root(x)
+                self.label = to[self.label]
+            a, b = self.label[left], self.label[right]
+            apart = np.flatnonzero(a != b)
 
 
 def _compare(values: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, forest: _Forest, same: bool) -> None:
@@ -195,7 +210,6 @@ def _compare(values: np.ndarray, left: np.ndarray, right: np.ndarray, radius: in
                 i, j = rows[i], columns[j]
                 own = i != j
                 i, j = i[own], j[own]
-                # One link a row and block to the block's first match is enough for the forest's labels to spread.
                 forest.join(i, j)
 
 

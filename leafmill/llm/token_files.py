@@ -143,9 +143,9 @@ class ShardReader:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, block: int = 8192) -> list[tuple[int, str, int, int]]:
-    """Encode all documents in ascending doc_id order (null first) and write one shard per range of doc_ids.
+    """Encode all documents in ascending doc_id order (null first) and write one shard per range of rows.
 
-    Rows with the same doc_id follow one another, by text. Returns the manifest - one
+    Rows with the same doc_id follow one another, by text, over several shards if they are many. Returns the manifest - one
     entry per non-empty shard, in order - which is also written as ``_manifest`` beside the shards.
     """
     spark = docs.sparkSession
@@ -168,7 +168,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 ["shard", "path", "n_docs", "n_ids"],
             )
 
-    ordered = docs.selectExpr("cast(doc_id as long) doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.selectExpr("cast(doc_id as long) doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     # One small row per shard: bounded by the number of partitions, not by the documents.
     manifest = sorted(tuple(r) for r in ordered.mapInArrow(run, MANIFEST).collect())
     if manifest:

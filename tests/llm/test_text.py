@@ -220,3 +220,78 @@ def test_a_value_that_one_owner_spreads_is_no_example(spark):
     assert got == {d: (1, 0) if d < 80 else (0, 1) for d, *_ in rows}
     each = spark.createDataFrame([("d1", "a", "a/x", [1, 2, 3, 4, 5, 6, 7, 8, 9], False), ("d2", "a", "a/x", list(range(9)), True)], "digest string, owner string, repository string, sketch array<long>, random boolean")
     assert {r.digest: r.verdict for r in secrets.verdicts(each, secrets.OwnershipConfig()).collect()} == {"d1": secrets.PLAIN, "d2": secrets.LIVE}
+
+
+def test_equal_and_nameless_turns_are_dealt_by_rank(spark):
+    """Conversations whose turn numbers all agree, or are null, are split all the same."""
+    turns = [(1, 5, "user", "same")] * 40 + [(None, None, ["user", "assistant"][i % 2], f"t{i:02d}") for i in range(50)] + [(2, 0, "user", "short")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    whole = {r.conv_id: r for r in chat.repair_conversations(frame).collect()}
+    parts = {}
+    for r in chat.repair_conversations(frame, block=8).collect():
+        parts.setdefault(r.conv_id, []).append(r)
+    assert {c: sorted(r.n_turns for r in own) for c, own in parts.items()} == {1: [8] * 5, None: [2] + [8] * 6, 2: [1]}
+    for conv, own in parts.items():
+        own.sort(key=lambda r: r.block)
+        assert sum(r.cost for r in own) == pytest.approx(whole[conv].cost)
+        assert legal("".join(x[0] for x in re.findall(r"<\|(\w+)\|>", "".join(r.rendered for r in own))))
+
+
+def plain_features(text, bits):
+    import zlib
+
+    words = [zlib.crc32(t.encode()) for t in re.findall(r"[^\W_]+|[^\w\s]+|_+", text)]
+    mask = 2**64 - 1
+    slots = [((w + 1) * 0x9E3779B97F4A7C15 & mask) >> (64 - bits) for w in words]
+    for a, b in zip(words, words[1:]):
+        mixed = ((a + 1) * 0xC2B2AE3D27D4EB4F & mask) ^ ((b + 7) * 0x165667B19E3779F9 & mask)
+        slots.append(0 if a == b else (mixed * 0x9E3779B97F4A7C15 & mask) >> (64 - bits))
+    return slots
+
+
+def test_quality_against_a_plain_loop(spark):
+    """Features, updates and scores of a loop over Python numbers."""
+    import math
+    import zlib
+    from collections import Counter
+
+    rows, labels = labelled(spark)
+    rows = rows[:60] + [(61, ""), (62, None)]
+    config = quality.QualityConfig(bits=12, epochs=2)
+    frame = docs(spark, rows)
+    known = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 5:
+            known[r.doc_id] = max(r.quality, known.get(r.doc_id, 0))
+    examples = []
+    for doc_id, text in sorted((d, t or "") for d, t, *_ in rows if d in known):
+        slots = plain_features(text, 12)
+        examples.append((Counter(slots), len(slots), known[doc_id]))
+    z, n, bias = [0.0] * 4097, [0.0] * 4097, 4096
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= config.l1 else -(z[i] - math.copysign(config.l1, z[i])) / ((config.beta + math.sqrt(n[i])) / config.alpha + config.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(2):
+        for k in order.permutation(len(examples)):
+            counts, total, label = examples[k]
+            x = {i: float(np.float32(c * (config.scale / max(1, total)))) for i, c in counts.items()} | {bias: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-max(-35, min(35, sum(w[i] * x[i] for i in x)))))
+            for i in x:
+                g = (p - label) * x[i]
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / config.alpha * w[i]
+                n[i] += g * g
+    got = {r.doc_id: r.score for r in quality.classify(frame, labels, config).collect()}
+    for doc_id, text in rows:
+        slots = plain_features(text or "", 12)
+        margin = sum(weight(i) * c for i, c in Counter(slots).items()) * config.scale / max(1, len(slots)) + weight(bias)
+        assert got[doc_id] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-5)
+
+
+def test_of_repeated_ids_the_same_text_is_fitted(spark):
+    rows, labels = labelled(spark)
+    rows = rows + [(i, rows[(i + 1) % 400][1]) for i in range(0, 400, 3)]
+    a, b = (quality.train(docs(spark, own).repartition(n), labels) for own, n in ((rows, 3), (rows[::-1], 7)))
+    assert (a == b).all()
