@@ -1,124 +1,75 @@
-"""Whitespace-chunk memo used by every operator that walks whole texts token by token.
+"""Batches of whole texts, cut into chunks of which each distinct one is worked on once.
 
 A *chunk* is a stretch of text whose encoding does not depend on its neighbours.
-Each worker keeps a memo from chunk to a short array of integers (token ids or
-feature hashes) and answers whole batches with numpy gathers. The memo only saves
-time: when it grows past its limit it keeps the chunks that were met again since the
-last time, or nothing if those alone fill half of it.
+Nothing is kept from batch to batch, so memory is bounded by the batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, repeat
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+#: Texts of so many characters are worked on together.
+BATCH_CHARS = 6_000_000
+#: A run of spaces with what follows it; at the end of a text, with nothing.
+_SPACED = re.compile(r" *[^ ]+| +\Z")
 
-class ChunkMemo:
-    """chunk -> integers; bounded by entries and by stored characters.
 
-    ``encode`` gives one list per chunk, or all integers in a row and their number per chunk.
-    A worker serves one operator after another, so only the memo in use is kept: using
-    another one empties it, together with whatever its ``release`` lets go.
-    """
+def ranges(values: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """values[first : first + count] of every range, in a row."""
+    ends = np.cumsum(counts)
+    return values[np.repeat(firsts - (ends - counts), counts) + np.arange(int(counts.sum()))]
+
+
+class Chunks:
+    """Texts as runs of chunks: ``distinct`` ones, and for every text a range of ``rows``, numbers of distinct ones."""
+
+    def __init__(self, keys: pa.Array, firsts: np.ndarray, lengths: np.ndarray):
+        encoded = keys.dictionary_encode()
+        self.distinct, self.lengths = encoded.dictionary, lengths
+        self.rows = ranges(encoded.indices.to_numpy(), firsts, lengths)
+
+    def joined(self, separator: str = "") -> str:
+        """All distinct chunks as one text."""
+        whole = pa.ListArray.from_arrays([0, len(self.distinct)], self.distinct)
+        return pc.binary_join(whole, pa.scalar(separator, self.distinct.type))[0].as_py()
+
+    def gather(self, values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The integers of all texts in a row and the bounds of each, for ``counts`` integers to a distinct chunk, in a row."""
+        starts, own = np.cumsum(counts) - counts, counts[self.rows]
+        ends = np.append(0, np.cumsum(own))[np.append(0, np.cumsum(self.lengths))]
+        return ranges(values, starts[self.rows], own), ends.tolist()
+
+
+def words_of(texts: list[str]) -> Chunks:
+    """Cut at white space, which goes. Unlike Python, the control characters 1C to 1F are none."""
+    split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+    offsets = split.offsets.to_numpy()
+    return Chunks(split.values, offsets[:-1].astype(np.int64), np.diff(offsets).astype(np.int64))
+
+
+def spaced_of(texts: list[str]) -> Chunks:
+    """Cut before each run of spaces, of which the first one goes; the first chunk counts as having lost one, too."""
+    regular = np.array([bool(t and t[0] != " " and t[-1] != " " and "  " not in t) for t in texts], bool)
+    split = pc.split_pattern(pa.array([t for t, r in zip(texts, regular) if r], pa.large_string()), " ")
+    others = []
+    for text, plain in zip(texts, regular):
+        if not plain:
+            # A space is put before every text, as its first chunk then has one to lose.
+            others.append([x[1:] for x in _SPACED.findall(" " + text)] if text else [])
+    lengths, firsts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    offsets = split.offsets.to_numpy()
+    lengths[regular], firsts[regular] = np.diff(offsets), offsets[:-1]
+    lengths[~regular] = [len(o) for o in others]
+    firsts[~regular] = len(split.values) + np.cumsum(lengths[~regular]) - lengths[~regular]
+    return Chunks(pa.concat_arrays([split.values, pa.array([p for o in others for p in o], pa.large_string())]), firsts, lengths)
+
 
-    in_use: ChunkMemo | None = None
-
-    def __init__(
-        self,
-        encode: Callable[[list[str]], list[list[int]] | tuple[np.ndarray, np.ndarray]],
-        max_entries: int = 1_000_000,
-        max_chars: int = 16_000_000,
-        release: Callable[[], None] | None = None,
-    ):
-        self.encode, self.max_entries, self.max_chars, self.release = encode, max_entries, max_chars, release
-        self._reset()
-
-    def _reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.chars = 0
-        self.values = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
-        self.again = np.zeros(1 << 14, bool)
-        self.used = 0
-
-    def _shrink(self) -> None:
-        """Keep what was met more than once since the last time, if that is under half the limits."""
-        hot = np.flatnonzero(self.again[: len(self.index)])
-        old = list(self.index)
-        kept = [old[i] for i in hot.tolist()] if len(hot) <= self.max_entries // 2 else []
-        chars = sum(map(len, kept))
-        if not kept or chars > self.max_chars // 2:
-            self._reset()
-            return
-        values, sizes = self.gather(hot), self.sizes[hot]
-        self._reset()
-        self.index = dict(zip(kept, range(len(kept))))
-        self.chars = chars
-        self._append(values, sizes, 0)
-
-    def _append(self, values: np.ndarray, sizes: np.ndarray, at: int) -> None:
-        n, total = len(sizes), len(values)
-        self.values = self._room(self.values, self.used + total)
-        self.values[self.used : self.used + total] = values
-        for name in ("starts", "sizes", "again"):
-            setattr(self, name, self._room(getattr(self, name), at + n))
-        self.sizes[at : at + n] = sizes
-        self.starts[at : at + n] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-
-    @staticmethod
-    def _room(array: np.ndarray, need: int) -> np.ndarray:
-        if need <= len(array):
-            return array
-        grown = np.zeros(max(need, 2 * len(array)), array.dtype)
-        grown[: len(array)] = array
-        return grown
-
-    def rows(self, chunks: list[str]) -> np.ndarray:
-        """The memo row of every chunk, encoding those not seen yet. Valid until the next call."""
-        other = ChunkMemo.in_use
-        if other is not self:
-            if other is not None:
-                other._reset()
-                if other.release:
-                    other.release()
-            ChunkMemo.in_use = self
-        if len(self.index) > self.max_entries or self.chars > self.max_chars:
-            self._shrink()
-        found = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
-        absent = np.flatnonzero(found < 0)
-        self.again[found[found >= 0] if len(absent) else found] = True
-        if len(absent):
-            lacking = [chunks[i] for i in absent.tolist()]
-            fresh = list(dict.fromkeys(lacking))
-            encoded = self.encode(fresh)
-            at, n = len(self.index), len(fresh)
-            if isinstance(encoded, tuple):
-                values, sizes = encoded
-            else:
-                sizes = np.fromiter(map(len, encoded), np.int64, n)
-                values = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
-            self._append(values, sizes, at)
-            self.chars += sum(map(len, fresh))
-            self.index.update(zip(fresh, range(at, at + n)))
-            found[absent] = np.fromiter(map(self.index.__getitem__, lacking), np.int64, len(lacking))
-        return found
-
-    def gather(self, rows: np.ndarray) -> np.ndarray:
-        """The integers of all rows, one after another."""
-        sizes = self.sizes[rows]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(self.starts[rows] - (ends - sizes), sizes)
-        at += np.arange(total)
-        return self.values[at]
-
-
-def grouped(batches: Iterable[pa.RecordBatch], column: str, max_chars: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def grouped(batches: Iterable[pa.RecordBatch], column: str, max_chars: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with about equal text size; null texts count as empty ones.
 
     A text longer than the bound travels alone.

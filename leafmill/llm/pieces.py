@@ -22,7 +22,6 @@ for that (``IN_STEP``) go through the same pass alone and commit as they go.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,20 +31,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from leafmill.llm.chunks import grouped
+from leafmill.llm.chunks import Chunks, grouped, ranges, spaced_of
 from leafmill.llm.int_table import IntTable
 from leafmill.runtime import ship_package
 
 WORD_MARK = "▁"
-_MARKED = re.compile(f"{WORD_MARK}*[^{WORD_MARK}]+|{WORD_MARK}+\\Z")
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM = 1
 #: What an unknown character costs a unigram path beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Parts of more characters are not held whole.
 IN_STEP = 256
-#: Texts of so many characters are solved together.
-BATCH_CHARS = 6_000_000
 #: Code points and piece ids take so many bits.
 BITS = 21
 SCHEMA = "doc_id long, n_chars long, n_tokens long, ids_crc32 long, decoded boolean"
@@ -322,12 +318,6 @@ class StepLattice:
         return out, np.bincount(owner, weights=wide, minlength=len(counts)).astype(np.int64)
 
 
-def ranges(values: np.ndarray, firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """values[first : first + count] of every range, in a row."""
-    ends = np.cumsum(counts)
-    return values[np.repeat(firsts - (ends - counts), counts) + np.arange(int(counts.sum()))]
-
-
 class PieceCoder:
     """Encodes whole texts; the distinct parts of a batch are solved once."""
 
@@ -339,12 +329,11 @@ class PieceCoder:
         viterbi = StreamingViterbi(self.model)
         return np.array(viterbi.feed(part) + viterbi.finish(), np.uint32)
 
-    def parts(self, text: str) -> list[str]:
-        """What the text, with its word marks, is cut into, before each run of spaces."""
-        if not text:
-            return []
-        marked = self.model.prefix + text.replace(" ", WORD_MARK)
-        return _MARKED.findall(marked) if self.model.splits else [marked]
+    def _chunks(self, texts: list[str]) -> Chunks:
+        """The texts, with their word marks, cut where all paths converge."""
+        if self.model.splits and self.model.prefix:
+            return spaced_of(texts)
+        return Chunks(pa.array([self.model.prefix + t for t in texts], pa.large_string()), np.arange(len(texts)), np.array([bool(t) for t in texts], np.int64))
 
     def _solve(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all parts and their number for each."""
@@ -372,24 +361,11 @@ class PieceCoder:
         return ids, counts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        texts = [t.replace(WORD_MARK, " ") for t in texts]  # one and the same to the model
-        plain = self.model.splits and self.model.prefix
-        regular = np.array([bool(plain and t and t[0] != " " and t[-1] != " " and "  " not in t) for t in texts], bool)
-        split = pc.split_pattern(pa.array([t for t, r in zip(texts, regular) if r], pa.large_string()), " ")
-        words = pc.binary_join_element_wise(pa.scalar(WORD_MARK, pa.large_string()), split.values, pa.scalar("", pa.large_string()))
-        others = [self.parts(t) for t, r in zip(texts, regular) if not r]
-        lengths = np.zeros(len(texts), np.int64)
-        lengths[regular] = np.diff(split.offsets.to_numpy())
-        lengths[~regular] = [len(o) for o in others]
-        keys = pa.concat_arrays([words, pa.array([p for o in others for p in o], pa.large_string())]).dictionary_encode()
-        firsts = np.zeros(len(texts), np.int64)
-        firsts[regular] = split.offsets.to_numpy()[:-1] - (split.offsets[0].as_py() if len(split) else 0)
-        firsts[~regular] = len(words) + np.cumsum(lengths[~regular]) - lengths[~regular]
-        ids, counts = self._solve(keys.dictionary)
-        starts = np.cumsum(counts) - counts
-        rows = ranges(keys.indices.to_numpy(), firsts, lengths)
-        flat = ranges(ids, starts[rows], counts[rows])
-        ends = np.append(0, np.cumsum(counts[rows]))[np.append(0, np.cumsum(lengths))].tolist()
+        chunks = self._chunks([t.replace(WORD_MARK, " ") for t in texts])  # one and the same to the model
+        parts = pc.replace_substring(chunks.distinct, " ", WORD_MARK)
+        if self.model.splits and self.model.prefix:
+            parts = pc.binary_join_element_wise(pa.scalar(WORD_MARK, parts.type), parts, pa.scalar("", parts.type))
+        flat, ends = chunks.gather(*self._solve(parts))
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
@@ -405,7 +381,7 @@ def _apply(docs: DataFrame, model: str, with_ids: bool) -> DataFrame:
         coder = piece_coder(model)
         names = coder.model.names
         unlike = np.array([k != NORMAL for k in coder.model.kinds])
-        for batch, texts in grouped(batches, "text", BATCH_CHARS):
+        for batch, texts in grouped(batches, "text"):
             rows = coder.encode(texts)
             restored = []
             for text, ids in zip(texts, rows):

@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.chunks import ChunkMemo, grouped
+from leafmill.llm.chunks import BATCH_CHARS, grouped, words_of
 from leafmill.runtime import ship_package
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -45,32 +46,26 @@ class QualityConfig:
     folds: int = 5
 
 
-def _token_hashes(chunks: list[str]) -> list[list[int]]:
-    return [[zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in _TOKEN.findall(c)] for c in chunks]
+def _token_hashes(words: list[str]) -> list[list[int]]:
+    return [[zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in _TOKEN.findall(w)] for w in words]
 
 
 class Hasher:
     def __init__(self, bits: int):
         self.shift = np.uint64(64 - bits)
-        self.memo = ChunkMemo(_token_hashes, max_entries=700_000)
 
     def slots(self, texts: list[str]) -> list[np.ndarray]:
         """The weight slots of every text's words and word pairs, in order."""
-        keys: list[str] = []
-        lengths = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            own = text.split()
-            keys += own
-            lengths[i] = len(own)
-        rows = self.memo.rows(keys)
-        tokens = self.memo.gather(rows).astype(np.uint64)
-        ends = np.concatenate([[0], np.cumsum(self.memo.sizes[rows])])[np.concatenate([[0], np.cumsum(lengths)])]
+        words = words_of(texts)
+        hashed = _token_hashes(words.distinct.to_pylist())
+        counts = np.fromiter(map(len, hashed), np.int64, len(hashed))
+        tokens, ends = words.gather(np.fromiter(chain.from_iterable(hashed), np.uint64, int(counts.sum())), counts)
         single = ((tokens + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
         pairs = (((tokens[:-1] + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ ((tokens[1:] + np.uint64(7)) * np.uint64(0x165667B19E3779F9)))
         pairs = (pairs * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
         pairs[tokens[:-1] == tokens[1:]] = ECHO  # a word said twice is one n-gram, whatever the word
         out = []
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        for a, b in zip(ends[:-1], ends[1:]):
             out.append(np.concatenate([single[a:b], pairs[a : max(a, b - 1)]]).astype(np.int64))
         return out
 
@@ -206,7 +201,7 @@ def scorer(spark: SparkSession, weights: np.ndarray, config: QualityConfig) -> C
             texts = part.fillna("").tolist()
             out, first, size = [], 0, 0
             for i, text in enumerate(texts):
-                if i > first and size + len(text) > 2_000_000:
+                if i > first and size + len(text) > BATCH_CHARS:
                     out.append(score_texts(texts[first:i], sent.value, config))
                     first, size = i, 0
                 size += len(text)

@@ -3,7 +3,7 @@
 Batches are cut by text size, not by rows. Long texts are split at safe boundaries:
 no piece of the model holds a word mark after another character (checked when the
 model is loaded), so the place before a run of spaces is never inside a token and
-the parts' counts add up to the whole's. Parts seen before are answered from a memo.
+the parts' counts add up to the whole's. Each distinct part of a batch is encoded once.
 
 Defined cases: null and empty texts have zero tokens and zero bytes; repeated rows
 count one by one; a null doc_id stays null; an empty table gives no rows; columns
@@ -12,7 +12,6 @@ other than doc_id and text are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,11 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from leafmill.llm.chunks import ChunkMemo, grouped
+from leafmill.llm.chunks import grouped, spaced_of
 from leafmill.runtime import ship_package
 
 WORD_MARK = "▁"
-_SPACED = re.compile(r" *[^ ]+(?: +\Z)?| +\Z")  # spaces at the end stay with the last part
 
 
 class PieceCounter:
@@ -34,40 +32,15 @@ class PieceCounter:
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         self.splits = not any(WORD_MARK in p.lstrip(WORD_MARK) for p in pieces)
-        self.memo = ChunkMemo(self._count)
-
-    def _count(self, parts: list[str]) -> list[list[int]]:
-        # The library puts a word mark before each part: the space that the split took away.
-        return [[len(ids)] for ids in self.library.encode(parts, num_threads=1)]
-
-    def parts(self, text: str) -> list[str] | None:
-        if not self.splits or WORD_MARK in text:
-            return None
-        if not text:
-            return []
-        if text[0] != " " and text[-1] != " " and "  " not in text:
-            return text.split(" ")
-        head, *rest = _SPACED.findall(text)
-        return [head, *(x[1:] for x in rest)]
 
     def count(self, texts: list[str]) -> np.ndarray:
-        keys: list[str] = []
-        lengths = np.zeros(len(texts), np.int64)
-        whole: dict[int, int] = {}
-        for i, text in enumerate(texts):
-            own = self.parts(text)
-            if own is None:
-                whole[i] = len(self.library.encode(text))
-            else:
-                keys += own
-                lengths[i] = len(own)
-        rows = self.memo.rows(keys)
-        running = np.concatenate([[0], np.cumsum(self.memo.values[self.memo.starts[rows]], dtype=np.int64)])
-        at = np.concatenate([[0], np.cumsum(lengths)])
-        out = running[at[1:]] - running[at[:-1]]
-        for i, n in whole.items():
-            out[i] = n
-        return out
+        if not self.splits:
+            return np.array([len(ids) for ids in self.library.encode(texts, num_threads=1)], np.int64)
+        parts = spaced_of([t.replace(WORD_MARK, " ") for t in texts])  # one and the same to the model
+        # The library puts a word mark before each part: the space that the split took away. A part of nothing is that mark.
+        counts = np.array([len(ids) or 1 for ids in self.library.encode(parts.distinct.to_pylist(), num_threads=1)], np.int64)
+        running = np.append(0, np.cumsum(counts[parts.rows]))[np.append(0, np.cumsum(parts.lengths))]
+        return np.diff(running)
 
 
 @lru_cache(maxsize=4)

@@ -19,8 +19,8 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
+
+from leafmill.llm.chunks import words_of
 
 #: A place after a sentence, or after the last visible character of a line.
 _BREAK = re.compile(r"(?<=[.!?])(?=\s|\Z)|(?<=\S)(?=[^\S\n]*\n)")
@@ -158,15 +158,9 @@ class JsonTokenizer:
 
     def _by_words(self, texts: list[str]) -> list[np.ndarray]:
         whole = {i: self._library_ids(t) for i, t in enumerate(texts) if _SEPARATORS.search(t) or "<" in t and self.special and self.special.search(t)}
-        split = pc.utf8_split_whitespace(pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.large_string()))
-        words = split.values.dictionary_encode()
-        ids, sizes = self._encode_words(pc.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary), pa.scalar("\n", pa.large_string()))[0].as_py())
-        rows = words.indices.to_numpy()
-        firsts, counts = (np.cumsum(sizes) - sizes)[rows], sizes[rows]
-        ends = np.cumsum(counts)
-        flat = ids[np.repeat(firsts - (ends - counts), counts) + np.arange(int(counts.sum()))]
-        edges = np.append(0, ends)[split.offsets.to_numpy()].tolist()
-        return [whole[i] if i in whole else flat[a:b] for i, (a, b) in enumerate(zip(edges[:-1], edges[1:]))]
+        words = words_of(["" if i in whole else t for i, t in enumerate(texts)])
+        flat, ends = words.gather(*self._encode_words(words.joined("\n")))
+        return [whole[i] if i in whole else flat[a:b] for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
 
     def chunks(self, text: str) -> list[str] | None:
         """The words of a text that are encoded apart from each other, or None if it is encoded whole."""
