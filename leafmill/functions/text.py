@@ -15,6 +15,10 @@ URL = r"(https?://[^\s\")\]>,]+|www\.[^\s\")\]>,]+)"
 CONTROL = r"[\x{00}-\x{08}\x{0B}\x{0E}-\x{1F}\x{7F}]"
 EDGE_SPACE = r"^(?U)\s+|(?U)\s+$"
 ICON = "[icon]"
+#: What Windows-1252 shows for the bytes 80 to 9F, and those bytes.
+WINDOWS = tuple("".join(x) for x in zip(*((bytes([b]).decode("cp1252"), chr(b)) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))))
+_NEXT = f"[\u0080-\u00bf{WINDOWS[0]}]"
+MOJIBAKE = f"(?:[\u00c2\u00c3]{_NEXT}|\u00e2{_NEXT}{{2}}|\u00ef\u00bb\u00bf|\u00f0[\u009f\u0178]{_NEXT}{{2}})+"
 
 
 def strip(text: Column) -> Column:
@@ -55,15 +59,16 @@ def collapse_blank_runs(text: Column) -> Column:
 
 
 def repair(text: Column) -> Column:
-    """Line breaks to LF, control characters out, the common UTF-8-read-as-Latin-1 pairs put right."""
+    """Line breaks to LF, control characters out, UTF-8 that was read as Latin-1 or Windows-1252 put right.
+
+    Accented Latin letters, punctuation (curly quotes, dashes, bullets), the byte order
+    mark and emoji are recognized; each matched run is valid UTF-8 once written back.
+    """
     plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), CONTROL, "")
-    # Only pairs that are valid two-byte UTF-8 when written back as Latin-1 are decoded.
-    broken = plain.rlike("[\u00c2\u00c3][\u0080-\u00bf]")
-    decoded = plain
-    for high in (0xC2, 0xC3):
-        for low in range(0x80, 0xC0):
-            decoded = F.replace(decoded, F.lit(chr(high) + chr(low)), F.lit(bytes([high, low]).decode()))
-    return F.when(broken, decoded).otherwise(plain)
+    runs = F.regexp_extract_all(plain, F.lit(MOJIBAKE), F.lit(0))
+    right = F.transform(runs, lambda r: F.decode(F.encode(F.translate(r, *WINDOWS), "ISO-8859-1"), "UTF-8"))
+    pairs = F.zip_with(F.split(plain, MOJIBAKE, -1), right, lambda gap, run: F.concat(gap, F.coalesce(run, F.lit(""))))
+    return F.when(plain.rlike(MOJIBAKE), F.replace(F.array_join(pairs, ""), F.lit("\ufeff"), F.lit(""))).otherwise(plain)
 
 
 def normalize(text: Column, preserve_layout: bool = False, repaired: bool = True) -> Column:

@@ -50,8 +50,10 @@ def reading_order_errors(texts: DataFrame, markers: DataFrame) -> DataFrame:
 
 def leakage(blocks: DataFrame, patterns: DataFrame) -> DataFrame:
     """(doc_id, leaks): pairs of a text block and a known chrome pattern of its document that it holds."""
-    pairs = blocks.join(patterns, "doc_id").where(F.contains(F.lower("text"), F.lower("pattern")))
-    counted = pairs.groupBy("doc_id").agg(F.count("*").alias("leaks"))
+    # Equal patterns of a document are looked for once; patterns are few beside the texts.
+    known = patterns.select("doc_id", F.lower("pattern").alias("pattern")).groupBy("doc_id", "pattern").agg(F.count("*").alias("n"))
+    pairs = blocks.select("doc_id", F.lower("text").alias("text")).join(known, "doc_id").where(F.contains("text", F.col("pattern")))
+    counted = pairs.groupBy("doc_id").agg(F.sum("n").alias("leaks"))
     return blocks.select("doc_id").distinct().join(counted, "doc_id", "left").na.fill({"leaks": 0})
 
 

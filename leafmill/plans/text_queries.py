@@ -155,14 +155,14 @@ def unicode_corruption_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH p AS (SELECT doc_id, substr(text, 3, 9) AS phrase FROM documents UNION ALL SELECT doc_id, 'zz' || doc_id FROM documents WHERE doc_id % 3 = 0),
-    h AS (SELECT p.doc_id, CASE WHEN contains(lower(d.text), lower(p.phrase)) THEN 1.0 ELSE 0.0 END AS hit FROM p JOIN documents d ON p.doc_id = d.doc_id AND p.doc_id % 7 > 0)
+    h AS (SELECT p.doc_id, CASE WHEN contains(lower(d.text), lower(p.phrase)) THEN 1.0 ELSE 0.0 END AS hit FROM p JOIN documents d ON p.doc_id = d.doc_id)
     SELECT d.doc_id, CAST(coalesce(avg(h.hit), 1.0) AS DOUBLE) AS retention FROM documents d LEFT JOIN h USING (doc_id) GROUP BY d.doc_id"""
 )
 def phrase_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     some = docs.select("doc_id", F.substring("text", 3, 9).alias("phrase"))
     none = docs.where("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("zz"), "doc_id").alias("phrase"))
-    return metrics.phrase_retention(docs, some.unionAll(none).where("doc_id % 7 > 0"))
+    return metrics.phrase_retention(docs, some.unionAll(none))
 
 
 SQL_CELLS = """c AS (SELECT n_regionkey AS doc_id, ' ' || n_name AS cell FROM nation UNION ALL SELECT n_regionkey, ' ' FROM nation),
@@ -206,13 +206,13 @@ def reading_order_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT source, substr(text, 1, 5) AS pattern FROM documents WHERE doc_id < 200),
-    k AS (SELECT d.source AS doc_id, count(*) AS n FROM documents d JOIN p ON d.source = p.source AND contains(lower(d.text), lower(p.pattern)) GROUP BY 1)
+    """WITH p AS (SELECT source, substr(text, 1, 5) AS pattern, count(*) AS times FROM documents GROUP BY ALL),
+    k AS (SELECT d.source AS doc_id, sum(times) AS n FROM documents d JOIN p ON d.source = p.source AND contains(lower(d.text), lower(p.pattern)) GROUP BY 1)
     SELECT s.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS leaks FROM (SELECT DISTINCT source AS doc_id FROM documents) s LEFT JOIN k USING (doc_id)"""
 )
 def header_footer_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    patterns = docs.where("doc_id < 200").select(F.col("source").alias("doc_id"), F.substring("text", 1, 5).alias("pattern"))
+    patterns = docs.select(F.col("source").alias("doc_id"), F.substring("text", 1, 5).alias("pattern"))
     return metrics.leakage(docs.select(F.col("source").alias("doc_id"), "text"), patterns)
 
 
@@ -226,13 +226,13 @@ SQL_WORDS = "list_distinct(list_filter(regexp_extract_all(lower({0}), '[\\p{{L}}
 
 
 @query(
-    f"""WITH w AS (SELECT d.doc_id, {SQL_WORDS.format('d.text')} AS p, {SQL_WORDS.format('b.text')} AS n FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id)
+    f"""WITH w AS (SELECT d.doc_id, {SQL_WORDS.format('d.text')} AS p, {SQL_WORDS.format("coalesce(b.text, '')")} AS n FROM documents d LEFT JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id)
     SELECT doc_id, CASE WHEN len(p) = 0 THEN 0.0 ELSE round(len(list_filter(p, lambda x: NOT list_contains(n, x))) / len(p), 9) END AS novelty FROM w"""
 )
 def prose_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, known = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("known"))
-    joined = docs.join(known, F.col("doc_id") % 40 == F.col("item_id"))
-    return joined.select("doc_id", F.round(text.novelty(F.col("text"), F.col("known")), 9).alias("novelty"))
+    joined = docs.join(known, F.col("doc_id") % known.count() == F.col("item_id"), "left")
+    return joined.select("doc_id", F.round(text.novelty(F.col("text"), F.coalesce("known", F.lit(""))), 9).alias("novelty"))
 
 
 @query(

@@ -31,7 +31,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor and the driver can write: spark.checkpoint.dir, or one of our own where unset."""
+    """The folder every executor and the driver can write: spark.checkpoint.dir, or, where all run on this machine, one of our own."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured:
@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="leafmill-checkpoint-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -179,9 +179,14 @@ def xml_lines(root: ElementTree.Element, max_depth: int = MAX_DEPTH, most: int =
         if not isinstance(node.tag, str):
             return
         pad = "  " * depth
-        attributes = "".join(f' {local(k)}="{v}"' for k, v in node.attrib.items())
-        text = (node.text or "").strip()
-        out.append(f"{pad}{local(node.tag)}{attributes}:" + (f" {text}" if text else ""))
+        attributes = "".join(f' {k}="{v}"' for k, v in node.attrib.items())
+        text, shown = (node.text or "").strip(), f"{pad}{local(node.tag)}{attributes}"
+        if not len(node):
+            out.append(f"{shown}: {text}" if text else shown)
+        else:
+            out.append(f"{shown}:")
+            if text:
+                out.append(f"{pad}  {text}")
         for child in node:
             walk(child, depth + 1)
             if (child.tail or "").strip():
