@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators import chrome, geometry, pages, reading_order
+from leafmill.operators import assembly, chrome, geometry, pages, reading_order
 from leafmill.plans.catalog import query
 from leafmill.runtime import table
 
@@ -299,3 +299,24 @@ def figure_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ocr_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading_order.ocr_line_order(_boxes(spark, sf_dir).withColumnRenamed("box_no", "line_no").withColumn("image_width", F.lit(1200)))
+
+
+@query(
+    """WITH p AS (SELECT source AS doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS page, array_to_string(list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> ''), ' ') AS body FROM documents),
+    n AS (SELECT doc_id, count(*) AS n_pages FROM p GROUP BY 1)
+    SELECT doc_id, page, 'header' AS stage, concat('Report ', doc_id) AS text FROM p JOIN n USING (doc_id) WHERE n_pages >= 3
+    UNION ALL SELECT doc_id, page, 'text', CASE WHEN n_pages >= 3 THEN concat(chr(10), body) ELSE concat('Report ', doc_id, CASE WHEN body <> '' THEN concat(chr(10), chr(10), body) ELSE '' END) END FROM p JOIN n USING (doc_id) WHERE n_pages < 3 OR body <> ''"""
+)
+def assembled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as a page of words under a running head, put together again."""
+    docs = table(spark, sf_dir, "documents")
+    number = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    rows = docs.select(F.col("source").alias("doc_id"), number.alias("page"), "text")
+    all_pages = rows.select("doc_id", "page", F.lit(612.0).alias("width"), F.lit(792.0).alias("height"))
+    at = lambda x0, y0: [x0.alias("x0"), F.lit(y0).alias("y0"), (x0 + 10).alias("x1"), F.lit(y0 + 10).alias("y1"), F.lit(1.0).alias("a"), F.lit(0.0).alias("b")]
+    head = rows.select("doc_id", "page", F.lit(0).alias("block_no"), F.lit(0).alias("line_no"), F.posexplode(F.array(F.lit("Report"), F.col("doc_id"))).alias("word_no", "text"))
+    body = rows.select("doc_id", "page", F.lit(1).alias("block_no"), F.lit(0).alias("line_no"), F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("word_no", "text"))
+    placed = [part.select("*", *at(200.0 + F.col("word_no") * 0.001, y)) for part, y in ((head, 20.0), (body, 400.0))]
+    none = lambda columns: spark.createDataFrame([], f"doc_id string, page int, {columns}, x0 double, y0 double, x1 double, y1 double")
+    scan = assembly.Scanned(all_pages, placed[0].unionByName(placed[1]), none("xref int"), none("item string"), spark.createDataFrame([], "doc_id string, page int, font string"), none("table_no int, rows array<array<string>>"))
+    return assembly.assemble(scan).blocks.select("doc_id", "page", "stage", "text")

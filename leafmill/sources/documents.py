@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from leafmill.functions.text import normalize
 from leafmill.operators.guards import MAX_FILE_BYTES, READERS, route, unique_stems
 from leafmill.runtime import ship_package
+from leafmill.sources.pages import extract_pages
 
 EXTRACTED = (
     "path string, source_type string, author string, title string, error_category string, error string, warnings array<struct<code:string,detail:string>>, "
@@ -29,8 +30,16 @@ def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """One row per file: its units with raw blocks, or the category of its failure.
 
     Files over the limit are refused by a filter on length, before their content is read.
+    PDF files go page by page through ``assembly``; a stream of files refuses them, as that
+    counts over all pages of a file.
     """
     ship_package(files.sparkSession)
+    paged = None
+    if not files.isStreaming:
+        papers = files.where((F.col("reader") == "pdf") & (F.col("length") <= max_bytes))
+        if not papers.select("path").isEmpty():
+            paged = extract_pages(papers)
+            files = files.where((F.col("reader") != "pdf") | (F.col("length") > max_bytes))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from leafmill.sources.parsers import Refused, parse
@@ -57,7 +66,8 @@ def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
         "path", F.col("reader").alias("source_type"), F.lit("").alias("author"), F.lit("").alias("title"), F.lit("resource_limit").alias("error_category"),
         F.format_string("%d bytes", "length").alias("error"), F.expr("cast(array() as array<struct<code:string,detail:string>>)").alias("warnings"),
     )
-    return small.unionByName(large, allowMissingColumns=True)
+    rest = small.unionByName(large, allowMissingColumns=True)
+    return rest if paged is None else rest.unionByName(paged)
 
 
 def blocks(extracted: DataFrame) -> DataFrame:

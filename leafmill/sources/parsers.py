@@ -690,7 +690,5 @@ PARSERS = {"txt": parse_plain, "md": parse_plain, "csv": parse_csv, "json": pars
 
 def parse(reader: str, suffix: str, data: bytes) -> Parsed:
     if reader == "pdf":
-        if not data[:512].startswith(b"%PDF-"):
-            raise Refused("malformed", "not a PDF")
-        raise Refused("unsupported", "PDF pages come as words, drawings and images tables")
+        raise Refused("unsupported", "PDF files are read by sources.pages, over all pages of a file at once")
     return parse_xlsx(data, suffix) if reader == "xlsx" else PARSERS[reader](data)
