@@ -50,7 +50,20 @@ def statistics(extracted: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, input_dir: str, output_dir: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Extract every supported file of a folder, write its outputs, and return its row of ``statistics``.
+    """Extract every supported file of a folder, write its outputs, and return its row of ``statistics``."""
+    return extract_folder(spark, input_dir, output_dir, max_bytes)[0]
+
+
+def warnings_of(extracted: DataFrame) -> DataFrame:
+    """(filename, code, formulas, detail, note) of every warning of the files that went through."""
+    none = lambda kind: F.lit(None).cast(kind)
+    warned = extracted.where("error_category is null").select(_name().alias("filename"), F.explode("warnings").alias("w"))
+    note = describe(F.col("w.code"), none("int"), none("double"), F.col("w.detail"), none("map<string,string>"))
+    return warned.select("filename", "w.code", none("int").alias("formulas"), "w.detail", note.alias("note"))
+
+
+def extract_folder(spark: SparkSession, input_dir: str, output_dir: str, max_bytes: int = MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """As ``run``, with the warnings of all files beside their statistics.
 
     Each file is parsed once: the parsed rows go through the shared checkpoint folder and feed
     all sinks. A file that fails is a row with its category; the others are written all the same.
@@ -71,7 +84,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, max_bytes: int = M
     sidecars = good.select("path").join(notes(extracted), "path", "left")  # a null body removes what an earlier run left
     for rows, body, end in ((markdown, "markdown", ".md"), (sidecars, "notes", ".notes.md")):
         sinks.write_files(named(rows, body, end), f"{output_dir}/markdown").write.format("noop").mode("overwrite").save()
-    return statistics(extracted, blocks)
+    return statistics(extracted, blocks), warnings_of(extracted)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -86,7 +99,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         spark = spark or SparkSession.builder.appName("leafmill").getOrCreate()
         try:
-            files = cut(run(spark, given.input_dir, given.output_dir, given.max_file_mb * 1024 * 1024))
+            files, warnings = map(cut, extract_folder(spark, given.input_dir, given.output_dir, given.max_file_mb * 1024 * 1024))
         except AnalysisException as why:
             if why.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -100,6 +113,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for row in report.summary_lines(files).orderBy("part", "filename").toLocalIterator():
             log.info("  %s", row.line)
         log.info("Totals: %d units, %d text block(s), %d table block(s), %d image(s)", total.units, total.text_blocks, total.table_blocks, total.image_count)
+        for row in report.rollup_lines(warnings).orderBy("ord", "line").toLocalIterator():
+            log.info("%s", row.line)
         return report.exit_code(total.n, total.failed)
     finally:
         for handler in handlers:

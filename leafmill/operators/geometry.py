@@ -44,6 +44,15 @@ def drop_stamped(words: DataFrame, stamps: DataFrame) -> DataFrame:
     return _without(words, stamps, lambda a, b: iou(a, b) >= STAMP_IOU)
 
 
+def drop_inside(chars: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Characters whose centre lies in none of their page's boxes, edges included."""
+    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+    centred = chars.withColumns({"_cx": x, "_cy": y})
+    other = boxes.select(F.col("doc_id").alias("_d"), F.col("page").alias("_p"), *[F.col(c).alias(f"_{c}") for c in CORNERS])
+    hit = (F.col("doc_id") == F.col("_d")) & (F.col("page") == F.col("_p")) & F.col("_cx").between(F.col("_x0"), F.col("_x1")) & F.col("_cy").between(F.col("_y0"), F.col("_y1"))
+    return centred.join(other, hit, "left_anti").select(*chars.columns)
+
+
 def to_word_space(regions: DataFrame) -> DataFrame:
     """Regions (with origin_x, origin_y, rotation and the page's width and height) in the words' unrotated space."""
     x0, x1 = F.col("x0") - F.col("origin_x"), F.col("x1") - F.col("origin_x")

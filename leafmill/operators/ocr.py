@@ -15,6 +15,20 @@ from leafmill.functions.text import ICON, icon_noise, strip
 LINE_FLOOR, FRAGMENT_LENGTH, SAMPLES, MIN_CONFIDENCE, BLANK = 0.30, 3, 5, 0.60, 0
 
 
+def decode_steps(steps, labels: list[str]) -> tuple[str, float]:
+    """(text, confidence) of steps x classes, as ``greedy_decode`` says."""
+    scores = np.asarray(steps, np.float64).reshape(len(steps), -1) if len(steps) else np.zeros((0, len(labels)))
+    if scores.shape[1] != len(labels):
+        raise ValueError(f"{scores.shape[1]} classes, {len(labels)} labels")
+    if scores.size and (scores.min() < 0 or scores.max() > 1):
+        raised = np.exp(scores - scores.max(axis=1, keepdims=True))
+        scores = raised / raised.sum(axis=1, keepdims=True)
+    best = scores.argmax(axis=1)
+    keep = (best != BLANK) & np.append(True, best[1:] != best[:-1])[: len(best)]
+    sure = scores.max(axis=1)[keep] if len(best) else np.zeros(0)
+    return "".join(labels[i] for i in best[keep]), float(sure.mean()) if len(sure) else 0.0
+
+
 def greedy_decode(labels: list[str]):
     """A pandas UDF from array<array<float>> (steps x classes) to struct(text, confidence).
 
@@ -28,16 +42,7 @@ def greedy_decode(labels: list[str]):
         for part in parts:
             out = []
             for steps in part:
-                scores = np.array([list(s) for s in steps], dtype=np.float64).reshape(len(steps), -1) if steps is not None and len(steps) else np.zeros((0, len(labels)))
-                if scores.shape[1] != len(labels):
-                    raise ValueError(f"{scores.shape[1]} classes, {len(labels)} labels")
-                if scores.size and (scores.min() < 0 or scores.max() > 1):
-                    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
-                    scores = raised / raised.sum(axis=1, keepdims=True)
-                best = scores.argmax(axis=1)
-                keep = (best != BLANK) & np.append(True, best[1:] != best[:-1])[: len(best)]
-                sure = scores.max(axis=1)[keep] if len(best) else np.zeros(0)
-                out.append(("".join(labels[i] for i in best[keep]), float(sure.mean()) if len(sure) else 0.0))
+                out.append(decode_steps([] if steps is None else [list(s) for s in steps], labels))
             yield pd.DataFrame(out, columns=["text", "confidence"])
 
     return decode

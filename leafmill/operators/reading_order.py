@@ -137,6 +137,55 @@ def merge_hulls(boxes: list[tuple[float, float, float, float]]) -> list[list[flo
     return sorted(hulls, key=lambda h: (h[1], h[0]))
 
 
+# How close parts of one formula lie, what a short line is, and fonts that set formulas.
+FORMULA_GAP, SHORT_LINE, MATH_FONT = 6.0, 4, "symbol|math|euclid|mtextra|mt extra|times new roman,italic"
+
+
+def merge_near(boxes: list[tuple[float, float, float, float]], gap: float = FORMULA_GAP) -> list[list[float]]:
+    """Hulls of boxes that overlap once grown by the gap, taken until none do."""
+    hulls = [list(b) for b in boxes]
+    k = 0
+    while k < len(hulls):
+        a = hulls[k]
+        near = next((j for j in range(len(hulls)) if j != k and a[0] - gap < hulls[j][2] and hulls[j][0] < a[2] + gap and a[1] - gap < hulls[j][3] and hulls[j][1] < a[3] + gap), None)
+        if near is None:
+            k += 1
+        else:
+            b = hulls[near]
+            hulls[k] = [min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3])]
+            hulls.pop(near)
+            k = 0
+    return sorted(hulls, key=lambda h: (h[1], h[0]))
+
+
+def formula_regions(lines: DataFrame) -> DataFrame:
+    """(doc_id, page, region_no, corners): places of formulas, from block lines (doc_id, page, block_no, line_no, text, font, scripts, corners).
+
+    A block counts if its lines are short by median, its fonts set formulas, or its text
+    holds unexpected scripts; blocks that nearly touch are one region.
+    """
+    said = lines.where("trim(text) <> ''")
+    short = F.median(F.length(F.trim("text"))) < SHORT_LINE
+    math = F.bool_or(F.lower(F.coalesce("font", F.lit(""))).rlike(MATH_FONT))
+    odd = F.max(F.size(F.coalesce("scripts", F.array().cast("array<string>")))) > 0
+    hull = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
+    blocks = said.groupBy("doc_id", "page", "block_no").agg((short | math | odd).alias("wanted"), *hull).where("wanted")
+    names = ["doc_id", "page", "region_no", *CORNERS]
+    kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
+    return _by_page(_typed(blocks), lambda rows: [(k, *h) for k, h in enumerate(merge_near(rows))], names, kinds, "doc_id string, page int, region_no int, x0 double, y0 double, x1 double, y1 double")
+
+
+def region_scores(expected: DataFrame, regions: DataFrame) -> DataFrame:
+    """(doc_id, page, formula_no, iou, covered) for expected boxes (formula_no, corners): the best region's overlap, and the largest share inside one."""
+    other = regions.select("doc_id", "page", *[F.col(c).alias(f"r_{c}") for c in CORNERS])
+    joined = expected.withColumn("doc_id", F.col("doc_id").cast("string")).join(other, ["doc_id", "page"], "left")
+    w, h = (F.greatest(F.lit(0.0), F.least(f"{d}1", f"r_{d}1") - F.greatest(f"{d}0", f"r_{d}0")) for d in "xy")
+    own, theirs = ((F.col(f"{p}x1") - F.col(f"{p}x0")) * (F.col(f"{p}y1") - F.col(f"{p}y0")) for p in ("", "r_"))
+    shared = F.when(F.col("r_x0").isNotNull(), w * h).otherwise(0.0)  # greatest() and least() pass over nulls
+    overlap = F.when(shared > 0, shared / (own + theirs - shared)).otherwise(0.0)
+    return joined.groupBy("doc_id", "page", "formula_no").agg(F.max(overlap).alias("iou"), F.max(F.when(own > 0, shared / own).otherwise(0.0)).alias("covered"))
+
+
 def group_figures(images: DataFrame) -> DataFrame:
     """Hulls of picture parts that belong together; hulls grow while they merge, so a page is walked as a whole."""
     names = ["doc_id", "page", "figure_no", *CORNERS]

@@ -1,13 +1,20 @@
-"""Pages read by a visual model: routing, cache keys, judging and acceptance."""
+"""Pages read by a visual model: routing, availability, cached inference, judging and acceptance."""
 
 from __future__ import annotations
 
+import platform
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import novelty
+from leafmill.runtime import cut, ship_package
 
 # Fixed values.
+MAX_TOKENS, REPETITION_PENALTY = 4096, 1.05
 LOW_YIELD, NOVEL = 0.5, 0.30
 
 
@@ -24,6 +31,49 @@ def cache_key(png: Column, model: Column, tokens: Column, penalty: Column, promp
     return F.sha2(F.concat(png, F.concat_ws("|", model, tokens.cast("string"), penalty.cast("string"), prompt).cast("binary")), 256)
 
 
+def host_failure(enabled: bool = True, known_model: bool = True, installed: bool = True, system: str | None = None, machine: str | None = None) -> str | None:
+    """Why no visual model can run here, the first reason that holds, or null; nothing is loaded to find out."""
+    if not enabled:
+        return "disabled"
+    where = (system or platform.system(), machine or platform.machine())
+    if where != ("Darwin", "arm64"):
+        return f"unsupported-platform ({'/'.join(where)})"
+    return "missing-deps" if not installed else None if known_model else "unknown-model"
+
+
+def infer(pages: DataFrame, engine: Callable[[], Callable[[bytes, int, float], tuple[str, bool]]], store: str, model: str, prompt: str, max_tokens: int = MAX_TOKENS, penalty: float = REPETITION_PENALTY) -> DataFrame:
+    """(doc_id, page, raw, capped, cached) of page pictures (doc_id, page, png); answers are kept in the Parquet folder ``store``.
+
+    ``engine`` builds, once a task, what turns (png, max_tokens, penalty) into (raw output,
+    whether the token limit was hit). Pictures with one key are read once; those that the
+    store holds are not read at all. Null pictures give no row.
+    """
+    spark = pages.sparkSession
+    ship_package(spark)
+    key = cache_key(F.col("png"), F.lit(model), F.lit(max_tokens), F.lit(penalty), F.lit(prompt))
+    keyed = cut(pages.where("png is not null").select("doc_id", "page", "png", key.alias("key")))
+    try:
+        known = spark.read.schema("key string, raw string, capped boolean").parquet(store)
+    except AnalysisException as why:
+        if why.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], "key string, raw string, capped boolean")
+    known = cut(known.groupBy("key").agg(F.min(F.struct("raw", "capped")).alias("r")).select("key", "r.raw", "r.capped"))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        convert = None
+        for part in parts:
+            convert = convert or engine()
+            rows = [(k, *convert(bytes(png), max_tokens, penalty)) for k, png in zip(part["key"], part["png"])]
+            yield pd.DataFrame(rows, columns=["key", "raw", "capped"])
+
+    lacking = keyed.join(known, "key", "left_anti").groupBy("key").agg(F.first("png").alias("png"))
+    fresh = cut(lacking.mapInPandas(run, "key string, raw string, capped boolean"))
+    fresh.write.mode("append").parquet(store)
+    answers = known.withColumn("cached", F.lit(True)).unionByName(fresh.withColumn("cached", F.lit(False)))
+    return keyed.drop("png").join(answers, "key").select("doc_id", "page", "raw", "capped", "cached")
+
+
 def judge(truncated: Column, produced: Column, native_chars: Column, replacing: Column) -> Column:
     """Why a reading is rejected, or null."""
     return F.when(truncated, "truncated").when(produced == 0, "empty").when(replacing & (produced < LOW_YIELD * native_chars), "low-yield")

@@ -302,7 +302,7 @@ def ocr_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT source AS doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS page, array_to_string(list_filter(regexp_split_to_array(text, '\\s+'), x -> x <> ''), ' ') AS body FROM documents),
+    """WITH p AS (SELECT source AS doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS page, array_to_string(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> ''), ' ') AS body FROM documents),
     n AS (SELECT doc_id, count(*) AS n_pages FROM p GROUP BY 1)
     SELECT doc_id, page, 'header' AS stage, concat('Report ', doc_id) AS text FROM p JOIN n USING (doc_id) WHERE n_pages >= 3
     UNION ALL SELECT doc_id, page, 'text', CASE WHEN n_pages >= 3 THEN concat(chr(10), body) ELSE concat('Report ', doc_id, CASE WHEN body <> '' THEN concat(chr(10), chr(10), body) ELSE '' END) END FROM p JOIN n USING (doc_id) WHERE n_pages < 3 OR body <> ''"""

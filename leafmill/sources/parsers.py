@@ -19,6 +19,8 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 MAX_DEPTH, MAX_CONTAINERS, MAX_NODES, MAX_ROWS, MAX_CELLS, MAX_PIXELS, SNIFFED = 100, 1_000_000, 1_000_000, 500_000, 5_000_000, 25_000_000, 4096
+#: Share of implausible sequences up to which a decoded text counts as certain.
+CLEAN_CHAOS = 0.05
 
 
 class Refused(Exception):
@@ -58,8 +60,9 @@ def load_text(data: bytes) -> tuple[str, str, float, list[tuple[str, str]]]:
     except ImportError:
         best = None
     if best is None:
-        return data.decode("utf-8", "replace"), "utf_8", 0.0, [("ENCODING_FALLBACK", "no encoding fitted; undecodable bytes were replaced")]
-    return str(best), best.encoding, 1 - best.chaos, [("ENCODING_FALLBACK", f"read as {best.encoding}")]
+        return data.decode("utf-8", "replace"), "utf_8", 0.0, [("ENCODING_FALLBACK", "detection failed entirely")]
+    guessed = best.encoding not in ("ascii", "utf_8") or best.chaos > CLEAN_CHAOS
+    return str(best), best.encoding, 1 - best.chaos, [("ENCODING_FALLBACK", f"detected {best.encoding} with confidence {1 - best.chaos:.2f}")] if guessed else []
 
 
 def section(blocks: list[tuple]) -> list[tuple]:
