@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Texts of so many characters are worked on together.
-BATCH_CHARS = 6_000_000
+#: Texts of so many bytes are worked on together.
+BATCH_BYTES = 6_000_000
 #: A run of spaces with what follows it; at the end of a text, with nothing.
 _SPACED = re.compile(r" *[^ ]+| +\Z")
 
@@ -69,19 +69,19 @@ def spaced_of(texts: list[str]) -> Chunks:
     return Chunks(pa.concat_arrays([split.values, pa.array([p for o in others for p in o], pa.large_string())]), firsts, lengths)
 
 
-def grouped(batches: Iterable[pa.RecordBatch], column: str, max_chars: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with about equal text size; null texts count as empty ones.
+def grouped(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches with about equal bytes of text; null texts count as empty ones.
 
     A text longer than the bound travels alone.
     """
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = ["" if x is None else x for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+        texts = batch.column(batch.schema.get_field_index(column)).fill_null("")
         first = size = 0
-        for i, text in enumerate(texts):
-            if i > first and size + len(text) > max_chars:
-                yield batch.slice(first, i - first), texts[first:i]
+        for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+            if i > first and size + n > max_bytes:
+                yield batch.slice(first, i - first), texts.slice(first, i - first).to_pylist()
                 first, size = i, 0
-            size += len(text)
-        yield batch.slice(first), texts[first:]
+            size += n
+        yield batch.slice(first), texts.slice(first).to_pylist()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.chunks import BATCH_CHARS, grouped, words_of
+from leafmill.llm.chunks import grouped, words_of
 from leafmill.runtime import ship_package
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -198,15 +198,9 @@ def scorer(spark: SparkSession, weights: np.ndarray, config: QualityConfig) -> C
     @F.pandas_udf("double")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            texts = part.fillna("").tolist()
-            out, first, size = [], 0, 0
-            for i, text in enumerate(texts):
-                if i > first and size + len(text) > BATCH_CHARS:
-                    out.append(score_texts(texts[first:i], sent.value, config))
-                    first, size = i, 0
-                size += len(text)
-            out.append(score_texts(texts[first:], sent.value, config))
-            yield pd.Series(np.concatenate(out))
+            whole = pa.RecordBatch.from_arrays([pa.array(part, pa.large_string(), from_pandas=True)], ["text"])
+            found = [score_texts(texts, sent.value, config) for _, texts in grouped([whole], "text")]
+            yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
     return scored
 

@@ -295,3 +295,10 @@ def test_of_repeated_ids_the_same_text_is_fitted(spark):
     rows = rows + [(i, rows[(i + 1) % 400][1]) for i in range(0, 400, 3)]
     a, b = (quality.train(docs(spark, own).repartition(n), labels) for own, n in ((rows, 3), (rows[::-1], 7)))
     assert (a == b).all()
+
+
+def test_spans_and_sketches_need_no_python(spark):
+    """The scan itself, before anything is cut off its plan."""
+    rows = docs(spark, secret_rows()).select("doc_id", "text", secrets.base_spans().alias("base"))
+    plan = secrets._with_sketch(rows, "text", secrets.OwnershipConfig())._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)

@@ -226,3 +226,32 @@ def test_newer_letters_and_long_white_space():
         coder, library = JsonTokenizer(path), Tokenizer.from_file(path)
         for text, (ids, _) in zip(texts, coder.encode(texts)):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, (path, text)
+
+
+def test_unigram_models_take_the_best_score_sum(tmp_path):
+    """A model written by hand, as none of the public ones is of this kind."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    proto.trainer_spec.model_type = 1
+    proto.normalizer_spec.name, proto.normalizer_spec.add_dummy_prefix = "identity", True
+    proto.normalizer_spec.remove_extra_whitespaces, proto.normalizer_spec.escape_whitespaces = False, True
+    kinds = {"<unk>": 2, "<s>": 3, "</s>": 3}
+    scored = {"▁": -2.0, "a": -3.0, "b": -3.1, "c": -3.7, "ab": -4.0, "bc": -3.9, "abc": -6.5, "▁ab": -4.4, "▁a": -3.5, "cab": -5.1}
+    for piece, score in [*((p, 0.0) for p in kinds), *scored.items()]:
+        proto.pieces.add(piece=piece, score=score, type=kinds.get(piece, 1))
+    path = str(tmp_path / "unigram.model")
+    with open(path, "wb") as out:
+        out.write(proto.SerializeToString())
+    coder, library, rng = pieces.PieceCoder(path), SentencePieceProcessor(model_file=path), np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abc "), n)) for n in rng.integers(0, 60, 80)] + ["abcab " * 90, ""]
+    assert [ids.tolist() for ids in coder.encode(texts)] == [library.encode(t) for t in texts]
+
+
+def test_groups_are_balanced_by_bytes():
+    import pyarrow as pa
+
+    from leafmill.llm.chunks import grouped
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["漢" * 10, None, "a" * 20, "b" * 200, "é"])], ["text"])
+    assert [texts for _, texts in grouped([batch], "text", 50)] == [["漢" * 10, "", "a" * 20], ["b" * 200], ["é"]]
