@@ -8,11 +8,13 @@ MinHash bands tie texts that agree on all rows of a band. A pair at 0.8 shares n
 the 20 bands of 5 rows once in 2,800 times, a closer pair less often.
 
 Each proposal is a bucket of shingle sets, and every two sets of a bucket are settled
-on the sets themselves. First all are compared with the bucket's least one; what is
-linked by that is one class. Buckets that still hold several classes are dealt into
-blocks: the sets outside the bucket's largest class meet each other and the blocks of
-that class, two blocks a task. No task holds more, whatever one family of texts holds,
-and sets of one class are never paired.
+on the sets themselves. Sets that buckets tie together are a family. The sets of a family
+of up to ``family`` members travel once, to one task that settles them all. In a larger
+family all are compared with its least set first, then with the least set of each of
+their buckets that is in another class by then; what is linked is one class. Buckets
+that still hold several classes are dealt into blocks: the sets outside the bucket's
+largest class meet each other and the blocks of that class, two blocks a task. No task
+holds more, whatever one family holds, and sets of one class are never paired.
 
 Defined cases: words and short, null or empty texts as in ``simhash``: a text of
 fewer words than a shingle is one shingle, a text without words equals any other such.
@@ -41,8 +43,10 @@ class ShingleConfig:
     similarity: float = 0.8
     bands: int = 20
     rows: int = 5
-    #: Sets to a block of a crowded bucket.
-    block: int = 128
+    #: Sets of a family that one task settles as a whole.
+    family: int = 256
+    #: Sets to a block of a crowded bucket of a larger one.
+    block: int = 384
 
 
 def shingle_hashes(text: str, words: int = 5) -> np.ndarray:
@@ -110,15 +114,15 @@ def _sketches(docs: DataFrame, config: ShingleConfig) -> DataFrame:
 
 
 def _sets(docs: DataFrame, config: ShingleConfig) -> DataFrame:
-    """(key, own): each row's shingle set as bytes."""
+    """(key, root, own): each row's shingle set as bytes; ``docs`` is (root, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in grouped(batches, "text"):
             sets = [shingles(t, config.words) for t in texts]
             keys = np.array([_key(s) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "root", "own"])
 
-    return docs.select("text").mapInArrow(run, "key long, own binary")
+    return docs.select("root", "text").mapInArrow(run, "key long, root long, own binary")
 
 
 def alike(left: int, right: int, common: np.ndarray | int, config: ShingleConfig) -> np.ndarray | bool:
@@ -185,15 +189,33 @@ def _between_classes(members: DataFrame, sets: DataFrame, config: ShingleConfig)
     main_other = rest.where("class = main").withColumn("t", salt("mains")).withColumn("s", F.explode(upto("others"))).select("bucket", F.lit(True).alias("main"), "s", "t", "key", "class")
     tasks = other_other.unionByName(other_main).unionByName(main_other).join(sets, "key")
 
-    def search(group: pa.Table) -> pa.Table:
-        keys = group.column("key").to_numpy()
-        order = np.argsort(keys, kind="stable")
-        own = group.column("own").to_pylist()
-        links = settle([np.frombuffer(own[k], np.uint64) for k in order.tolist()], group.column("class").to_numpy()[order], config)
-        pairs = keys[order][np.array(links, np.int64).reshape(-1, 2)]
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+    return tasks.groupBy("bucket", "main", "s", "t").applyInArrow(lambda group: _search(group, "class", config), "a long, b long")
 
-    return tasks.groupBy("bucket", "main", "s", "t").applyInArrow(search, "a long, b long")
+
+def _search(group: pa.Table, classes: str | None, config: ShingleConfig) -> pa.Table:
+    """Links (a, b) between the classes of a group of sets, each set its own class if ``classes`` names no column."""
+    keys, firsts = np.unique(group.column("key").to_numpy(), return_index=True)
+    own = group.column("own")
+    sets = [np.frombuffer(own[k].as_py(), np.uint64) for k in firsts.tolist()]
+    links = settle(sets, group.column(classes).to_numpy()[firsts] if classes else np.arange(len(keys)), config)
+    pairs = keys[np.array(links, np.int64).reshape(-1, 2)]
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _large_links(members: DataFrame, sets: DataFrame, config: ShingleConfig) -> DataFrame:
+    """Links (a, b) that connect what is alike in the large families, for rows (bucket, hub, key, root)."""
+    stars = members.where("key <> root").select(F.col("root").alias("a"), F.col("key").alias("b")).distinct()
+    first = cut(_verified(stars, sets, config))
+    # The root of a family is its least key, so a verified star needs no search for its component.
+    tied = first.select(F.col("b").alias("key"), F.col("a").alias("class"))
+    classed = members.join(tied, "key", "left").withColumn("class", F.coalesce("class", "key"))
+    hubs = tied.select(F.col("key").alias("hub"), F.col("class").alias("hub_class"))
+    apart = classed.join(hubs, "hub", "left").where("class <> coalesce(hub_class, hub) and key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    second = cut(_verified(apart, sets, config))
+    known = first.unionByName(second)
+    classes = connected(known)
+    labelled = members.drop("root").join(classes.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("class"))
+    return known.unionByName(_between_classes(labelled, sets, config))
 
 
 def components_of(docs: DataFrame, rows: DataFrame, config: ShingleConfig) -> DataFrame:
@@ -206,16 +228,20 @@ def components_of(docs: DataFrame, rows: DataFrame, config: ShingleConfig) -> Da
     # Of buckets with the same members one is enough.
     sizes = sizes.groupBy("hub", "n", "mark").agg(F.min("bucket").alias("bucket"))
     members = cut(held.join(sizes.select("bucket", "hub"), "bucket").select("bucket", "hub", "key"))
-    wanted = prints.join(members.select("key").distinct(), "key").select("key", "least")
+    families = connected(members.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")))
+    families = cut(families.join(families.groupBy("root").agg(F.count("*").alias("size")), "root").select(F.col("node").alias("key"), "root", (F.col("size") > config.family).alias("large")))
+    wanted = families.join(prints.select("key", "least"), "key")
     # One row stands for each set: the one of its least doc_id, or any where none has one.
-    named = docs.join(wanted.where("least is not null").select(F.col("least").alias("wanted_id")).distinct(), F.col("doc_id").cast("long") == F.col("wanted_id"), "left_semi")
-    own = _sets(named.select("text").unionByName(docs.where("doc_id is null").select("text")), config).join(wanted.select("key"), "key", "left_semi")
-    own = cut(own.dropDuplicates(["key"]))
-    stars = members.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    classes = connected(_verified(stars, own, config))
-    labelled = members.join(classes.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("class"))
-    more = _between_classes(labelled, own, config)
-    roots = connected(classes.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more))
+    named = docs.join(wanted.where("least is not null").select(F.col("least").alias("wanted_id"), "root").distinct(), F.col("doc_id").cast("long") == F.col("wanted_id"))
+    nameless = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("root"), "text")
+    found = _sets(named.select("root", "text"), config)
+    found = found.unionByName(_sets(nameless, config).drop("root").join(wanted.where("least is null").select("key", "root"), "key"))
+    small, large = families.where("not large").select("root").distinct(), families.where("large").select("key", "root")
+    whole = found.join(small, "root", "left_semi").groupBy("root").applyInArrow(lambda group: _search(group, None, config), "a long, b long")
+    own = cut(found.join(large.select("key"), "key", "left_semi").select("key", "own").dropDuplicates(["key"]))
+    crowded = members.join(large, "key")
+    links = _large_links(crowded, own, config) if not large.isEmpty() else crowded.select(F.col("key").alias("a"), F.col("key").alias("b"))
+    roots = connected(whole.unionByName(links))
     labelled = cut(prints.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")))
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     return labelled.join(ids, "root").select("key", "component_id")

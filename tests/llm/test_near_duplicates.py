@@ -231,8 +231,8 @@ def test_crowded_buckets_are_settled_in_blocks(spark):
             rows.append((1000 * family + k, " ".join(own)))
     own = {d: plain_shingles(t) for d, t in rows}
     root = union(own, [(a, b) for a in own for b in own if a < b and len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b])])
-    for block in (3, 128):
-        got = shingle_dedup.near_duplicates(docs(spark, rows), shingle_dedup.ShingleConfig(block=block)).collect()
+    for family, block in ((256, 384), (10, 384), (10, 3)):
+        got = shingle_dedup.near_duplicates(docs(spark, rows), shingle_dedup.ShingleConfig(family=family, block=block)).collect()
         assert {r.doc_id: r.component_id for r in got} == root
 
 
