@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leafmill.llm.chunks import grouped
 from leafmill.llm.tokenizers_fast import json_tokenizer
@@ -145,7 +146,7 @@ class ShardReader:
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, block: int = 8192) -> list[tuple[int, str, int, int]]:
     """Encode all documents in ascending doc_id order (null first) and write one shard per range of rows.
 
-    Rows with the same doc_id follow one another, by text, over several shards if they are many. Returns the manifest - one
+    Rows with the same doc_id follow one another, by a hash of the text, over several shards if they are many. Returns the manifest - one
     entry per non-empty shard, in order - which is also written as ``_manifest`` beside the shards.
     """
     spark = docs.sparkSession
@@ -168,7 +169,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 ["shard", "path", "n_docs", "n_ids"],
             )
 
-    ordered = docs.selectExpr("cast(doc_id as long) doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Ranges are found on a sample of their keys, so these are two numbers; texts stay with the executors.
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
+    ordered = marked.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark", "text").select("doc_id", "text")
     # One small row per shard: bounded by the number of partitions, not by the documents.
     manifest = sorted(tuple(r) for r in ordered.mapInArrow(run, MANIFEST).collect())
     if manifest:
