@@ -170,8 +170,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tup
 
 def _ranked(rows: DataFrame, block: int) -> DataFrame:
     """``rows`` with the block of each row by its rank in its conversation; equal rows are told apart by their place."""
-    keys = ["conv_id", "turn", "role", "text", "place"]
-    ordered = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Ranges are found on a sample of their keys, so no whole text is one.
+    keys = ["conv_id", "turn", "role", "head", "mark", "place"]
+    marked = rows.withColumns({"head": F.substring("text", 1, 32), "mark": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    ordered = marked.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered = cut(ordered.select("conv_id", "turn", "role", "text", F.spark_partition_id().alias("slice"), F.monotonically_increasing_id().alias("at")))
     # One row per conversation and partition that it reaches into.
     firsts = ordered.groupBy(F.col("conv_id").alias("long_id"), F.col("slice").alias("long_slice")).agg(F.min("at").alias("first"), F.count("*").alias("n"))
@@ -218,7 +220,7 @@ def repair_conversations(turns: DataFrame, costs: RepairCosts | None = None, blo
 
     Conversations of up to ``block`` rows are one row; the rendered texts of a longer
     one's rows, by ``block``, follow one another. Defined cases: turns are taken
-    by turn number, then role, then text, null first; a null or unknown role is given
+    by turn number, then role, then text (over blocks, by its first 32 characters and then a hash), null first; a null or unknown role is given
     the cheapest one; null texts are empty; repeated rows are turns of their own; rows
     whose conv_id is null form one conversation; an empty table gives no rows; other columns are ignored.
     """
