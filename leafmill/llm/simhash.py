@@ -317,7 +317,10 @@ def stand_ins(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The documents that ``keep_one`` keeps, for rows (doc_id, component_id)."""
     columns = docs.columns
     chosen = rows.where("doc_id is null and component_id is null or doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(chosen["kept_id"]), "left_semi")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    nameless = kept.where("doc_id is null").dropDuplicates(["text"])
+    # Texts are shuffled once: the join by doc_id leaves rows where dropping repeats of it wants them.
+    ids, none = chosen.where("kept_id is not null"), chosen.where("kept_id is null").select(F.lit(0).alias("kept_none"))
+    named = docs.where(docs["doc_id"].isNotNull())
+    named = named.join(ids, named["doc_id"].cast("long") == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where(docs["doc_id"].isNull())
+    nameless = nameless.join(F.broadcast(none), F.isnull(nameless["doc_id"]).cast("int") - 1 == none["kept_none"], "left_semi").dropDuplicates(["text"])  # one row at most
     return named.unionByName(nameless).select(*columns)
