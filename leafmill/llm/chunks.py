@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts of so many bytes are worked on together.
-BATCH_BYTES = 6_000_000
+BATCH_BYTES = 3_000_000
 #: A run of spaces with what follows it; at the end of a text, with nothing.
 _SPACED = re.compile(r" *[^ ]+| +\Z")
 
@@ -69,6 +70,22 @@ def spaced_of(texts: list[str]) -> Chunks:
     return Chunks(pa.concat_arrays([split.values, pa.array([p for o in others for p in o], pa.large_string())]), firsts, lengths)
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library, which has its own ways
+        return lambda keep: 0
+
+
+def release_memory() -> None:
+    """Give back what a batch has freed: workers live on and share their executor's memory with others."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def grouped(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the batches with about equal bytes of text; null texts count as empty ones.
 
@@ -85,3 +102,5 @@ def grouped(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = BAT
                 first, size = i, 0
             size += n
         yield batch.slice(first), texts.slice(first).to_pylist()
+        del batch, texts
+        release_memory()

@@ -102,11 +102,14 @@ def _sketches(docs: DataFrame, config: ShingleConfig) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(config.bands * config.rows)
         for batch, texts in grouped(batches, "text"):
-            hashes = [shingle_hashes(t, config.words) for t in texts]
-            prints = np.array([majority(h) for h in hashes], np.uint64).view(np.int64)
-            sets = [np.unique(h) for h in hashes]
-            keys = np.array([_key(s) for s in sets], np.uint64).view(np.int64)
-            flat = np.array([_buckets(s, factors, config) for s in sets], np.uint64).view(np.int64)
+            prints, keys, flat = [], [], []
+            for text in texts:
+                hashes = shingle_hashes(text, config.words)
+                own = np.unique(hashes)
+                prints.append(majority(hashes))
+                keys.append(_key(own))
+                flat.append(_buckets(own, factors, config))
+            prints, keys, flat = (np.array(x, np.uint64).view(np.int64) for x in (prints, keys, flat))
             places = pa.array(np.arange(0, flat.size + 1, config.bands, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(keys), pa.ListArray.from_arrays(places, pa.array(flat.ravel())), pa.array(prints)], ["doc_id", "key", "buckets", "fp"])
 

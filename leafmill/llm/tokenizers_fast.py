@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -78,13 +78,12 @@ class JsonTokenizer:
     def __init__(self, path: str):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.lowers = self.library.normalizer is not None
-        self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
+        self.path = path
         with open(path, encoding="utf-8") as source:
             spec = json.load(source)
+        self.lowers = spec["normalizer"] is not None
+        self.vocabulary = len(spec["model"]["vocab"].keys() | {t["content"] for t in spec["added_tokens"]})
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
         byte_of, suffix = {c: b for b, c in _byte_alphabet().items()}, spec["model"]["end_of_word_suffix"] or ""
@@ -108,6 +107,13 @@ class JsonTokenizer:
         for token, rank in self.specials.items():
             self.sizes[rank] = len(token.encode())
 
+    @cached_property
+    def library(self):
+        """Loaded for the few texts that only the library may encode."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _merge(self, text: str) -> np.ndarray:
         return self.merger.encode_to_numpy(text, disallowed_special=())
 
