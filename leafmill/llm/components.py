@@ -7,6 +7,8 @@ execution splits where a hub has many. No neighbourhood is ever gathered.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,12 @@ from leafmill.runtime import cut
 MAX_ROUNDS = 60
 
 
+def release(frame: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffles and checkpoints of frames that nothing refers to any more."""
+    gc.collect()
+    frame.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of u is tied to the least of u and its neighbours."""
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -47,6 +55,7 @@ def connected(edges: DataFrame) -> DataFrame:
             break
         now = cut(_small_star(_large_star(now)))
         after = _print(now)
+        release(now)
         if after == before:
             break
         before = after
