@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import chat, embedding_dedup, packing, pieces, quality, secrets, simhash, token_counts, token_files, topk
+from leafmill.llm import chat, embedding_dedup, filter_audit, language_id, merkle, packing, pieces, quality, secrets, simhash, token_counts, token_files, topk
 from leafmill.runtime import table
 
 
@@ -57,8 +57,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_topk, op2_embedding_dedup, op3_secrets, op4_chat, op5_quality, op6_packing, op7_token_counts, op8_pieces, op9_token_files, op10_simhash)
+    own = (op1_topk, op2_embedding_dedup, op3_secrets, op4_chat, op5_quality, op6_packing, op7_token_counts, op8_pieces, op9_token_files, op10_simhash, op11_filter_audit, op12_language_id, op13_merkle)
     return {f.__name__: f for f in own}
 
 
@@ -102,4 +114,4 @@ FROM embeddings m LEFT JOIN c ON c.node = m.vec_id LEFT JOIN d ON d.node = m.vec
 
 def oracle_sql() -> dict[str, str]:
     """The others learn, tokenize, hash with XXH64 or walk automata; tests hold them against plain versions."""
-    return {"op1_topk": TOPK_SQL, "op2_embedding_dedup": EMBEDDING_DEDUP_SQL}
+    return {"op1_topk": TOPK_SQL, "op2_embedding_dedup": EMBEDDING_DEDUP_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL, "op13_merkle": merkle.MERKLE_SQL}

@@ -24,7 +24,7 @@ def test_stages_chain(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_stages_on_awkward_rows_and_an_empty_table(spark, tmp_path):
