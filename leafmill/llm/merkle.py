@@ -149,7 +149,7 @@ def witnesses(group: pa.Table, above: pa.Table, bits: int) -> pa.Table:
     for step in path:
         now = f"sha256({now})" if not step else f"sha256('{step[1:]}' || {now})" if step[0] == "L" else f"sha256({now} || '{step[1:]}')"
     outer = "".join(step[1:] for step in path)
-    found = db.execute(f"SELECT sha256(proof || '{outer}') AS proof_sha256, {now} AS folded_root FROM climb ORDER BY pos").to_arrow_table().combine_chunks()
+    found = db.sql(f"SELECT sha256(proof || '{outer}') AS proof_sha256, {now} AS folded_root FROM climb ORDER BY pos").to_arrow_table().combine_chunks()
     order = nodes.column("pos").to_numpy().argsort()
     group, n = group.take(pa.array(order)), group.num_rows
     return pa.table(
