@@ -1,4 +1,4 @@
-"""Paged documents put together from their words, lines, pictures and grids.
+"""Paged documents put together from their words, ruling lines and pictures.
 
 Every frame is keyed by (doc_id, page), and each step is one of the engine's own
 operators; the few rows that a step decides by (repeated lines, page classes, counts) join
@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators import chrome, geometry, pages, reading_order, tables
+from leafmill.operators import chrome, geometry, grids, pages, reading_order, tables
+from leafmill.runtime import cut
 
 SAMPLE = 120
 
@@ -23,7 +24,7 @@ class Scanned:
 
     pages: doc_id, page, width, height. words: doc_id, page, block_no, line_no, word_no, text,
     x0, y0, x1, y1, a, b (the writing direction). images: xref and corners. drawings: item (l, re)
-    and corners. fonts: font. grids: table_no, rows and corners of candidate tables.
+    and corners. fonts: font.
     """
 
     pages: DataFrame
@@ -31,7 +32,6 @@ class Scanned:
     images: DataFrame
     drawings: DataFrame
     fonts: DataFrame
-    grids: DataFrame
 
 
 @dataclass
@@ -81,7 +81,8 @@ def assemble(scan: Scanned) -> Assembled:
     counts = scan.pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
     marked = stamps(scan.words, counts)
     words, stamped = marked.where(~F.col("stamp")).drop("stamp"), marked.where("stamp")
-    native = scan.grids.where(tables.is_real_table(F.col("rows")))
+    # Stamps stay out of the cells they cross. The tables are few and used twice.
+    native = cut(grids.ruled_tables(scan.drawings, words).where(tables.is_real_table(F.col("rows"))))
     texts, order = page_texts(geometry.exclude_regions(words, native), scan.pages)
 
     # Classes and what follows from them, from all that stands on the page.

@@ -1,13 +1,15 @@
-"""Rectangles: predicates as columns, exclusions as anti joins on (doc_id, page) with a geometric residue."""
+"""Rectangles: predicates as columns, exclusions as anti joins of what the spatial join finds."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators import spatial
+from leafmill.operators.spatial import CORNERS
+
 # Fixed values.
 FULL_WIDTH, STAMP_IOU, SKEW, ROW_TOLERANCE, FIGURE_GAP, SPAN_OVERLAP = 0.8, 0.8, 0.01, 0.5, 6.0, 0.8
-CORNERS = ("x0", "y0", "x1", "y1")
 Box = tuple[Column, Column, Column, Column]
 
 
@@ -29,9 +31,11 @@ def iou(a: Box, b: Box) -> Column:
 
 
 def _without(rows: DataFrame, boxes: DataFrame, condition) -> DataFrame:
-    other = boxes.select(F.col("doc_id").alias("_d"), F.col("page").alias("_p"), *[F.col(c).alias(f"_{c}") for c in CORNERS])
-    hit = (rows.doc_id == other["_d"]) & (rows.page == other["_p"]) & condition(box(rows), box(other, tuple(f"_{c}" for c in CORNERS)))
-    return rows.join(other, hit, "left_anti")
+    """The rows for which no box of their page meets the condition, which holds only of rectangles that share a point."""
+    key = [*spatial.KEY, *CORNERS]
+    pairs = spatial.touching(rows.select(*key), boxes.select(*key), "_")
+    hit = pairs.where(condition(box(pairs), box(pairs, tuple(f"_{c}" for c in CORNERS)))).select(*key).distinct()
+    return rows.join(hit, key, "left_anti").select(*rows.columns)
 
 
 def exclude_regions(words: DataFrame, regions: DataFrame) -> DataFrame:
@@ -44,13 +48,18 @@ def drop_stamped(words: DataFrame, stamps: DataFrame) -> DataFrame:
     return _without(words, stamps, lambda a, b: iou(a, b) >= STAMP_IOU)
 
 
+def centres(rows: DataFrame) -> DataFrame:
+    """The rows with their rectangles shrunk to the centres."""
+    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+    return rows.withColumns({"x0": x, "y0": y, "x1": x, "y1": y})
+
+
 def drop_inside(chars: DataFrame, boxes: DataFrame) -> DataFrame:
     """Characters whose centre lies in none of their page's boxes, edges included."""
-    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
-    centred = chars.withColumns({"_cx": x, "_cy": y})
-    other = boxes.select(F.col("doc_id").alias("_d"), F.col("page").alias("_p"), *[F.col(c).alias(f"_{c}") for c in CORNERS])
-    hit = (F.col("doc_id") == F.col("_d")) & (F.col("page") == F.col("_p")) & F.col("_cx").between(F.col("_x0"), F.col("_x1")) & F.col("_cy").between(F.col("_y0"), F.col("_y1"))
-    return centred.join(other, hit, "left_anti").select(*chars.columns)
+    key = [*spatial.KEY, *CORNERS]
+    whole = chars.select(*key, *[F.col(c).alias(f"c_{c}") for c in CORNERS])
+    hit = spatial.touching(centres(whole), boxes.where("x0 <= x1 and y0 <= y1").select(*key)).select(*spatial.KEY, *[F.col(f"c_{c}").alias(c) for c in CORNERS]).distinct()
+    return chars.join(hit, key, "left_anti").select(*chars.columns)
 
 
 def to_word_space(regions: DataFrame) -> DataFrame:
@@ -152,10 +161,10 @@ def vector_figures(clusters: DataFrame, drawings: DataFrame, words: DataFrame, p
     sized = clusters.where((F.col("x1") - F.col("x0") >= LEAST_SIDE) & (F.col("y1") - F.col("y0") >= LEAST_SIDE)).join(pages.select("doc_id", "page", (F.col("width") * F.col("height")).alias("page_area")), ["doc_id", "page"])
     sized = sized.where((F.col("page_area") <= 0) | (area < MOST_OF_PAGE * F.col("page_area"))).drop("page_area")
     free = _without(sized, taken, overlaps)
-    inner = free.select(*key, *[F.col(c).alias(f"c_{c}") for c in CORNERS])
+    inner = free.select(*key, *CORNERS)
 
     def within(rows: DataFrame) -> DataFrame:
-        return inner.join(rows, ["doc_id", "page"]).where(overlaps(tuple(F.col(c) for c in CORNERS), tuple(F.col(f"c_{c}") for c in CORNERS)))
+        return spatial.touching(rows, inner, "c_").where(overlaps(tuple(F.col(c) for c in CORNERS), tuple(F.col(f"c_{c}") for c in CORNERS))).withColumnRenamed("c_cluster_no", "cluster_no")
 
     paths = within(drawings.select("doc_id", "page", *CORNERS)).groupBy(*key).agg(F.count("*").alias("paths")).where(F.col("paths") >= LEAST_PATHS)
     chars = within(words.select("doc_id", "page", "text", *CORNERS)).groupBy(*key).agg((F.sum(F.length("text")) + F.count("*") - 1).alias("chars"))

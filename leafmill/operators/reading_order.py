@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.operators.geometry import CORNERS
+from leafmill.operators import spatial
+from leafmill.operators.spatial import CORNERS
 from leafmill.runtime import ship_package
 
 # Fixed values.
@@ -66,7 +67,7 @@ def order_page(boxes: list[tuple[float, float, float, float, int]]) -> tuple[lis
     return out, most, beside
 
 
-def _by_page(rows: DataFrame, solve: Callable[[list[tuple]], list[tuple]], names: list[str], kinds: list[pa.DataType], schema: str) -> DataFrame:
+def by_page(rows: DataFrame, solve: Callable[[list[tuple]], list[tuple]], names: list[str], kinds: list[pa.DataType], schema: str) -> DataFrame:
     """``solve`` on the rows of every page, sorted by all columns, without doc_id and page; these lead its rows again."""
     ship_package(rows.sparkSession)
 
@@ -103,7 +104,7 @@ def reading_order(blocks: DataFrame) -> DataFrame:
         return [(key, i, columns, beside) for i, key in enumerate(order, 1)]
 
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
-    return _by_page(_typed(blocks, "block_no"), page, ["doc_id", "page", "block_no", "ord", "columns", "concurrent"], kinds, ORDERED)
+    return by_page(_typed(blocks, "block_no"), page, ["doc_id", "page", "block_no", "ord", "columns", "concurrent"], kinds, ORDERED)
 
 
 def ocr_line_order(lines: DataFrame) -> DataFrame:
@@ -172,25 +173,27 @@ def formula_regions(lines: DataFrame) -> DataFrame:
     blocks = said.groupBy("doc_id", "page", "block_no").agg((short | math | odd).alias("wanted"), *hull).where("wanted")
     names = ["doc_id", "page", "region_no", *CORNERS]
     kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
-    return _by_page(_typed(blocks), lambda rows: [(k, *h) for k, h in enumerate(merge_near(rows))], names, kinds, "doc_id string, page int, region_no int, x0 double, y0 double, x1 double, y1 double")
+    return by_page(_typed(blocks), lambda rows: [(k, *h) for k, h in enumerate(merge_near(rows))], names, kinds, "doc_id string, page int, region_no int, x0 double, y0 double, x1 double, y1 double")
 
 
 def region_scores(expected: DataFrame, regions: DataFrame) -> DataFrame:
     """(doc_id, page, formula_no, iou, covered) for expected boxes (formula_no, corners): the best region's overlap, and the largest share inside one."""
-    other = regions.select("doc_id", "page", *[F.col(c).alias(f"r_{c}") for c in CORNERS])
-    joined = expected.withColumn("doc_id", F.col("doc_id").cast("string")).join(other, ["doc_id", "page"], "left")
+    wanted = expected.withColumn("doc_id", F.col("doc_id").cast("string"))
+    pairs = spatial.touching(wanted.select("doc_id", "page", "formula_no", *CORNERS), regions.select("doc_id", "page", *CORNERS))
     w, h = (F.greatest(F.lit(0.0), F.least(f"{d}1", f"r_{d}1") - F.greatest(f"{d}0", f"r_{d}0")) for d in "xy")
     own, theirs = ((F.col(f"{p}x1") - F.col(f"{p}x0")) * (F.col(f"{p}y1") - F.col(f"{p}y0")) for p in ("", "r_"))
-    shared = F.when(F.col("r_x0").isNotNull(), w * h).otherwise(0.0)  # greatest() and least() pass over nulls
+    shared = w * h
     overlap = F.when(shared > 0, shared / (own + theirs - shared)).otherwise(0.0)
-    return joined.groupBy("doc_id", "page", "formula_no").agg(F.max(overlap).alias("iou"), F.max(F.when(own > 0, shared / own).otherwise(0.0)).alias("covered"))
+    key = ["doc_id", "page", "formula_no"]
+    best = pairs.groupBy(*key).agg(F.max(overlap).alias("iou"), F.max(F.when(own > 0, shared / own).otherwise(0.0)).alias("covered"))
+    return wanted.select(*key).distinct().join(best, key, "left").na.fill(0.0, ["iou", "covered"])
 
 
 def group_figures(images: DataFrame) -> DataFrame:
     """Hulls of picture parts that belong together; hulls grow while they merge, so a page is walked as a whole."""
     names = ["doc_id", "page", "figure_no", *CORNERS]
     kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
-    return _by_page(_typed(images), lambda rows: [(k, *h) for k, h in enumerate(merge_hulls(rows))], names, kinds, "doc_id string, page int, figure_no int, x0 double, y0 double, x1 double, y1 double")
+    return by_page(_typed(images), lambda rows: [(k, *h) for k, h in enumerate(merge_hulls(rows))], names, kinds, "doc_id string, page int, figure_no int, x0 double, y0 double, x1 double, y1 double")
 
 
 def _together(a: list[float], b: list[float], gap: float = 6.0, share: float = 0.8) -> bool:

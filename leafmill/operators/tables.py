@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import strip
-from leafmill.operators.geometry import is_vertical
+from leafmill.operators import spatial
+from leafmill.operators.geometry import centres, is_vertical
+from leafmill.operators.spatial import CORNERS
 
 # Fixed values.
 LEAST_FILL, MEDIAN_LENGTH, SAME_ROWS, MAX_CELLS, WORD_GAP = 0.2, 120, 3, 5_000_000, 1.5
@@ -61,32 +63,43 @@ def chart_rows(points: DataFrame) -> DataFrame:
     return head.join(body, ["doc_id", "chart_no"]).select("doc_id", "chart_no", F.concat(F.array(F.concat(F.array(F.lit("")), F.col("names"))), F.col("body")).alias("rows"))
 
 
-def vertical_cells(cells: DataFrame, chars: DataFrame) -> DataFrame:
-    """Cells with sideways text read in its own direction; the others keep theirs.
+CELL = ["doc_id", "page", "table_no", "row", "col"]
 
-    cells: doc_id, page, table_no, row, col, x0, top, x1, bottom, text. chars: doc_id, page,
-    char_no, x0, top, x1, bottom, a, b, text, a and b from the text matrix. A character belongs
-    to the cells that hold its centre; characters at one rounded x form a line.
-    """
-    cell = ["doc_id", "page", "table_no", "row", "col"]
-    box = cells.select(*cell, *[F.col(c).alias(f"c_{c}") for c in ("x0", "top", "x1", "bottom")])
-    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
-    inside = box.join(chars, ["doc_id", "page"]).where(x.between(F.col("c_x0"), F.col("c_x1")) & y.between(F.col("c_top"), F.col("c_bottom")))
-    whole = Window.partitionBy(*cell)
+
+def in_cells(cells: DataFrame, chars: DataFrame) -> DataFrame:
+    """The characters (or words) with the cells (doc_id, page, table_no, row, col, corners) that hold their centre."""
+    marks = chars.withColumnsRenamed({c: f"own_{c}" for c in CORNERS}).withColumns({c: F.col(f"own_{c}") for c in CORNERS})
+    pairs = spatial.touching(centres(marks), cells.where("x0 <= x1 and y0 <= y1").select(*CELL, *CORNERS), "c_")
+    return pairs.drop(*CORNERS, *[f"c_{c}" for c in CORNERS]).withColumnsRenamed({f"own_{c}": c for c in CORNERS} | {"c_table_no": "table_no", "c_row": "row", "c_col": "col"})
+
+
+def sideways(inside: DataFrame) -> DataFrame:
+    """(cell, read): the text of cells of which most characters run up or down; those at one rounded x form a line."""
+    whole = Window.partitionBy(*CELL)
     n = F.count("*").over(whole)
     turned = inside.withColumns({
         "sideways": F.count_if(is_vertical(F.col("a"), F.col("b"))).over(whole) * 2 > n,
         "up": F.count_if(F.col("b") > 0).over(whole) * 2 >= n,
     }).where("sideways")
     sign = F.when(F.col("up"), -1).otherwise(1)
-    turned = turned.select(*cell, "char_no", "text", "top", "bottom", "up", (F.bround("x0", 0) * -sign).alias("line"), (F.col("top") * sign).alias("along"))
-    before = Window.partitionBy(*cell, "line").orderBy("along", "char_no")
-    gap = F.when(F.col("up"), F.lag("top").over(before) - F.col("bottom")).otherwise(F.col("top") - F.lag("bottom").over(before))
+    turned = turned.select(*CELL, "char_no", "text", "y0", "y1", "up", (F.bround("x0", 0) * -sign).alias("line"), (F.col("y0") * sign).alias("along"))
+    before = Window.partitionBy(*CELL, "line").orderBy("along", "char_no")
+    gap = F.when(F.col("up"), F.lag("y0").over(before) - F.col("y1")).otherwise(F.col("y0") - F.lag("y1").over(before))
     spaced = turned.withColumn("text", F.when(gap > WORD_GAP, F.concat(F.lit(" "), F.col("text"))).otherwise(F.col("text")))
     run = F.array_sort(F.collect_list(F.struct("along", "char_no", "text")))
-    by_line = spaced.groupBy(*cell, "line").agg(strip(F.array_join(F.transform(run, lambda c: c["text"]), "")).alias("text"))
-    read = by_line.groupBy(*cell).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda t: t["text"]), "\n").alias("read"))
-    return cells.join(read, cell, "left").withColumn("text", F.coalesce("read", "text")).drop("read")
+    by_line = spaced.groupBy(*CELL, "line").agg(strip(F.array_join(F.transform(run, lambda c: c["text"]), "")).alias("text"))
+    return by_line.groupBy(*CELL).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda t: t["text"]), "\n").alias("read"))
+
+
+def vertical_cells(cells: DataFrame, chars: DataFrame) -> DataFrame:
+    """Cells with sideways text read in its own direction; the others keep theirs.
+
+    cells: doc_id, page, table_no, row, col, x0, top, x1, bottom, text. chars: doc_id, page,
+    char_no, x0, top, x1, bottom, a, b, text, a and b from the text matrix.
+    """
+    edges = {"top": "y0", "bottom": "y1"}
+    read = sideways(in_cells(cells.withColumnsRenamed(edges), chars.withColumnsRenamed(edges)))
+    return cells.join(read, CELL, "left").withColumn("text", F.coalesce("read", "text")).drop("read")
 
 
 def debris(rows: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators import assembly, chrome, geometry, pages, reading_order
+from leafmill.operators import assembly, chrome, geometry, grids, pages, reading_order
 from leafmill.plans.catalog import query
 from leafmill.runtime import table
 
@@ -318,5 +318,34 @@ def assembled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = rows.select("doc_id", "page", F.lit(1).alias("block_no"), F.lit(0).alias("line_no"), F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("word_no", "text"))
     placed = [part.select("*", *at(200.0 + F.col("word_no") * 0.001, y)) for part, y in ((head, 20.0), (body, 400.0))]
     none = lambda columns: spark.createDataFrame([], f"doc_id string, page int, {columns}, x0 double, y0 double, x1 double, y1 double")
-    scan = assembly.Scanned(all_pages, placed[0].unionByName(placed[1]), none("xref int"), none("item string"), spark.createDataFrame([], "doc_id string, page int, font string"), none("table_no int, rows array<array<string>>"))
+    scan = assembly.Scanned(all_pages, placed[0].unionByName(placed[1]), none("xref int"), none("item string"), spark.createDataFrame([], "doc_id string, page int, font string"))
     return assembly.assemble(scan).blocks.select("doc_id", "page", "stage", "text")
+
+
+@query(
+    f"""WITH {SQL_BOXES}, q AS (SELECT l_orderkey AS doc_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax) AS INTEGER) AS box_no, 'q' || CAST(l_quantity AS BIGINT) AS said FROM lineitem),
+    n AS (SELECT doc_id, max(box_no) AS n FROM b GROUP BY 1), c AS (SELECT q.*, n, box_no = n AS merged FROM q JOIN n USING (doc_id))
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, box_no - 1 AS row, 0 AS col, 'r' || box_no AS text FROM c
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), box_no - 1, 1, CASE WHEN merged THEN said || ' c' ELSE said END FROM c
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), box_no - 1, 2, CASE WHEN merged THEN '' ELSE 'c' END FROM c WHERE n > 1"""
+)
+def ruled_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order as a ruled table: a box a row, drawn a little off, two rules of pieces, one missing in the last row, and a stamp across."""
+    rows = table(spark, sf_dir, "lineitem")
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax"))
+    rows = rows.select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), number.alias("box_no"), F.concat(F.lit("q"), F.col("l_quantity").cast("long")).alias("said"), ((F.col("l_linenumber") % 3 - 1) * 0.5).alias("off"))
+    rows = rows.withColumns({"last": F.col("box_no") == F.count("*").over(Window.partitionBy("doc_id")), "y": F.lit(80.0) + 20 * F.col("box_no")})
+    shape = lambda item, x0, y0, x1, y1: F.struct(F.lit(item).alias("item"), F.lit(x0).alias("x0"), y0.alias("y0"), F.lit(x1).alias("x1"), y1.alias("y1"))
+    y = F.col("y")
+    drawn = F.array(
+        shape("re", 100.0, y + F.col("off"), 400.0, y + 20 + F.col("off")), shape("l", 200.0, y, 200.0, y + 20),
+        F.when(~F.col("last"), shape("l", 300.0, y, 300.0, y + 20)), F.when(F.col("box_no") == 1, shape("re", 500.0, y, 550.0, y + 20)),
+    )
+    drawings = rows.select("doc_id", "page", F.inline(F.filter(drawn, lambda s: s.isNotNull())))
+    word = lambda k, text, x, turn: F.struct(F.lit(k).alias("word_no"), text.alias("text"), F.lit(x).alias("x0"), F.lit(turn).alias("a"), F.lit(turn and 1 - turn).alias("b"))
+    said = F.array(word(0, F.concat(F.lit("r"), "box_no"), 140.0, 1.0), word(1, F.col("said"), 240.0, 1.0), word(2, F.lit("c"), 340.0, 1.0), word(3, F.lit("DRAFT"), 150.0, 0.6))
+    words = rows.select("doc_id", "page", F.lit(0).alias("block_no"), F.col("box_no").alias("line_no"), "y", F.inline(said))
+    words = words.select("*", (F.col("y") + 5).alias("y0"), (F.col("x0") + 20).alias("x1"), (F.col("y") + 15).alias("y1")).drop("y")
+    found = grids.ruled_tables(drawings, words.where(~geometry.is_skewed(F.col("a"), F.col("b"))))
+    cells = found.select("doc_id", F.posexplode("rows").alias("row", "texts"))
+    return cells.select("doc_id", "row", F.posexplode("texts").alias("col", "text"))

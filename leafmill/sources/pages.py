@@ -1,4 +1,4 @@
-"""PDF files as rows: one scan per file, then frames of pages, words, lines, pictures and grids."""
+"""PDF files as rows: one scan per file, then frames of pages, words, lines and pictures."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ _BOX = "x0:double,y0:double,x1:double,y1:double"
 SCANNED = (
     "path string, author string, title string, error_category string, error string, pages array<struct<page:int,width:double,height:double,"
     f"words:array<struct<block_no:int,line_no:int,word_no:int,text:string,{_BOX},a:double,b:double>>,images:array<struct<xref:int,{_BOX}>>,"
-    f"drawings:array<struct<item:string,{_BOX}>>,fonts:array<string>,grids:array<struct<table_no:int,rows:array<array<string>>,{_BOX}>>>>"
+    f"drawings:array<struct<item:string,{_BOX}>>,fonts:array<string>>>"
 )
 _CORNERS = ("x0", "y0", "x1", "y1")
 
@@ -29,7 +29,6 @@ def _page(number: int, page) -> dict:
         "page": number, "width": page.width, "height": page.height, "fonts": sorted(page.fonts),
         "words": named(("block_no", "line_no", "word_no", "text", *_CORNERS, "a", "b"), pdf.words(page)),
         "images": named(("xref", *_CORNERS), page.images), "drawings": named(("item", *_CORNERS), page.drawings),
-        "grids": [{"table_no": k, "rows": rows, **dict(zip(_CORNERS, box))} for k, (box, rows) in enumerate(pdf.tables(page))],
     }
 
 
@@ -70,7 +69,6 @@ def frames(scanned: DataFrame) -> Scanned:
         rows("images", "xref", *_CORNERS),
         rows("drawings", "item", *_CORNERS),
         each.select("doc_id", "p.page", F.explode("p.fonts").alias("font")),
-        rows("grids", "table_no", "rows", *_CORNERS),
     )
 
 

@@ -1,4 +1,4 @@
-"""PDF bytes to positioned words, ruling lines, pictures and grids, with the standard library alone.
+"""PDF bytes to positioned words, ruling lines and pictures, with the standard library alone.
 
 Objects are found by walking the file once, whatever its cross-reference table says, so
 damaged and incrementally saved files read alike; the last definition of an object
@@ -579,96 +579,3 @@ def words(page: Page) -> list[tuple]:
         last = (x0, y0, x1, y1, a, b, size)
     close()
     return out
-
-
-SNAP = 3.0
-
-
-def _snapped(values: list[float]) -> dict[float, float]:
-    """Every value with the mean of its run of values that lie within the tolerance of one another."""
-    out, run = {}, []
-    for v in [*sorted(set(values)), float("inf")]:
-        if run and v - run[-1] > SNAP:
-            out |= {x: sum(run) / len(run) for x in run}
-            run = []
-        run.append(v)
-    return out
-
-
-def _joined(spans: list[tuple[float, float]]) -> list[list[float]]:
-    out: list[list[float]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1] + SNAP:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
-
-
-def tables(page: Page) -> list[tuple[tuple[float, float, float, float], list[list[str]]]]:
-    """(box, rows) of every grid that ruling lines draw; a cell's text is the characters whose centre it holds."""
-    flat, tall = [], []
-    for kind, x0, y0, x1, y1 in page.drawings:
-        if kind == "c":
-            continue
-        edges = [(x0, y0, x1, y1)] if min(x1 - x0, y1 - y0) <= SNAP else [(x0, y0, x1, y0), (x0, y1, x1, y1), (x0, y0, x0, y1), (x1, y0, x1, y1)] if kind == "re" else []
-        for a, b, c, d in edges:
-            if c - a > d - b and c - a >= SNAP:
-                flat.append(((b + d) / 2, a, c))
-            elif d - b >= SNAP:
-                tall.append(((a + c) / 2, b, d))
-    if not flat or not tall:
-        return []
-    ys, xs = _snapped([e[0] for e in flat]), _snapped([e[0] for e in tall])
-    rows: dict[float, list] = {}
-    columns: dict[float, list] = {}
-    for place, known, into in ((flat, ys, rows), (tall, xs, columns)):
-        for at, a, b in place:
-            into.setdefault(known[at], []).append((a, b))
-    rows, columns = {y: _joined(s) for y, s in rows.items()}, {x: _joined(s) for x, s in columns.items()}
-    covers = lambda spans, a, b: any(s[0] - SNAP <= a and b <= s[1] + SNAP for s in spans)
-    cross = {(x, y) for x in columns for y in rows if covers(rows[y], x, x) and covers(columns[x], y, y)}
-    cells = []
-    for x, y in sorted(cross, key=lambda p: (p[1], p[0])):
-        rights = sorted(c for c, d in cross if d == y and c > x and covers(rows[y], x, c))
-        downs = sorted(d for c, d in cross if c == x and d > y and covers(columns[x], y, d))
-        found = next(((x, y, c, d) for d in downs for c in rights if (c, d) in cross and covers(rows[d], x, c) and covers(columns[c], y, d)), None)
-        if found:
-            cells.append(found)
-    # Cells that share a corner are one table.
-    root = list(range(len(cells)))
-
-    def top(k: int) -> int:
-        while root[k] != k:
-            root[k] = root[root[k]]
-            k = root[k]
-        return k
-
-    corner: dict[tuple, int] = {}
-    for k, (a, b, c, d) in enumerate(cells):
-        for point in ((a, b), (a, d), (c, b), (c, d)):
-            if point in corner:
-                root[top(k)] = top(corner[point])
-            corner[point] = k
-    groups: dict[int, list] = {}
-    for k, cell in enumerate(cells):
-        groups.setdefault(top(k), []).append(cell)
-    out = []
-    for own in groups.values():
-        if len(own) < 2:
-            continue
-        lefts = sorted({c[0] for c in own})
-        grid: list[list[str]] = []
-        for y in sorted({c[1] for c in own}):
-            line = {c[0]: _cell_text(page, c) for c in own if c[1] == y}
-            grid.append([line.get(x, "") for x in lefts])
-        out.append(((min(c[0] for c in own), min(c[1] for c in own), max(c[2] for c in own), max(c[3] for c in own)), grid))
-    return sorted(out, key=lambda t: (t[0][1], t[0][0]))
-
-
-def _cell_text(page: Page, cell: tuple[float, float, float, float]) -> str:
-    inside = [c for c in page.chars if cell[0] <= (c[1] + c[3]) / 2 <= cell[2] and cell[1] <= (c[2] + c[4]) / 2 <= cell[3]]
-    lines: dict[int, list[str]] = {}
-    for block, line, _, text, *_ in words(Page(chars=inside)):
-        lines.setdefault((block, line), []).append(text)
-    return "\n".join(" ".join(own) for own in lines.values())
