@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm.chunks import grouped
 from leafmill.llm.components import connected
-from leafmill.llm.simhash import SEED, SimHashConfig, fingerprint_links, majority, stand_ins
+from leafmill.llm.simhash import SEED, SimHashConfig, fingerprint_links, majority, named_or_marked, stand_ins
 from leafmill.runtime import cut, ship_package
 
 
@@ -97,7 +97,7 @@ def _buckets(own: np.ndarray, factors: tuple[np.ndarray, np.ndarray], config: Sh
 
 
 def _sketches(docs: DataFrame, config: ShingleConfig) -> DataFrame:
-    """(doc_id, key, buckets, fp): the key stands for the shingle set."""
+    """(doc_id, mark, key, buckets, fp): the key stands for the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(config.bands * config.rows)
@@ -111,9 +111,9 @@ def _sketches(docs: DataFrame, config: ShingleConfig) -> DataFrame:
                 flat.append(_buckets(own, factors, config))
             prints, keys, flat = (np.array(x, np.uint64).view(np.int64) for x in (prints, keys, flat))
             places = pa.array(np.arange(0, flat.size + 1, config.bands, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(keys), pa.ListArray.from_arrays(places, pa.array(flat.ravel())), pa.array(prints)], ["doc_id", "key", "buckets", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.ListArray.from_arrays(places, pa.array(flat.ravel())), pa.array(prints)], ["doc_id", "mark", "key", "buckets", "fp"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, key long, buckets array<long>, fp long")
+    return named_or_marked(docs).mapInArrow(run, "doc_id long, mark string, key long, buckets array<long>, fp long")
 
 
 def _sets(docs: DataFrame, config: ShingleConfig) -> DataFrame:
@@ -222,7 +222,7 @@ def _large_links(members: DataFrame, sets: DataFrame, config: ShingleConfig) ->
 
 
 def components_of(docs: DataFrame, rows: DataFrame, config: ShingleConfig) -> DataFrame:
-    """(key, component_id) for the sketched ``rows`` of ``docs``."""
+    """(key, root, component_id) for the sketched ``rows`` of ``docs``."""
     prints = cut(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.any_value("buckets").alias("buckets"), F.any_value("fp").alias("fp")))
     trees = connected(fingerprint_links(prints.select("fp").distinct(), SimHashConfig(words=config.words)))
     near = prints.select("key", "fp").join(trees.withColumnRenamed("node", "fp"), "fp", "left").select("key", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("bucket"))
@@ -247,17 +247,24 @@ def components_of(docs: DataFrame, rows: DataFrame, config: ShingleConfig) -> Da
     roots = connected(whole.unionByName(links))
     labelled = cut(prints.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")))
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    return labelled.join(ids, "root").select("key", "component_id")
+    return labelled.join(ids, "root").select("key", "root", "component_id")
 
 
-def near_duplicates(docs: DataFrame, config: ShingleConfig | None = None) -> DataFrame:
-    """doc_id and component_id (the least doc_id that is not null) of every row."""
-    config = config or ShingleConfig()
+def _in_components(docs: DataFrame, config: ShingleConfig) -> DataFrame:
     ship_package(docs.sparkSession)
     rows = cut(_sketches(docs, config))
-    return rows.select("doc_id", "key").join(components_of(docs, rows, config), "key").select("doc_id", "component_id")
+    return rows.select("doc_id", "mark", "key").join(components_of(docs, rows, config), "key")
+
+
+def near_duplicates(docs: DataFrame, config: ShingleConfig | None = None) -> DataFrame:
+    """doc_id and component_id (the least doc_id that is not null, null if there is none) of every row.
+
+    Defined cases: those of the module's head; repeated rows get equal answers; rows
+    without a doc_id take part; an empty table gives no rows; only doc_id and text are read.
+    """
+    return _in_components(docs, config or ShingleConfig()).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, config: ShingleConfig | None = None) -> DataFrame:
-    """The documents of which one stands for each component, by the rules of ``simhash.keep_one``."""
-    return stand_ins(docs, near_duplicates(docs, config))
+    """The documents of which one stands for each component, by the rules and defined cases of ``simhash.keep_one``."""
+    return stand_ins(docs, _in_components(docs, config or ShingleConfig()))

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.chunks import grouped
@@ -74,8 +74,17 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * total > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def named_or_marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, text): a row without a doc_id is known by a digest of its text."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("doc_id").isNull(), text_mark()).alias("mark"), "text")
+
+
+def text_mark() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
 def with_fingerprints(docs: DataFrame, config: SimHashConfig | None = None) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(doc_id, mark, fp) of every row; fp is the fingerprint as a signed long."""
     config = config or SimHashConfig()
     ship_package(docs.sparkSession)
     words = config.words
@@ -83,9 +92,9 @@ def with_fingerprints(docs: DataFrame, config: SimHashConfig | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in grouped(batches, "text"):
             prints = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(prints)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints)], ["doc_id", "mark", "fp"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return named_or_marked(docs).mapInArrow(run, "doc_id long, mark string, fp long")
 
 
 # --- vantage-point trees --------------------------------------------------------------------------------------------
@@ -289,38 +298,44 @@ def near_duplicates(docs: DataFrame, config: SimHashConfig | None = None) -> Dat
     that is not null (null if there is none); an empty table gives no rows; only doc_id
     and text are read.
     """
-    config = config or SimHashConfig()
+    rows = _in_components(docs, config or SimHashConfig())
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _in_components(docs: DataFrame, config: SimHashConfig) -> DataFrame:
     rows = cut(with_fingerprints(docs, config))
-    groups = components_of(rows, config)
-    return rows.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(components_of(rows, config), "fp")
 
 
 def components_of(rows: DataFrame, config: SimHashConfig) -> DataFrame:
-    """(fp, component_id) for rows (doc_id, fp)."""
+    """(fp, root, component_id) for rows (doc_id, fp); component_id is null where no row of a component has a doc_id."""
     prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected(fingerprint_links(prints, config))
     labelled = prints.join(roots, prints.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    return labelled.join(ids, "root").select("fp", "component_id")
+    return labelled.join(ids, "root").select("fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, config: SimHashConfig | None = None) -> DataFrame:
-    """The documents of which one stands for each component: the one of its least doc_id.
+    """The documents of which one stands for each component.
 
-    Of rows that repeat this doc_id one stays. Rows without a doc_id stay, once per
-    text, only where no row of their component has one.
+    That is the one of the least doc_id, and of rows that repeat this doc_id any one.
+    A component of rows without a doc_id keeps one row, of the text with the least
+    digest; beside a row that has one, none of them stays. Defined cases: null and empty
+    texts are one text; all columns are kept, whatever their names; an empty table gives
+    no rows.
     """
-    return stand_ins(docs, near_duplicates(docs, config))
+    return stand_ins(docs, _in_components(docs, config or SimHashConfig()))
 
 
 def stand_ins(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The documents that ``keep_one`` keeps, for rows (doc_id, component_id)."""
+    """The documents that ``keep_one`` keeps, for rows (doc_id, mark, root, component_id)."""
     columns = docs.columns
-    chosen = rows.where("doc_id is null and component_id is null or doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     # Texts are shuffled once: the join by doc_id leaves rows where dropping repeats of it wants them.
-    ids, none = chosen.where("kept_id is not null"), chosen.where("kept_id is null").select(F.lit(0).alias("kept_none"))
+    ids = rows.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    marks = rows.where("component_id is null").groupBy("root").agg(F.min("mark").alias("kept_mark")).select("kept_mark").distinct()
     named = docs.where(docs["doc_id"].isNotNull())
     named = named.join(ids, named["doc_id"].cast("long") == ids["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(docs["doc_id"].isNull())
-    nameless = nameless.join(F.broadcast(none), F.isnull(nameless["doc_id"]).cast("int") - 1 == none["kept_none"], "left_semi").dropDuplicates(["text"])  # one row at most
-    return named.unionByName(nameless).select(*columns)
+    nameless = docs.where(docs["doc_id"].isNull()).select(text_mark().alias("own_mark"), F.struct(*columns).alias("own"))
+    nameless = nameless.join(marks, F.col("own_mark") == F.col("kept_mark"), "left_semi").dropDuplicates(["own_mark"])
+    return named.unionByName(nameless.select("own.*")).select(*columns)

@@ -69,6 +69,27 @@ def test_keep_one(spark):
     assert [r.text for r in kept.where("doc_id is null").collect()] == ["no id at all"]
 
 
+@pytest.mark.parametrize("operator,words,near", [(simhash, 3, lambda a, b: (plain_fingerprint(a) ^ plain_fingerprint(b)).bit_count() <= 3), (shingle_dedup, 5, lambda a, b: len(plain_shingles(a) & plain_shingles(b)) >= 0.8 * len(plain_shingles(a) | plain_shingles(b)))])
+def test_keep_one_of_nameless_copies(spark, operator, words, near):
+    """Rows without a doc_id that copy documents with one, copy one another, stand alone, or have no text."""
+    base = [prose(700 + k, 150) for k in range(6)]
+    rows = [(1, base[0]), (None, base[0]), (None, base[0] + " more"), (None, base[1]), (None, base[1] + " x"), (None, base[1]), (None, base[2])]
+    rows += [(7, base[3] + " y"), (8, base[3]), (8, base[3]), (None, base[3]), (None, None), (None, ""), (None, base[4]), (None, "of few words"), (None, "of few words")]
+    root = union(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if near(rows[i][1] or "", rows[j][1] or "")])
+    groups = {}
+    for i, row in enumerate(rows):
+        groups.setdefault(root[i], []).append(row)
+    frame = docs(spark, rows)
+    kept = operator.keep_one(frame)
+    assert kept.columns == frame.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == len(groups)
+    for own in groups.values():
+        named = [d for d, _ in own if d is not None]
+        mine = [g for g in got if g in own]
+        assert len(mine) == 1 and mine[0][0] == (min(named) if named else None)
+
+
 def edited(seed, words, every):
     """Prose of which every so many-th word is exchanged."""
     return " ".join(f"new{k}" if k % every == every - 1 else w for k, w in enumerate(prose(seed, words).split()))
