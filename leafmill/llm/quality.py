@@ -116,9 +116,10 @@ def held_out(doc_id: Column, folds: int) -> Column:
 
 
 def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig) -> DataFrame | None:
-    """Sparse rows (doc_id, quality, slots, shares, mark) of the bounded training sample, or None without usable labels.
+    """Sparse rows (doc_id, quality, slots, shares) of the bounded training sample, or None without usable labels.
 
-    The ids are fixed first, so only their texts leave the scan.
+    The ids are fixed first, so only their texts leave the scan. Of rows that repeat a
+    doc_id the one with the least hash of its text is taken, in each task and then over all.
     """
     bits, scale = config.bits, config.scale
     # A doc_id with several labels takes the larger; labels other than 0 and 1 and null ids take no part.
@@ -134,8 +135,15 @@ def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = hasher(bits)
+        least: dict[int, int] = {}
         for batch, texts in grouped(batches, "text"):
-            rows = maker.slots(texts)
+            new = []
+            for k, (doc_id, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())):
+                if mark < least.get(doc_id, mark + 1):
+                    least[doc_id] = mark
+                    new.append(k)
+            batch = batch.take(pa.array(new, pa.int64()))
+            rows = maker.slots([texts[k] for k in new])
             slots, values = [], []
             for row in rows:
                 at, n = np.unique(row, return_counts=True)
@@ -147,7 +155,8 @@ def training_examples(docs: DataFrame, labels: DataFrame, config: QualityConfig)
             )
 
     texts = docs.selectExpr("cast(doc_id as long) doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text", F.xxhash64("text").alias("mark"))
-    return texts.mapInArrow(features, "doc_id long, quality int, slots array<int>, shares array<float>, mark long")
+    found = texts.mapInArrow(features, "doc_id long, quality int, slots array<int>, shares array<float>, mark long")
+    return found.groupBy("doc_id").agg(F.min_by(F.struct("quality", "slots", "shares"), "mark").alias("row")).select("doc_id", "row.*")
 
 
 def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = None) -> np.ndarray:
@@ -163,18 +172,15 @@ def train(docs: DataFrame, labels: DataFrame, config: QualityConfig | None = Non
         if not parts:
             return
         group = pa.Table.from_batches(parts)
-        ids, seen = group.column("doc_id").to_numpy(), set()
+        ids = group.column("doc_id").to_numpy()
         slots, shares = group.column("slots").combine_chunks(), group.column("shares").combine_chunks()
         at, ends = slots.values.to_numpy(), slots.offsets.to_numpy()
         values = shares.values.to_numpy()
         labels_of = group.column("quality").to_numpy()
         examples = []
-        marks = group.column("mark").to_numpy()
-        for i in np.lexsort((marks, ids)).tolist():
-            if ids[i] not in seen:  # of rows that repeat a doc_id the one with the least hash of its text is fitted
-                seen.add(ids[i])
-                part = slice(ends[i], ends[i + 1])
-                examples.append((at[part].astype(np.int64), values[part].astype(np.float64), int(labels_of[i])))
+        for i in ids.argsort().tolist():
+            part = slice(ends[i], ends[i + 1])
+            examples.append((at[part].astype(np.int64), values[part].astype(np.float64), int(labels_of[i])))
         yield pa.RecordBatch.from_arrays([pa.array([fit(examples, config).tobytes()], pa.binary())], ["weights"])
 
     fitted = sample.repartition(1).mapInArrow(fit_all, "weights binary").collect()
