@@ -112,11 +112,12 @@ def _looks_random(value: Column, config: OwnershipConfig) -> Column:
     return (F.length(value) >= config.live_length) & value.rlike("[0-9]") & (F.size(F.array_distinct(F.split(value, ""))) >= config.live_distinct)
 
 
-def added_spans(scanned: DataFrame, config: OwnershipConfig) -> DataFrame:
-    """(row, added) for rows (row, owner, repository, sketch, base) that hold at least one value with a verdict."""
+def added_spans(scanned: DataFrame, config: OwnershipConfig, wanted: Column | None = None) -> DataFrame:
+    """(row, added) for rows (row, owner, repository, sketch, base) that hold at least one value with a wanted verdict, live or example if not said."""
+    wanted = F.col("verdict") != PLAIN if wanted is None else wanted
     each = scanned.select("row", "owner", "repository", "sketch", F.explode("base").alias("s"))
     each = each.select("row", "owner", "repository", "sketch", F.sha2("s.value", 256).alias("digest"), _looks_random(F.col("s.value"), config).alias("random"), F.col("s.from").alias("start"), F.col("s.end").alias("end"))
-    judged = each.join(verdicts(each, config).where(F.col("verdict") != PLAIN).select("digest", "verdict"), "digest")
+    judged = each.join(verdicts(each, config).where(wanted).select("digest", "verdict"), "digest")
     span = F.struct(F.col("start"), F.col("verdict").alias("ord"), F.col("end"))
     return judged.groupBy("row").agg(F.array_sort(F.collect_set(span)).alias("added"))
 
@@ -154,9 +155,9 @@ def scan(docs: DataFrame, owner: Column | None = None, repository: Column | None
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", owner: Column | None = None, repository: Column | None = None, config: OwnershipConfig | None = None) -> DataFrame:
-    """The documents with live-looking credentials replaced by ``mark`` and n_chars brought up to date.
+    """The documents with the values of all base spans but proven examples replaced by ``mark``, and n_chars brought up to date.
 
-    Copied examples and plain values stay. Defined cases: all columns and rows are kept,
+    Values that overlap go as one. Defined cases: all columns and rows are kept,
     whatever their names; a row that holds no base span, and so a null or empty text,
     passes through untouched; repeated rows are treated alike; an empty table gives no rows.
     """
@@ -169,17 +170,15 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: Column | None = None,
     whole = F.struct(*[docs[c] for c in columns])
     held = docs.where(suspect).select(F.monotonically_increasing_id().alias("row"), owner.alias("owner"), repository.alias("repository"), whole.alias("doc"), F.col("text").alias("scanned"), spans.alias("base"))
     held = cut(_with_sketch(held, "scanned", config))
-    found = held.join(added_spans(held, config), "row", "left")
-    live = F.filter(F.coalesce("added", F.expr("cast(array() as array<struct<start:int,ord:int,end:int>>)")), lambda s: s["ord"] == 3)
-    found = found.select("doc", live.alias("live"))
-    text = F.expr(
-        """aggregate(live, named_struct('at', 0, 'out', ''),
-             (acc, s) -> named_struct(
-               'at', greatest(acc.at, s.end),
-               'out', if(s.start >= acc.at, concat(acc.out, substring(doc.text, acc.at + 1, s.start - acc.at), '%s'), acc.out)),
-             acc -> concat(acc.out, substring(doc.text, acc.at + 1)))"""
-        % mark.replace("'", "\\'")
-    )
+    found = held.join(added_spans(held, config, F.col("verdict") != EXAMPLE), "row", "left")
+    found = found.select("doc", F.coalesce("added", F.expr("cast(array() as array<struct<start:int,ord:int,end:int>>)")).alias("live"))
+    # Spans are taken STEP at a time, each step on its own part of the text, so that very many cost no more than in proportion.
+    quoted = mark.replace("\\", "\\\\").replace("'", "\\'")
+    one = f"named_struct('at', greatest(a.at, s.end), 'out', if(s.start >= a.at, concat(a.out, substring(own, a.at - acc.at + 1, s.start - a.at), '{quoted}'), a.out))"
+    step = f"transform(array(substring(doc.text, acc.at + 1, array_max(transform(part, s -> s.end)) - acc.at)), own -> aggregate(part, named_struct('at', acc.at, 'out', ''), (a, s) -> {one}))[0]"
+    parts = f"transform(filter(sequence(0, size(live)), i -> i % {STEP} = 0 and i < size(live)), i -> slice(live, i + 1, {STEP}))"
+    whole_text = f"transform(array({step}), b -> named_struct('at', b.at, 'out', concat(acc.out, b.out)))[0]"
+    text = F.expr(f"aggregate({parts}, named_struct('at', 0, 'out', ''), (acc, part) -> {whole_text}, acc -> concat(acc.out, substring(doc.text, acc.at + 1)))")
     found = found.select("doc", "live", F.when(F.size("live") > 0, text).otherwise(F.col("doc.text")).alias("new_text"))
     fields = []
     for c in columns:
