@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.markup import formula_balanced, unsupported_numbers
 from leafmill.functions.text import lines, strip
+from leafmill.operators import matching
 
 
 def phrase_retention(texts: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(doc_id, retention): the share of a document's expected phrases (doc_id, phrase) found in its text; 1 without any."""
-    hits = phrases.join(texts, "doc_id").select("doc_id", F.contains(F.lower("text"), F.lower("phrase")).cast("int").alias("hit"))
-    rate = hits.groupBy("doc_id").agg(F.avg("hit").alias("retention"))
+    """(doc_id, retention): the share of a document's expected phrases (doc_id, phrase) found in its text; 1 without any.
+
+    A phrase of a document with several texts counts for each of them, as does one that
+    is listed several times; a null phrase or text counts for nothing.
+    """
+    known = matching.numbered(matching.keyed(phrases, "doc_id", pattern=F.lower("phrase")))
+    hits = matching.contained(matching.keyed(texts, "doc_id", text_id=F.lit(0), text=F.lower("text")), known, listed=False)
+    wanted = known.groupBy("key").agg(F.sum("n").alias("n"))
+    had = texts.where("text is not null").groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("texts"))
+    rate = hits.groupBy("key").agg(F.sum("weight").alias("hits")).join(wanted, "key").join(had, "key").select(F.col("key").alias("doc_id"), (F.col("hits") / (F.col("n") * F.col("texts"))).alias("retention"))
     return texts.select("doc_id").distinct().join(rate, "doc_id", "left").withColumn("retention", F.coalesce("retention", F.lit(1.0)))
 
 
@@ -50,10 +58,9 @@ def reading_order_errors(texts: DataFrame, markers: DataFrame) -> DataFrame:
 
 def leakage(blocks: DataFrame, patterns: DataFrame) -> DataFrame:
     """(doc_id, leaks): pairs of a text block and a known chrome pattern of its document that it holds."""
-    # Equal patterns of a document are looked for once; patterns are few beside the texts.
-    known = patterns.select("doc_id", F.lower("pattern").alias("pattern")).groupBy("doc_id", "pattern").agg(F.count("*").alias("n"))
-    pairs = blocks.select("doc_id", F.lower("text").alias("text")).join(known, "doc_id").where(F.contains("text", F.col("pattern")))
-    counted = pairs.groupBy("doc_id").agg(F.sum("n").alias("leaks"))
+    known = matching.numbered(matching.keyed(patterns, "doc_id", pattern=F.lower("pattern")))
+    hits = matching.contained(matching.keyed(blocks, "doc_id", text_id=F.lit(0), text=F.lower("text")), known, listed=False)
+    counted = hits.groupBy(F.col("key").alias("doc_id")).agg(F.sum("weight").alias("leaks"))
     return blocks.select("doc_id").distinct().join(counted, "doc_id", "left").na.fill({"leaks": 0})
 
 
@@ -77,16 +84,29 @@ def normalize_formula(latex):
     return F.lower(F.regexp_replace(out, r"\{([^{}])\}", "$1"))
 
 
+def _formula_hits(expected: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(page, candidate_id, number) of the expected formulas that a candidate holds, and (page, formula_id, number) of these; an empty formula is held by none."""
+    want = matching.keyed(expected, "page", formula_id=F.col("formula_id"), pattern=normalize_formula(F.col("latex")))
+    known = matching.numbered(want.where("pattern <> ''"))
+    found = matching.contained(matching.keyed(candidates, "page", text_id=F.col("candidate_id"), text=normalize_formula(F.col("latex"))), known)
+    pairs = found.select(F.col("key").alias("page"), F.col("text_id").alias("candidate_id"), F.explode("found").alias("number"))
+    named = want.join(known, ["key", "pattern"]).select(F.col("key").alias("page"), "formula_id", "number")
+    return pairs, named
+
+
 def formula_score(expected: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(page, expected, recovered, wrong): expected formulas that a candidate of the page holds, candidates that hold none."""
-    want = expected.select("page", "formula_id", normalize_formula(F.col("latex")).alias("e"))
-    have = candidates.select("page", "candidate_id", normalize_formula(F.col("latex")).alias("c"))
-    pairs = want.join(have, "page").where(F.contains("c", "e"))
-    hit = pairs.select("page", "formula_id").distinct().groupBy("page").agg(F.count("*").alias("recovered"))
+    """(page, expected, recovered, wrong, wrong_balanced, unbalanced) of each page with expected formulas.
+
+    recovered: expected formulas that a candidate of the page holds; wrong: candidates that
+    hold none, told apart by whether their braces and delimiters close.
+    """
+    pairs, named = _formula_hits(expected, candidates)
+    hit = named.join(pairs.select("page", "number").distinct(), ["page", "number"]).select("page", "formula_id").distinct().groupBy("page").agg(F.count("*").alias("recovered"))
     used = pairs.select("page", "candidate_id").distinct()
-    wrong = have.join(used, ["page", "candidate_id"], "left_anti").groupBy("page").agg(F.count("*").alias("wrong"))
-    total = want.groupBy("page").agg(F.count("*").alias("expected"))
-    return total.join(hit, "page", "left").join(wrong, "page", "left").na.fill(0, ["recovered", "wrong"])
+    stray = candidates.select("page", F.col("candidate_id").cast("long").alias("candidate_id"), formula_balanced(F.col("latex")).alias("balanced")).join(used, ["page", "candidate_id"], "left_anti")
+    wrong = stray.groupBy("page").agg(F.count("*").alias("wrong"), F.count_if("balanced").alias("wrong_balanced"), F.count_if(~F.col("balanced")).alias("unbalanced"))
+    total = expected.groupBy("page").agg(F.count("*").alias("expected"))
+    return total.join(hit, "page", "left").join(wrong, "page", "left").na.fill(0, ["recovered", "wrong", "wrong_balanced", "unbalanced"])
 
 
 def numeric_gate(expected: DataFrame, candidates: DataFrame, pages: DataFrame) -> DataFrame:
@@ -95,11 +115,12 @@ def numeric_gate(expected: DataFrame, candidates: DataFrame, pages: DataFrame) -
     wrong: balanced candidates that hold no expected formula, caught: those the gate drops;
     recovered: expected formulas that a candidate holds, cost: those whose holders it drops all.
     """
-    want = expected.select("page", "formula_id", normalize_formula(F.col("latex")).alias("e"))
-    read = candidates.join(pages, "page")
-    have = read.select("page", "reason", "candidate_id", normalize_formula(F.col("latex")).alias("c"), formula_balanced(F.col("latex")).alias("balanced"), (F.size(unsupported_numbers(F.col("latex"), F.col("text"))) > 0).alias("flagged"))
-    pairs = want.join(have, "page").where(F.contains("c", "e"))
+    pairs, named = _formula_hits(expected, candidates)
+    read = candidates.withColumn("candidate_id", F.col("candidate_id").cast("long")).join(pages, "page")
+    have = read.select("page", "reason", "candidate_id", formula_balanced(F.col("latex")).alias("balanced"), (F.size(unsupported_numbers(F.col("latex"), F.col("text"))) > 0).alias("flagged"))
     stray = have.where("balanced").join(pairs.select("page", "candidate_id").distinct(), ["page", "candidate_id"], "left_anti")
     missed = stray.groupBy("reason").agg(F.count("*").alias("wrong"), F.count_if("flagged").alias("caught"))
-    held = pairs.groupBy("reason", "page", "formula_id").agg(F.every("flagged").alias("lost")).groupBy("reason").agg(F.count("*").alias("recovered"), F.count_if("lost").alias("cost"))
+    # Whether all holders of a formula text are dropped is settled per text, before it meets the formulas that share it.
+    lost = pairs.join(have, ["page", "candidate_id"]).groupBy("page", "reason", "number").agg(F.every("flagged").alias("lost"))
+    held = named.join(lost, ["page", "number"]).groupBy("reason", "page", "formula_id").agg(F.every("lost").alias("lost")).groupBy("reason").agg(F.count("*").alias("recovered"), F.count_if("lost").alias("cost"))
     return pages.select("reason").distinct().join(missed, "reason", "left").join(held, "reason", "left").na.fill(0)

@@ -322,7 +322,20 @@ def formula_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("formula_id"), F.concat(F.lit("\\mathrm{F} _ {p} = <"), "p_partkey", F.lit(">")).alias("latex"))
     sign = F.when(F.col("p_partkey") % 2 == 0, F.lit("<")).otherwise(F.lit("["))
     candidates = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("candidate_id"), F.concat(F.lit("a \\, {F} _p ="), sign, "p_partkey", F.lit("> b")).alias("latex"))
-    return metrics.formula_score(expected, candidates)
+    return metrics.formula_score(expected, candidates).select("page", "expected", "recovered", "wrong")
+
+
+@query(
+    """SELECT p_size AS page, CAST(count(*) FILTER (p_partkey % 2 = 0) AS BIGINT) AS recovered, CAST(count(*) FILTER (p_partkey % 2 = 1 AND p_partkey % 3 > 0) AS BIGINT) AS wrong_balanced,
+      CAST(count(*) FILTER (p_partkey % 2 = 1 AND p_partkey % 3 = 0) AS BIGINT) AS unbalanced FROM part GROUP BY p_size"""
+)
+def formula_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrong formulas that close and that do not; every third candidate leaves a brace open."""
+    part = table(spark, sf_dir, "part")
+    expected = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("formula_id"), F.concat(F.lit("E = <"), "p_partkey", F.lit(">")).alias("latex"))
+    said = F.concat(F.lit("a E ="), F.when(F.col("p_partkey") % 2 == 0, F.lit("<")).otherwise(F.lit("[")), "p_partkey", F.lit("> b"), F.when(F.col("p_partkey") % 3 == 0, " {").otherwise(" {c}"))
+    candidates = part.select(F.col("p_size").alias("page"), F.col("p_partkey").alias("candidate_id"), said.alias("latex"))
+    return metrics.formula_score(expected, candidates).select("page", "recovered", "wrong_balanced", "unbalanced")
 
 
 @query(
