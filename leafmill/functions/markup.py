@@ -82,6 +82,22 @@ def prose(raw: Column) -> Column:
     return F.array_join(F.transform(kept, lambda b: F.when(b["tag"] == "formula", display_math(b["body"])).otherwise(b["body"])), "\n\n")
 
 
+def formulas(raw: Column) -> Column:
+    """array<string> of the page's sound formulas, displayed."""
+    sound = F.filter(blocks(raw), lambda b: (b["tag"] == "formula") & formula_balanced(b["body"]))
+    return F.transform(sound, lambda b: display_math(b["body"]))
+
+
+def dropped_formulas(raw: Column) -> Column:
+    """How many formulas of the page do not close."""
+    return F.size(F.filter(blocks(raw), lambda b: (b["tag"] == "formula") & ~formula_balanced(b["body"])))
+
+
+def page_tables(raw: Column) -> Column:
+    """array<array<array<string>>>: the rows of the page's cell grids."""
+    return F.filter(F.transform(F.filter(blocks(raw), lambda b: b["tag"] == "otsl"), lambda b: otsl_rows(b["body"])), lambda t: F.size(t) > 0)
+
+
 def otsl_rows(body: Column) -> Column:
     """array<array<string>> of a cell grid; spanned cells are empty, rows without cells are dropped."""
     pattern = r"<(ched|fcel|ecel|rhed|lcel|ucel|xcel)>([^<]*)"

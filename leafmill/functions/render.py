@@ -33,6 +33,7 @@ WARNING_TEXT = {
     "VLM_UNAVAILABLE": "the visual model could not run",
     "FORMULA_REVIEW_REQUIRED": "a formula on this page was dropped as malformed — check the source",
     "VLM_URLS_DROPPED": "URLs read by the visual model were removed — the model invents them; check the source for links",
+    "PAGE_UNREADABLE": "this page's content is damaged — what comes after the damage is lost",
 }
 CONFIDENCE_CODES = ("OCR_APPLIED", "OCR_LOW_CONFIDENCE", "OCR_REJECTED_LOW_CONFIDENCE")
 UNIT_LABELS = {"page": "Page", "section": "Section", "sheet": "Sheet", "slide": "Slide"}

@@ -1,4 +1,4 @@
-"""Paged documents put together from their words, ruling lines and pictures.
+"""Paged documents put together from their words, ruling lines and pictures, and from readings of their pictures.
 
 Every frame is keyed by (doc_id, page), and each step is one of the engine's own
 operators; the few rows that a step decides by (repeated lines, page classes, counts) join
@@ -12,7 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators import chrome, geometry, grids, pages, reading_order, tables
+from leafmill.functions import markup
+from leafmill.functions.text import count_urls, drop_urls
+from leafmill.operators import chrome, diacritics, geometry, grids, merge, ocr, pages, reading_order, tables, visual
 from leafmill.runtime import cut
 
 SAMPLE = 120
@@ -23,7 +25,7 @@ class Scanned:
     """What a page scan gives.
 
     pages: doc_id, page, width, height. words: doc_id, page, block_no, line_no, word_no, text,
-    x0, y0, x1, y1, a, b (the writing direction). images: xref and corners. drawings: item (l, re)
+    x0, y0, x1, y1, a, b (the writing direction). images: xref, corners and, if known, the stored size pixels_x, pixels_y. drawings: item (l, re)
     and corners. fonts: font.
     """
 
@@ -34,9 +36,25 @@ class Scanned:
     fonts: DataFrame
 
 
+@dataclass
+class Readings:
+    """What was read from pictures, as far as it was.
+
+    lines: doc_id, page, image_no, line_no, text, confidence, error, as ``detection.recognize``
+    gives them; pages to be read that have none were not read, for the reason ``unread``.
+    visual: doc_id, page, raw, capped, as ``visual.infer`` gives them. ``figures``: whether
+    the pictures of pages with a text of their own are read, too.
+    """
+
+    lines: DataFrame | None = None
+    visual: DataFrame | None = None
+    unread: str = "no recognition engine is installed"
+    figures: bool = True
+
+
 @dataclass
 class Assembled:
-    """units: doc_id, page, page_class, image_count. blocks: doc_id, page, stage, ord, type, text, rows. warnings: doc_id, page, code, detail."""
+    """units: doc_id, page, page_class, image_count. blocks: doc_id, page, stage, ord, type, text, rows, source. warnings: doc_id, page, code, detail, confidence, attrs."""
 
     units: DataFrame
     blocks: DataFrame
@@ -71,17 +89,62 @@ def banners(words: DataFrame, all_pages: DataFrame, counts: DataFrame) -> DataFr
     return found.withColumn("kind", kind).withColumn("ord", F.row_number().over(place)).select(*KEY, "kind", "line", "ord")
 
 
-def assemble(scan: Scanned) -> Assembled:
+def _visual_pages(readings: Readings, classed: DataFrame, native: DataFrame) -> DataFrame:
+    """(doc_id, page, page_class, text, found, tables, urls, lost, reason, redundant) of the visual model's readings, judged.
+
+    ``text`` and ``tables`` are what is kept; letters that the model set apart are rejoined by
+    the words of the document's own text, and its URLs go.
+    """
+    raw = F.col("raw")
+    read = readings.visual.join(classed.select(*KEY, "page_class", F.col("text").alias("native_text"), F.size("scripts").alias("odd")), KEY)
+    read = read.select(*KEY, "page_class", "native_text", markup.prose(raw).alias("said"), markup.formulas(raw).alias("formulas"), markup.page_tables(raw).alias("grids"), (F.col("capped") | markup.is_truncated(raw)).alias("truncated"), markup.dropped_formulas(raw).alias("lost"))
+    joined = diacritics.rejoin(read.select("doc_id", F.col("page").alias("text_no"), F.col("said").alias("text")), classed.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    read = read.join(joined.withColumnRenamed("text_no", "page"), KEY).drop("said")
+    judged = visual.accept(read.select(*KEY, "text", "native_text", "formulas", F.size("grids").alias("table_count"), "truncated", F.col("page_class").isin(*pages.REREAD_CLASSES).alias("replacing")), native)
+    out = read.select(*KEY, "page_class", "formulas", "grids", "lost").join(judged, KEY)
+    kept = F.when(F.col("kept_tables") > 0, F.col("grids")).otherwise(F.slice("grids", 1, 0))
+    return out.select(*KEY, "page_class", drop_urls(F.col("kept_text")).alias("text"), F.size("formulas").alias("found"), kept.alias("tables"), count_urls(F.col("kept_text")).alias("urls"), "lost", "reason", "redundant")
+
+
+def _visual_warnings(read: DataFrame) -> DataFrame:
+    kept = F.col("reason").isNull()
+    some = lambda **pairs: F.map_filter(F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))]), lambda _, v: v.isNotNull())
+    item = lambda code, when, attrs: F.when(when, F.struct(F.lit(code).alias("code"), attrs.alias("attrs")))
+    rows = F.array(
+        item("VLM_APPLIED", kept, some(formulas=F.col("found"), prose=F.when(F.col("redundant"), F.lit("redundant")))),
+        item("VLM_OUTPUT_REJECTED", ~kept, some(reason=F.col("reason"))),
+        item("VLM_URLS_DROPPED", kept & (F.col("urls") > 0), some(count=F.col("urls"))),
+        item("FORMULA_REVIEW_REQUIRED", kept & (F.col("lost") > 0), some(count=F.col("lost"))),
+    )
+    return read.select(*KEY, F.explode(F.array_compact(rows)).alias("w")).select(*KEY, "w.code", "w.attrs")
+
+
+def _recognized_warnings(results: DataFrame) -> DataFrame:
+    some = lambda **pairs: F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v.cast("string"))])
+    item = lambda code, when, attrs=None, detail=None: F.when(when, F.struct(code.alias("code"), (F.lit(None) if attrs is None else attrs).cast("map<string,string>").alias("attrs"), (F.lit(None) if detail is None else detail).cast("string").alias("detail")))
+    rows = F.array(
+        item(F.col("code"), F.lit(True), some(low_lines=F.col("low_lines"), total_lines=F.col("scored_lines"), lowest=F.col("lowest")), F.when(F.col("code") == "OCR_FAILED", F.col("failure"))),
+        item(F.lit("OCR_IMAGE_FAILED"), F.col("partial"), None, F.col("failure")),
+        item(F.lit("OCR_NOISE_FILTERED"), F.col("dropped") > 0, some(dropped=F.col("dropped"), sample=F.array_join("sample", ", "))),
+    )
+    return results.withColumnRenamed("detail", "failure").select(*KEY, "confidence", F.explode(F.array_compact(rows)).alias("w")).select(*KEY, "confidence", "w.*")
+
+
+def assemble(scan: Scanned, readings: Readings | None = None) -> Assembled:
     """Units, blocks and warnings of paged documents.
 
-    Defined cases: a page without words has a unit and no text block; repeated words stay;
-    a document without pages has no rows; grids that are no real tables leave their words
-    in the text; empty frames give empty frames.
+    Readings of a page stand in for a text that cannot be trusted or lacks, and beside one
+    that can: by ``merge.merge_text`` and ``merge.merge_tables``. Pages that the visual model
+    has read are not read by recognition as well. Defined cases: a page without words has a
+    unit and no text block; repeated words stay; a document without pages has no rows; grids
+    that are no real tables leave their words in the text; readings of pages that there are
+    not go nowhere; empty frames give empty frames.
     """
+    readings = readings or Readings()
     counts = scan.pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
     marked = stamps(scan.words, counts)
     words, stamped = marked.where(~F.col("stamp")).drop("stamp"), marked.where("stamp")
-    # Stamps stay out of the cells they cross. The tables are few and used twice.
+    # Stamps stay out of the cells they cross. The tables are few and used more than once.
     native = cut(grids.ruled_tables(scan.drawings, words).where(tables.is_real_table(F.col("rows"))))
     texts, order = page_texts(geometry.exclude_regions(words, native), scan.pages)
 
@@ -90,9 +153,11 @@ def assemble(scan: Scanned) -> Assembled:
     whole = scan.pages.join(scan.words.groupBy(*KEY).agg(shown.alias("text")), KEY, "left")
     signals = pages.area_signals(pages.text_signals(whole), scan.images, scan.drawings, scan.fonts)
     logos = chrome.repeated_images(scan.images.where("xref > 0"), counts).select("doc_id", "xref")
-    figures = reading_order.group_figures(scan.images.join(logos, ["doc_id", "xref"], "left_anti")).groupBy(*KEY).agg(F.count("*").alias("image_count"))
+    unknown = {c: F.lit(None).cast("int") for c in ("pixels_x", "pixels_y") if c not in scan.images.columns}
+    pictures = scan.images.withColumns(unknown).join(logos, ["doc_id", "xref"], "left_anti")
+    figures = reading_order.figure_regions(pictures, scan.pages, whole.select(*KEY, "text")).groupBy(*KEY).agg(F.count("*").alias("image_count"))
     classed = signals.withColumn("page_class", pages.page_class()).withColumn("scripts", pages.unexpected_scripts(F.coalesce("text", F.lit(""))))
-    classed = classed.join(figures, KEY, "left").na.fill(0, ["image_count"])
+    classed = cut(classed.join(figures, KEY, "left").na.fill(0, ["image_count"]).select(*KEY, "page_class", "image_count", "scripts", "text"))
 
     # Running lines go from the text; headers and footers come back as blocks.
     edge = banners(words, scan.pages, counts)
@@ -103,19 +168,37 @@ def assemble(scan: Scanned) -> Assembled:
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "line"))), lambda x: x["line"]), "\n")
     text = left.groupBy(*KEY).agg(joined.alias("text")).where("trim(text) <> ''")
 
+    # What was read from pictures.
+    spark = scan.pages.sparkSession
+    empty = lambda columns: spark.createDataFrame([], f"doc_id string, page int, {columns}")
+    visual_pages = empty("page_class string, text string, found int, tables array<array<array<string>>>, urls int, lost int, reason string, redundant boolean")
+    if readings.visual is not None:
+        visual_pages = cut(_visual_pages(readings, classed, native))
+    accepted = visual_pages.where("reason is null")
+    targets = pages.ocr_targets(classed, accepted, readings.figures and readings.lines is not None)
+    results = empty("text string, confidence double, code string, low_lines long, scored_lines long, lowest double, detail string, partial boolean, dropped long, sample array<string>")
+    if readings.lines is not None:
+        results = cut(ocr.page_results(readings.lines.join(targets.select(*KEY), KEY, "left_semi")))
+    unread = targets.join(results.select(*KEY), KEY, "left_anti")
+    merged = merge.merge_text(classed.select(*KEY, "page_class").join(text, KEY, "left"), results, accepted)
+    tabled = merge.merge_tables(native.select(*KEY, "table_no", "rows"), accepted.select(*KEY, F.posexplode("tables").alias("table_no", "rows")))
+
     none = F.lit(None)
-    row = lambda frame, stage, kind, at, said, rows=none: frame.select(*KEY, F.lit(stage).alias("stage"), at.cast("int").alias("ord"), F.lit(kind).alias("type"), said.cast("string").alias("text"), rows.cast("array<array<string>>").alias("rows"))
-    blocks = row(edge.where("kind = 'header'"), "header", "header", F.col("ord"), F.col("line"))
-    blocks = blocks.unionByName(row(edge.where("kind = 'footer'"), "footer", "footer", F.col("ord"), F.col("line")))
-    blocks = blocks.unionByName(row(text, "text", "text", F.lit(0), F.col("text")))
-    blocks = blocks.unionByName(row(native, "native_table", "table", F.col("table_no"), none, tables.clean_rows(F.col("rows"))))
+    row = lambda frame, stage, kind, at, said, rows=none, source=none: frame.select(*KEY, stage.alias("stage"), at.cast("int").alias("ord"), F.lit(kind).alias("type"), said.cast("string").alias("text"), rows.cast("array<array<string>>").alias("rows"), source.cast("string").alias("source"))
+    blocks = row(edge.where("kind = 'header'"), F.lit("header"), "header", F.col("ord"), F.col("line"))
+    blocks = blocks.unionByName(row(edge.where("kind = 'footer'"), F.lit("footer"), "footer", F.col("ord"), F.col("line")))
+    blocks = blocks.unionByName(row(merged.where("stage <> 'rejected'"), F.col("stage"), "text", F.lit(0), F.col("text"), none, F.when(F.col("source") != "native", F.col("source"))))
+    blocks = blocks.unionByName(row(tabled, F.col("stage"), "table", F.col("table_no"), none, tables.clean_rows(F.col("rows")), F.when(F.col("stage") == "visual_table", "visual")))
 
     said = lambda frame, code, page=F.col("page"), detail=none: frame.select("doc_id", page.cast("int").alias("page"), F.lit(code).alias("code"), detail.cast("string").alias("detail"))
     warnings = pages.page_warnings(classed).select("doc_id", "page", "code", none.cast("string").alias("detail"))
     beside = order.where("columns > 1 and concurrent").select("doc_id", "page").distinct()
     chromed = edge.select("doc_id").unionByName(body.select("doc_id")).distinct()
     rotated = chrome.rotated_text_report(stamped.groupBy(*KEY).agg(shown.alias("text")))
-    unread = pages.ocr_targets(classed, classed.limit(0))
     warnings = warnings.unionByName(said(beside, "POSSIBLE_TWO_COLUMN_ORDER")).unionByName(said(chromed, "HEADER_FOOTER_DETECTED", none))
-    warnings = warnings.unionByName(said(rotated, "ROTATED_TEXT_FILTERED", none, F.substring("sample", 1, SAMPLE))).unionByName(said(unread, "OCR_UNAVAILABLE", F.col("page"), F.lit("no recognition engine is installed")))
-    return Assembled(classed.select(*KEY, "page_class", "image_count"), blocks, warnings)
+    warnings = warnings.unionByName(said(rotated, "ROTATED_TEXT_FILTERED", none, F.substring("sample", 1, SAMPLE))).unionByName(said(unread, "OCR_UNAVAILABLE", F.col("page"), F.lit(readings.unread)))
+    warnings = warnings.withColumns({"confidence": none.cast("double"), "attrs": none.cast("map<string,string>")})
+    warnings = warnings.unionByName(_visual_warnings(visual_pages), allowMissingColumns=True)
+    recognized = _recognized_warnings(results).select("doc_id", "page", "code", "detail", "confidence", "attrs")
+    swapped = merge.swap_warnings(recognized, merged.where("stage = 'rejected'"))
+    return Assembled(classed.select(*KEY, "page_class", "image_count"), blocks, warnings.unionByName(swapped))

@@ -9,7 +9,7 @@ from leafmill.operators import spatial
 from leafmill.operators.spatial import CORNERS
 
 # Fixed values.
-FULL_WIDTH, STAMP_IOU, SKEW, ROW_TOLERANCE, FIGURE_GAP, SPAN_OVERLAP = 0.8, 0.8, 0.01, 0.5, 6.0, 0.8
+FULL_WIDTH, STAMP_IOU, SKEW, ROW_TOLERANCE = 0.8, 0.8, 0.01, 0.5
 Box = tuple[Column, Column, Column, Column]
 
 
@@ -133,18 +133,6 @@ def chars_to_words(chars: DataFrame) -> DataFrame:
     return runs.groupBy("doc_id", "page", "line_no", "run").agg(letters.alias("text"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
-def same_figure(a: Box, b: Box) -> Column:
-    """Whether two picture parts belong together: nearly touching and mostly beside or above one another."""
-    g = FIGURE_GAP
-    near = overlaps((a[0] - g, a[1] - g, a[2] + g, a[3] + g), b)
-
-    def shared(lo: int, hi: int) -> Column:
-        least = F.least(a[hi] - a[lo], b[hi] - b[lo])
-        return (least > 0) & (F.least(a[hi], b[hi]) - F.greatest(a[lo], b[lo]) >= SPAN_OVERLAP * least)
-
-    return near & (shared(0, 2) | shared(1, 3))
-
-
 # What tells a drawn figure from a text box.
 LEAST_SIDE, MOST_OF_PAGE, LEAST_PATHS, MOST_CHARS = 60, 0.85, 15, 2.0
 

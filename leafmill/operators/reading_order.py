@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.operators import spatial
+from leafmill.operators import hulls, spatial
 from leafmill.operators.spatial import CORNERS
 from leafmill.runtime import ship_package
 
@@ -88,12 +88,12 @@ def by_page(rows: DataFrame, solve: Callable[[list[tuple]], list[tuple]], names:
     return rows.repartition("doc_id", "page").sortWithinPartitions(*rows.columns).mapInArrow(run, schema)
 
 
-def _typed(rows: DataFrame, *keys: str) -> DataFrame:
-    """doc_id, page, the integer ``keys`` and the corners; a row that lacks a corner has no place and goes."""
+def _typed(rows: DataFrame, *keys: str, extra: list[str] | None = None) -> DataFrame:
+    """doc_id, page, the integer ``keys``, the corners and the numbers ``extra``; a row that lacks a corner has no place and goes."""
     whole = F.lit(True)
     for corner in CORNERS:
         whole = whole & F.col(corner).isNotNull()
-    return rows.where(whole).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), *[F.col(k).cast("int").alias(k) for k in keys], *[F.col(c).cast("double").alias(c) for c in CORNERS])
+    return rows.where(whole).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), *[F.col(k).cast("int").alias(k) for k in keys], *[F.col(c).cast("double").alias(c) for c in [*CORNERS, *(extra or [])]])
 
 
 def reading_order(blocks: DataFrame) -> DataFrame:
@@ -120,45 +120,10 @@ def page_text(blocks: DataFrame, order: DataFrame) -> DataFrame:
     return joined.groupBy("doc_id", "page").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n\n").alias("text"))
 
 
-def merge_hulls(boxes: list[tuple[float, float, float, float]]) -> list[list[float]]:
-    """Hulls of boxes that belong together, taken until no two of them do."""
-    hulls = [list(b) for b in boxes]
-    merged = True
-    while merged:
-        merged = False
-        for i in range(len(hulls)):
-            for j in range(i + 1, len(hulls)):
-                if _together(hulls[i], hulls[j]):
-                    a, b = hulls[i], hulls.pop(j)
-                    hulls[i] = [min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3])]
-                    merged = True
-                    break
-            if merged:
-                break
-    return sorted(hulls, key=lambda h: (h[1], h[0]))
-
-
 # How close parts of one formula lie, what a short line is, and fonts that set formulas.
 FORMULA_GAP, SHORT_LINE, MATH_FONT = 6.0, 4, "symbol|math|euclid|mtextra|mt extra|times new roman,italic"
 
 
-def merge_near(boxes: list[tuple[float, float, float, float]], gap: float = FORMULA_GAP) -> list[list[float]]:
-    """Hulls of boxes that overlap once grown by the gap, taken until none do."""
-    hulls = [list(b) for b in boxes]
-    k = 0
-    while k < len(hulls):
-        a = hulls[k]
-        near = next((j for j in range(len(hulls)) if j != k and a[0] - gap < hulls[j][2] and hulls[j][0] < a[2] + gap and a[1] - gap < hulls[j][3] and hulls[j][1] < a[3] + gap), None)
-        if near is None:
-            k += 1
-        else:
-            b = hulls[near]
-            hulls[k] = [min(a[0], b[0]), min(a[1], b[1]), max(a[2], b[2]), max(a[3], b[3])]
-            hulls.pop(near)
-            k = 0
-    return sorted(hulls, key=lambda h: (h[1], h[0]))
-
-
 def formula_regions(lines: DataFrame) -> DataFrame:
     """(doc_id, page, region_no, corners): places of formulas, from block lines (doc_id, page, block_no, line_no, text, font, scripts, corners).
 
@@ -173,7 +138,7 @@ def formula_regions(lines: DataFrame) -> DataFrame:
     blocks = said.groupBy("doc_id", "page", "block_no").agg((short | math | odd).alias("wanted"), *hull).where("wanted")
     names = ["doc_id", "page", "region_no", *CORNERS]
     kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
-    return by_page(_typed(blocks), lambda rows: [(k, *h) for k, h in enumerate(merge_near(rows))], names, kinds, "doc_id string, page int, region_no int, x0 double, y0 double, x1 double, y1 double")
+    return by_page(_typed(blocks), lambda rows: [(k, *hull) for k, (hull, _) in enumerate(hulls.grown(rows, lambda a, b: hulls.near(a, b, FORMULA_GAP), FORMULA_GAP))], names, kinds, "doc_id string, page int, region_no int, x0 double, y0 double, x1 double, y1 double")
 
 
 def region_scores(expected: DataFrame, regions: DataFrame) -> DataFrame:
@@ -189,18 +154,46 @@ def region_scores(expected: DataFrame, regions: DataFrame) -> DataFrame:
     return wanted.select(*key).distinct().join(best, key, "left").na.fill(0.0, ["iou", "covered"])
 
 
+# Gap and shared span of one picture's slices; the least size of a picture as stored (pixels) and as placed (points);
+# the bounds of a region's density; the share of a page, and the characters on it, that make a region a background.
+FIGURE_GAP, SPAN_OVERLAP, LEAST_PIXELS, LEAST_POINTS = 6.0, 0.8, 50, 24.0
+LEAST_DPI, MOST_DPI, BACKGROUND_SHARE, BACKGROUND_CHARS = 72, 300, 0.85, 200
+PLACED = "doc_id string, page int, figure_no int, x0 double, y0 double, x1 double, y1 double"
+
+
 def group_figures(images: DataFrame) -> DataFrame:
-    """Hulls of picture parts that belong together; hulls grow while they merge, so a page is walked as a whole."""
-    names = ["doc_id", "page", "figure_no", *CORNERS]
-    kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * 4]
-    return by_page(_typed(images), lambda rows: [(k, *h) for k, h in enumerate(merge_hulls(rows))], names, kinds, "doc_id string, page int, figure_no int, x0 double, y0 double, x1 double, y1 double")
+    """Hulls of picture parts that belong together; hulls grow while they merge, so a page is walked as a whole.
+
+    With a column ``density``, each hull has the largest of its parts', too.
+    """
+    dense = "density" in images.columns
+    together = hulls.pieces_of_one(FIGURE_GAP, SPAN_OVERLAP)
+
+    def page(rows: list[tuple]) -> list[tuple]:
+        found = enumerate(hulls.grown([row[:4] for row in rows], together, FIGURE_GAP))
+        return [(k, *hull, *([max(rows[i][4] for i in parts)] if dense else [])) for k, (hull, parts) in found]
+
+    rows = _typed(images, extra=["density"] if dense else [])
+    kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * (5 if dense else 4)]
+    return by_page(rows, page, ["doc_id", "page", "figure_no", *CORNERS, *(["density"] if dense else [])], kinds, PLACED + (", density double" if dense else ""))
 
 
-def _together(a: list[float], b: list[float], gap: float = 6.0, share: float = 0.8) -> bool:
-    if a[0] - gap >= b[2] or b[0] >= a[2] + gap or a[1] - gap >= b[3] or b[1] >= a[3] + gap:
-        return False
-    for lo in (0, 1):
-        least = min(a[lo + 2] - a[lo], b[lo + 2] - b[lo])
-        if least > 0 and min(a[lo + 2], b[lo + 2]) - max(a[lo], b[lo]) >= share * least:
-            return True
-    return False
+def figure_regions(images: DataFrame, pages: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, page, figure_no, corners, dpi): the figures of each page, from its pictures (pixels_x, pixels_y, corners).
+
+    Small pictures, as stored or as placed, are icons and no part of a figure. A region
+    that takes most of a page (``pages`` has width and height) with a text of its own
+    (``texts`` has text) is its background. A region is read at the density of its
+    densest part, within bounds. Defined cases: pictures of unknown stored size pass;
+    pages without an area or a text have no background; null corners give no region.
+    """
+    w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    stored = (F.coalesce("pixels_x", F.lit(LEAST_PIXELS)) >= LEAST_PIXELS) & (F.coalesce("pixels_y", F.lit(LEAST_PIXELS)) >= LEAST_PIXELS)
+    density = F.least(F.lit(float(MOST_DPI)), F.coalesce(F.greatest(F.col("pixels_x") * 72.0 / w, F.col("pixels_y") * 72.0 / h), F.lit(0.0)))
+    parts = images.where(stored & (w >= LEAST_POINTS) & (h >= LEAST_POINTS)).withColumn("density", density)
+    key = lambda frame, *columns: frame.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), *columns)
+    sized = key(pages, (F.col("width") * F.col("height")).alias("area"))
+    prose = key(texts.where(F.length("text") >= BACKGROUND_CHARS)).distinct().withColumn("prose", F.lit(True))
+    found = group_figures(parts).join(sized, ["doc_id", "page"], "left").join(prose, ["doc_id", "page"], "left")
+    background = F.coalesce("prose", F.lit(False)) & (F.coalesce("area", F.lit(0.0)) > 0) & (w * h >= BACKGROUND_SHARE * F.col("area"))
+    return found.where(~background).select("doc_id", "page", "figure_no", *CORNERS, F.greatest(F.lit(LEAST_DPI), F.floor("density").cast("int")).alias("dpi"))

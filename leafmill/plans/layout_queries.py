@@ -6,6 +6,8 @@ a document whose lines are pages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -349,3 +351,43 @@ def ruled_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = grids.ruled_tables(drawings, words.where(~geometry.is_skewed(F.col("a"), F.col("b"))))
     cells = found.select("doc_id", F.posexplode("rows").alias("row", "texts"))
     return cells.select("doc_id", "row", F.posexplode("texts").alias("col", "text"))
+
+
+@query(
+    """WITH k AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey % 6 AS kind, o_orderkey AS n FROM orders)
+    SELECT doc_id, 'text' AS stage, CAST(NULL AS VARCHAR) AS source, 'left ' || n || chr(10) || chr(10) || 'right' AS content FROM k WHERE kind = 0
+    UNION ALL SELECT doc_id, 'native_table', NULL, 'a' || n || '|b;c|d' FROM k WHERE kind = 0
+    UNION ALL SELECT doc_id, 'ocr', 'ocr', 'line ' || n || chr(10) || 'second line' FROM k WHERE kind = 1
+    UNION ALL SELECT doc_id, 'text', 'ocr', 'line ' || n || chr(10) || 'second line' FROM k WHERE kind = 2
+    UNION ALL SELECT doc_id, 'text', NULL, n || '������' FROM k WHERE kind = 3
+    UNION ALL SELECT doc_id, 'text', 'visual', 'seen ' || n || ' at ' || chr(10) || chr(10) || '$$' || chr(10) || 'x_{' || n || '}' || chr(10) || '$$' FROM k WHERE kind = 4
+    UNION ALL SELECT doc_id, 'visual_table', 'visual', 'h|' || n || ';r|' FROM k WHERE kind = 4
+    UNION ALL SELECT doc_id, 'warning', NULL, unnest(CASE kind WHEN 0 THEN ['LAYOUT_COMPLEX', 'POSSIBLE_TWO_COLUMN_ORDER', 'ROTATED_TEXT_FILTERED: DRAFT'] WHEN 1 THEN ['OCR_APPLIED 0.9', 'SCANNED_PAGE_NO_TEXT'] WHEN 2 THEN ['GARBLED_TEXT', 'OCR_APPLIED 0.9']
+      WHEN 3 THEN ['GARBLED_TEXT', 'OCR_LOW_CONFIDENCE 0.55', 'OCR_REJECTED_LOW_CONFIDENCE 0.55'] WHEN 4 THEN ['SCANNED_PAGE_NO_TEXT', 'VLM_APPLIED', 'VLM_URLS_DROPPED'] ELSE ['OCR_UNAVAILABLE: not asked', 'SCANNED_PAGE_NO_TEXT', 'VLM_OUTPUT_REJECTED'] END) FROM k"""
+)
+def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order a document of one page: two columns with a table and a stamp, or a picture, or damage, with what recognition and the visual model made of it."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page"), (F.col("o_orderkey") % 6).cast("int").alias("kind"))
+    plain, damaged = rows.where("kind = 0"), rows.where("kind in (2, 3)")
+    number = F.col("doc_id")
+    box = lambda x0, y0, x1, y1: [F.lit(float(v)).alias(c) for v, c in zip((x0, y0, x1, y1), geometry.CORNERS)]
+    word = lambda frame, block, line, k, said, at, a=1.0, b=0.0: frame.select("doc_id", "page", F.lit(block).alias("block_no"), F.lit(line).alias("line_no"), F.lit(k).alias("word_no"), said.alias("text"), *box(*at), F.lit(a).alias("a"), F.lit(b).alias("b"))
+    words = [
+        word(plain, 0, 0, 0, F.lit("left"), (50, 100, 80, 110)), word(plain, 0, 0, 1, number, (85, 100, 240, 110)), word(plain, 1, 0, 0, F.lit("right"), (320, 100, 560, 110)),
+        word(plain, 2, 0, 0, F.concat(F.lit("a"), number), (105, 505, 150, 515)), word(plain, 3, 0, 0, F.lit("b"), (205, 505, 215, 515)), word(plain, 4, 0, 0, F.lit("c"), (105, 525, 115, 535)), word(plain, 5, 0, 0, F.lit("d"), (205, 525, 215, 535)),
+        word(plain, 6, 0, 0, F.lit("DRAFT"), (140, 500, 160, 540), 0.7, 0.7), word(damaged, 0, 0, 0, F.concat(number, F.lit("������")), (50, 100, 240, 110)),
+    ]
+    lines = F.array(*[F.struct(F.lit(item).alias("item"), *box(*at)) for item, at in [("re", (100, 500, 300, 540)), ("l", (100, 520, 300, 520)), ("l", (200, 500, 200, 540)), *[("l", (400 + k, 300, 400 + k, 301)) for k in range(30)]]])
+    pictures = rows.where("kind in (1, 4, 5)").select("doc_id", "page", F.lit(7).alias("xref"), *box(0, 0, 600, 700))
+    sizes = rows.select("doc_id", "page", F.lit(612.0).alias("width"), F.lit(792.0).alias("height"))
+    scan = assembly.Scanned(sizes, reduce(DataFrame.unionByName, words), pictures, plain.select("doc_id", "page", F.inline(lines)), spark.createDataFrame([], "doc_id string, page int, font string"))
+    sure = F.when(F.col("kind") == 3, 0.55).otherwise(0.9)
+    said = F.posexplode(F.array(F.concat(F.lit("line "), number), F.lit("second line"))).alias("line_no", "text")
+    recognized = rows.where("kind in (0, 1, 2, 3, 4)").select("doc_id", "page", F.lit(0).alias("image_no"), sure.alias("confidence"), F.lit(None).cast("string").alias("error"), said)
+    raw = F.concat(F.lit("<doctag><text>seen "), number, F.lit(" at https://x.y/z</text><formula>x_{"), number, F.lit("}</formula><otsl><ched>h<ched>"), number, F.lit("<nl><fcel>r<ecel><nl></otsl>"), F.when(F.col("kind") == 5, "").otherwise("</doctag>"))
+    seen = rows.where("kind in (4, 5)").select("doc_id", "page", raw.alias("raw"), F.lit(False).alias("capped"))
+    made = assembly.assemble(scan, assembly.Readings(recognized, seen, "not asked"))
+    flat = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), ";")
+    blocks = made.blocks.select("doc_id", "stage", "source", F.coalesce("text", flat).alias("content"))
+    note = F.concat(F.col("code"), F.coalesce(F.concat(F.lit(" "), F.round("confidence", 4).cast("string")), F.lit("")), F.coalesce(F.concat(F.lit(": "), "detail"), F.lit("")))
+    return blocks.unionByName(made.warnings.select("doc_id", F.lit("warning").alias("stage"), F.lit(None).cast("string").alias("source"), note.alias("content")))

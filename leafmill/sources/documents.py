@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import normalize
-from leafmill.operators.guards import MAX_FILE_BYTES, READERS, route, unique_stems
+from leafmill.operators.assembly import Readings
+from leafmill.operators.guards import MAX_FILE_BYTES, route, unique_stems
 from leafmill.runtime import ship_package
 from leafmill.sources.pages import extract_pages
 
@@ -26,9 +26,11 @@ def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     return unique_stems(route(files).where(F.col("reader").isNotNull()))
 
 
-def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES, readings: Readings | None = None) -> DataFrame:
     """One row per file: its units with raw blocks, or the category of its failure.
 
+    ``readings`` is what was read from the pictures of PDF files, named by their paths.
+
     Files over the limit are refused by a filter on length, before their content is read.
     PDF files go page by page through ``assembly``; a stream of files refuses them, as that
     counts over all pages of a file.
@@ -38,7 +40,7 @@ def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     if not files.isStreaming:
         papers = files.where((F.col("reader") == "pdf") & (F.col("length") <= max_bytes))
         if not papers.select("path").isEmpty():
-            paged = extract_pages(papers)
+            paged = extract_pages(papers, readings)
             files = files.where((F.col("reader") != "pdf") | (F.col("length") > max_bytes))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,11 +81,3 @@ def blocks(extracted: DataFrame) -> DataFrame:
     rows = F.transform("b.rows", lambda r: F.transform(r, lambda c: normalize(F.coalesce(c, F.lit("")), repaired=False)))
     out = each.select("path", "unit", "unit_type", "ord", "b.type", text.alias("content"), rows.alias("rows"), "b.level", "b.source")
     return out.where("type not in ('text', 'heading') or content <> ''")
-
-
-def readers() -> list[str]:
-    return sorted(set(READERS.values()))
-
-
-def union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -390,8 +390,13 @@ class Page:
     height: float = 0.0
     chars: list[tuple] = field(default_factory=list)  # text, x0, y0, x1, y1, a, b, size
     drawings: list[tuple] = field(default_factory=list)  # item, x0, y0, x1, y1
-    images: list[tuple] = field(default_factory=list)  # xref, x0, y0, x1, y1
+    images: list[tuple] = field(default_factory=list)  # xref, x0, y0, x1, y1, stored width and height
     fonts: set[str] = field(default_factory=set)
+    error: str | None = None  # why its content could not be read to the end
+
+
+#: What damaged content raises.
+UNREADABLE = (ValueError, KeyError, IndexError, TypeError, AttributeError, RecursionError, OverflowError, zlib.error)
 
 
 class Painter:
@@ -500,20 +505,20 @@ class Painter:
                     ref = (get(resources.get("XObject")) or {}).get(given[0])
                     form = get(ref)
                     if isinstance(form, Stream) and get(form.info.get("Subtype")) == "Image":
-                        self.page.images.append((ref.number if isinstance(ref, Ref) else 0, *hull(ctm, 0.0, 0.0, 1.0, 1.0)))
+                        self.page.images.append((ref.number if isinstance(ref, Ref) else 0, *hull(ctm, 0.0, 0.0, 1.0, 1.0), get(form.info.get("Width")), get(form.info.get("Height"))))
                     elif isinstance(form, Stream) and depth < MAX_FORMS:
                         matrix = tuple(float(get(x)) for x in get(form.info.get("Matrix")) or UNIT)
                         self.run(self.file.content(form), get(form.info.get("Resources")) or resources, times(matrix, ctm), depth + 1)
                 elif op == b"BI":
                     end = re.compile(rb"\sEI(?=[\s]|\Z)").search(lexer.data, lexer.at)
                     lexer.at = end.end() if end else len(lexer.data)
-                    self.page.images.append((0, *hull(ctm, 0.0, 0.0, 1.0, 1.0)))
+                    self.page.images.append((0, *hull(ctm, 0.0, 0.0, 1.0, 1.0), None, None))
             except (TypeError, IndexError, ValueError, AttributeError):
                 continue  # an operator with wrong operands paints nothing
 
 
 def scan(data: bytes) -> tuple[dict, list[Page]]:
-    """The document's title and author, and its pages."""
+    """The document's title and author, and its pages; a page whose content cannot be read keeps its size and what was painted till then."""
     file = File(data)
     info = file.get(file.trailer.get("Info"))
     said = {}
@@ -530,10 +535,13 @@ def scan(data: bytes) -> tuple[dict, list[Page]]:
         w, h, turn = x1 - x0, y1 - y0, int(file.get(above.get("Rotate")) or 0) % 360
         base: Matrix = {0: (1.0, 0.0, 0.0, -1.0, -x0, y1), 90: (0.0, 1.0, 1.0, 0.0, -y0, -x0), 180: (-1.0, 0.0, 0.0, 1.0, x1, -y0), 270: (0.0, -1.0, -1.0, 0.0, y1, x1)}.get(turn, (1.0, 0.0, 0.0, -1.0, -x0, y1))
         page = Page(*((h, w) if turn in (90, 270) else (w, h)))
-        body = file.get(node.get("Contents"))
-        parts = [file.get(x) for x in body] if isinstance(body, list) else [body]
-        joined = b"\n".join(file.content(p) for p in parts if isinstance(p, Stream))
-        Painter(file, page, base).run(joined, file.get(above.get("Resources")) or {}, base)
+        try:
+            body = file.get(node.get("Contents"))
+            parts = [file.get(x) for x in body] if isinstance(body, list) else [body]
+            joined = b"\n".join(file.content(p) for p in parts if isinstance(p, Stream))
+            Painter(file, page, base).run(joined, file.get(above.get("Resources")) or {}, base)
+        except UNREADABLE as why:
+            page.error = f"{type(why).__name__}: {why}"
         pages.append(page)
     if not pages:
         raise Refused("unsupported", "no pages were found")

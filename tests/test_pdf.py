@@ -52,7 +52,7 @@ def test_fonts_forms_pictures_and_grids():
     _, (page,) = pdf.scan(build([body], extra))
     found = pdf.words(page)
     assert [w[3] for w in found] == ["Afiabc�", "inside", "a1", "b1", "a2", "b2"] and round(found[1][4]) == 70
-    assert page.images == [(7, 200.0, 242.0, 300.0, 292.0)]
+    assert page.images == [(7, 200.0, 242.0, 300.0, 292.0, 1, 1)]
     assert [d[0] for d in page.drawings] == ["re", "l", "l"]
     assert pdf.glyph_text("aacute") == "á" and pdf.glyph_text("scommaaccent") == "ș" and pdf.glyph_text("uni0103") == "ă" and pdf.glyph_text("g17") == "�" and pdf.glyph_text("equal.x") == "="
 
@@ -105,3 +105,13 @@ def test_files_are_put_together(spark, tmp_path):
     codes = [(w.code, w.detail) for w in rows["a.pdf"].warnings]
     assert ("HEADER_FOOTER_DETECTED", "") in codes and ("ROTATED_TEXT_FILTERED", "DRAFT") in codes and ("POSSIBLE_TWO_COLUMN_ORDER", "page 1") in codes
     assert "DRAFT" not in " ".join(b.content or "" for b in blocks)
+
+
+def test_a_damaged_page_loses_its_own_text_alone(spark, tmp_path):
+    whole = build([say(b"first", 72, 700), say(b"second", 72, 700), say(b"third", 72, 700)], compress=False)
+    at = whole.index(b"102 0 obj")
+    damaged = whole[:at] + whole[at:].replace(b"<< /Length", b"<< /Filter /ASCII85Decode /Length", 1).replace(b"(second)", b"(s\xff{nd)", 1)
+    (tmp_path / "a.pdf").write_bytes(damaged)
+    (row,) = documents.extract(documents.scan_files(spark, str(tmp_path))).collect()
+    assert row.error_category is None and [[b.text for b in u.blocks] for u in row.units] == [["first"], [], ["third"]]
+    assert [(w.code, w.detail.split(";")[0]) for w in row.warnings] == [("PAGE_UNREADABLE", "page 2")]
