@@ -15,15 +15,18 @@ sum instead.
 
 No piece holds a word mark after another character, so every path passes the place
 before a run of spaces: there the paths converge and all ids are committed. The
-distinct parts of a batch between such places therefore advance in step, one
-character a turn, over a window of the last ``max_piece`` positions. Parts too long
-for that (``IN_STEP``) go through the same pass alone and commit as they go.
+distinct parts of a batch between such places advance in step, one character a turn,
+over the window, and commit as they go. Parts longer than the window are first cut
+where no piece that stands in them reaches across, which all paths pass as well. What
+is still long, such as a run of one letter, advances from several places at once; a
+guessed start is taken only once its pieces are for a whole window those of the lane
+before, on which alone all that follows depends.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,8 +43,10 @@ NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM = 1
 #: What an unknown character costs a unigram path beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
-#: Parts of more characters are not held whole.
-IN_STEP = 256
+#: Long parts without a place where all paths meet advance from so many characters to the next lane's start, and so many beyond it.
+STRETCH, OVERLAP = 1680, 128
+#: Stands for a character outside a part.
+UNUSED_CHAR = (1 << 21) - 2
 #: Code points and piece ids take so many bits.
 BITS = 21
 SCHEMA = "doc_id long, n_chars long, n_tokens long, ids_crc32 long, decoded boolean"
@@ -141,86 +146,21 @@ class PieceModel:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-class StreamingViterbi:
-    """Feed characters in pieces of any size; ids come out as soon as they are certain."""
+class WindowLattice:
+    """The lattice of many lanes of text at once, one character a step, over a window of positions.
 
-    def __init__(self, model: PieceModel):
-        self.model = model
-        self.text = ""  # the characters since the committed boundary
-        self.back = [0]  # per position of the window: where its last piece starts
-        self.last: list[str | None] = [None]  # and that piece; at the boundary, the last committed one
-        self.score = [0.0]
-        self.widest = 0
-
-    def _extend(self, j: int) -> None:
-        model, text = self.model, self.text
-        best = None
-        for i in range(max(0, j - model.max_piece), j):
-            piece = text[i:j]
-            if piece not in model.ids and j - i > 1:
-                continue
-            if model.unigram:
-                score = self.score[i] + model.scores.get(piece, model.floor)
-                if best is None or score > best[0]:
-                    best = (score, i, piece)
-            elif model.follows(self.last[i], piece):
-                best = (0.0, i, piece)
-                break
-        if best is None:
-            raise AssertionError("a prefix without an admissible path")
-        self.score.append(best[0])
-        self.back.append(best[1])
-        self.last.append(best[2])
-
-    def _path(self, j: int) -> list[str]:
-        pieces = []
-        while j:
-            pieces.append(self.last[j])
-            j = self.back[j]
-        return pieces[::-1]
-
-    def feed(self, text: str) -> list[int]:
-        out: list[int] = []
-        for c in text:
-            self.text += c
-            self._extend(len(self.text))
-            self.widest = max(self.widest, len(self.text))
-            if len(self.text) >= 2 * self.model.max_piece:
-                out += self._commit()
-        return out
-
-    def _commit(self) -> list[int]:
-        """Give out what all paths from the window share."""
-        n = len(self.text)
-        heads = set(range(n - self.model.max_piece + 1, n + 1))
-        while len(heads) > 1:
-            far = max(heads)
-            heads.discard(far)
-            heads.add(self.back[far])
-        at = heads.pop()
-        if not at:
-            return []
-        pieces = self._path(at)
-        self.text = self.text[at:]
-        self.back = [0, *(x - at for x in self.back[at + 1 :])]
-        self.last = [pieces[-1], *self.last[at + 1 :]]
-        self.score = self.score[at:]
-        return [i for p in pieces for i in self.model.piece_ids(p)]
-
-    def finish(self) -> list[int]:
-        return [i for p in self._path(len(self.text)) for i in self.model.piece_ids(p)]
-
-
-class StepLattice:
-    """The lattice of many parts of text at once, for BPE models.
-
-    Pieces are found from their last character backwards along a trie. A character
-    that is no piece is an arc of its own, with an id after the vocabulary's.
+    A lane is a part of a text, or a stretch of a long one. Pieces are found from their
+    last character backwards along a trie. A character that is no piece is an arc of its
+    own, with an id after the vocabulary's. Only the window is held: whenever it is two
+    pieces wide each lane gives out the ids up to the boundary that the paths from its last
+    ``max_piece`` positions lead through, and the window is cut to what is left.
     """
 
-    def __init__(self, model: PieceModel):
+    def __init__(self, model: PieceModel, stretch: int = STRETCH, overlap: int = OVERLAP):
         self.model, self.n_names = model, len(model.names)
-        self.start = (1 << BITS) - 1  # stands left of a part's first piece
+        self.stretch, self.overlap = stretch, overlap
+        self.start = (1 << BITS) - 1  # stands left of a lane's first piece
+        self.widest = 0  # positions that the window has held at most
         children: dict[tuple[int, int], int] = {}
         piece_at = [-1]
         for piece, i in model.ids.items():
@@ -235,7 +175,9 @@ class StepLattice:
         self.piece_at = np.array(piece_at, np.int32)
         self.trie = IntTable(max(4, (4 * len(children)).bit_length()))
         self.trie.put(np.array([n << BITS | c for n, c in children], np.int64), np.fromiter(children.values(), np.int32, len(children)))
-        self.single = {ord(p): i for p, i in model.ids.items() if len(p) == 1}
+        self.scores = np.full(self.n_names, model.floor)
+        for piece, i in model.ids.items():
+            self.scores[i] = model.scores[piece]
         self.pairs = IntTable(21)
 
     def _name(self, i: int) -> str:
@@ -256,78 +198,252 @@ class StepLattice:
             known[lacking] = np.array(verdicts, np.int32)[np.searchsorted(fresh, keys[lacking])]
         return known > 0
 
+    def _arcs(self, here: np.ndarray, before: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(length - 1, rows, pieces, all rows still open) of the pieces that end with the characters ``here``; ``before`` are those before them, the nearest first.
+
+        What is sent back are the open rows to go on with.
+        """
+        open_, node = np.arange(len(here)), np.zeros(len(here), np.int64)
+        for back, row in enumerate([here, *before]):
+            chars = row[open_]
+            node = self.trie.get(node << BITS | chars).astype(np.int64)
+            ends = np.where(node >= 0, self.piece_at[node], -1)
+            if not back:
+                ends = np.where(ends >= 0, ends, (chars + self.n_names).astype(np.int32))
+            some = np.flatnonzero(ends >= 0)
+            done = yield back, open_[some], ends[some], open_
+            alive = node >= 0
+            if done is not None:
+                alive &= ~done[open_]
+            open_, node = open_[alive], node[alive]
+            if not len(open_):
+                break
+
+    def _certain(self, text: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Whether each character begins a piece on every path: no piece that is in the text reaches over its start. ``first`` is where its part begins."""
+        size, block = self.model.max_piece, 1 << 18
+        over = np.zeros(len(text) + 1, np.int64)
+        for a in range(0, len(text), block):
+            at = np.arange(a, min(len(text), a + block))
+            room = at - first[at]
+            longest = np.zeros(len(at), np.int64)
+            before = [np.where(room >= k, text[np.maximum(at - k, 0)], UNUSED_CHAR).astype(np.int64) for k in range(1, size)]
+            for back, rows, _, _ in self._arcs(text[at].astype(np.int64), before):
+                longest[rows] = back
+            over += np.bincount(at - longest + 1, minlength=len(text) + 1)[: len(text) + 1]
+            over -= np.bincount(at + 1, minlength=len(text) + 1)[: len(text) + 1]
+        return np.cumsum(over)[:-1] == 0
+
     def segment(self, text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all parts and their number for each; ``text`` holds the code points of the parts in a row."""
-        order = np.argsort(-lengths, kind="stable")
-        sizes = lengths[order]
-        starts = np.cumsum(sizes) - sizes
-        source = (np.cumsum(lengths) - lengths)[order]
-        found, width = np.zeros(len(text), np.int32), np.zeros(len(text), np.int16)
-        window: list[tuple[np.ndarray, np.ndarray]] = []  # the last positions' characters and pieces, the latest first
+        ends = np.cumsum(lengths)
+        begins = ends - lengths
+        # Parts longer than the window are cut where all paths are known to meet.
+        wide = lengths > 2 * self.model.max_piece
+        cuts = begins[lengths > 0]
+        if wide.any():
+            within = ranges(np.arange(len(text)), begins[wide], lengths[wide])
+            certain = self._certain(text[within], np.repeat(np.cumsum(lengths[wide]) - lengths[wide], lengths[wide]))
+            cuts = np.union1d(cuts, within[certain])
+        stops = np.append(cuts[1:], len(text)) if len(cuts) else cuts
+        long = (stops - cuts > self.stretch + self.overlap + self.model.max_piece) & (not self.model.unigram)
+        nothing = np.zeros(int((~long).sum()), bool)
+        at, ids, _ = self._advance(text, cuts[~long], stops[~long], nothing, nothing, False)
+        if long.any():
+            more, more_ids = self._stretched(text, [lane for a, b in zip(cuts[long].tolist(), stops[long].tolist()) for lane in self._stretches(a, b)])
+            at, ids = np.append(at, more), np.append(ids, more_ids)
+            order = at.argsort()
+            at, ids = at[order], ids[order]
+        return ids, np.diff(np.searchsorted(at, np.append(begins, len(text)), "right"))
+
+    def _stretches(self, a: int, b: int) -> list[tuple[int, int, int]]:
+        """Lanes (start, end, end of the part) of a part that advance at once."""
+        starts = [a, *range(a + self.stretch, b - self.overlap - self.model.max_piece, self.stretch)]
+        return [(s, min(b, t + self.overlap), b) for s, t in zip(starts, [*starts[1:], b])]
+
+    def _stretched(self, text: np.ndarray, lanes: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ends, ids) of all pieces of the lanes' parts, by place.
+
+        A lane that begins within a part is a guess: it is right from where its pieces have
+        been those of the lane before it for a whole window, as what follows depends on the
+        window alone. Lanes that never agree are joined and gone through again as one.
+        """
+        found: dict[tuple[int, int], tuple] = {}
+        while True:
+            next_to = [k > 0 and lanes[k - 1][2] == lane[2] for k, lane in enumerate(lanes)]
+            fresh = [k for k, lane in enumerate(lanes) if lane[:2] not in found]
+            if fresh:
+                starts, ends, whole = (np.array(x, np.int64) for x in zip(*(lanes[k] for k in fresh)))
+                at, ids, special = self._advance(text, starts, ends, np.array([next_to[k] for k in fresh]), ends < whole)
+                # Lanes overlap, so their pieces come lane by lane.
+                for i, k in enumerate(fresh):
+                    part, *rest = special[i]
+                    found[lanes[k][:2]] = (at[part], ids[part], *rest)
+            joined, agreed = [], True
+            for k, lane in enumerate(lanes):
+                if next_to[k] and not np.array_equal(found[lanes[k - 1][:2]][2], found[lane[:2]][3]):
+                    joined[-1] = (joined[-1][0], lane[1], lane[2])
+                    agreed = False
+                else:
+                    joined.append(lane)
+            if agreed:
+                break
+            lanes = joined
+        places, pieces = [], []
+        entry = None  # where the path of the lane to the right begins to be its own
+        for k in range(len(lanes) - 1, -1, -1):
+            at, ids, _, _, rest = found[lanes[k][:2]]
+            if rest is not None:
+                more, more_ids = rest(entry)
+                at, ids = np.append(at, more), np.append(ids, more_ids)
+            if next_to[k]:
+                keep = int(np.searchsorted(at, lanes[k - 1][1], "right"))
+                entry = int(at[keep - 1]) if keep else lanes[k][0]
+                at, ids = at[keep:], ids[keep:]
+            places.append(at)
+            pieces.append(ids)
+        return np.concatenate(places[::-1]), np.concatenate(pieces[::-1])
+
+    def _advance(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray, inner: np.ndarray, unfinished: np.ndarray, known: bool = True) -> tuple[np.ndarray, np.ndarray, dict[int, tuple]]:
+        """(ends, ids) of the lanes' pieces, lane by lane, and what is to be ``known`` of each lane where lanes are stretches of one part.
+
+        ``inner`` lanes begin within a part and keep their pieces at the end of the overlap;
+        ``unfinished`` ones end within it: their last ids wait for the next lane. Known are
+        (the lane's share of the pieces, its last pieces, those at the overlap, its rest).
+        """
+        size, unigram = self.model.max_piece, self.model.unigram
+        order = np.argsort(starts - ends, kind="stable")
+        source, sizes = starts[order], (ends - starts)[order]
+        inner, unfinished = inner[order], unfinished[order]
+        base = np.zeros(len(order), np.int64)
+        window: list[tuple] = []  # of the last positions: characters, pieces, their lengths, path scores; the latest first
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        marks: dict[int, np.ndarray] = {}
+        tails: dict[int, tuple] = {}
+
+        def trace(lanes: np.ndarray, at: np.ndarray, upto: int, pieces: np.ndarray, widths: np.ndarray) -> None:
+            """Give out the pieces from the nodes ``at`` (counted from the window's start) back to the lanes' bases."""
+            deep = len(pieces)
+            floor = base[lanes] - (upto - deep)
+            while len(lanes):
+                more = at > floor
+                lanes, at, floor = lanes[more], at[more], floor[more]
+                if not len(lanes):
+                    break
+                rows = deep - at
+                out.append((lanes, at + (upto - deep), pieces[rows, lanes]))
+                at = at - widths[rows, lanes]
+
+        def held(n: int) -> tuple[np.ndarray, np.ndarray]:
+            return np.stack([w[1][:n] for w in window]), np.stack([w[2][:n] for w in window])
+
         for j in range(int(sizes.max(initial=0))):
-            n = int(np.searchsorted(-sizes, -j))  # parts with a character here
+            n = int(np.searchsorted(-sizes, -j))  # lanes with a character here
             here = text[source[:n] + j].astype(np.int64)
-            piece, wide = np.full(n, -1, np.int32), np.zeros(n, np.int16)
-            open_, node = np.arange(n), np.zeros(n, np.int64)
-            for back in range(min(j + 1, self.model.max_piece)):
-                chars = here[open_] if not back else window[back - 1][0][open_]
-                node = self.trie.get(node << BITS | chars).astype(np.int64)
-                ends = np.where(node >= 0, self.piece_at[node], -1)
-                if not back:
-                    ends = np.where(ends >= 0, ends, (chars + self.n_names).astype(np.int32))
-                some = np.flatnonzero(ends >= 0)
-                mine = open_[some]
-                left = window[back][1][mine] if back < j else np.full(len(mine), self.start)
-                good = self._follows(left, ends[some])
-                piece[mine[good]], wide[mine[good]] = ends[some[good]], back + 1
-                alive = node >= 0
-                alive[some[good]] = False
-                open_, node = open_[alive], node[alive]
-                if not len(open_):
-                    break
-            assert (piece >= 0).all()  # every prefix has one admissible path
-            found[starts[:n] + j], width[starts[:n] + j] = piece, wide
-            window = [(here, piece), *window[: self.model.max_piece - 1]]
-        # Follow the back pointers of all parts from their ends.
-        used = np.zeros(len(text), bool)
-        at, first = (starts + sizes - 1)[sizes > 0], starts[sizes > 0]
-        while len(at):
-            used[at] = True
-            at = at - width[at]
-            more = at >= first
-            at, first = at[more], first[more]
-        running = np.append(0, np.cumsum(used))
-        counts = running[starts + sizes] - running[starts]
-        back_to = np.empty_like(order)
-        back_to[order] = np.arange(len(order))
-        return ranges(found[used], (np.cumsum(counts) - counts)[back_to], counts[back_to]), counts[back_to]
+            piece, wide, score = np.full(n, -1, np.int32), np.zeros(n, np.int16), np.full(n, -np.inf) if unigram else None
+            arcs = self._arcs(here, [w[0] for w in window[: min(j, size - 1)]])
+            step, done = next(arcs), np.zeros(n, bool)
+            try:
+                while True:
+                    back, rows, some, _ = step
+                    if unigram:
+                        value = (window[back][3][rows] if back < j else 0.0) + np.where(some < self.n_names, self.scores[np.minimum(some, self.n_names - 1)], self.model.floor)
+                        good = value >= score[rows]
+                        score[rows[good]] = value[good]
+                    else:
+                        good = self._follows(window[back][1][rows] if back < j else np.full(len(rows), self.start), some)
+                    piece[rows[good]], wide[rows[good]] = some[good], back + 1
+                    done[rows[good]] = not unigram
+                    step = arcs.send(done)
+            except StopIteration:
+                pass
+            if (piece < 0).any():
+                raise ValueError("the model's merges leave a text without a segmentation")
+            window.insert(0, (here, piece, wide, score))
+            upto = j + 1
+            self.widest = max(self.widest, len(window))
+            if upto == self.overlap and inner[:n].any():
+                last = np.stack([w[1][:n] for w in window[:size]])
+                marks |= {k: last[:, k] for k in np.flatnonzero(inner[:n]).tolist()}
+            ending = np.arange(int(np.searchsorted(-sizes, -upto)), n)
+            if len(ending):
+                pieces, widths = held(n)
+                loose = unfinished[ending]
+                for k in ending[loose].tolist():
+                    tails[k] = (pieces[:, k], widths[:, k], int(base[k]), upto)
+                trace(ending[~loose], np.full(int((~loose).sum()), len(pieces)), upto, pieces, widths)
+                n = int(ending[0])
+            if n and len(window) >= 2 * size:
+                pieces, widths = held(n)
+                deep = len(pieces)
+                floor = base[:n] - (upto - deep)
+                heads = np.zeros((deep + 1, n), bool)
+                for at in range(deep - size + 1, deep + 1):
+                    heads[at] = at >= floor
+                count = heads.sum(0)
+                for at in range(deep, 0, -1):
+                    lanes = np.flatnonzero(heads[at] & (count > 1))
+                    if len(lanes):
+                        to = at - widths[deep - at, lanes]
+                        heads[at, lanes] = False
+                        count[lanes] -= heads[to, lanes]
+                        heads[to, lanes] = True
+                meet = heads.argmax(0)
+                trace(np.arange(n), meet, upto, pieces, widths)
+                base[:n] = np.maximum(base[:n], meet + (upto - deep))
+                window = window[: max(size, upto - int(base[:n].min()))]
+        if not out:
+            out.append((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)))
+        lanes, at, ids = (np.concatenate(x) for x in zip(*out))
+        mine = order[lanes]
+        at = at + source[lanes]
+        sort = np.lexsort((at, mine))
+        at, ids, special = at[sort], ids[sort], {}
+        if known:
+            bounds = np.searchsorted(mine[sort], np.arange(len(order) + 1)).tolist()
+            for k, i in enumerate(order.tolist()):
+                tail = tails.get(k)
+                special[i] = (slice(bounds[i], bounds[i + 1]), tail[0][:size] if tail else None, marks.get(k), _rest(int(source[k]), *tail) if tail else None)
+        return at, ids, special
 
     def expand(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece become the ids of their bytes, or the unknown one."""
         lost = np.flatnonzero(ids >= self.n_names)
         if not len(lost):
             return ids.astype(np.uint32), counts
-        spelled = {c: self.model.piece_ids(chr(c - self.n_names)) for c in np.unique(ids[lost]).tolist()}
+        odd, which = np.unique(ids[lost], return_inverse=True)
+        spelled = [self.model.piece_ids(chr(c - self.n_names)) for c in odd.tolist()]
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
         wide = np.ones(len(ids), np.int64)
-        wide[lost] = [len(spelled[c]) for c in ids[lost].tolist()]
+        wide[lost] = sizes[which]
         out = np.repeat(ids, wide).astype(np.uint32)
-        ends = np.cumsum(wide)
-        for k, c in zip(lost.tolist(), ids[lost].tolist()):
-            out[ends[k] - wide[k] : ends[k]] = spelled[c]
+        places = ranges(np.arange(len(out)), (np.cumsum(wide) - wide)[lost], wide[lost])
+        out[places] = ranges(np.array([i for own in spelled for i in own], np.uint32), (np.cumsum(sizes) - sizes)[which], sizes[which])
         owner = np.repeat(np.arange(len(counts)), counts)
         return out, np.bincount(owner, weights=wide, minlength=len(counts)).astype(np.int64)
 
 
+def _rest(first: int, pieces: np.ndarray, widths: np.ndarray, base: int, upto: int) -> Callable[[int], tuple[list[int], list[int]]]:
+    """The pieces that an unfinished lane from ``first`` on has not given out, for the place where the next lane's path enters."""
+
+    def path(entry: int) -> tuple[list[int], list[int]]:
+        at, ends, ids = entry - first, [], []
+        while at > base:
+            row = upto - at
+            ends.append(at + first)
+            ids.append(int(pieces[row]))
+            at -= int(widths[row])
+        return ends[::-1], ids[::-1]
+
+    return path
+
+
 class PieceCoder:
     """Encodes whole texts; the distinct parts of a batch are solved once."""
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.lattice = None if self.model.unigram else StepLattice(self.model)
-
-    def _alone(self, part: str) -> np.ndarray:
-        viterbi = StreamingViterbi(self.model)
-        return np.array(viterbi.feed(part) + viterbi.finish(), np.uint32)
+        self.lattice = WindowLattice(self.model)
 
     def _chunks(self, texts: list[str]) -> Chunks:
         """The texts, with their word marks, cut where all paths converge."""
@@ -337,28 +453,9 @@ class PieceCoder:
 
     def _solve(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all parts and their number for each."""
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(parts)], parts), pa.scalar("", parts.type))[0].as_py()
         lengths = pc.utf8_length(parts).to_numpy().astype(np.int64)
-        long = np.flatnonzero(lengths > IN_STEP) if self.lattice else np.arange(len(parts))
-        alone = {i: self._alone(parts[i].as_py()) for i in long.tolist()}
-        if alone:
-            kept = np.ones(len(parts), bool)
-            kept[long] = False
-            parts, lengths = parts.filter(pa.array(kept)), lengths[kept]
-        if not self.lattice:
-            ids, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        else:
-            joined = pc.binary_join(pa.ListArray.from_arrays([0, len(parts)], parts), pa.scalar("", parts.type))[0].as_py()
-            ids, counts = self.lattice.expand(*self.lattice.segment(np.frombuffer(joined.encode("utf-32-le"), np.uint32), lengths))
-        if alone:
-            all_counts = np.zeros(len(kept), np.int64)
-            all_counts[kept] = counts
-            all_counts[long] = [len(alone[i]) for i in long.tolist()]
-            out, ends = np.zeros(int(all_counts.sum()), np.uint32), np.cumsum(all_counts)
-            mask = np.repeat(kept, all_counts)
-            out[mask] = ids
-            out[~mask] = np.concatenate([alone[i] for i in long.tolist()])
-            return out, all_counts
-        return ids, counts
+        return self.lattice.expand(*self.lattice.segment(np.frombuffer(joined.encode("utf-32-le"), np.uint32), lengths))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         chunks = self._chunks([t.replace(WORD_MARK, " ") for t in texts])  # one and the same to the model

@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import defaultdict
 
@@ -50,17 +51,40 @@ def test_piece_ids_equal_the_library():
     check()
 
 
-def test_streaming_commits_within_a_bounded_window():
+def unspaced():
+    """Texts without a space: scripts, letters, digits, runs and words."""
+    rng = np.random.default_rng(5)
+    pick = lambda of, n: "".join(rng.choice(list(of), n))
+    return [
+        pick([chr(c) for c in range(0x4E00, 0x9FA0)], 9000), pick("的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年", 9000), pick("abcdefghijklmnopqrstuvwxyz", 9000),
+        pick("ABCDEFGHIJabcdefghij0123456789+/", 9000), pick(["the", "and", "ing", "er", "tion", "s"], 3000), "=" * 9000, "ab" + "x" * 9001 + "c", "ab" * 4500, "-=" * 3000 + "é" * 3000, pick("ab🙂é\n", 5000),
+    ]
+
+
+@pytest.mark.parametrize("stretch,overlap", [(pieces.STRETCH, pieces.OVERLAP), (61, 24), (7, 16)])
+def test_one_lattice_encodes_long_texts_without_spaces(stretch, overlap):
     coder, library = pieces.PieceCoder(PIECES), SentencePieceProcessor(model_file=PIECES)
-    for text in (prose(4, 400), "ab" * 2000, "=" * 500):
-        stream = pieces.StreamingViterbi(coder.model)
-        ids = []
-        for a in range(0, len(text), 7):
-            ids += stream.feed(("▁" if not a else "") + text[a : a + 7].replace(" ", "▁"))
-        early = len(ids)
-        ids += stream.finish()
-        assert ids == library.encode(text)
-        assert stream.widest < 200 and early > 0.8 * len(ids)
+    coder.lattice = pieces.WindowLattice(coder.model, stretch, overlap)
+    for text in unspaced() if stretch > 100 else [t[:1500] for t in unspaced()]:
+        assert [ids.tolist() for ids in coder.encode([text, text[:200], "a " + text])] == [library.encode(t) for t in (text, text[:200], "a " + text)]
+
+
+def test_lanes_commit_within_a_window_of_two_pieces():
+    coder = pieces.PieceCoder(PIECES)
+    for text in [prose(4, 4000), *unspaced()]:
+        coder.lattice.widest = 0
+        coder.encode([text])
+        assert 0 < coder.lattice.widest <= 2 * coder.model.max_piece, text[:20]
+
+
+def test_chinese_text_costs_no_more_than_prose():
+    """Under 900 CPU seconds a GB, with room for a slow machine."""
+    coder = pieces.PieceCoder(PIECES)
+    texts = [t * 10 for t in unspaced()[:2]]
+    coder.encode(texts)
+    began = time.process_time()
+    coder.encode(texts)
+    assert (time.process_time() - began) / sum(len(t.encode()) for t in texts) < 2500e-9
 
 
 def test_token_counts(spark):
