@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ ICON = "[icon]"
 #: What Windows-1252 shows for the bytes 80 to 9F, and those bytes.
 WINDOWS = tuple("".join(x) for x in zip(*((bytes([b]).decode("cp1252"), chr(b)) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))))
 _NEXT = f"[\u0080-\u00bf{WINDOWS[0]}]"
+MISREAD = "[\u00c2\u00c3\u00e2\u00ef\u00f0]"
 MOJIBAKE = f"(?:[\u00c2\u00c3]{_NEXT}|\u00e2{_NEXT}{{2}}|\u00ef\u00bb\u00bf|\u00f0[\u009f\u0178]{_NEXT}{{2}})+"
 
 
@@ -26,10 +29,6 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, EDGE_SPACE, "")
 
 
-def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\s+$", "")
-
-
 def lines(text: Column) -> Column:
     """Lines of a text, whatever ends them; a last line break opens no further line."""
     parts = F.split(text, r"\R")
@@ -65,26 +64,38 @@ def repair(text: Column) -> Column:
     mark and emoji are recognized; each matched run is valid UTF-8 once written back.
     """
     plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), CONTROL, "")
-    runs = F.regexp_extract_all(plain, F.lit(MOJIBAKE), F.lit(0))
-    right = F.transform(runs, lambda r: F.decode(F.encode(F.translate(r, *WINDOWS), "ISO-8859-1"), "UTF-8"))
-    pairs = F.zip_with(F.split(plain, MOJIBAKE, -1), right, lambda gap, run: F.concat(gap, F.coalesce(run, F.lit(""))))
-    return F.when(plain.rlike(MOJIBAKE), F.replace(F.array_join(pairs, ""), F.lit("\ufeff"), F.lit(""))).otherwise(plain)
+
+    def put_right(t: Column) -> Column:
+        runs = F.regexp_extract_all(t, F.lit(MOJIBAKE), F.lit(0))
+        right = F.transform(runs, lambda r: F.decode(F.encode(F.translate(r, *WINDOWS), "ISO-8859-1"), "UTF-8"))
+        pairs = F.zip_with(F.split(t, MOJIBAKE, -1), right, lambda gap, run: F.concat(gap, F.coalesce(run, F.lit(""))))
+        return F.when(t.rlike(MOJIBAKE), F.replace(F.array_join(pairs, ""), F.lit("\ufeff"), F.lit(""))).otherwise(t)
+
+    # Most texts have none of the characters that a misread run begins with; for the others ``plain`` is taken once.
+    return F.when(text.rlike(MISREAD), _once(plain, put_right)).otherwise(plain)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that it needs several times: as an array's element the value has a name."""
+    return F.transform(F.array(value), use)[0]
 
 
 def normalize(text: Column, preserve_layout: bool = False, repaired: bool = True) -> Column:
     """The cleaning chain, in its fixed order; a null text stays null."""
     out = repair(text) if repaired else text
     out = rejoin_hyphens(fold_spaces(drop_private_use(fold_cedilla(out))))
+    # Line breaks and plain spaces are all the white space that is left now.
     if preserve_layout:
-        trimmed = F.transform(F.split(out, r"\R"), rstrip)
+        trimmed = F.transform(F.split(out, r"\R"), lambda line: F.rtrim(line))
     else:
-        trimmed = F.transform(F.split(F.regexp_replace(out, r"[ \t]{2,}", " "), r"\R"), strip)
-    return strip(collapse_blank_runs(F.array_join(trimmed, "\n")))
+        trimmed = F.transform(F.split(F.regexp_replace(out, " {2,}", " "), r"\R"), lambda line: F.trim(line))
+    return F.btrim(collapse_blank_runs(F.array_join(trimmed, "\n")), F.lit(" \n"))
 
 
 def normalize_report(text: Column) -> Column:
-    """struct(text, unicode_repaired)."""
-    return F.struct(normalize(text).alias("text"), (repair(text) != F.regexp_replace(text, r"\r\n?", "\n")).alias("unicode_repaired"))
+    """struct(text, unicode_repaired); a text is repaired once for both."""
+    as_it_was = F.regexp_replace(text, r"\r\n?", "\n")
+    return _once(repair(text), lambda t: F.struct(normalize(t, repaired=False).alias("text"), (t != as_it_was).alias("unicode_repaired")))
 
 
 def line_signature(line: Column, exact: bool = False) -> Column:
@@ -113,8 +124,12 @@ def significant_words(text: Column) -> Column:
 
 def novelty(candidate: Column, known: Column) -> Column:
     """The share of the candidate's significant words that the known text lacks; 0 without any."""
-    own = significant_words(candidate)
-    return F.when(F.size(own) == 0, 0.0).otherwise(F.size(F.array_except(own, significant_words(known))) / F.size(own))
+    return novel_share(significant_words(candidate), significant_words(known))
+
+
+def novel_share(own: Column, known: Column) -> Column:
+    """The same of two lists of significant words, as where one list is compared with many."""
+    return F.when(F.size(own) == 0, 0.0).otherwise(F.size(F.array_except(own, known)) / F.size(own))
 
 
 def icon_noise(text: Column) -> Column:

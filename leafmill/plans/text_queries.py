@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leafmill.functions import markup, text
 from leafmill.operators import diacritics, metrics, tables
 from leafmill.plans.catalog import query
-from leafmill.runtime import table
+from leafmill.runtime import cut, table
 
 NBSP, ZWSP, PUA, WIDE_PUA, FFFD = " ", "​", "", "\U000f0001", "�"
 SPACES = "\\t\\x0B\\f    -     　\u0085"
@@ -230,9 +230,12 @@ SQL_WORDS = "list_distinct(list_filter(regexp_extract_all(lower({0}), '[\\p{{L}}
     SELECT doc_id, CASE WHEN len(p) = 0 THEN 0.0 ELSE round(len(list_filter(p, lambda x: NOT list_contains(n, x))) / len(p), 9) END AS novelty FROM w"""
 )
 def prose_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, known = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("known"))
-    joined = docs.join(known, F.col("doc_id") % known.count() == F.col("item_id"), "left")
-    return joined.select("doc_id", F.round(text.novelty(F.col("text"), F.coalesce("known", F.lit(""))), 9).alias("novelty"))
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    # The words of an item are taken once, not for each document that is compared with it.
+    known = cut(items.select("item_id", text.significant_words(F.col("text")).alias("known")))
+    joined = docs.select("doc_id", text.significant_words(F.col("text")).alias("own")).join(known, F.col("doc_id") % known.count() == F.col("item_id"), "left")
+    nothing = F.array().cast("array<string>")
+    return joined.select("doc_id", F.round(text.novel_share(F.col("own"), F.coalesce("known", nothing)), 9).alias("novelty"))
 
 
 @query(

@@ -25,52 +25,39 @@ def test_boxes_of_a_probability_map():
     assert detection.text_boxes(np.zeros((8, 8)), (8, 8)) == []
 
 
-def test_crops_tensors_and_batches():
+def test_crops():
     image = np.zeros((40, 100, 3), np.uint8)
     image[10:20, 30:70] = (200, 100, 50)
     piece = detection.crop(image, np.array([(30, 10), (70, 10), (70, 20), (30, 20)], float))
     assert piece.shape == (10, 40, 3) and np.allclose(piece[2:8, 2:38], (200, 100, 50))
     assert detection.crop(image, np.array([(30, 0), (35, 0), (35, 39), (30, 39)], float)).shape == (5, 39, 3)
-    assert detection.detection_input(image).shape == (1, 3, 32, 96) and detection.detection_input(np.zeros((2000, 1000, 3))).shape == (1, 3, 960, 480)
-    crops = [np.zeros((48, w, 3)) for w in (300, 10, 5000, 20)]
-    assert [detection.read_width(c) for c in crops] == [300, 10, 2048, 20] and detection.batches(crops, 2) == [[1, 3], [0, 2]]
-    assert detection.reading_input(crops[:2]).shape == (2, 3, 48, 300) and np.allclose(detection.resize(np.full((3, 5, 3), 7), 6, 11), 7)
 
 
-def fake_engine(model_dir=None, enabled=True):
-    """A detector that marks bright pixels and a reader that spells out each batch entry's width class."""
+def fake_engine():
+    """Boxes around bright pixels, each read as the same two letters."""
 
-    def detect(tensor):
-        return (tensor[0, 0] > 0).astype(np.float32)
+    def read(image):
+        boxes = detection.in_rows(detection.text_boxes((image[:, :, 0] > 0).astype(np.float32), image.shape[:2]))
+        return [detection.Line(" ab ", 0.8, (*map(float, b.min(0)), *map(float, b.max(0)))) for b in boxes] + [detection.Line("unsure", 0.1, (0.0,) * 4), detection.Line(" ", 0.9, (0.0,) * 4)]
 
-    def read(batch):
-        steps = np.zeros((len(batch), 3, 4))
-        steps[:, 0, 1], steps[:, 1, 0], steps[:, 2, 2] = 0.9, 0.8, 0.7
-        return steps
+    return read
 
-    return detection.Engine(detect, read, ["", "a", "b", " "])
 
+def no_engine():
+    raise detection.Unavailable("no engine here")
 
-def test_pictures_become_lines_or_reasons(spark, tmp_path):
+
+def test_pictures_become_lines_or_reasons(spark):
     picture = np.zeros((96, 320, 3), np.uint8)
     picture[20:40, 20:120], picture[20:40, 180:300], picture[60:80, 20:300] = 255, 255, 255
     rows = [("d", 1, 0, 96, 320, picture.tobytes()), ("d", 1, 1, 96, 320, b"short"), ("d", 2, 0, 32, 32, bytes(3072))]
     frame = spark.createDataFrame([(*r[:5], bytearray(r[5])) for r in rows], "doc_id string, page int, image_no int, height int, width int, pixels binary")
-    got = sorted(map(tuple, detection.recognize(frame, find=fake_engine).collect()), key=str)
+    got = sorted(map(tuple, detection.recognize(frame, fake_engine).collect()), key=str)
     assert [(r[2], r[3], r[4]) for r in got if r[4]] == [(0, 0, "ab"), (0, 1, "ab"), (0, 2, "ab")] and got[0][5] == pytest.approx(0.8)
     assert len(got) == 4 and got[3][11] and got[0][6] < got[1][6] and got[2][7] > got[0][7]
-    outcome = ocr.page_results(ocr.readable(detection.recognize(frame, find=fake_engine).where("error is null"))).first()
+    outcome = ocr.page_results(ocr.readable(detection.recognize(frame, fake_engine).where("error is null"))).first()
     assert outcome.text == "ab\nab\nab" and outcome.code == "OCR_APPLIED"
-    assert {r.error for r in detection.recognize(frame, str(tmp_path / "none")).collect()} == {f"no model directory was found ({tmp_path / 'none'})"}
-    (tmp_path / "x_det.onnx").write_bytes(b"0" * 100_000)
-    for name, size, reason in (("x_rec.onnx", 10, "missing-rec-model"), ("x_rec.onnx", 100_000, "missing-dict")):
-        (tmp_path / name).write_bytes(b"0" * size)
-        with pytest.raises(detection.Unavailable) as why:
-            detection.resolve_models(str(tmp_path))
-        assert why.value.reason == reason
-    (tmp_path / "dict.txt").write_text("a\nb\n")
-    assert detection.load_labels(tmp_path / "dict.txt") == ["", "a", "b", " "]
-    assert detection.probe(str(tmp_path)).reason == "load-failed" and detection.probe(None, False).reason == "disabled"
+    assert [r.error for r in detection.recognize(frame, no_engine).collect()] == ["no engine here"] * 3
 
 
 def test_visual_answers_are_kept(spark, tmp_path):
