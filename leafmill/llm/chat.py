@@ -233,16 +233,16 @@ def repair_conversations(turns: DataFrame, costs: RepairCosts | None = None, blo
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     of = F.col("conv_id").eqNullSafe(F.col("long_id"))
-    long_ones = cut(rows.groupBy(F.col("conv_id").alias("long_id")).agg(F.count("*").alias("n")).where(F.col("n") > block).select("long_id"))
-    if long_ones.isEmpty():
-        bounds_of = turns.sparkSession.createDataFrame([], "long_id long, part long, entry int, leave int, final boolean")
-        placed = rows.withColumn("block", F.lit(0).cast("long"))
+    sizes = rows.groupBy(F.col("conv_id").alias("long_id")).agg(F.count("*").alias("n")).where(F.col("n") > block).select("long_id")
+    if sizes.isEmpty():
+        none = [F.lit(None).cast(kind).alias(name) for name, kind in (("entry", "int"), ("leave", "int"), ("final", "boolean"))]
+        joined = rows.select("conv_id", F.lit(0).cast("long").alias("block"), "turn", "role", "text", *none)
     else:
+        long_ones = cut(sizes)
         long_rows = _ranked(rows.join(long_ones, of, "left_semi"), block)
         placed = rows.join(long_ones, of, "left_anti").withColumn("block", F.lit(0).cast("long")).unionByName(long_rows)
-        bounds_of = _bounds(long_rows, costs)
-    joined = placed.join(bounds_of, of & (F.col("block") == F.col("part")), "left")
-    joined = joined.select("conv_id", "block", "turn", "role", "text", "entry", "leave", "final")
+        joined = placed.join(_bounds(long_rows, costs), of & (F.col("block") == F.col("part")), "left")
+        joined = joined.select("conv_id", "block", "turn", "role", "text", "entry", "leave", "final")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "block", "first_turn", "n_turns", "cost", "actions", "roles", "rendered", "end_role"]
