@@ -152,22 +152,19 @@ def links(vectors: DataFrame, config: CollisionConfig | None = None) -> DataFram
     counts = counts.select("label", "width", F.greatest(F.lit(0), bits).cast("int").alias("bits"))
     tables_of = [config.tables(b) for b in range(config.most_bits + 1)]
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             kinds = np.stack([whole.column(k).to_numpy(zero_copy_only=False) for k in (4, 5)], 1).astype(np.int64)
             for width, bits in np.unique(kinds, axis=0).tolist():
                 batch = whole.filter(pa.array((kinds == (width, bits)).all(1)))
-                tables = tables_of[bits]
-                codes = sign_codes(_matrix(batch.column(2)), config, tables) & ((1 << bits) - 1)
-                lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, tables, dtype=np.int32), pa.array(codes.ravel().astype(np.int32)))
-                for t in range(tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns[:5], pa.array(np.full(len(codes), t, np.int32)), pa.array(codes[:, t].astype(np.int32)), lists],
-                        ["label", "vec_id", "unit", "weight", "width", "table", "code", "codes"],
-                    )
+                codes = sign_codes(_matrix(batch.column(2)), config, tables_of[bits]) & ((1 << bits) - 1)
+                lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32), pa.array(codes.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], lists], ["label", "vec_id", "unit", "weight", "width", "codes"])
 
     rows = vectors.join(counts, ["label", "width"]).select("label", "vec_id", "unit", "weight", "width", "bits")
-    placed = cut(rows.mapInArrow(deal, "label string, vec_id long, unit array<double>, weight long, width int, table int, code int, codes array<int>"))
+    # Written once with all its codes; a vector's copies, one a table, are made on the way to their cells.
+    coded = cut(rows.mapInArrow(code, "label string, vec_id long, unit array<double>, weight long, width int, codes array<int>"))
+    placed = coded.select("*", F.posexplode("codes").alias("table", "code")).withColumn("codes", F.slice("codes", 1, F.col("table")))
     cell = ["label", "width", "table", "code"]
     # Under one crowded cell to a block of rows, so this side stays small beside the other.
     crowded = placed.groupBy(cell).agg(F.ceil(F.count("*") / config.block).cast("int").alias("blocks")).where("blocks > 1")

@@ -5,8 +5,12 @@ stream past it: the block is sorted once per dimension and each query is answere
 its own. A query reads all lists in step, each from the end that its own sign prefers;
 rows met for the first time are scored in full. Once no unseen row can reach the
 kth best score - the sum of the lists' current contributions lies below it - the
-query stops. Ties are kept by going on while the bound equals the kth score. Block
-results, at most k a query, are merged by a ranked window.
+query stops. Ties are kept by going on while the bound equals the kth score.
+
+Blocks are searched in waves of twice as many each time. A query takes its kth best
+score so far along to the next wave, whose blocks answer with no lesser scores and stop
+once their bounds fall below it. A wave is as large as all before it, so it holds about
+k better rows for each query: results grow with the number of waves, not of blocks.
 """
 
 from __future__ import annotations
@@ -41,16 +45,21 @@ class SortedLists:
         # The narrowest type in which every inner product of such numbers is exact; object stands for Python's integers.
         self.kind = np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
         self.vectors = np.ascontiguousarray(vectors.astype(self.kind))
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.sort(vectors, axis=0).T.copy()
+        # Lists in the narrowest types, filled one by one: this is most of what a task holds.
+        narrow = next(t for t in (np.int16, np.int32, np.int64) if not vectors.size or (np.iinfo(t).min <= vectors.min() and vectors.max() <= np.iinfo(t).max))
+        self.order = np.empty((vectors.shape[1], len(self.ids)), np.int32)
+        self.sorted = np.empty((vectors.shape[1], len(self.ids)), narrow)
+        for d in range(vectors.shape[1]):
+            self.order[d] = np.argsort(vectors[:, d], kind="stable")
+            self.sorted[d] = vectors[self.order[d], d]
         self.reads = 0
 
     def _products(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         found = self.vectors[rows] @ query
         return np.clip(found, LEAST, MOST).astype(np.int64) if self.kind is object else found.astype(np.int64)
 
-    def search(self, query_id: int, query: np.ndarray, k: int, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and scores of the k best, by score and then by smaller id; rows of the query's own id are left out."""
+    def search(self, query_id: int, query: np.ndarray, k: int, floor: int | None = None, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and scores of the k best that reach the floor, by score and then by smaller id; rows of the query's own id are left out."""
         n = len(self.ids)
         own = np.searchsorted(self.ids, [query_id, query_id + 1])
         typed = query.astype(self.kind)
@@ -76,6 +85,8 @@ class SortedLists:
                 left -= len(fresh)
                 rows = np.concatenate([best_rows, fresh])
                 scores = np.concatenate([best, self._products(fresh, typed)])
+                if floor is not None:
+                    rows, scores = rows[scores >= floor], scores[scores >= floor]
                 if len(rows) > k:
                     # Rows are in ascending id order in both parts; ties at the kth score go to the smaller ids.
                     order = np.lexsort((rows, ~scores))[:k]
@@ -83,10 +94,10 @@ class SortedLists:
                 best_rows, best = rows, scores
             if until >= n:
                 break
-            if len(best) >= k:
+            if len(best) >= k or floor is not None:
                 wide = object if self.kind is object else np.int64
                 bound = int(self.sorted[up, n - until].astype(wide) @ query[up].astype(wide)) + int(self.sorted[down, until - 1].astype(wide) @ query[down].astype(wide))
-                if min(bound, MOST) < best.min():
+                if min(bound, MOST) < (best.min() if len(best) >= k else floor):
                     break
             depth, until = until, min(n, 2 * until)
         order = np.lexsort((best_rows, ~best))[:k]
@@ -113,26 +124,26 @@ class _Block:
         for rows, matrix in _widths(vectors):
             self.parts.setdefault(matrix.shape[1], []).append((ids[rows], matrix))
 
-    def answer(self, ids: np.ndarray, queries: pa.ListArray, k: int) -> pa.RecordBatch:
+    def answer(self, ids: np.ndarray, queries: pa.ListArray, floors: list[int | None], k: int) -> pa.RecordBatch:
         if self.lists is None:
             self.lists = {w: SortedLists(np.concatenate([i for i, _ in own]), np.concatenate([m for _, m in own]), self.largest_query) for w, own in self.parts.items()}
             self.parts = {}
         found = [[np.zeros(0, np.int64)] * 3]
         for rows, matrix in _widths(queries):  # vectors of different lengths have no inner product
             lists = self.lists.get(matrix.shape[1])
-            for query_id, query in zip(ids[rows].tolist(), matrix) if lists else ():
-                best, scores = lists.search(query_id, query, k)
+            for row, query_id, query in zip(rows.tolist(), ids[rows].tolist(), matrix) if lists else ():
+                best, scores = lists.search(query_id, query, k, floors[row])
                 found.append([np.full(len(best), query_id), lists.ids[best], scores])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found)], ["query_id", "vec_id", "score"])
 
 
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: int = 1024, candidate_block: int = 65536) -> DataFrame:
+def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: int = 1024, candidate_block: int = 131_072) -> DataFrame:
     """query_id, rank, vec_id, score of every query's k best candidates.
 
     Both frames are (vec_id, v) as ``quantized`` gives them. Rows are dealt by hash of
     vec_id and a serial salt, so that neither repeated ids nor repeated vectors can fill
-    one block. A candidate is shuffled once; only while there are fewer candidate blocks
-    than cores is it copied for several groups of queries, of ``query_block`` or more.
+    one block. A candidate is shuffled once; only while a wave has fewer candidate blocks
+    than there are cores is it copied for several groups of queries, of ``query_block`` or more.
     """
     spark = candidates.sparkSession
     ship_package(spark)
@@ -140,12 +151,36 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: i
     n_rows, cores = candidates.count(), spark.sparkContext.defaultParallelism
     n_queries, largest = queries.agg(F.count("*"), F.max(F.array_max(F.transform("v", lambda c: F.abs(c.cast("double")))))).first()
     c_blocks = max(1, -(-n_rows // candidate_block))
-    groups = max(1, min(-(-n_queries // query_block), -(-cores // c_blocks)))
     deal = F.monotonically_increasing_id()  # ids of the checkpointed rows: the same on every attempt
     spread = lambda n: F.pmod(F.xxhash64("vec_id", deal), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = queries.select("vec_id", "v", F.lit(True).alias("asks"), spread(groups).alias("qg")).withColumn("cb", every(c_blocks))
-    c = candidates.select("vec_id", "v", F.lit(False).alias("asks"), spread(c_blocks).alias("cb")).withColumn("qg", every(groups))
+    blocks = candidates.select("vec_id", "v", spread(c_blocks).alias("cb"))
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best, first = None, 0
+    while first < c_blocks:
+        until = min(c_blocks, 2 * first + 1)
+        groups = max(1, min(-(-n_queries // query_block), -(-cores // (until - first))))
+        asked = queries.select("vec_id", "v", spread(groups).alias("qg"))
+        if best is None:
+            asked = asked.withColumn("floor", F.lit(None).cast("long"))
+        else:
+            kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+            # A query id may stand for several vectors; each then goes with the floor of all of them, which is theirs together.
+            asked = asked.join(kth, asked["vec_id"] == kth["query_id"], "left").drop("query_id")
+        wave = blocks.where((F.col("cb") >= first) & (F.col("cb") < until))
+        found = _wave(asked, wave, range(first, until), groups, k, largest)
+        found = found if best is None else best.drop("rank").unionByName(found)
+        best = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+        first = until
+        if first < c_blocks:
+            best = cut(best)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _wave(queries: DataFrame, candidates: DataFrame, blocks: range, groups: int, k: int, largest: float) -> DataFrame:
+    """(query_id, vec_id, score): what the blocks answer to the queries (vec_id, v, qg, floor), k rows a query and block at most."""
+    every = lambda r: F.explode(F.sequence(F.lit(r.start), F.lit(r.stop - 1)))
+    q = queries.select("vec_id", "v", F.lit(True).alias("asks"), "qg", "floor").withColumn("cb", every(blocks))
+    c = candidates.select("vec_id", "v", F.lit(False).alias("asks"), "cb", F.lit(None).cast("long").alias("floor")).withColumn("qg", every(range(groups)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, at = None, None
@@ -159,14 +194,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: i
                 if not place[a, 2]:
                     block.add(ids, vectors)
                     continue
+                floors = batch.column(5).slice(a, b - a).to_pylist()
                 for first in range(0, b - a, 1024):
-                    yield block.answer(ids[first : first + 1024], vectors.slice(first, 1024), k)
+                    yield block.answer(ids[first : first + 1024], vectors.slice(first, 1024), floors[first : first + 1024], k)
 
     order = ["cb", "qg", "asks"]
-    tasks = q.select(*order, "vec_id", "v").unionByName(c.select(*order, "vec_id", "v")).repartition(c_blocks * groups, "cb", "qg").sortWithinPartitions(*order)
-    found = tasks.mapInArrow(search, FOUND)
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    tasks = q.select(*order, "vec_id", "v", "floor").unionByName(c.select(*order, "vec_id", "v", "floor")).repartition(len(blocks) * groups, "cb", "qg").sortWithinPartitions(*order)
+    return tasks.mapInArrow(search, FOUND)
 
 
 def top_k_of_table(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
