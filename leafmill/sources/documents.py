@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leafmill.functions.text import normalize
 from leafmill.operators.assembly import Readings
 from leafmill.operators.guards import MAX_FILE_BYTES, route, unique_stems
+from leafmill.operators.tables import MAX_CELLS, cell_count
 from leafmill.runtime import ship_package
 from leafmill.sources.pages import extract_pages
 
@@ -26,7 +27,17 @@ def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     return unique_stems(route(files).where(F.col("reader").isNotNull()))
 
 
-def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES, readings: Readings | None = None) -> DataFrame:
+def _within_cells(extracted: DataFrame, most: int) -> DataFrame:
+    """Files with a table of more cells than that, of whatever format, become failures."""
+    tables_of = lambda u: F.transform(F.coalesce(u["blocks"], F.array()), lambda b: cell_count(F.coalesce(b["rows"], F.expr("cast(array() as array<array<string>>)"))))
+    largest = F.array_max(F.flatten(F.transform("units", tables_of)))
+    over = F.coalesce(F.col("largest") > most, F.lit(False))
+    rows = extracted.withColumn("largest", largest)
+    instead = {"error_category": F.lit("resource_limit"), "error": F.format_string("a table of %d cells", "largest"), "units": F.slice("units", 1, 0), "warnings": F.slice("warnings", 1, 0)}
+    return rows.withColumns({c: F.when(over, new).otherwise(F.col(c)) for c, new in instead.items()}).select(*extracted.columns)
+
+
+def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES, readings: Readings | None = None, max_cells: int = MAX_CELLS) -> DataFrame:
     """One row per file: its units with raw blocks, or the category of its failure.
 
     ``readings`` is what was read from the pictures of PDF files, named by their paths.
@@ -69,7 +80,7 @@ def extract(files: DataFrame, max_bytes: int = MAX_FILE_BYTES, readings: Reading
         F.format_string("%d bytes", "length").alias("error"), F.expr("cast(array() as array<struct<code:string,detail:string>>)").alias("warnings"),
     )
     rest = small.unionByName(large, allowMissingColumns=True)
-    return rest if paged is None else rest.unionByName(paged)
+    return _within_cells(rest if paged is None else rest.unionByName(paged), max_cells)
 
 
 def blocks(extracted: DataFrame) -> DataFrame:

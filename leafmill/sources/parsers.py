@@ -93,8 +93,6 @@ def parse_csv(data: bytes) -> Parsed:
 
 
 def json_cell(value: object) -> str:
-    if value is None:
-        return ""
     if isinstance(value, (dict, list)):
         return json.dumps(value, ensure_ascii=False)
     return str(value)

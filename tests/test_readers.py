@@ -70,7 +70,7 @@ def test_folder(spark, folder):
     said = lambda n: [b.rows if b.type == "table" else b.content for b in blocks[n]]
     assert said("a.txt") == ["procedura noua"] and said("b.md") == ["# t\n\n  - x"]
     assert said("c.csv") == [[["k", "v"], ["a\nb", "2"]]]
-    assert said("d.json") == [[["b", "a"], ["1.5", "True"], ["", '{"x": 1}']]] and said("e.json") == ["k:\nz:\n[0]: 1"]
+    assert said("d.json") == [[["b", "a"], ["1.5", "True"], ["None", '{"x": 1}']]] and said("e.json") == ["k:\nz:\n[0]: 1"]
     assert said("f.xml") == ['r a="1":\nc: t\ntail'] and said("g.html") == ["one", "two x", "i", [["1", "2"]]]
     assert said("h.docx") == ["Titlu", "- unu\n- doi\n\ntext", [["a", ""]], "după"] and blocks["h.docx"][0].level == 2
     assert said("i.xlsx") == [[["cap", "", "1500.5"], ["2026-01-15 00:00:00", "890", ""]]]
@@ -119,6 +119,13 @@ def test_markup(spark):
     assert one(spark, markup.display_math, "a & b \\\\ ") == "$$\n\\begin{aligned}\na & b\n\\end{aligned}\n$$"
 
 
+def test_a_table_of_too_many_cells_is_refused_with_its_file(spark, folder):
+    files = documents.scan_files(spark, str(folder))
+    got = {r.path.rpartition("/")[2]: r for r in documents.extract(files, max_cells=3).collect()}
+    assert {n for n, r in got.items() if r.error_category == "resource_limit"} == {"c.csv", "d.json", "i.xlsx"}
+    assert got["c.csv"].units == [] and got["c.csv"].error == "a table of 4 cells" and got["h.docx"].error_category is None
+
+
 def test_reading_order():
     two = [(72, 72, 250, 90, 0), (350, 72, 500, 90, 1), (72, 100, 250, 118, 2), (350, 100, 500, 118, 3)]
     assert reading_order.order_page(two) == ([0, 2, 1, 3], 2, True)
