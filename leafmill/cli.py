@@ -14,7 +14,7 @@ from leafmill.functions.render import describe
 from leafmill.operators import report
 from leafmill.operators.guards import MAX_FILE_BYTES
 from leafmill.runtime import cut
-from leafmill.sources import documents, sinks
+from leafmill.sources import committed, documents, sinks
 
 log = logging.getLogger("leafmill")
 
@@ -80,10 +80,10 @@ def extract_folder(spark: SparkSession, input_dir: str, output_dir: str, max_byt
     drawn = sinks.block_markdown(blocks).select("path", "unit", "ord", "md")
     whole = units.join(drawn, ["path", "unit"], "left").withColumnRenamed("path", "doc_id")
     markdown = sinks.documents_markdown(whole, good.select(F.col("path").alias("doc_id"), _name().alias("filename"))).withColumnRenamed("doc_id", "path")
-    sinks.write_files(named(models, "model", ".json"), f"{output_dir}/json").write.format("noop").mode("overwrite").save()
+    committed.write_files(named(models, "model", ".json"), f"{output_dir}/json")
     sidecars = good.select("path").join(notes(extracted), "path", "left")  # a null body removes what an earlier run left
     for rows, body, end in ((markdown, "markdown", ".md"), (sidecars, "notes", ".notes.md")):
-        sinks.write_files(named(rows, body, end), f"{output_dir}/markdown").write.format("noop").mode("overwrite").save()
+        committed.write_files(named(rows, body, end), f"{output_dir}/markdown")
     return statistics(extracted, blocks), warnings_of(extracted)
 
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill.functions.render import gfm_table, unit_heading
-from leafmill.runtime import ship_package
-
 
 # Lines that say where a text comes from.
 VISUAL_LINE = "> Read from the page image by the visual model"
@@ -87,39 +85,6 @@ def documents_json(extracted: DataFrame, blocks: DataFrame, version: str = "2.0"
     return documents.join(pages, "path", "left").select("path", model.alias("model"))
 
 
-def write_files(rows: DataFrame, folder: str) -> DataFrame:
-    """Write (name, body) rows as files of a shared folder; returns (name, bytes) of those written.
-
-    A null body removes the file of that name, if there is one, and gives null bytes. A file appears under its name only when it is complete, so a task that runs again overwrites it whole.
-    """
-    ship_package(rows.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import uuid
-
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-        store.create_dir(path, recursive=True)
-        for batch in batches:
-            sizes = []
-            for name, body in zip(batch.name, batch.body):
-                if body is None:
-                    if store.get_file_info(f"{path}/{name}").type == fs.FileType.File:
-                        store.delete_file(f"{path}/{name}")
-                    sizes.append(None)
-                    continue
-                data = body.encode()
-                waiting = f"{path}/.{uuid.uuid4().hex}"
-                with store.open_output_stream(waiting) as sink:
-                    sink.write(data)
-                store.move(waiting, f"{path}/{name}")
-                sizes.append(len(data))
-            yield pd.DataFrame({"name": batch.name, "bytes": pd.array(sizes, "Int64")})
-
-    return rows.select("name", "body").mapInPandas(run, "name string, bytes long")
-
-
 @F.pandas_udf(T.StringType())
 def indented_json(compact: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Compact JSON laid out with two spaces, non-ASCII kept."""
