@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafmill.functions import render
+from leafmill.functions import jsontext, render
 from leafmill.operators import geometry, guards, merge, ocr, report, tables, visual
 from leafmill.plans.catalog import query
 from leafmill.plans.layout_queries import SQL_BOXES, _boxes  # noqa: F401
@@ -282,16 +282,42 @@ def json_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat records as a table: header from the first record, then one row per record, read by the JSON reader."""
-    ship_package(spark)
+    """Flat records as a table: header from the first record, then one row per record."""
+    rows = jsontext.records_table(F.concat(F.lit("["), "props", F.lit("]")))
+    return table(spark, sf_dir, "events").select("event_id", rows.alias("rows")).select("event_id", F.col("rows")[1][0].alias("k"))
 
-    @F.pandas_udf("string")
-    def cell(props: pd.Series) -> pd.Series:
-        from leafmill.sources.parsers import parse_json
 
-        return props.map(lambda p: parse_json(f"[{p}]".encode()).units[0][3][0][2][1][0])
+@query(
+    """WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag,
+      row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax) AS n FROM lineitem)
+    SELECT CAST(l_orderkey AS VARCHAR) AS key, CAST(n AS INTEGER) AS row, CAST(l_partkey AS VARCHAR) AS part, CASE WHEN l_suppkey % 3 = 0 THEN 'None' ELSE CAST(l_quantity AS BIGINT) || '.5' END AS amount,
+      CASE WHEN l_returnflag = 'R' THEN 'True' ELSE 'False' END AS back, concat('{"f": "', l_returnflag, ', x:", "s": [', l_suppkey, ', 1]}') AS more FROM r"""
+)
+def json_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a JSON list of its lines, read as a table again: numbers, nulls, truths and nested values."""
+    rows = table(spark, sf_dir, "lineitem")
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax"))
+    quote = lambda name: F.lit(f'"{name}": ')
+    amount = F.when(F.col("l_suppkey") % 3 == 0, "null").otherwise(F.concat(F.col("l_quantity").cast("long"), F.lit(".50")))
+    nested = F.concat(F.lit('{"f":"'), "l_returnflag", F.lit(', x:","s":['), F.col("l_suppkey"), F.lit(",1]}"))
+    part = F.concat(quote("part"), "l_partkey", F.lit(", "), quote("amount"), amount, F.lit(", "), quote("back"), (F.col("l_returnflag") == "R").cast("string"), F.lit(", "), quote("more"), nested)
+    each = rows.select(F.col("l_orderkey").cast("string").alias("key"), number.alias("n"), F.concat(F.lit("{"), part, F.lit("}")).alias("item"))
+    texts = each.groupBy("key").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "item"))), lambda x: x["item"]), ", "), F.lit("]")).alias("json"))
+    found = texts.select("key", F.posexplode(jsontext.records_table(F.col("json"))).alias("row", "cells")).where("row > 0")
+    return found.select("key", "row", *[F.col("cells")[k].alias(name) for k, name in enumerate(("part", "amount", "back", "more"))])
 
-    return table(spark, sf_dir, "events").select("event_id", cell("props").alias("k"))
+
+@query(
+    """SELECT o_orderkey AS key, concat('order: ', o_orderkey, chr(10), 'who:', chr(10), '  z: ', o_custkey, chr(10), '  a: None', chr(10), 'marks:', chr(10), '  [0]: ', o_orderpriority, chr(10), '  [1]:', chr(10),
+      '    [0]: 1.5', chr(10), '    [1]: True', chr(10), 'none:') AS text, 5 AS containers, 3 AS depth FROM orders"""
+)
+def json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested texts as indented lines, with what the budgets count."""
+    orders = table(spark, sf_dir, "orders")
+    text = F.format_string('{"order": %d, "who": {"z": %d, "a": null}, "marks": ["%s", [1.50, true]], "none": []}', "o_orderkey", "o_custkey", "o_orderpriority")
+    texts = orders.select(F.col("o_orderkey").alias("key"), text.alias("json"))
+    counts = texts.select("key", jsontext.containers(F.col("json")).alias("containers"), jsontext.depth(F.col("json")).alias("depth"))
+    return jsontext.nested_lines(texts).join(counts, "key")
 
 
 @query("SELECT n_nationkey, n_name AS name, concat('a \"', n_name, '\", b') AS quoted FROM nation")
