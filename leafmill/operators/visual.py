@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import novelty
@@ -16,6 +16,8 @@ from leafmill.runtime import cut, ship_package
 # Fixed values.
 MAX_TOKENS, REPETITION_PENALTY = 4096, 1.05
 LOW_YIELD, NOVEL = 0.5, 0.30
+#: The store's folders are named by so many digits of the keys.
+PREFIX = 2
 
 
 def route(candidates: DataFrame, pages: DataFrame, enabled: bool, mode: str = "auto") -> DataFrame:
@@ -46,19 +48,17 @@ def infer(pages: DataFrame, engine: Callable[[], Callable[[bytes, int, float], t
 
     ``engine`` builds, once a task, what turns (png, max_tokens, penalty) into (raw output,
     whether the token limit was hit). Pictures with one key are read once; those that the
-    store holds are not read at all. Null pictures give no row.
+    store holds are not read at all. Null pictures give no row. The store is laid out by
+    the first two digits of the keys, and only the folders of the keys asked for are read;
+    damaged files in it are passed over, as if their answers had not been kept. A run with
+    nothing new writes nothing; of answers that two runs at once stored the least counts.
     """
     spark = pages.sparkSession
     ship_package(spark)
     key = cache_key(F.col("png"), F.lit(model), F.lit(max_tokens), F.lit(penalty), F.lit(prompt))
     keyed = cut(pages.where("png is not null").select("doc_id", "page", "png", key.alias("key")))
-    try:
-        known = spark.read.schema("key string, raw string, capped boolean").parquet(store)
-    except AnalysisException as why:
-        if why.getCondition() != "PATH_NOT_FOUND":
-            raise
-        known = spark.createDataFrame([], "key string, raw string, capped boolean")
-    known = cut(known.groupBy("key").agg(F.min(F.struct("raw", "capped")).alias("r")).select("key", "r.raw", "r.capped"))
+    asked = [r[0] for r in keyed.select(F.substring("key", 1, PREFIX)).distinct().collect()]  # 256 at most
+    known = cut(kept_answers(spark, store, asked).join(keyed.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min(F.struct("raw", "capped")).alias("r")).select("key", "r.raw", "r.capped"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         convert = None
@@ -69,11 +69,25 @@ def infer(pages: DataFrame, engine: Callable[[], Callable[[bytes, int, float], t
 
     lacking = keyed.join(known, "key", "left_anti").groupBy("key").agg(F.first("png").alias("png"))
     fresh = cut(lacking.mapInPandas(run, "key string, raw string, capped boolean"))
-    fresh.write.mode("append").parquet(store)
+    if not fresh.isEmpty():
+        placed = fresh.withColumn("prefix", F.substring("key", 1, PREFIX))
+        placed.repartition("prefix").write.partitionBy("prefix").mode("append").parquet(store)
     answers = known.withColumn("cached", F.lit(True)).unionByName(fresh.withColumn("cached", F.lit(False)))
     return keyed.drop("png").join(answers, "key").select("doc_id", "page", "raw", "capped", "cached")
 
 
+def kept_answers(spark: SparkSession, store: str, prefixes: list[str]) -> DataFrame:
+    """(key, raw, capped) of the store's folders for these prefixes of keys."""
+    kind = "key string, raw string, capped boolean"
+    try:
+        held = spark.read.schema(f"{kind}, prefix string").option("ignoreCorruptFiles", "true").parquet(store)
+    except AnalysisException as why:
+        if why.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], kind)
+    return held.where(F.col("prefix").isin(prefixes)).where("key is not null and raw is not null").select("key", "raw", "capped")
+
+
 def judge(truncated: Column, produced: Column, native_chars: Column, replacing: Column) -> Column:
     """Why a reading is rejected, or null."""
     return F.when(truncated, "truncated").when(produced == 0, "empty").when(replacing & (produced < LOW_YIELD * native_chars), "low-yield")

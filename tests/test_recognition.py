@@ -80,6 +80,29 @@ def test_visual_answers_are_kept(spark, tmp_path):
     assert [r.t for r in said] == [None, "t"]
 
 
+def test_the_store_is_read_by_prefix_written_only_for_new_answers_and_outlives_damage(spark, tmp_path):
+    store = tmp_path / "store"
+    pages = spark.createDataFrame([("d", k, bytearray(b"%d" % k)) for k in range(40)], "doc_id string, page int, png binary")
+
+    def engine():
+        return lambda png, tokens, penalty: (png.decode(), False)
+
+    visual.infer(pages, engine, str(store), "m", "go").collect()
+    files = {p: p.stat().st_mtime_ns for p in store.rglob("*.parquet")}
+    folders = {p.name for p in store.iterdir() if p.is_dir()}
+    assert len(files) == len(folders) > 20 and all(len(n) == len("prefix=") + visual.PREFIX for n in folders)
+    assert all(r.cached for r in visual.infer(pages, engine, str(store), "m", "go").collect())
+    assert {p: p.stat().st_mtime_ns for p in store.rglob("*.parquet")} == files
+    ten = sorted(n.removeprefix("prefix=") for n in folders)[:10]
+    plan = visual.kept_answers(spark, str(store), ten)._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [" in plan.toString() and "prefix" in plan.toString().split("PartitionFilters: [")[1]
+    scan = next(leaf for leaf in (plan.collectLeaves().apply(k) for k in range(plan.collectLeaves().size())))
+    assert scan.selectedPartitions().partitionCount() == 10
+    next(iter(files)).write_bytes(b"damaged")
+    got = visual.infer(pages, engine, str(store), "m", "go").collect()
+    assert len(got) == 40 and all(r.raw == str(r.page) for r in got) and 0 < sum(not r.cached for r in got) < 10
+
+
 def test_formula_regions_stamps_and_scores(spark):
     lines = [("d", 1, 0, 0, "x", "Arial", 0, 0, 10, 10), ("d", 1, 1, 0, "words of prose", "Arial", 0, 50, 90, 60), ("d", 1, 2, 0, "alpha beta", "Euclid Math", 14, 0, 30, 10), ("d", 1, 3, 0, "  ", "Symbol", 0, 90, 9, 99)]
     frame = spark.createDataFrame([(*r[:6], ["NKO"] if r[2] == 9 else [], *map(float, r[6:])) for r in lines], "doc_id string, page int, block_no int, line_no int, text string, font string, scripts array<string>, x0 double, y0 double, x1 double, y1 double")
