@@ -7,7 +7,7 @@ reduced to one per page.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import line_signature, strip
@@ -20,6 +20,35 @@ STAMP_PAGES, LOGO_PAGES, LOGO_SHARE = 5, 4, 0.5
 WATERMARK_PAGES, WATERMARK_SHARE, WATERMARK_LENGTH = 2, 0.5, 8
 
 
+#: Kinds of what recurs: lines of the four bands, body lines, upright words, pictures, skewed texts.
+BANDS = ("top", "bottom", "left", "right")
+
+
+def enough(kind: str) -> Column:
+    """Whether what is on ``on_pages`` of a document's ``n_pages`` recurs, by the rule of its kind."""
+    on, n = F.col("on_pages"), F.col("n_pages")
+    if kind in BANDS:
+        return (n >= HEADER_PAGES) & (on >= F.greatest(F.lit(HEADER_PAGES), F.floor(HEADER_SHARE * n)))
+    if kind == "body":
+        return (n >= BODY_PAGES) & (on >= F.greatest(F.lit(3), F.floor(BODY_SHARE * n)))
+    if kind == "stamp":
+        return (n >= STAMP_PAGES) & (on >= STAMP_PAGES)
+    if kind == "image":
+        return (n >= LOGO_PAGES) & (on >= F.greatest(F.lit(float(LOGO_PAGES)), LOGO_SHARE * n))
+    return on >= F.greatest(F.lit(WATERMARK_PAGES), F.floor(WATERMARK_SHARE * n))
+
+
+def signature(kind: str, text: Column) -> Column:
+    """What tells recurring things of a kind apart, or null for what does not count."""
+    if kind in BANDS:
+        return F.nullif(line_signature(text), F.lit(""))
+    if kind == "body":
+        return F.when(F.length(text) >= BODY_LENGTH, line_signature(text, exact=True))
+    if kind == "watermark":
+        return F.when(F.length(text) >= WATERMARK_LENGTH, line_signature(text))
+    return F.lower(text) if kind == "stamp" else text
+
+
 def explode_lines(pages: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, page, idx, line): the lines of each page's text, stripped."""
     rows = pages.select("doc_id", "page", F.posexplode(F.split(text, r"\R")).alias("idx", "line"))
@@ -47,22 +76,20 @@ def repeated_band_lines(lines: DataFrame, page_counts: DataFrame) -> DataFrame:
     n_pages. Of one signature only a page's last line counts.
     """
     at = F.struct("block_no", "line_no")
-    signed = lines.withColumn("sig", line_signature(F.col("line"))).where("sig <> ''")
+    signed = lines.withColumn("sig", signature("top", F.col("line"))).where("sig is not null")
     one = signed.groupBy("doc_id", "band", "sig", "page").agg(F.max_by("line", at).alias("line"), F.min(at).alias("at"))
     whole = Window.partitionBy("doc_id", "band", "sig")
     counted = one.withColumn("on_pages", F.count("*").over(whole)).withColumn("first_seen", F.min(F.struct("page", "at")).over(whole))
-    need = F.greatest(F.lit(HEADER_PAGES), F.floor(HEADER_SHARE * F.col("n_pages")))
-    kept = counted.join(page_counts, "doc_id").where((F.col("n_pages") >= HEADER_PAGES) & (F.col("on_pages") >= need))
+    kept = counted.join(page_counts, "doc_id").where(enough("top"))
     return kept.select("doc_id", "page", "band", "line", "on_pages", "first_seen")
 
 
 def repeated_body_lines(lines: DataFrame, page_counts: DataFrame) -> DataFrame:
     """(doc_id, page, line) of long lines that recur on a fifth of a long document's pages."""
-    signed = lines.where(F.length("line") >= BODY_LENGTH).withColumn("sig", line_signature(F.col("line"), exact=True))
+    signed = lines.withColumn("sig", signature("body", F.col("line"))).where("sig is not null")
     one = signed.groupBy("doc_id", "sig", "page").agg(F.min_by("line", "idx").alias("line"))
     counted = one.withColumn("on_pages", F.count("*").over(Window.partitionBy("doc_id", "sig")))
-    need = F.greatest(F.lit(3), F.floor(BODY_SHARE * F.col("n_pages")))
-    kept = counted.join(page_counts, "doc_id").where((F.col("n_pages") >= BODY_PAGES) & (F.col("on_pages") >= need))
+    kept = counted.join(page_counts, "doc_id").where(enough("body"))
     return kept.select("doc_id", "page", "line", "on_pages")
 
 
@@ -91,14 +118,14 @@ def _on_pages(rows: DataFrame, key: str) -> DataFrame:
 
 def repeated_vertical_words(words: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Vertical words, by lower-cased text, on five pages or more of documents that have so many."""
-    counted = _on_pages(words.withColumn("stamp", F.lower("text")), "stamp")
-    return counted.join(page_counts, "doc_id").where(f"n_pages >= {STAMP_PAGES} and on_pages >= {STAMP_PAGES}").select("doc_id", "stamp", "on_pages")
+    counted = _on_pages(words.withColumn("stamp", signature("stamp", F.col("text"))), "stamp")
+    return counted.join(page_counts, "doc_id").where(enough("stamp")).select("doc_id", "stamp", "on_pages")
 
 
 def repeated_images(images: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Image objects on half of the pages, and on four at least."""
     counted = _on_pages(images, "xref").join(page_counts, "doc_id")
-    return counted.where((F.col("n_pages") >= LOGO_PAGES) & (F.col("on_pages") >= F.greatest(F.lit(float(LOGO_PAGES)), LOGO_SHARE * F.col("n_pages")))).select("doc_id", "xref", "on_pages")
+    return counted.where(enough("image")).select("doc_id", "xref", "on_pages")
 
 
 def rotated_text_report(rotated: DataFrame) -> DataFrame:
@@ -109,6 +136,6 @@ def rotated_text_report(rotated: DataFrame) -> DataFrame:
 
 def watermark_signatures(skewed: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Skewed texts of a page that recur on half of the document's pages."""
-    rows = skewed.where(F.length("text") >= WATERMARK_LENGTH).withColumn("sig", line_signature(F.col("text")))
+    rows = skewed.withColumn("sig", signature("watermark", F.col("text"))).where("sig is not null")
     counted = _on_pages(rows, "sig").join(page_counts, "doc_id")
-    return counted.where(F.col("on_pages") >= F.greatest(F.lit(WATERMARK_PAGES), F.floor(WATERMARK_SHARE * F.col("n_pages")))).select("doc_id", "sig", "on_pages")
+    return counted.where(enough("watermark")).select("doc_id", "sig", "on_pages")
