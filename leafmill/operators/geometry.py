@@ -33,7 +33,12 @@ def iou(a: Box, b: Box) -> Column:
 def _without(rows: DataFrame, boxes: DataFrame, condition) -> DataFrame:
     """The rows for which no box of their page meets the condition, which holds only of rectangles that share a point."""
     key = [*spatial.KEY, *CORNERS]
-    pairs = spatial.touching(rows.select(*key), boxes.select(*key), "_")
+    pages = spatial.crowded(rows, boxes)
+    if pages is None:
+        other = boxes.select(*[F.col(k).alias(f"_{k}") for k in key])
+        hit = (F.col("doc_id") == F.col("_doc_id")) & (F.col("page") == F.col("_page")) & condition(box(rows), box(other, tuple(f"_{c}" for c in CORNERS)))
+        return rows.join(other, hit, "left_anti")
+    pairs = spatial.touching(rows.select(*key), boxes.select(*key), "_", pages)
     hit = pairs.where(condition(box(pairs), box(pairs, tuple(f"_{c}" for c in CORNERS)))).select(*key).distinct()
     return rows.join(hit, key, "left_anti").select(*rows.columns)
 

@@ -23,7 +23,7 @@ from leafmill.runtime import cut
 
 CORNERS = ("x0", "y0", "x1", "y1")
 KEY = ("doc_id", "page")
-#: Pages with more rectangles, of both sides, are dealt into cells.
+#: A page with more rectangles on the right side than this is crowded; else the join by page reads no more than so many for each left one.
 CROWDED = 256
 #: The finest grid has about so many rectangles a cell if they lie evenly.
 PER_CELL = 32
@@ -48,8 +48,10 @@ def _whole() -> Column:
     return out
 
 
-def _crowded(left: DataFrame, right: DataFrame) -> DataFrame | None:
+def crowded(left: DataFrame, right: DataFrame) -> DataFrame | None:
     """(doc_id, page, low, extent and depth of the grids) of crowded pages; None if there are none."""
+    if right.where(_whole()).groupBy(*KEY).count().where(F.col("count") > CROWDED).count() == 0:
+        return None
     ends = [f(d).alias(f"_{n}{d}") for d in "xy" for n, f in (("l", _low), ("h", _high))]
     each = left.where(_whole()).select(*KEY, *ends).unionAll(right.where(_whole()).select(*KEY, *ends))
     finite = lambda c: F.when(F.abs(F.col(c)) < 1e300, F.col(c))
@@ -78,17 +80,17 @@ def _cell(at: Column, d: str, level: Column) -> Column:
     return F.coalesce(F.when(F.col(f"_extent_{d}") > 0, F.greatest(F.lit(0.0), F.least(place.cast("double"), cells - 1))), F.lit(0.0)).cast("int")
 
 
-def touching(left: DataFrame, right: DataFrame, prefix: str = "r_") -> DataFrame:
+def touching(left: DataFrame, right: DataFrame, prefix: str = "r_", pages: DataFrame | None = None) -> DataFrame:
     """Pairs of a left and a right rectangle of one page that share a point, edges included, each once.
 
     The right one's columns, but for doc_id and page, get the prefix. Defined cases: null
     or NaN corners meet nothing; rows that repeat meet each; a null doc_id or page meets
-    nothing; empty frames give no pairs. The pages' sizes are looked up first, by one
-    aggregate over both sides.
+    nothing; empty frames give no pairs. The pages' sizes are looked up first, by small
+    aggregates, unless they are given as ``crowded`` finds them.
     """
     columns = left.columns
     theirs = [c for c in right.columns if c not in KEY]
-    pages = _crowded(left, right)
+    pages = crowded(left, right) if pages is None else pages
     other = right.where(_whole())
     own = left.where(_whole())
     shown = [*[F.col(f"_r.{k}").alias(f"_{k}") for k in KEY], *[F.col(f"_r.{c}").alias(f"{prefix}{c}") for c in theirs]]

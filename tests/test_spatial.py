@@ -36,8 +36,10 @@ def plain(left, right):
     return sorted(out)
 
 
+@pytest.mark.parametrize("least", [256, 8])
 @pytest.mark.parametrize("n,left,right", [(20, ["word"], ["frame"]), (700, ["word"], ["word", "rule"]), (600, ["word", "rule", "dot", "post"], ["frame", "word", "dot"]), (700, ["cluster", "frame"], ["cluster", "rule", "post"]), (300, ["dot"], ["dot"])])
-def test_every_pair_once(spark, n, left, right):
+def test_every_pair_once(spark, monkeypatch, n, left, right, least):
+    monkeypatch.setattr(spatial, "CROWDED", least)
     a, b = made(1, n, left) + ODD + made(3, 5, left, "e"), made(2, n // 2, right) + ODD + [("d", 1, 0.0, 0.0, 600.0, 800.0, 9999)]
     pairs = spatial.touching(spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA))
     assert sorted((r.n, r.r_n) for r in pairs.collect()) == plain(a, b)
@@ -50,7 +52,9 @@ def test_without_boxes_and_without_crowds(spark):
     assert geometry.exclude_regions(some, none).count() == 400 and geometry.exclude_regions(none, some).count() == 0
 
 
-def test_exclusions_on_a_crowded_page_equal_those_of_all_pairs(spark):
+@pytest.mark.parametrize("least", [256, 8])
+def test_exclusions_on_a_crowded_page_equal_those_of_all_pairs(spark, monkeypatch, least):
+    monkeypatch.setattr(spatial, "CROWDED", least)
     words, regions = made(5, 900, ["word", "dot"]) + ODD, made(6, 30, ["word", "frame"]) + ODD[4:]
     regions = [r for r in regions if r[6] not in (3, 4)]
     left, right = spark.createDataFrame(words, SCHEMA), spark.createDataFrame(regions, SCHEMA)
