@@ -10,16 +10,24 @@ holds are its text; words that are stamps are kept out by not being given.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.operators import spatial, tables
+from leafmill.operators.geometry import SKEW
 from leafmill.operators.reading_order import by_page
 from leafmill.operators.spatial import CORNERS, KEY
+from leafmill.runtime import cut
 
 #: Lines and ends of lines so near to one another, in points, are the same.
 SNAP = 3.0
+#: White space as ``functions.text.strip`` knows it.
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def edges(drawings: DataFrame) -> DataFrame:
@@ -137,10 +145,143 @@ def cell_texts(own: DataFrame, words: DataFrame) -> DataFrame:
     return own.join(read, cell, "left").join(turned, cell, "left").withColumn("text", F.coalesce("turned", "text", F.lit(""))).drop("turned")
 
 
+def _pieces(sides: list[tuple[float, float, float]]) -> list[tuple[tuple[int, int], float, float, float]]:
+    """((line, piece), at, a, b) of one axis of a page, from its edges (at, a, b), as ``ruled_lines`` has them."""
+    lines: list[list[tuple]] = []
+    for side in sorted(sides):
+        if not lines or side[0] - lines[-1][-1][0] > SNAP:
+            lines.append([])
+        lines[-1].append(side)
+    out = []
+    for number, own in enumerate(lines):
+        places = sorted({side[0] for side in own})
+        mean, piece = sum(places) / len(places), []
+        for _, a, b in sorted(own, key=lambda side: side[1:]):
+            if not piece or a > piece[-1][1] + SNAP:
+                piece.append([a, b])
+            elif b > piece[-1][1]:
+                piece[-1][1] = b
+        out += [((number, k), mean, a, b) for k, (a, b) in enumerate(piece)]
+    return out
+
+
+def _sides(drawn: Iterable[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """The horizontal and the vertical edges (at, a, b) of a page's drawings (item, corners), as ``edges`` has them."""
+    flat, tall = [], []
+    for item, x0, y0, x1, y1 in drawn:
+        if item == "c":
+            continue
+        l, r, t, u = min(x0, x1), max(x0, x1), min(y0, y1), max(y0, y1)
+        thin = min(r - l, u - t) <= SNAP
+        for l, t, r, u in ((l, t, r, u),) if thin else ((l, t, r, t), (l, u, r, u), (l, t, l, u), (r, t, r, u)) if item == "re" else ():  # noqa: E741
+            if r - l > u - t and r - l >= SNAP:
+                flat.append(((t + u) / 2, l, r))
+            elif u - t >= SNAP:
+                tall.append(((l + r) / 2, t, u))
+    return flat, tall
+
+
+def _cells(flat: list[tuple], tall: list[tuple]) -> list[tuple]:
+    """(top, left, right, bottom, corners) of the cells of a page's pieces, as ``crossings`` and ``cells`` find them."""
+    on_h = {h: [(v, x) for v, x, a, b in tall if a - SNAP <= y <= b + SNAP and c - SNAP <= x <= d + SNAP] for h, y, c, d in flat}
+    on_v: dict[tuple, list[tuple]] = {}
+    for h, y, _, _ in flat:
+        for v, _ in on_h[h]:
+            on_v.setdefault(v, []).append((h, y))
+    met = {(h, v) for h, own in on_h.items() for v, _ in own}
+    lowest, rightmost = {v: own[-1][0] for v, own in on_v.items()}, {h: own[-1][0] for h, own in on_h.items() if own}
+    rights = {h: [(v, x) for v, x in own if h != lowest[v]] for h, own in on_h.items()}
+    downs = {v: [(h, y) for h, y in own if v != rightmost[h]] for v, own in on_v.items()}
+    out = []
+    for h, y, _, _ in flat:
+        for k, (v, x) in enumerate(rights[h]):
+            if v == rightmost[h]:
+                continue
+            below = downs[v]
+            after = bisect_right(below, h, key=itemgetter(0))
+            closed = next(((low, right) for low in below[after:] for right in rights[h][k + 1 :] if (low[0], right[0]) in met), None)
+            if closed:
+                (h2, y2), (v2, x2) = closed
+                out.append((h[0], v[0], v2[0], h2[0], x, y, x2, y2))
+    return sorted(out)
+def _said(words: list[tuple]) -> str:
+    """The text of a cell's words (block_no, line_no, word_no, text, x0, y0, y1, a, b), as ``cell_texts`` and ``tables.sideways`` read it."""
+    last = lambda value: (value is None, value)
+    upright = sum(a is not None and b is not None and abs(a) < SKEW <= abs(b) for *_, a, b in words)
+    if 2 * upright <= len(words):
+        if len(words) == 1:
+            return words[0][3] or ""
+        lines: dict[tuple, list[tuple]] = {}
+        for block, line, word, text, *_ in words:
+            lines.setdefault((block, line), []).append((word, text))
+        read = []
+        for (block, line), own in lines.items():
+            joined = " ".join(t for _, t in sorted(own, key=lambda w: (w[0] is not None, w[0] or 0, last(w[1]))) if t is not None)
+            read.append(((block is not None, block or 0), (line is not None, line or 0), joined))
+        return "\n".join(joined for *_, joined in sorted(read))
+    up = 2 * sum(b is not None and b > 0 for *_, b in words) >= len(words)
+    sign = -1 if up else 1
+    turned: dict[float, list[tuple]] = {}
+    for block, line, word, text, x0, y0, y1, _, _ in words:
+        number = None if None in (block, line, word) else (block * 100_000 + line) * 100_000 + word
+        turned.setdefault(round(x0) * -sign, []).append((y0 * sign, (number is not None, number or 0), last(text), text, y0, y1))
+    out = []
+    for at, own in turned.items():
+        own.sort(key=itemgetter(0, 1, 2))
+        gaps = [None, *((was[4] - now[5]) if up else (now[4] - was[5]) for was, now in zip(own, own[1:]))]
+        spaced = (f" {row[3]}" if gap is not None and gap > tables.WORD_GAP else row[3] for gap, row in zip(gaps, own) if row[3] is not None)
+        out.append((at, "".join(spaced).strip(WHITE)))
+    return "\n".join(text for _, text in sorted(out))
+
+
+def _page_tables(rows: Iterator[tuple]) -> list[tuple]:
+    """(table_no, rows, corners) of one page: its drawings come first, then its words stream past the cells, which keep what they hold."""
+    rows = iter(rows)
+    drawn: list[tuple] = []
+    word = None
+    for row in rows:
+        if row[0]:
+            word = row
+            break
+        drawn.append(row[1:6])
+    flat, tall = (_pieces(sides) for sides in _sides(drawn))
+    found: dict[int, dict[tuple[int, int], tuple]] = {}
+    for number, row, col, *box in _tables(_cells(flat, tall)):
+        found.setdefault(number, {})[row, col] = tuple(box)
+    if not found:
+        return []
+    bands: dict[float, list[tuple]] = {}
+    for number, own in found.items():
+        for (row, col), (x0, y0, x1, y1) in own.items():
+            bands.setdefault(y0, []).append((x0, x1, y1, (number, row, col)))
+    by_height = [(y0, max(c[2] for c in own), own) for y0, own in sorted(bands.items())]
+    held: dict[tuple, list[tuple]] = {}
+    while word is not None:
+        _, text, x0, y0, x1, y1, block, line, word_no, a, b = word
+        x, y = (x0 + x1) / 2, (y0 + y1) / 2
+        for top, deepest, own in by_height:
+            if top > y:
+                break
+            if y <= deepest:
+                for left, right, bottom, cell in own:
+                    if left <= x <= right and y <= bottom:
+                        held.setdefault(cell, []).append((block, line, word_no, text, x0, y0, y1, a, b))
+        word = next(rows, None)
+    out = []
+    for number, own in found.items():
+        last = max(col for _, col in own)
+        texts = [[_said(held[number, row, col]) if (number, row, col) in held else "" for col in range(last + 1)] for row in sorted({row for row, _ in own})]
+        x0, y0, x1, y1 = zip(*own.values())
+        out.append((number, texts, min(x0), min(y0), max(x1), max(y1)))
+    return out
+
+
 def ruled_tables(drawings: DataFrame, words: DataFrame) -> DataFrame:
     """(doc_id, page, table_no, rows, corners) of the grids that the drawings (item, corners) rule.
 
-    ``words`` has block_no, line_no, word_no, text, corners and the direction a, b. Defined
+    ``words`` has block_no, line_no, word_no, text, corners and the direction a, b. A page
+    with few drawings is walked once, with its words streaming past; pages with more (or
+    with corners at infinity) are worked on by windows and joins. Defined
     cases: a place in the grid without a cell of its own, as under a merged one, reads
     empty; lines that close no two cells draw no table; a null or NaN corner draws nothing;
     repeated drawings are one; empty frames give no tables.
@@ -148,8 +289,27 @@ def ruled_tables(drawings: DataFrame, words: DataFrame) -> DataFrame:
     whole = F.lit(True)
     for c in CORNERS:
         whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    drawn = drawings.where(whole).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), "item", *[F.col(c).cast("double").alias(c) for c in CORNERS])
+    keyed = [F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page")]
+    drawn = drawings.where(whole).select(*keyed, "item", *[F.col(c).cast("double").alias(c) for c in CORNERS])
     said = words.withColumns({"doc_id": F.col("doc_id").cast("string"), "page": F.col("page").cast("int")})
+    endless = F.greatest(*[F.abs(c) for c in CORNERS]) == float("inf")
+    sizes = cut(drawn.groupBy(*KEY).agg(F.count("*").alias("n"), F.bool_or(endless).alias("endless")).select(*KEY, ((F.col("n") > spatial.CROWDED) | F.col("endless")).alias("crowded")))
+    n, n_crowded = sizes.agg(F.count("*"), F.count_if("crowded")).first()
+    if n <= spatial.SMALL:
+        sizes = F.broadcast(sizes)
+    few, many = sizes.where("not crowded").select(*KEY), sizes.where("crowded").select(*KEY)
+    own = lambda rows, pages: rows.join(pages, list(KEY), "left_semi")
+    none = lambda *names: [F.lit(None).cast("int").alias(name) for name in names]
+    shapes = (own(drawn, few) if n_crowded else drawn).select(*KEY, F.lit(0).alias("kind"), F.col("item").alias("text"), *CORNERS, *none("block_no", "line_no", "word_no"), *[F.lit(None).cast("double").alias(c) for c in "ab"])
+    spoken = own(said.where(whole), few).select(*KEY, F.lit(1).alias("kind"), "text", *[F.col(c).cast("double").alias(c) for c in CORNERS], *[F.col(c).cast("int").alias(c) for c in ("block_no", "line_no", "word_no")], *[F.col(c).cast("double").alias(c) for c in "ab"])
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.list_(pa.list_(pa.string())), *[pa.float64()] * 4]
+    schema = "doc_id string, page int, table_no int, rows array<array<string>>, x0 double, y0 double, x1 double, y1 double"
+    found = by_page(shapes.unionByName(spoken), _page_tables, [*KEY, "table_no", "rows", *CORNERS], kinds, schema, stream=True)
+    return found.unionByName(_crowded_tables(own(drawn, many), own(said, many))) if n_crowded else found
+
+
+def _crowded_tables(drawn: DataFrame, said: DataFrame) -> DataFrame:
+    """The same for pages of many drawings."""
     filled = cell_texts(placed_cells(cells(crossings(ruled_lines(drawn)))), said)
     table = [*KEY, "table_no"]
     hull = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]

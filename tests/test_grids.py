@@ -78,3 +78,23 @@ def test_a_large_grid(spark):
     words = [("d", 1, 0, i, j, f"{i}-{j}", 10.0 * j + 4, 10.0 * i + 4, 10.0 * j + 6, 10.0 * i + 6, 1.0, 0.0) for i in range(100) for j in range(100)]
     ((rows, _),) = found(spark, rules, words).values()
     assert rows == [[f"{i}-{j}" for j in range(100)] for i in range(100)]
+
+
+def test_a_page_walked_once_equals_windows_and_joins(spark):
+    """Random rules, with pieces, near misses and sideways words, by both ways; few drawings take few shuffles."""
+    rng = random.Random(9)
+    drawings, words = [], []
+    for page in range(1, 31):
+        for _ in range(14):
+            a, b = sorted(rng.sample(range(0, 200, 20), 2))
+            at = 20.0 * rng.randrange(10) + rng.choice((0.0, 0.0, 1.5))
+            drawings.append(("d", page, "l", float(a), at, float(b), at) if rng.random() < 0.5 else ("d", page, "l", at, float(b), at, float(a)))
+        drawings += [("d", page, rng.choice(("re", "c")), 20.0, 40.0, 140.0 + k, 120.0) for k in range(2)]
+        for k in range(40):
+            x, y, turned = 5.0 * rng.randrange(40), 5.0 * rng.randrange(40), rng.random() < page % 3 / 2
+            words.append(("d", page, k % 3, k % 7, k, rng.choice(("a", " b ", None)), x, y, x + 4, y + 6, 0.0 if turned else 1.0, rng.choice((-1.0, 1.0)) if turned else 0.0))
+    drawn, said = spark.createDataFrame(drawings, DRAWN), spark.createDataFrame(words, WORDS)
+    walked = grids.ruled_tables(drawn, said)
+    assert walked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+    rows = lambda frame: sorted(frame.collect())
+    assert rows(walked) and rows(walked) == rows(grids._crowded_tables(drawn, said).select(*walked.columns))
