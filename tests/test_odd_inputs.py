@@ -3,6 +3,7 @@
 import duckdb
 import pandas as pd
 
+from leafmill.operators import diacritics
 from leafmill.plans import catalog
 from tests.test_queries import shown
 
@@ -33,3 +34,11 @@ def test_pages_are_parsed_one_by_one(spark):
     """Blocks leave a worker in batches by their size, not with all rows of an Arrow batch."""
     plan = catalog.queries()["html_blocks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
+def test_only_words_with_letters_that_part_are_looked_up(spark):
+    native = spark.createDataFrame([(1, "fără casa Şi " + "x" * 50_000), (2, None)], "doc_id long, text string")
+    assert sorted(r.word for r in diacritics.vocabulary(native).collect()) == ["fără", "și"]
+    texts = spark.createDataFrame([(1, 1, "f ă ră x " + "y" * 50_000 + " ş i" + " ă"), (1, 2, None), (2, 1, "a ă b ă c ă")], "doc_id long, text_no int, text string")
+    got = {(r.doc_id, r.text_no): r.text for r in diacritics.rejoin(texts, native).collect()}
+    assert got == {(1, 1): "fără x " + "y" * 50_000 + " şiă", (1, 2): None, (2, 1): "aă bă că"}
