@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafmill.operators import spatial
 from leafmill.operators.spatial import CORNERS
+from leafmill.runtime import cut
 
 # Fixed values.
 FULL_WIDTH, STAMP_IOU, SKEW, ROW_TOLERANCE = 0.8, 0.8, 0.01, 0.5
@@ -153,7 +154,8 @@ def vector_figures(clusters: DataFrame, drawings: DataFrame, words: DataFrame, p
     area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
     sized = clusters.where((F.col("x1") - F.col("x0") >= LEAST_SIDE) & (F.col("y1") - F.col("y0") >= LEAST_SIDE)).join(pages.select("doc_id", "page", (F.col("width") * F.col("height")).alias("page_area")), ["doc_id", "page"])
     sized = sized.where((F.col("page_area") <= 0) | (area < MOST_OF_PAGE * F.col("page_area"))).drop("page_area")
-    free = _without(sized, taken, overlaps)
+    # The clusters left are few and used more than once.
+    free = cut(_without(sized, taken, overlaps))
     inner = free.select(*key, *CORNERS)
 
     def within(rows: DataFrame) -> DataFrame:

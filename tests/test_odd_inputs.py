@@ -42,3 +42,9 @@ def test_only_words_with_letters_that_part_are_looked_up(spark):
     texts = spark.createDataFrame([(1, 1, "f ă ră x " + "y" * 50_000 + " ş i" + " ă"), (1, 2, None), (2, 1, "a ă b ă c ă")], "doc_id long, text_no int, text string")
     got = {(r.doc_id, r.text_no): r.text for r in diacritics.rejoin(texts, native).collect()}
     assert got == {(1, 1): "fără x " + "y" * 50_000 + " şiă", (1, 2): None, (2, 1): "aă bă că"}
+
+
+def test_clusters_are_chosen_once(spark):
+    """The clusters that may be figures are worked out once, not for each of their three uses."""
+    plan = catalog.queries()["vector_figures"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2
