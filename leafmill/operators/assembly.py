@@ -1,21 +1,23 @@
 """Paged documents put together from their words, ruling lines and pictures, and from readings of their pictures.
 
-Every frame is keyed by (doc_id, page), and each step is one of the engine's own
-operators; the few rows that a step decides by (repeated lines, page classes, counts) join
-back on that key.
+A page is a row with its words and drawings as arrays, and what it says on its own is
+worked out where it is; only what recurs in a document is counted over pages, as digests,
+and the few marks that are found travel back. Readings join on (doc_id, page).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leafmill.functions import markup
-from leafmill.functions.text import count_urls, drop_urls
-from leafmill.operators import chrome, diacritics, geometry, grids, merge, ocr, pages, reading_order, tables, visual
-from leafmill.runtime import cut
+from leafmill.functions.text import count_urls, drop_urls, strip
+from leafmill.operators import chrome, diacritics, geometry, grids, merge, ocr, pages, reading_order, spatial, tables, visual
+from leafmill.operators.spatial import CORNERS
+from leafmill.runtime import cut, empty
 
 SAMPLE = 120
 
@@ -24,16 +26,18 @@ SAMPLE = 120
 class Scanned:
     """What a page scan gives.
 
-    pages: doc_id, page, width, height. words: doc_id, page, block_no, line_no, word_no, text,
+    pages: doc_id, page, width, height, and, where a scan has them by page, words, images,
+    drawings (arrays of structs) and fonts (an array of names); these frames are then None,
+    as are those of what there is none of. Else they are rows by doc_id and page. words: doc_id, page, block_no, line_no, word_no, text,
     x0, y0, x1, y1, a, b (the writing direction). images: xref, corners and, if known, the stored size pixels_x, pixels_y. drawings: item (l, re)
     and corners. fonts: font.
     """
 
     pages: DataFrame
-    words: DataFrame
-    images: DataFrame
-    drawings: DataFrame
-    fonts: DataFrame
+    words: DataFrame | None = None
+    images: DataFrame | None = None
+    drawings: DataFrame | None = None
+    fonts: DataFrame | None = None
 
 
 @dataclass
@@ -64,29 +68,96 @@ class Assembled:
 KEY = ["doc_id", "page"]
 
 
-def page_texts(words: DataFrame, all_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, page, text) of every page in reading order, and the order of its blocks."""
-    blocks = geometry.blocks_of(words)
-    order = reading_order.reading_order(blocks)
-    texts = all_pages.select(*KEY).join(reading_order.page_text(blocks, order), KEY, "left")
-    return texts.withColumn("text", F.coalesce("text", F.lit(""))), order
+WORD = ("block_no", "line_no", "word_no", "text", *CORNERS, "a", "b")
+PARTS = {"words": WORD, "images": ("xref", *CORNERS, "pixels_x", "pixels_y"), "drawings": ("item", *CORNERS), "fonts": ("font",)}
+KINDS = {"xref": "int", "pixels_x": "int", "pixels_y": "int", "item": "string", "font": "string", "block_no": "int", "line_no": "int", "word_no": "int", "text": "string"}
 
 
-def stamps(words: DataFrame, counts: DataFrame) -> DataFrame:
-    """Adds ``stamp``: the word runs askew, or upright and recurs on the document's pages."""
-    upright = words.where(geometry.is_vertical(F.col("a"), F.col("b")))
-    repeated = chrome.repeated_vertical_words(upright, counts).select("doc_id", F.col("stamp").alias("_stamp"), F.lit(True).alias("_repeated"))
-    joined = words.withColumn("_stamp", F.lower("text")).join(repeated, ["doc_id", "_stamp"], "left")
-    tab = F.col("_repeated").isNotNull() & geometry.is_vertical(F.col("a"), F.col("b"))
-    return joined.withColumn("stamp", geometry.is_skewed(F.col("a"), F.col("b")) | tab).drop("_stamp", "_repeated")
+def packed(scan: Scanned) -> DataFrame:
+    """The pages with their words, images, drawings and fonts as arrays; frames of rows are grouped by page, once each.
 
-
-def banners(words: DataFrame, all_pages: DataFrame, counts: DataFrame) -> DataFrame:
-    """(doc_id, page, kind header|footer|side, line, ord): edge lines that recur."""
-    found = chrome.repeated_band_lines(chrome.band_lines(words, all_pages), counts)
-    kind = F.when(F.col("band") == "top", "header").when(F.col("band") == "bottom", "footer").otherwise("side")
-    place = Window.partitionBy(*KEY, "kind").orderBy("first_seen", "line")
-    return found.withColumn("kind", kind).withColumn("ord", F.row_number().over(place)).select(*KEY, "kind", "line", "ord")
+    A page without a document or a number holds nothing, as it joins with nothing.
+    """
+    out = scan.pages
+    for name, columns in PARTS.items():
+        frame, kind = getattr(scan, name), f"array<struct<{','.join(f'{c}:{KINDS.get(c, "double")}' for c in columns)}>>"
+        kind = "array<string>" if name == "fonts" else kind
+        if frame is not None:
+            missing = {c: F.lit(None).cast("int") for c in columns if c not in frame.columns}
+            item = F.col("font") if name == "fonts" else F.struct(*columns)
+            out = out.drop(name).join(frame.withColumns(missing).groupBy(*KEY).agg(F.collect_list(item).alias(name)), KEY, "left")
+        value = F.col(name) if name in out.columns else F.lit(None)
+        out = out.withColumn(name, F.when(F.col("doc_id").isNotNull() & F.col("page").isNotNull(), value).cast(kind))
+    return out
+
+
+def _by_doc(pages: DataFrame, marks: DataFrame, schema: str) -> tuple[DataFrame, bool]:
+    """The pages with what is known of their documents, null where nothing is, and whether anything is at all; the marks are worked out once, and few travel to the pages."""
+    known = cut(marks)
+    n = known.count()
+    if n == 0:
+        fields = StructType.fromDDL(schema)
+        return pages.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields}), False
+    return pages.join(F.broadcast(known) if n <= spatial.SMALL else known, "doc_id", "left"), True
+
+
+def _said(words: Column) -> Column:
+    """The text of words as they stand on the page; null where there are none."""
+    ordered = F.sort_array(F.transform(words, lambda w: F.struct(*[w[c].alias(c) for c in ("block_no", "line_no", "word_no", "text")])))
+    return F.when(F.size(words) > 0, F.array_join(F.transform(ordered, lambda w: w["text"]), " "))
+
+
+def _stamps(each: DataFrame, counts: DataFrame) -> DataFrame:
+    """(doc_id, stamps, logos): upright words and pictures that recur on the document's pages."""
+    own = lambda items: each.select(*KEY, F.explode(items).alias("x")).select(*KEY, "x.*")
+    upright = own(F.filter("words", lambda w: geometry.is_vertical(w["a"], w["b"])))
+    placed = own(F.filter("images", lambda p: p["xref"] > 0))
+    found = chrome.repeated_vertical_words(upright, counts).select("doc_id", "stamp", F.lit(None).cast("int").alias("xref"))
+    found = found.unionByName(chrome.repeated_images(placed, counts).select("doc_id", F.lit(None).cast("string").alias("stamp"), "xref"))
+    return found.groupBy("doc_id").agg(F.collect_list("stamp").alias("stamps"), F.collect_list("xref").alias("logos"))
+
+
+def _crowded(each: DataFrame) -> DataFrame:
+    """(doc_id, page, native) of pages with many drawings, which windows and joins work on."""
+    many = each.where(grids.is_crowded(F.col("drawings")))
+    rows = lambda name: many.select(*KEY, F.inline(name))
+    found = grids.ruled_tables(rows("drawings"), rows("kept"))
+    return found.groupBy(*KEY).agg(F.collect_list(F.struct("table_no", "rows", *CORNERS)).cast(grids.FOUND).alias("_native"))
+
+
+def read_page(each: DataFrame, has_drawings: bool, wanted: bool) -> DataFrame:
+    """What a page says on its own: its class and signals, tables, text in reading order, edge lines, askew words.
+
+    ``each`` is as ``packed`` gives pages, with ``stamps`` and ``logos`` of their documents. Nothing is
+    shuffled but pages of crowded drawings. ``wanted``: whether all that stands on the page is kept as ``shown``.
+    """
+    upright = lambda w: geometry.is_vertical(w["a"], w["b"]) & F.coalesce(F.array_contains(F.col("stamps"), F.lower(w["text"])), F.lit(False))
+    is_stamp = lambda w: F.coalesce(geometry.is_skewed(w["a"], w["b"]) | upright(w), F.lit(False))
+    each = each.withColumn("stamped", F.filter("words", is_stamp))
+    each = each.withColumn("kept", F.when(F.size("stamped") > 0, F.filter("words", lambda w: ~is_stamp(w))).otherwise(F.col("words")))
+    each = pages.drawn_signals(each)
+    if has_drawings:
+        # Stamps stay out of the cells they cross.
+        each = grids.tables_in(each, "kept")
+        if each.where(grids.is_crowded(F.col("drawings"))).limit(1).count():
+            each = each.join(cut(_crowded(each)), KEY, "left").withColumn("native", F.coalesce("native", "_native")).drop("_native")
+        each = each.withColumn("native", F.filter("native", lambda t: tables.is_real_table(t["rows"])))
+        box = lambda x: tuple(x[c] for c in CORNERS)
+        clear = F.filter("kept", lambda w: ~F.exists("native", lambda t: F.coalesce(geometry.overlaps(box(w), box(t)), F.lit(False))))
+        free = F.when(F.size("native") > 0, clear).otherwise(F.col("kept"))
+    else:
+        each, free = each.withColumn("native", F.array().cast(grids.FOUND)), F.col("kept")
+    edges = chrome.edge_lines(F.col("kept"), F.col("width"), F.col("height"))
+    # Words go before anything else travels to Python.
+    logo = lambda p: F.coalesce(F.array_contains(F.col("logos"), p["xref"]), F.lit(False))
+    each = each.select(
+        *KEY, "width", "height", "image_ratio", "ruling_lines", "font_count", "native", F.filter("images", lambda p: ~logo(p)).alias("images"),
+        geometry.blocks_in(free).alias("blocks"), _said(F.col("words")).alias("text"), edges.alias("edges"), _said(F.col("stamped")).alias("askew"),
+    )
+    each = reading_order.figure_counts(pages.text_signals(each))
+    each = each.withColumn("page_class", pages.page_class()).withColumn("scripts", pages.unexpected_scripts(F.coalesce("text", F.lit(""))))
+    each = reading_order.ordered_texts(each.withColumn("shown", F.col("text") if wanted else F.lit(None).cast("string")))
+    return each.select(*KEY, "page_class", "image_count", "scripts", "shown", "text", "columns", "concurrent", "native", "edges", "askew")
 
 
 def _visual_pages(readings: Readings, classed: DataFrame, native: DataFrame) -> DataFrame:
@@ -141,60 +212,56 @@ def assemble(scan: Scanned, readings: Readings | None = None) -> Assembled:
     not go nowhere; empty frames give empty frames.
     """
     readings = readings or Readings()
-    counts = scan.pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
-    marked = stamps(scan.words, counts)
-    words, stamped = marked.where(~F.col("stamp")).drop("stamp"), marked.where("stamp")
-    # Stamps stay out of the cells they cross. The tables are few and used more than once.
-    native = cut(grids.ruled_tables(scan.drawings, words).where(tables.is_real_table(F.col("rows"))))
-    texts, order = page_texts(geometry.exclude_regions(words, native), scan.pages)
-
-    # Classes and what follows from them, from all that stands on the page.
-    shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", "line_no", "word_no", "text"))), lambda w: w["text"]), " ")
-    whole = scan.pages.join(scan.words.groupBy(*KEY).agg(shown.alias("text")), KEY, "left")
-    signals = pages.area_signals(pages.text_signals(whole), scan.images, scan.drawings, scan.fonts)
-    logos = chrome.repeated_images(scan.images.where("xref > 0"), counts).select("doc_id", "xref")
-    unknown = {c: F.lit(None).cast("int") for c in ("pixels_x", "pixels_y") if c not in scan.images.columns}
-    pictures = scan.images.withColumns(unknown).join(logos, ["doc_id", "xref"], "left_anti")
-    figures = reading_order.figure_regions(pictures, scan.pages, whole.select(*KEY, "text")).groupBy(*KEY).agg(F.count("*").alias("image_count"))
-    classed = signals.withColumn("page_class", pages.page_class()).withColumn("scripts", pages.unexpected_scripts(F.coalesce("text", F.lit(""))))
-    classed = cut(classed.join(figures, KEY, "left").na.fill(0, ["image_count"]).select(*KEY, "page_class", "image_count", "scripts", "text"))
+    spark = scan.pages.sparkSession
+    own = packed(scan)
+    own = own.withColumns({c: F.lit(None).cast("double") for c in ("width", "height") if c not in own.columns})
+    # Nothing recurs in documents of so few pages.
+    counts = cut(own.groupBy("doc_id").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= chrome.HEADER_PAGES))
+    n_long = counts.count()
+    counts = F.broadcast(counts) if n_long <= spatial.SMALL else counts
+    has = lambda name: getattr(scan, name) is not None or name in scan.pages.columns
+    marks = _stamps(own, counts) if n_long else empty(spark, "doc_id string, stamps array<string>, logos array<int>")
+    marked, _ = _by_doc(own, marks, "stamps array<string>, logos array<int>")
+    classed = cut(read_page(marked, has("drawings"), readings.visual is not None))
 
     # Running lines go from the text; headers and footers come back as blocks.
-    edge = banners(words, scan.pages, counts)
-    lines = chrome.explode_lines(texts)
-    body = chrome.repeated_body_lines(lines, counts).select(*KEY, "line")
-    left = chrome.remove_banners(lines, edge.where("kind <> 'side'"))
-    left = chrome.remove_chrome_lines(left, edge.where("kind = 'side'").select(*KEY, "line").unionByName(body))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "line"))), lambda x: x["line"]), "\n")
-    text = left.groupBy(*KEY).agg(joined.alias("text")).where("trim(text) <> ''")
+    split = F.transform(F.split("text", r"\R"), strip)
+    lined = classed.select(*KEY, "page_class", "edges", split.alias("lines"))
+    edge_kind, body_kind = "edge_marks array<struct<band:string,sig:string,first_seen:struct<page:int,at:struct<block_no:int,line_no:int>>>>", "body_marks array<string>"
+    lined, some_edges = _by_doc(lined, chrome.recurring_edges(classed, counts) if n_long else empty(spark, f"doc_id string, {edge_kind}"), edge_kind)
+    lined, some_body = _by_doc(lined, chrome.recurring_body(classed.select("doc_id", split.alias("lines")), counts) if n_long else empty(spark, f"doc_id string, {body_kind}"), body_kind)
+    lined = lined.withColumn("running", chrome.running_lines(F.col("edges"), F.col("edge_marks")) if some_edges else F.array().cast("array<struct<kind:string,first_seen:int,line:string>>"))
+    left = chrome.lines_left(F.col("lines"), F.col("running"), F.col("body_marks") if some_body else None) if some_edges or some_body else F.col("lines")
+    text = lined.select(*KEY, "page_class", F.array_join(left, "\n").alias("text"))
+    text = text.withColumn("text", F.when(F.trim("text") != "", F.col("text")))
+    of_kind = lambda kind: lined.select(*KEY, F.posexplode(F.filter("running", lambda x: x["kind"] == kind)).alias("ord", "x")).select(*KEY, (F.col("ord") + 1).alias("ord"), "x.line")
+    native = classed.select(*KEY, F.inline("native"))
 
     # What was read from pictures.
-    spark = scan.pages.sparkSession
-    empty = lambda columns: spark.createDataFrame([], f"doc_id string, page int, {columns}")
-    visual_pages = empty("page_class string, text string, found int, tables array<array<array<string>>>, urls int, lost int, reason string, redundant boolean")
+    visual_pages = empty(spark, "doc_id string, page int, page_class string, text string, found int, tables array<array<array<string>>>, urls int, lost int, reason string, redundant boolean")
     if readings.visual is not None:
-        visual_pages = cut(_visual_pages(readings, classed, native))
+        visual_pages = cut(_visual_pages(readings, classed.drop("text").withColumnRenamed("shown", "text"), native))
     accepted = visual_pages.where("reason is null")
     targets = pages.ocr_targets(classed, accepted, readings.figures and readings.lines is not None)
-    results = empty("text string, confidence double, code string, low_lines long, scored_lines long, lowest double, detail string, partial boolean, dropped long, sample array<string>")
+    results = empty(spark, "doc_id string, page int, text string, confidence double, code string, low_lines long, scored_lines long, lowest double, detail string, partial boolean, dropped long, sample array<string>")
     if readings.lines is not None:
         results = cut(ocr.page_results(readings.lines.join(targets.select(*KEY), KEY, "left_semi")))
     unread = targets.join(results.select(*KEY), KEY, "left_anti")
-    merged = merge.merge_text(classed.select(*KEY, "page_class").join(text, KEY, "left"), results, accepted)
+    merged = merge.merge_text(text, results, accepted)
     tabled = merge.merge_tables(native.select(*KEY, "table_no", "rows"), accepted.select(*KEY, F.posexplode("tables").alias("table_no", "rows")))
 
     none = F.lit(None)
     row = lambda frame, stage, kind, at, said, rows=none, source=none: frame.select(*KEY, stage.alias("stage"), at.cast("int").alias("ord"), F.lit(kind).alias("type"), said.cast("string").alias("text"), rows.cast("array<array<string>>").alias("rows"), source.cast("string").alias("source"))
-    blocks = row(edge.where("kind = 'header'"), F.lit("header"), "header", F.col("ord"), F.col("line"))
-    blocks = blocks.unionByName(row(edge.where("kind = 'footer'"), F.lit("footer"), "footer", F.col("ord"), F.col("line")))
+    blocks = row(of_kind("header"), F.lit("header"), "header", F.col("ord"), F.col("line"))
+    blocks = blocks.unionByName(row(of_kind("footer"), F.lit("footer"), "footer", F.col("ord"), F.col("line")))
     blocks = blocks.unionByName(row(merged.where("stage <> 'rejected'"), F.col("stage"), "text", F.lit(0), F.col("text"), none, F.when(F.col("source") != "native", F.col("source"))))
     blocks = blocks.unionByName(row(tabled, F.col("stage"), "table", F.col("table_no"), none, tables.clean_rows(F.col("rows")), F.when(F.col("stage") == "visual_table", "visual")))
 
     said = lambda frame, code, page=F.col("page"), detail=none: frame.select("doc_id", page.cast("int").alias("page"), F.lit(code).alias("code"), detail.cast("string").alias("detail"))
     warnings = pages.page_warnings(classed).select("doc_id", "page", "code", none.cast("string").alias("detail"))
-    beside = order.where("columns > 1 and concurrent").select("doc_id", "page").distinct()
-    chromed = edge.select("doc_id").unionByName(body.select("doc_id")).distinct()
-    rotated = chrome.rotated_text_report(stamped.groupBy(*KEY).agg(shown.alias("text")))
+    beside = classed.where("columns > 1 and concurrent").select("doc_id", "page").distinct()
+    chromed = lined.where("edge_marks is not null or body_marks is not null").select("doc_id").distinct()
+    rotated = chrome.rotated_text_report(classed.select(*KEY, F.col("askew").alias("text")))
     warnings = warnings.unionByName(said(beside, "POSSIBLE_TWO_COLUMN_ORDER")).unionByName(said(chromed, "HEADER_FOOTER_DETECTED", none))
     warnings = warnings.unionByName(said(rotated, "ROTATED_TEXT_FILTERED", none, F.substring("sample", 1, SAMPLE))).unionByName(said(unread, "OCR_UNAVAILABLE", F.col("page"), F.lit(readings.unread)))
     warnings = warnings.withColumns({"confidence": none.cast("double"), "attrs": none.cast("map<string,string>")})

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.functions.arrays import alike, let, runs
 from leafmill.functions.text import line_signature, strip
 
 # Bands and thresholds.
@@ -69,6 +70,89 @@ def band_lines(words: DataFrame, pages: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "page", "band", "block_no", "line_no").agg(F.array_join(F.transform(ordered, lambda s: s["t"]), " ").alias("line"))
 
 
+def edge_lines(words: Column, width: Column, height: Column) -> Column:
+    """A page's band lines that can recur, from its words as an array: an array of band, sig, line and at, one for each signature.
+
+    As ``repeated_band_lines`` counts them: of one signature the last line of a page shows, and the first place counts.
+    """
+    tests = {
+        "top": lambda w: w["y0"] < TOP * height,
+        "bottom": lambda w: w["y1"] > BOTTOM * height,
+        "left": lambda w: w["x1"] < LEFT * width,
+        "right": lambda w: w["x0"] > RIGHT * width,
+    }
+    names = ("block_no", "line_no", "x0", "word_no", "text")
+
+    def lines(own: Column, band: str) -> Column:
+        placed = F.sort_array(F.transform(F.filter(own, tests[band]), lambda w: F.struct(*[w[n].alias(n) for n in names])))
+
+        def line(run: Column) -> Column:
+            said, first = F.array_join(F.transform(run, lambda w: w["text"]), " "), F.get(run, F.lit(0))
+            return F.struct(F.lit(band).alias("band"), signature(band, said).alias("sig"), F.struct(first["block_no"].alias("block_no"), first["line_no"].alias("line_no")).alias("at"), said.alias("line"))
+
+        return F.transform(runs(placed, alike("block_no", "line_no")), line)
+
+    at_edge = F.filter(words, lambda w: tests["top"](w) | tests["bottom"](w) | tests["left"](w) | tests["right"](w))
+    found = let(at_edge, lambda own: F.concat(*[lines(own, band) for band in BANDS]))
+    signed = F.sort_array(F.filter(found, lambda x: x["sig"].isNotNull()))
+    one = lambda run: F.struct(F.get(run, F.lit(0))["band"].alias("band"), F.get(run, F.lit(0))["sig"].alias("sig"), F.element_at(run, -1)["line"].alias("line"), F.get(run, F.lit(0))["at"].alias("at"))
+    return F.transform(runs(signed, alike("band", "sig")), one)
+
+
+def recurring_edges(pages: DataFrame, page_counts: DataFrame) -> DataFrame:
+    """(doc_id, edge_marks): the band, sig and first_seen of edge lines (``edges``) on enough of a document's pages."""
+    each = pages.select("doc_id", "page", F.inline("edges"))
+    counted = each.groupBy("doc_id", "band", "sig").agg(F.count("*").alias("on_pages"), F.min(F.struct("page", "at")).alias("first_seen"))
+    kept = counted.join(page_counts, "doc_id").where(enough("top"))
+    return kept.groupBy("doc_id").agg(F.collect_list(F.struct("band", "sig", "first_seen")).alias("edge_marks"))
+
+
+def body_signatures(lines: Column) -> Column:
+    """A digest of each line's signature, null for lines that do not count; it is what is counted, so no line is shuffled."""
+    return F.transform(lines, lambda line: F.sha2(signature("body", line), 256))
+
+
+def recurring_body(pages: DataFrame, page_counts: DataFrame) -> DataFrame:
+    """(doc_id, body_marks): digests of the body lines (``lines``) that recur on enough of a long document's pages."""
+    long = pages.join(page_counts.where(F.col("n_pages") >= BODY_PAGES), "doc_id")
+    each = long.select("doc_id", "n_pages", F.explode(F.array_distinct(F.array_compact(body_signatures(F.col("lines"))))).alias("sig"))
+    counted = each.groupBy("doc_id", F.unhex("sig").alias("sig")).agg(F.count("*").alias("on_pages"), F.first("n_pages").alias("n_pages"))
+    return counted.where(enough("body")).groupBy("doc_id").agg(F.collect_list(F.lower(F.hex("sig"))).alias("body_marks"))
+
+
+def running_lines(edges: Column, marks: Column) -> Column:
+    """A page's edge lines that recur, by kind (header, footer, side), where they were first seen, and line."""
+
+    def entry(e: Column) -> Column:
+        known = F.get(F.filter(marks, lambda m: (m["band"] == e["band"]) & (m["sig"] == e["sig"])), F.lit(0))
+        kind = F.when(e["band"] == "top", "header").when(e["band"] == "bottom", "footer").otherwise("side")
+        return F.struct(kind.alias("kind"), known["first_seen"].alias("first_seen"), e["line"].alias("line"))
+
+    return F.sort_array(F.filter(F.transform(edges, entry), lambda x: x["first_seen"].isNotNull()))
+
+
+def lines_left(lines: Column, running: Column, body_marks: Column | None) -> Column:
+    """A page's lines without its running lines and recurring body lines, as ``remove_banners`` and ``remove_chrome_lines`` take them away."""
+    of = lambda kind: F.transform(F.filter(running, lambda x: x["kind"] == kind), lambda x: x["line"])
+    same = lambda items, line: F.size(F.filter(items, lambda x: x == line))
+
+    def rest(own: Column, heads: Column, feet: Column, gone: Column) -> Column:
+        def stays(line: Column, k: Column) -> Column:
+            # Ranks are counted for lines that equal a running one alone.
+            head = F.when(F.array_contains(heads, line), same(F.slice(own, F.lit(1), k + 1), line) <= same(heads, line)).otherwise(False)
+            foot = F.when(F.array_contains(feet, line), same(F.slice(own, k + 1, F.size(own) - k), line) <= same(feet, line)).otherwise(False)
+            return ~(head | foot | F.array_contains(gone, line))
+
+        return F.filter(own, stays)
+
+    gone = F.transform(of("side"), strip)
+    body = F.array().cast("array<string>")
+    if body_marks is not None:
+        signed = lambda own: let(body_signatures(own), lambda sigs: F.transform(F.array_intersect(body_marks, sigs), lambda s: F.element_at(own, F.array_position(sigs, s).cast("int"))))
+        body = F.when(F.size(body_marks) > 0, F.transform(let(lines, signed), strip)).otherwise(body)
+    return let(lines, lambda own: let(of("header"), lambda heads: let(of("footer"), lambda feet: let(F.concat(gone, F.coalesce(body, F.array().cast("array<string>"))), lambda out: rest(own, heads, feet, out)))))
+
+
 def repeated_band_lines(lines: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Band lines whose signature is on enough pages: (doc_id, page, band, line, first_seen).
 

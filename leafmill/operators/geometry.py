@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.functions.arrays import alike, runs
 from leafmill.operators import spatial
 from leafmill.operators.spatial import CORNERS
 from leafmill.runtime import cut
@@ -92,6 +93,16 @@ def blocks_of(words: DataFrame) -> DataFrame:
     )
 
 
+def blocks_in(words: Column) -> Column:
+    """The same for a page's words as an array of structs: an array of block_no, text and hull, by block_no."""
+    names = ("block_no", "line_no", "x0", "word_no", "text", "y0", "x1", "y1")
+    placed = F.sort_array(F.transform(words, lambda w: F.struct(*[w[n].alias(n) for n in names])))
+    each = lambda own, name: F.transform(own, lambda x: x[name])
+    hull = lambda own: [f(each(own, c)).alias(c) for f, c in zip((F.array_min, F.array_min, F.array_max, F.array_max), CORNERS)]
+    lines = F.transform(runs(placed, alike("block_no", "line_no")), lambda own: F.struct(F.get(own, F.lit(0))["block_no"].alias("block_no"), F.array_join(each(own, "text"), " ").alias("line"), *hull(own)))
+    return F.transform(runs(lines, alike("block_no")), lambda own: F.struct(F.get(own, F.lit(0))["block_no"].alias("block_no"), F.array_join(each(own, "line"), "\n").alias("text"), *hull(own)))
+
+
 def full_width(blocks: DataFrame) -> DataFrame:
     """Adds ``banner``: the block spans most of the width that the page's blocks take."""
     page = Window.partitionBy("doc_id", "page")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import chain
 from operator import itemgetter
 
 import pyarrow as pa
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from leafmill.operators import spatial, tables
 from leafmill.operators.geometry import SKEW
-from leafmill.operators.reading_order import by_page
+from leafmill.operators.reading_order import CHUNK, by_page
 from leafmill.operators.spatial import CORNERS, KEY
-from leafmill.runtime import cut
+from leafmill.runtime import cut, ship_package
 
 #: Lines and ends of lines so near to one another, in points, are the same.
 SNAP = 3.0
@@ -204,6 +205,8 @@ def _cells(flat: list[tuple], tall: list[tuple]) -> list[tuple]:
                 (h2, y2), (v2, x2) = closed
                 out.append((h[0], v[0], v2[0], h2[0], x, y, x2, y2))
     return sorted(out)
+
+
 def _said(words: list[tuple]) -> str:
     """The text of a cell's words (block_no, line_no, word_no, text, x0, y0, y1, a, b), as ``cell_texts`` and ``tables.sideways`` read it."""
     last = lambda value: (value is None, value)
@@ -235,15 +238,18 @@ def _said(words: list[tuple]) -> str:
 
 
 def _page_tables(rows: Iterator[tuple]) -> list[tuple]:
-    """(table_no, rows, corners) of one page: its drawings come first, then its words stream past the cells, which keep what they hold."""
+    """(table_no, rows, corners) of one page: its drawings come first, then its words stream past."""
     rows = iter(rows)
     drawn: list[tuple] = []
-    word = None
     for row in rows:
         if row[0]:
-            word = row
-            break
+            return _tables_of(drawn, (r[1:] for r in chain([row], rows)))
         drawn.append(row[1:6])
+    return _tables_of(drawn, ())
+
+
+def _tables_of(drawn: list[tuple], words: Iterable[tuple]) -> list[tuple]:
+    """The same from drawings (item, corners) and words (text, corners, block_no, line_no, word_no, a, b), which stream past the cells; these keep what they hold."""
     flat, tall = (_pieces(sides) for sides in _sides(drawn))
     found: dict[int, dict[tuple[int, int], tuple]] = {}
     for number, row, col, *box in _tables(_cells(flat, tall)):
@@ -256,8 +262,7 @@ def _page_tables(rows: Iterator[tuple]) -> list[tuple]:
             bands.setdefault(y0, []).append((x0, x1, y1, (number, row, col)))
     by_height = [(y0, max(c[2] for c in own), own) for y0, own in sorted(bands.items())]
     held: dict[tuple, list[tuple]] = {}
-    while word is not None:
-        _, text, x0, y0, x1, y1, block, line, word_no, a, b = word
+    for text, x0, y0, x1, y1, block, line, word_no, a, b in words:
         x, y = (x0 + x1) / 2, (y0 + y1) / 2
         for top, deepest, own in by_height:
             if top > y:
@@ -266,7 +271,6 @@ def _page_tables(rows: Iterator[tuple]) -> list[tuple]:
                 for left, right, bottom, cell in own:
                     if left <= x <= right and y <= bottom:
                         held.setdefault(cell, []).append((block, line, word_no, text, x0, y0, y1, a, b))
-        word = next(rows, None)
     out = []
     for number, own in found.items():
         last = max(col for _, col in own)
@@ -308,6 +312,67 @@ def ruled_tables(drawings: DataFrame, words: DataFrame) -> DataFrame:
     return found.unionByName(_crowded_tables(own(drawn, many), own(said, many))) if n_crowded else found
 
 
+FOUND = "array<struct<table_no:int,rows:array<array<string>>,x0:double,y0:double,x1:double,y1:double>>"
+
+
+def _whole(x: Column) -> Column:
+    out = F.lit(True)
+    for c in CORNERS:
+        out = out & x[c].isNotNull() & ~F.isnan(x[c].cast("double"))
+    return out
+
+
+def is_crowded(drawings: Column) -> Column:
+    """Whether a page's drawings (an array) are for windows and joins: too many to be walked, or with corners at infinity."""
+    whole = F.filter(drawings, _whole)
+    return F.coalesce((F.size(whole) > spatial.CROWDED) | F.exists(whole, lambda d: F.greatest(*[F.abs(d[c].cast("double")) for c in CORNERS]) == float("inf")), F.lit(False))
+
+
+def tables_in(pages: DataFrame, words: str) -> DataFrame:
+    """Adds ``native``, what ``ruled_tables`` finds, to pages with their ``drawings`` and words as arrays; null on crowded pages.
+
+    Only drawings that have an edge travel to Python, with the words among them, and only
+    where there are two, since one shape alone is no table.
+    """
+    ship_package(pages.sparkSession)
+
+    @F.arrow_udf(FOUND)
+    def walk(shapes: pa.Array, said: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("table_no", pa.int32()), ("rows", pa.list_(pa.list_(pa.string()))), *[(c, pa.float64()) for c in CORNERS]]))
+        names, out = ("table_no", "rows", *CORNERS), []
+        for at in range(0, len(shapes), CHUNK):
+            drawn, near = shapes.slice(at, CHUNK), said.slice(at, CHUNK)
+            for own, spoken in zip(_tuples(drawn), _tuples(near)):
+                out.append([dict(zip(names, table)) for table in _tables_of(own, spoken)] if own else [])
+        return pa.array(out, kind)
+
+    w, h = (lambda d: F.abs(d["x1"] - d["x0"])), (lambda d: F.abs(d["y1"] - d["y0"]))
+    thin = lambda d: F.least(w(d), h(d)) <= SNAP
+    edged = lambda d: _whole(d) & (F.coalesce(d["item"], F.lit("")) != "c") & F.when(thin(d), F.greatest(w(d), h(d)) >= SNAP).otherwise(F.coalesce(d["item"] == "re", F.lit(False)))
+    shape = lambda d: F.struct(d["item"].alias("item"), *[d[c].cast("double").alias(c) for c in CORNERS])
+    ends = lambda f, g, d: f(F.transform("_drawn", lambda x: g(x[f"{d}0"], x[f"{d}1"])))
+    drawn = pages.withColumn("_drawn", F.when(~is_crowded(F.col("drawings")), F.transform(F.filter("drawings", edged), shape)))
+    drawn = drawn.withColumn("_drawn", F.when(F.size("_drawn") > 1, F.col("_drawn")))
+    drawn = drawn.withColumns({f"_{n}{d}": ends(f, g, d) for d in "xy" for n, f, g in (("l", F.array_min, F.least), ("h", F.array_max, F.greatest))})
+    centre = lambda x, d: (x[f"{d}0"] + x[f"{d}1"]) / 2
+    among = lambda x: _whole(x) & centre(x, "x").between(F.col("_lx"), F.col("_hx")) & centre(x, "y").between(F.col("_ly"), F.col("_hy"))
+    said = lambda x: F.struct(x["text"].alias("text"), *[x[c].cast("double").alias(c) for c in CORNERS], *[x[c].cast("int").alias(c) for c in ("block_no", "line_no", "word_no")], *[x[c].cast("double").alias(c) for c in "ab"])
+    # Not to be worked out anew in each expression that uses it.
+    once = walk.asNondeterministic()
+    near = F.when(F.col("_drawn").isNotNull(), F.transform(F.filter(words, among), said))
+    return drawn.withColumn("native", F.when(~is_crowded(F.col("drawings")), once(F.col("_drawn"), near))).drop("_drawn", "_lx", "_hx", "_ly", "_hy")
+
+
+def _tuples(column: pa.Array) -> Iterator[list[tuple]]:
+    """The structs of each row of an array column as tuples; none for null."""
+    items = column.flatten()
+    each = list(zip(*(c.to_pylist() for c in items.flatten())))
+    at = 0
+    for n in column.value_lengths().to_pylist():
+        yield each[at : at + (n or 0)]
+        at += n or 0
+
+
 def _crowded_tables(drawn: DataFrame, said: DataFrame) -> DataFrame:
     """The same for pages of many drawings."""
     filled = cell_texts(placed_cells(cells(crossings(ruled_lines(drawn)))), said)

@@ -50,6 +50,16 @@ def area_signals(pages: DataFrame, images: DataFrame, drawings: DataFrame, fonts
     ).drop("image_area")
 
 
+def drawn_signals(pages: DataFrame) -> DataFrame:
+    """The same for pages that have their images, drawings and fonts as arrays."""
+    add = lambda items, value: F.aggregate(F.coalesce(F.transform(items, value), F.array().cast("array<double>")), F.lit(0.0), lambda n, x: n + F.coalesce(x, F.lit(0.0)))
+    area = F.col("width") * F.col("height")
+    covered = add("images", lambda p: ((p["x1"] - p["x0"]) * (p["y1"] - p["y0"])).cast("double"))
+    rules = add("drawings", lambda p: F.when(p["item"] == "l", 1.0).when(p["item"] == "re", 4.0).otherwise(0.0))
+    fonts = F.size(F.array_distinct(F.filter(F.coalesce("fonts", F.array().cast("array<string>")), lambda f: f.isNotNull())))
+    return pages.withColumns({"image_ratio": F.when(area > 0, F.least(covered / area, F.lit(1.0))).otherwise(0.0), "ruling_lines": rules.cast("long"), "font_count": fonts})
+
+
 def page_class() -> Column:
     """The class of a row that has all signals; the first rule that holds decides."""
     return (

@@ -8,6 +8,8 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _SHIPPED: dict[str, str] = {}
 
@@ -51,5 +53,11 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A frame without rows that the optimizer knows to be empty, so that joins with it are no joins."""
+    columns = StructType.fromDDL(schema)
+    return spark.range(0).where(F.lit(False)).select(*[F.lit(None).cast(c.dataType).alias(c.name) for c in columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

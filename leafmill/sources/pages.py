@@ -73,19 +73,9 @@ def scan_files(files: DataFrame) -> DataFrame:
 
 
 def frames(scanned: DataFrame) -> Scanned:
-    """The frames that ``assembly.assemble`` takes; a file is a document by its path."""
+    """The pages that ``assembly.assemble`` takes; a file is a document by its path."""
     each = scanned.where("page is not null").withColumnRenamed("path", "doc_id")
-
-    def rows(name: str, *columns: str) -> DataFrame:
-        return each.select("doc_id", "page", F.explode(name).alias("x")).select("doc_id", "page", *[F.col(f"x.{c}") for c in columns])
-
-    return Scanned(
-        each.select("doc_id", "page", "width", "height"),
-        rows("words", "block_no", "line_no", "word_no", "text", *_CORNERS, "a", "b"),
-        rows("images", "xref", *_CORNERS, "pixels_x", "pixels_y"),
-        rows("drawings", "item", *_CORNERS),
-        each.select("doc_id", "page", F.explode("fonts").alias("font")),
-    )
+    return Scanned(each.select("doc_id", "page", "width", "height", "words", "images", "drawings", "fonts"))
 
 
 def extract_pages(files: DataFrame, readings: Readings | None = None) -> DataFrame:
