@@ -117,9 +117,8 @@ def _stamps(each: DataFrame, counts: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_list("stamp").alias("stamps"), F.collect_list("xref").alias("logos"))
 
 
-def _crowded(each: DataFrame) -> DataFrame:
+def _crowded(many: DataFrame) -> DataFrame:
     """(doc_id, page, native) of pages with many drawings, which windows and joins work on."""
-    many = each.where(grids.is_crowded(F.col("drawings")))
     rows = lambda name: many.select(*KEY, F.inline(name))
     found = grids.ruled_tables(rows("drawings"), rows("kept"))
     return found.groupBy(*KEY).agg(F.collect_list(F.struct("table_no", "rows", *CORNERS)).cast(grids.FOUND).alias("_native"))
@@ -138,9 +137,10 @@ def read_page(each: DataFrame, has_drawings: bool, wanted: bool) -> DataFrame:
     each = pages.drawn_signals(each)
     if has_drawings:
         # Stamps stay out of the cells they cross.
+        crowded = each.where(grids.is_crowded(F.col("drawings"))).select(*KEY, "drawings", "kept")
         each = grids.tables_in(each, "kept")
-        if each.where(grids.is_crowded(F.col("drawings"))).limit(1).count():
-            each = each.join(cut(_crowded(each)), KEY, "left").withColumn("native", F.coalesce("native", "_native")).drop("_native")
+        if crowded.limit(1).count():
+            each = each.join(cut(_crowded(crowded)), KEY, "left").withColumn("native", F.coalesce("native", "_native")).drop("_native")
         each = each.withColumn("native", F.filter("native", lambda t: tables.is_real_table(t["rows"])))
         box = lambda x: tuple(x[c] for c in CORNERS)
         clear = F.filter("kept", lambda w: ~F.exists("native", lambda t: F.coalesce(geometry.overlaps(box(w), box(t)), F.lit(False))))
@@ -169,6 +169,8 @@ def _visual_pages(readings: Readings, classed: DataFrame, native: DataFrame) ->
     raw = F.col("raw")
     read = readings.visual.join(classed.select(*KEY, "page_class", F.col("text").alias("native_text"), F.size("scripts").alias("odd")), KEY)
     read = read.select(*KEY, "page_class", "native_text", markup.prose(raw).alias("said"), markup.formulas(raw).alias("formulas"), markup.page_tables(raw).alias("grids"), (F.col("capped") | markup.is_truncated(raw)).alias("truncated"), markup.dropped_formulas(raw).alias("lost"))
+    # Markup is parsed once, not for each use of what it says.
+    read = cut(read)
     joined = diacritics.rejoin(read.select("doc_id", F.col("page").alias("text_no"), F.col("said").alias("text")), classed.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     read = read.join(joined.withColumnRenamed("text_no", "page"), KEY).drop("said")
     judged = visual.accept(read.select(*KEY, "text", "native_text", "formulas", F.size("grids").alias("table_count"), "truncated", F.col("page_class").isin(*pages.REREAD_CLASSES).alias("replacing")), native)

@@ -324,8 +324,9 @@ def _whole(x: Column) -> Column:
 
 def is_crowded(drawings: Column) -> Column:
     """Whether a page's drawings (an array) are for windows and joins: too many to be walked, or with corners at infinity."""
-    whole = F.filter(drawings, _whole)
-    return F.coalesce((F.size(whole) > spatial.CROWDED) | F.exists(whole, lambda d: F.greatest(*[F.abs(d[c].cast("double")) for c in CORNERS]) == float("inf")), F.lit(False))
+    many = F.when(F.size(drawings) > spatial.CROWDED, F.size(F.filter(drawings, _whole)) > spatial.CROWDED).otherwise(False)
+    endless = lambda d: (F.greatest(*[F.abs(d[c].cast("double")) for c in CORNERS]) == float("inf")) & _whole(d)
+    return F.coalesce(many | F.exists(drawings, endless), F.lit(False))
 
 
 def tables_in(pages: DataFrame, words: str) -> DataFrame:
@@ -348,10 +349,11 @@ def tables_in(pages: DataFrame, words: str) -> DataFrame:
 
     w, h = (lambda d: F.abs(d["x1"] - d["x0"])), (lambda d: F.abs(d["y1"] - d["y0"]))
     thin = lambda d: F.least(w(d), h(d)) <= SNAP
-    edged = lambda d: _whole(d) & (F.coalesce(d["item"], F.lit("")) != "c") & F.when(thin(d), F.greatest(w(d), h(d)) >= SNAP).otherwise(F.coalesce(d["item"] == "re", F.lit(False)))
+    edged = lambda d: (F.greatest(w(d), h(d)) >= SNAP) & (F.coalesce(d["item"], F.lit("")) != "c") & (thin(d) | F.coalesce(d["item"] == "re", F.lit(False))) & _whole(d)
     shape = lambda d: F.struct(d["item"].alias("item"), *[d[c].cast("double").alias(c) for c in CORNERS])
     ends = lambda f, g, d: f(F.transform("_drawn", lambda x: g(x[f"{d}0"], x[f"{d}1"])))
-    drawn = pages.withColumn("_drawn", F.when(~is_crowded(F.col("drawings")), F.transform(F.filter("drawings", edged), shape)))
+    drawn = pages.withColumn("_crowded", is_crowded(F.col("drawings")))
+    drawn = drawn.withColumn("_drawn", F.when(~F.col("_crowded"), F.transform(F.filter("drawings", edged), shape)))
     drawn = drawn.withColumn("_drawn", F.when(F.size("_drawn") > 1, F.col("_drawn")))
     drawn = drawn.withColumns({f"_{n}{d}": ends(f, g, d) for d in "xy" for n, f, g in (("l", F.array_min, F.least), ("h", F.array_max, F.greatest))})
     centre = lambda x, d: (x[f"{d}0"] + x[f"{d}1"]) / 2
@@ -360,7 +362,7 @@ def tables_in(pages: DataFrame, words: str) -> DataFrame:
     # Not to be worked out anew in each expression that uses it.
     once = walk.asNondeterministic()
     near = F.when(F.col("_drawn").isNotNull(), F.transform(F.filter(words, among), said))
-    return drawn.withColumn("native", F.when(~is_crowded(F.col("drawings")), once(F.col("_drawn"), near))).drop("_drawn", "_lx", "_hx", "_ly", "_hy")
+    return drawn.withColumn("native", F.when(~F.col("_crowded"), once(F.col("_drawn"), near))).drop("_crowded", "_drawn", "_lx", "_hx", "_ly", "_hy")
 
 
 def _tuples(column: pa.Array) -> Iterator[list[tuple]]:

@@ -63,3 +63,17 @@ def test_pages_are_numbered_without_their_texts(spark):
     assert sorted((r.source, r.doc_id, r.page) for r in rows.collect()) == [("a", 3, 1), ("a", 5, 2), ("a", 5, 3), ("a", 9, 4), ("b", 4, 1)]
     windows = [line for line in rows.select(F.length("text"), "page")._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in line and "text" in line]
     assert all("source" in line and "[source" in line for line in windows)
+
+
+def test_orders_are_pages_once(spark, monkeypatch):
+    """No step reads the orders more than twice: pages come with their words and drawings, and markup is parsed once."""
+    plans = []
+    keep = assembly.cut
+
+    def cut(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return keep(frame)
+
+    monkeypatch.setattr(assembly, "cut", cut)
+    catalog.queries()["read_pages"](spark, "/root/testdata/sf0.001")
+    assert len(plans) > 3 and max(plan.count("FileScan parquet") for plan in plans) <= 2
