@@ -1,11 +1,12 @@
 """Exact top-k inner products by the threshold algorithm over sorted per-dimension lists.
 
 Candidates are dealt into blocks, each of which stays in one task while the queries
-stream past it: the block is sorted once per dimension and each query is answered on
-its own. A query reads all lists in step, each from the end that its own sign prefers;
-rows met for the first time are scored in full. Once no unseen row can reach the
-kth best score - the sum of the lists' current contributions lies below it - the
-query stops. Ties are kept by going on while the bound equals the kth score.
+stream past it, some hundreds at a time: the block is sorted once per dimension. The
+queries read all lists in step, each from the ends that their signs prefer; rows met for
+the first time are scored in full, for all of these queries in one matrix product. Once
+no unseen row can reach a query's kth best score - the sum of the lists' current
+contributions lies below it - the query stops. Ties are kept by going on while the bound
+equals the kth score.
 
 Blocks are searched in waves of twice as many each time. A query takes its kth best
 score so far along to the next wave, whose blocks answer with no lesser scores and stop
@@ -26,6 +27,8 @@ from leafmill.runtime import cut, ship_package
 
 FOUND = "query_id long, vec_id long, score long"
 LEAST, MOST = -(2**63), 2**63 - 1
+#: So many queries search a block together, and so many rows are scored for them at once.
+QUERIES, ROWS = 512, 4096
 
 
 def quantized(vectors: DataFrame, scale: int = 64) -> DataFrame:
@@ -54,54 +57,77 @@ class SortedLists:
             self.sorted[d] = vectors[self.order[d], d]
         self.reads = 0
 
-    def _products(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        found = self.vectors[rows] @ query
-        return np.clip(found, LEAST, MOST).astype(np.int64) if self.kind is object else found.astype(np.int64)
+    def _products(self, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        found = queries @ self.vectors[rows].T
+        return np.clip(found, LEAST, MOST).astype(np.int64) if self.kind is object else found
 
     def search(self, query_id: int, query: np.ndarray, k: int, floor: int | None = None, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and scores of the k best that reach the floor, by score and then by smaller id; rows of the query's own id are left out."""
-        n = len(self.ids)
-        own = np.searchsorted(self.ids, [query_id, query_id + 1])
-        typed = query.astype(self.kind)
-        dims = np.flatnonzero(query)
-        up, down = dims[query[dims] > 0], dims[query[dims] < 0]
-        seen = np.zeros(n, bool)
-        seen[own[0] : own[1]] = True
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        depth, until = 0, min(n, first_depth)
-        left = n - (own[1] - own[0])
+        return self.search_all(np.array([query_id]), query[None], k, np.array([LEAST if floor is None else floor]), first_depth)[1:]
+
+    def search_all(self, ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query number, row number, score) of every query's k best, as ``search`` gives them; a floor of ``LEAST`` is none.
+
+        The queries read in step, from each end that one of them prefers, so that a row that
+        any of them meets is scored for all that still run, in one product.
+        """
+        n, typed = len(self.ids), queries.astype(self.kind)
+        positive, negative = np.maximum(typed, 0), np.minimum(typed, 0)
+        # A row of a query's own id takes one of its places until it is dropped.
+        places = k + int((np.searchsorted(self.ids, ids, "right") - np.searchsorted(self.ids, ids)).max(initial=0))
+        least = floors.astype(np.int64 if self.kind is object else self.kind)
+        running, best = np.arange(len(ids)), (np.zeros(0, np.int64),) * 3
+        seen, depth, until = np.zeros(n, bool), 0, min(n, first_depth)
+        left = n
         while left:
-            if len(dims):
-                hit = np.zeros(n, bool)
-                hit[self.order[up, n - until : n - depth]] = True
-                hit[self.order[down, depth:until]] = True
-                self.reads += (until - depth) * len(dims)
-            else:
-                hit = np.ones(n, bool)  # every score is zero
-            hit &= ~seen
-            fresh = np.flatnonzero(hit)
-            if len(fresh):
-                seen |= hit
-                left -= len(fresh)
-                rows = np.concatenate([best_rows, fresh])
-                scores = np.concatenate([best, self._products(fresh, typed)])
-                if floor is not None:
-                    rows, scores = rows[scores >= floor], scores[scores >= floor]
-                if len(rows) > k:
-                    # Rows are in ascending id order in both parts; ties at the kth score go to the smaller ids.
-                    order = np.lexsort((rows, ~scores))[:k]
-                    rows, scores = rows[order], scores[order]
-                best_rows, best = rows, scores
-            if until >= n:
+            # No row unseen reaches beyond the first entries unread.
+            bound = positive[running] @ self.sorted[:, n - 1 - depth].astype(self.kind) + negative[running] @ self.sorted[:, depth].astype(self.kind)
+            running = running[(np.clip(bound, LEAST, MOST).astype(np.int64) if self.kind is object else bound) >= least[running]]
+            if not len(running):
                 break
-            if len(best) >= k or floor is not None:
-                wide = object if self.kind is object else np.int64
-                bound = int(self.sorted[up, n - until].astype(wide) @ query[up].astype(wide)) + int(self.sorted[down, until - 1].astype(wide) @ query[down].astype(wide))
-                if min(bound, MOST) < (best.min() if len(best) >= k else floor):
-                    break
+            up, down = (queries[running] > 0).any(0), (queries[running] < 0).any(0)
+            hit = np.full(n, not (up.any() or down.any()))  # every score is zero
+            hit[self.order[up, n - until : n - depth]] = True
+            hit[self.order[down, depth:until]] = True
+            self.reads += (until - depth) * int(up.sum() + down.sum())
+            fresh = np.flatnonzero(hit & ~seen)
+            seen |= hit
+            left -= len(fresh)
+            for first in range(0, len(fresh), ROWS):
+                rows = fresh[first : first + ROWS]
+                scores = self._products(typed[running], rows)
+                of, at = np.nonzero(_highest(scores, least[running], places))
+                others = self.ids[rows[at]] != ids[running[of]]
+                of, at = of[others], at[others]
+                best = _merged(best, (running[of], rows[at], scores[of, at].astype(np.int64)), k)
+                full = np.flatnonzero(np.append(best[0][k - 1 :] == best[0][: len(best[0]) - k + 1], False)) + k - 1 if len(best[0]) >= k else []
+                least[best[0][full]] = best[2][full]
             depth, until = until, min(n, 2 * until)
-        order = np.lexsort((best_rows, ~best))[:k]
-        return best_rows[order], best[order]
+        return best
+
+
+def _highest(scores: np.ndarray, least: np.ndarray, k: int) -> np.ndarray:
+    """Which scores of each row reach its ``least``; where many do, only those that the row's k highest hold, ties to the first."""
+    hits = scores >= least[:, None]
+    many = np.flatnonzero(np.count_nonzero(hits, axis=1) > 4 * k)
+    cut_at = scores.shape[1] - k
+    if len(many) and cut_at > 0:
+        some = scores[many]
+        kth = np.partition(some, cut_at, axis=1)[:, cut_at, None]
+        ties = some == kth
+        hits[many] &= (some > kth) | (ties & (np.cumsum(ties, axis=1, dtype=np.int32) <= k))
+    return hits
+
+
+def _merged(best: tuple[np.ndarray, ...], more: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+    """The k best of each query (number, row, score) of both, by query, score and row."""
+    if not len(more[0]):
+        return best
+    of, rows, scores = (np.concatenate(both) for both in zip(best, more))
+    order = np.lexsort((rows, ~scores, of))
+    of, rows, scores = of[order], rows[order], scores[order]
+    keep = np.arange(len(of)) - np.searchsorted(of, of) < k
+    return of[keep], rows[keep], scores[keep]
 
 
 def _widths(lists: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -124,16 +150,15 @@ class _Block:
         for rows, matrix in _widths(vectors):
             self.parts.setdefault(matrix.shape[1], []).append((ids[rows], matrix))
 
-    def answer(self, ids: np.ndarray, queries: pa.ListArray, floors: list[int | None], k: int) -> pa.RecordBatch:
+    def answer(self, ids: np.ndarray, queries: pa.ListArray, floors: np.ndarray, k: int) -> pa.RecordBatch:
         if self.lists is None:
             self.lists = {w: SortedLists(np.concatenate([i for i, _ in own]), np.concatenate([m for _, m in own]), self.largest_query) for w, own in self.parts.items()}
             self.parts = {}
         found = [[np.zeros(0, np.int64)] * 3]
         for rows, matrix in _widths(queries):  # vectors of different lengths have no inner product
-            lists = self.lists.get(matrix.shape[1])
-            for row, query_id, query in zip(rows.tolist(), ids[rows].tolist(), matrix) if lists else ():
-                best, scores = lists.search(query_id, query, k, floors[row])
-                found.append([np.full(len(best), query_id), lists.ids[best], scores])
+            if lists := self.lists.get(matrix.shape[1]):
+                of, best, scores = lists.search_all(ids[rows], matrix, k, floors[rows])
+                found.append([ids[rows][of], lists.ids[best], scores])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found)], ["query_id", "vec_id", "score"])
 
 
@@ -194,12 +219,14 @@ def _wave(queries: DataFrame, candidates: DataFrame, blocks: range, groups: int,
                 if not place[a, 2]:
                     block.add(ids, vectors)
                     continue
-                floors = batch.column(5).slice(a, b - a).to_pylist()
-                for first in range(0, b - a, 1024):
-                    yield block.answer(ids[first : first + 1024], vectors.slice(first, 1024), floors[first : first + 1024], k)
+                floors = batch.column(5).slice(a, b - a).fill_null(LEAST).to_numpy()
+                for first in range(0, b - a, QUERIES):
+                    yield block.answer(ids[first : first + QUERIES], vectors.slice(first, QUERIES), floors[first : first + QUERIES], k)
 
     order = ["cb", "qg", "asks"]
-    tasks = q.select(*order, "vec_id", "v", "floor").unionByName(c.select(*order, "vec_id", "v", "floor")).repartition(len(blocks) * groups, "cb", "qg").sortWithinPartitions(*order)
+    # A block and group is a task of its own; dealt by hash, some would wait behind others while cores are idle.
+    place = ((F.col("cb") - blocks.start) * groups + F.col("qg")).cast("int")
+    tasks = q.select(*order, "vec_id", "v", "floor").unionByName(c.select(*order, "vec_id", "v", "floor")).repartitionById(len(blocks) * groups, place).sortWithinPartitions(*order)
     return tasks.mapInArrow(search, FOUND)
 
 

@@ -216,6 +216,22 @@ def test_threshold_algorithm_stops_early():
     assert rows.tolist() == want.tolist() and lists.reads < 2 * 20_000
 
 
+def test_queries_search_together(monkeypatch):
+    """Hundreds of queries share the rows they meet and their products; ties, own ids and floors as for each alone."""
+    rng, asked = np.random.default_rng(6), []
+    vectors = np.repeat(rng.integers(-9, 10, (700, 16)), 3, axis=0)
+    ids, queries = np.arange(2100) // 2, np.concatenate([rng.integers(-9, 10, (300, 16)), np.zeros((1, 16), np.int64), vectors[:4]])
+    query_ids = np.append(np.arange(301) * 5, [0, 0, 1, 1])
+    floors = np.where(np.arange(305) % 3, topk.LEAST, 500)
+    lists, products = topk.SortedLists(ids, vectors, 9), topk.SortedLists._products
+    monkeypatch.setattr(topk.SortedLists, "_products", lambda self, q, rows: asked.append(len(q)) or products(self, q, rows))
+    of, rows, scores = lists.search_all(query_ids, queries, 7, floors)
+    for i, (own, query) in enumerate(zip(query_ids, queries)):
+        found = sorted((-int(s), r) for r, s in enumerate(vectors @ query) if ids[r] != own and s >= floors[i])[:7]
+        assert [(-s, r) for r, s in zip(rows[of == i].tolist(), scores[of == i].tolist())] == found
+    assert max(asked) > 250 and len(asked) < 20
+
+
 def test_embedding_dedup_of_lengths_copies_and_extremes(spark):
     rng = np.random.default_rng(8)
     base = rng.standard_normal((30, 8)).astype(np.float32)
