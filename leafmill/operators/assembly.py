@@ -117,13 +117,6 @@ def _stamps(each: DataFrame, counts: DataFrame) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_list("stamp").alias("stamps"), F.collect_list("xref").alias("logos"))
 
 
-def _crowded(many: DataFrame) -> DataFrame:
-    """(doc_id, page, native) of pages with many drawings, which windows and joins work on."""
-    rows = lambda name: many.select(*KEY, F.inline(name))
-    found = grids.ruled_tables(rows("drawings"), rows("kept"))
-    return found.groupBy(*KEY).agg(F.collect_list(F.struct("table_no", "rows", *CORNERS)).cast(grids.FOUND).alias("_native"))
-
-
 def read_page(each: DataFrame, has_drawings: bool, wanted: bool) -> DataFrame:
     """What a page says on its own: its class and signals, tables, text in reading order, edge lines, askew words.
 
@@ -137,10 +130,7 @@ def read_page(each: DataFrame, has_drawings: bool, wanted: bool) -> DataFrame:
     each = pages.drawn_signals(each)
     if has_drawings:
         # Stamps stay out of the cells they cross.
-        crowded = each.where(grids.is_crowded(F.col("drawings"))).select(*KEY, "drawings", "kept")
-        each = grids.tables_in(each, "kept")
-        if crowded.limit(1).count():
-            each = each.join(cut(_crowded(crowded)), KEY, "left").withColumn("native", F.coalesce("native", "_native")).drop("_native")
+        each = grids.found_in(each, "kept")
         each = each.withColumn("native", F.filter("native", lambda t: tables.is_real_table(t["rows"])))
         box = lambda x: tuple(x[c] for c in CORNERS)
         clear = F.filter("kept", lambda w: ~F.exists("native", lambda t: F.coalesce(geometry.overlaps(box(w), box(t)), F.lit(False))))

@@ -5,7 +5,8 @@ and so are the pieces of a line that nearly meet. Where a horizontal and a verti
 cross is found by the spatial join. A cell is four crossings: its corner's nearest one to
 the right that goes on downwards, the nearest one below that goes on to the right, and the
 one that closes it. Cells that share a corner are one table. The words whose centre a cell
-holds are its text; words that are stamps are kept out by not being given.
+holds are its text; words that are stamps are kept out by not being given. Pages that come
+as rows with arrays are worked on by hundreds (``grid_batches``).
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Iterable, Iterator
 from itertools import chain
 from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.operators import spatial, tables
+from leafmill.operators import grid_batches, spatial, tables
 from leafmill.operators.geometry import SKEW
 from leafmill.operators.reading_order import CHUNK, by_page
 from leafmill.operators.spatial import CORNERS, KEY
@@ -326,49 +328,63 @@ def is_crowded(drawings: Column) -> Column:
     """Whether a page's drawings (an array) are for windows and joins: too many to be walked, or with corners at infinity."""
     many = F.when(F.size(drawings) > spatial.CROWDED, F.size(F.filter(drawings, _whole)) > spatial.CROWDED).otherwise(False)
     endless = lambda d: (F.greatest(*[F.abs(d[c].cast("double")) for c in CORNERS]) == float("inf")) & _whole(d)
-    return F.coalesce(many | F.exists(drawings, endless), F.lit(False))
+    # Shapes are looked at one by one only where some corner is at infinity.
+    somewhere = F.lit(False)
+    for c in CORNERS:
+        for end in (float("inf"), float("-inf")):
+            somewhere = somewhere | F.coalesce(F.array_contains(drawings[c].cast("array<double>"), F.lit(end)), F.lit(False))
+    return F.coalesce(many | F.when(somewhere, F.exists(drawings, endless)).otherwise(False), F.lit(False))
 
 
 def tables_in(pages: DataFrame, words: str) -> DataFrame:
     """Adds ``native``, what ``ruled_tables`` finds, to pages with their ``drawings`` and words as arrays; null on crowded pages.
 
-    Only drawings that have an edge travel to Python, with the words among them, and only
-    where there are two, since one shape alone is no table.
+    Drawings and words travel to Python as they are, and only where there are two drawings,
+    since one shape alone is no table; there all pages of a batch are worked on together.
     """
     ship_package(pages.sparkSession)
 
     @F.arrow_udf(FOUND)
     def walk(shapes: pa.Array, said: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("table_no", pa.int32()), ("rows", pa.list_(pa.list_(pa.string()))), *[(c, pa.float64()) for c in CORNERS]]))
-        names, out = ("table_no", "rows", *CORNERS), []
-        for at in range(0, len(shapes), CHUNK):
-            drawn, near = shapes.slice(at, CHUNK), said.slice(at, CHUNK)
-            for own, spoken in zip(_tuples(drawn), _tuples(near)):
-                out.append([dict(zip(names, table)) for table in _tables_of(own, spoken)] if own else [])
-        return pa.array(out, kind)
-
-    w, h = (lambda d: F.abs(d["x1"] - d["x0"])), (lambda d: F.abs(d["y1"] - d["y0"]))
-    thin = lambda d: F.least(w(d), h(d)) <= SNAP
-    edged = lambda d: (F.greatest(w(d), h(d)) >= SNAP) & (F.coalesce(d["item"], F.lit("")) != "c") & (thin(d) | F.coalesce(d["item"] == "re", F.lit(False))) & _whole(d)
-    shape = lambda d: F.struct(d["item"].alias("item"), *[d[c].cast("double").alias(c) for c in CORNERS])
-    ends = lambda f, g, d: f(F.transform("_drawn", lambda x: g(x[f"{d}0"], x[f"{d}1"])))
+        return pa.concat_arrays([pa.array([], grid_batches.TABLES), *[_tables_at_once(shapes.slice(at, CHUNK), said.slice(at, CHUNK)) for at in range(0, len(shapes), CHUNK)]])
+
     drawn = pages.withColumn("_crowded", is_crowded(F.col("drawings")))
-    drawn = drawn.withColumn("_drawn", F.when(~F.col("_crowded"), F.transform(F.filter("drawings", edged), shape)))
-    drawn = drawn.withColumn("_drawn", F.when(F.size("_drawn") > 1, F.col("_drawn")))
-    drawn = drawn.withColumns({f"_{n}{d}": ends(f, g, d) for d in "xy" for n, f, g in (("l", F.array_min, F.least), ("h", F.array_max, F.greatest))})
-    centre = lambda x, d: (x[f"{d}0"] + x[f"{d}1"]) / 2
-    among = lambda x: _whole(x) & centre(x, "x").between(F.col("_lx"), F.col("_hx")) & centre(x, "y").between(F.col("_ly"), F.col("_hy"))
-    said = lambda x: F.struct(x["text"].alias("text"), *[x[c].cast("double").alias(c) for c in CORNERS], *[x[c].cast("int").alias(c) for c in ("block_no", "line_no", "word_no")], *[x[c].cast("double").alias(c) for c in "ab"])
+    ruled = ~F.col("_crowded") & (F.size("drawings") > 1)
     # Not to be worked out anew in each expression that uses it.
     once = walk.asNondeterministic()
-    near = F.when(F.col("_drawn").isNotNull(), F.transform(F.filter(words, among), said))
-    return drawn.withColumn("native", F.when(~F.col("_crowded"), once(F.col("_drawn"), near))).drop("_crowded", "_drawn", "_lx", "_hx", "_ly", "_hy")
-
-
-def _tuples(column: pa.Array) -> Iterator[list[tuple]]:
-    """The structs of each row of an array column as tuples; none for null."""
-    items = column.flatten()
-    each = list(zip(*(c.to_pylist() for c in items.flatten())))
+    found = once(F.when(ruled, F.col("drawings")), F.when(ruled, F.col(words)))
+    return drawn.withColumn("native", F.when(~F.col("_crowded"), found)).drop("_crowded")
+
+
+def _tables_at_once(shapes: pa.ListArray, said: pa.ListArray) -> pa.ListArray:
+    """The tables of some pages: of all at once, and one by one of those that are left."""
+    found, left = grid_batches.tables_of(shapes, said, SNAP)
+    alone = np.flatnonzero(left)
+    if not len(alone):
+        return found
+    names, out = ("table_no", "rows", *CORNERS), []
+    placed = lambda row: all(c is not None and c == c for c in row[1:5])
+    for own, spoken in zip(_tuples(shapes.take(pa.array(alone)), grid_batches.SHAPE), _tuples(said.take(pa.array(alone)), grid_batches.WORD)):
+        out.append([dict(zip(names, table)) for table in _tables_of([*filter(placed, own)], filter(placed, spoken))])
+    order = np.arange(len(found))
+    order[alone] = len(found) + np.arange(len(alone))
+    return pa.concat_arrays([found, pa.array(out, grid_batches.TABLES)]).take(pa.array(order))
+
+
+def found_in(pages: DataFrame, words: str) -> DataFrame:
+    """Adds ``native`` to all pages (doc_id, page, drawings, words as arrays), crowded ones too, which alone are shuffled."""
+    crowded = pages.where(is_crowded(F.col("drawings"))).select(*KEY, "drawings", F.col(words).alias("said"))
+    found = tables_in(pages, words)
+    if not crowded.limit(1).count():
+        return found
+    rows = lambda name: crowded.select(*KEY, F.inline(name))
+    many = ruled_tables(rows("drawings"), rows("said")).groupBy(*KEY).agg(F.collect_list(F.struct("table_no", "rows", *CORNERS)).cast(FOUND).alias("_native"))
+    return found.join(cut(many), list(KEY), "left").withColumn("native", F.coalesce("native", "_native")).drop("_native")
+
+
+def _tuples(column: pa.ListArray, names: dict[str, pa.DataType]) -> Iterator[list[tuple]]:
+    """The structs of each row of an array column as tuples of the named fields; none for null."""
+    each = list(zip(*(c.to_pylist() for c in grid_batches.fields(column, names))))
     at = 0
     for n in column.value_lengths().to_pylist():
         yield each[at : at + (n or 0)]

@@ -98,3 +98,55 @@ def test_a_page_walked_once_equals_windows_and_joins(spark):
     assert walked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
     rows = lambda frame: sorted(frame.collect())
     assert rows(walked) and rows(walked) == rows(grids._crowded_tables(drawn, said).select(*walked.columns))
+
+
+def _random_page(rng):
+    """Pieces, near misses, boxes and words; now and then a sideways word, a repeated number, or something missing."""
+    drawn, said = [], []
+    for _ in range(rng.randrange(24)):
+        a, b = sorted(rng.sample(range(0, 200, 20), 2))
+        at, a = 20.0 * rng.randrange(10) + rng.choice((0.0, 0.0, 1.5, 0.7, 0.1, 2.9)), a + rng.choice((0.0, 0.0, 2.0, 4.0))
+        drawn.append(("l", a, at, float(b), at) if rng.random() < 0.5 else ("l", at, float(b), at, a))
+    for _ in range(rng.randrange(6)):
+        x, y = 20.0 * rng.randrange(6), 20.0 * rng.randrange(6)
+        drawn.append((rng.choice(("re", "re", "c", None)), x, y + rng.choice((0.0, 0.3)), x + 20 * rng.randrange(3), rng.choice((y + 20 * rng.randrange(4), None, float("nan")))))
+    for k in range(rng.randrange(40)):
+        x, y, turned = 5.0 * rng.randrange(40), 5.0 * rng.randrange(40), rng.random() < 0.02
+        said.append((k % 3, k % 7, rng.choice((k, k, k, k, None if rng.random() < 0.1 else 3)), rng.choice(("a", " b ", "é", None if rng.random() < 0.1 else "z")), x, y, x + 4, rng.choice((y + 6, y + 6, None)), 0.0 if turned else 1.0, float(turned)))
+    return drawn, said
+
+
+def test_pages_worked_on_together_equal_those_walked(monkeypatch):
+    import pyarrow as pa
+
+    from leafmill.operators import grid_batches
+
+    rng, corners = random.Random(5), [(c, pa.float64()) for c in ("x0", "y0", "x1", "y1")]
+    shape = pa.struct([("item", pa.string()), *corners])
+    word_ = pa.struct([*[(c, pa.int64()) for c in ("block_no", "line_no", "word_no")], ("text", pa.string()), *corners, ("a", pa.float64()), ("b", pa.float64())])
+    pages = [_random_page(rng) for _ in range(400)] + [([], []), (None, None)]
+    of = lambda rows, kind: pa.array([None if own is None else [dict(zip((f.name for f in kind), row)) for row in own] for own in rows], pa.list_(kind))
+    shapes, words = of([d for d, _ in pages], shape), of([w for _, w in pages], word_)
+    whole = lambda box: all(v is not None and v == v for v in box)
+    want = []
+    for drawn, said in pages:
+        tables = grids._tables_of([d for d in drawn or () if whole(d[1:])], [(w[3], *w[4:8], *w[:3], *w[8:]) for w in said or () if whole(w[4:8])])
+        want.append([dict(zip(("table_no", "rows", "x0", "y0", "x1", "y1"), t)) for t in tables])
+    assert grids._tables_at_once(shapes, words).to_pylist() == want
+    assert grids._tables_at_once(shapes.slice(9, 80), words.slice(9, 80)).to_pylist() == want[9:89]
+    together, left = grid_batches.tables_of(shapes, words, SNAP)
+    assert sum(map(len, together.to_pylist())) > 50 and 0 < left.sum() < 100
+    monkeypatch.setattr(grid_batches, "PAIRS", 20)
+    assert grids._tables_at_once(shapes, words).to_pylist() == want
+
+
+def test_tables_of_page_rows_crowded_ones_too(spark):
+    boxes = [("re", 10.0 * i, 10.0 * j, 10.0 * i + 10, 10.0 * j + 10) for i in range(17) for j in range(16)]
+    said = [(0, 0, 0, "in", 11.0, 11.0, 14.0, 14.0, 1.0, 0.0)]
+    box = "x0: double, y0: double, x1: double, y1: double"
+    schema = f"doc_id string, page int, drawings array<struct<item: string, {box}>>, words array<struct<block_no: int, line_no: int, word_no: int, text: string, {box}, a: double, b: double>>"
+    frame = spark.createDataFrame([("d", 1, boxes[:18], said), ("d", 2, boxes, said), ("d", 3, [], said), ("d", 4, None, None)], schema)
+    got = {r.page: [(t.table_no, t.rows, (t.x0, t.y0, t.x1, t.y1)) for t in r.native or ()] for r in grids.found_in(frame, "words").collect()}
+    table = lambda rows, columns: [["in" if (i, j) == (1, 1) else "" for j in range(columns)] for i in range(rows)]
+    assert got[2] == [(0, table(16, 17), (0.0, 0.0, 170.0, 160.0))] and got[3] == got[4] == []
+    assert got[1] == [(0, table(16, 2), (0.0, 0.0, 20.0, 160.0))]
